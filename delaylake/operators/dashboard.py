@@ -23,6 +23,17 @@ def _r2(c) -> F.Column:
     return F.bround(c, 2)
 
 
+_NUMERIC = ("tinyint", "smallint", "int", "bigint", "float", "double")
+
+
+def _number(df: DataFrame, col: str) -> F.Column:
+    """The column as a double; text is parsed leniently (bad text -> null)."""
+    t = dict(df.dtypes)[col]
+    if t in _NUMERIC or t.startswith("decimal"):
+        return F.col(col).cast("double")
+    return C.to_number_lenient(F.col(col))
+
+
 def temp_delay_points(f: DataFrame, temp: str = "tavg", delay: str = "Arr_Delay",
                       keys: Sequence[str] = ()) -> DataFrame:
     """(temperature_c, arrival_delay, arrival_delay_clip) for valid readings.
@@ -31,9 +42,8 @@ def temp_delay_points(f: DataFrame, temp: str = "tavg", delay: str = "Arr_Delay"
     temperature kept in [-35, 45], the delay clipped at its own 2 % / 98 %
     quantiles.
     """
-    t = f.select(*keys,
-                 C.to_number_lenient(F.col(temp)).alias("temperature_c"),
-                 C.to_number_lenient(F.col(delay)).alias("arrival_delay"))
+    t = f.select(*keys, _number(f, temp).alias("temperature_c"),
+                 _number(f, delay).alias("arrival_delay"))
     t = t.where(F.col("temperature_c").isNotNull() & ~F.isnan("temperature_c")
                 & F.col("arrival_delay").isNotNull() & ~F.isnan("arrival_delay"))
     t = t.where(F.col("temperature_c").between(*K.TEMP_RANGE))
@@ -83,8 +93,8 @@ def rain_delay_scatter(f: DataFrame, prcp: str = "prcp", delay: str = "Arr_Delay
 def rain_delay_trend(scatter: DataFrame) -> DataFrame:
     """From the scatter table: keep prcp <= its 99 % quantile, clip the delay at
     its 2 % / 98 % quantiles, then mean and count per 2 mm band."""
-    s = scatter.select(C.to_number_lenient("prcp").alias("prcp"),
-                       C.to_number_lenient("Average_Delay").alias("Average_Delay"))
+    s = scatter.select(_number(scatter, "prcp").alias("prcp"),
+                       _number(scatter, "Average_Delay").alias("Average_Delay"))
     s = s.where(F.col("prcp").isNotNull() & F.col("Average_Delay").isNotNull())
     s = quantile_filter(s, "prcp", K.PRCP_Q)
     b = quantile_bounds(s, "Average_Delay", K.WINSOR_Q)
