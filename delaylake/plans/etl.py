@@ -42,7 +42,10 @@ def etl_clean_enrich(flights: DataFrame, cancelled: DataFrame, airports: DataFra
     f = joins.join_daily_weather(f, w)
     f = clean.impute_global_mean(f, K.WEATHER_COLS)
     f = projection.fill_constants(f, K.FILL_PHASE2)
-    f = f.select("*", F.year("FlightDate").alias("year"), F.month("FlightDate").alias("month"),
+    # day_of_week (Sunday = 1) replaces the source's ISO Day_Of_Week: the two
+    # names collide under case-insensitive resolution, and the reference's
+    # withColumn replaced it the same way.
+    f = f.drop("Day_Of_Week").select("*", F.year("FlightDate").alias("year"), F.month("FlightDate").alias("month"),
                  F.dayofweek("FlightDate").alias("day_of_week"),
                  C.delay_label("Arr_Delay").alias("delay_label"))
     return joins.join_target_rates(f, rates_source)

@@ -129,7 +129,7 @@ LEFT JOIN weather w ON fd.Dep_Airport = w.airport_id AND fd.FlightDate = w.time
 """, ("f_anti", "airports", "weather"))
 
 view("f_filled", """
-SELECT fj.* REPLACE (
+SELECT fj.* EXCLUDE (Day_Of_Week) REPLACE (
          coalesce(CAST(fj.tavg AS DOUBLE), m.m_tavg) AS tavg,
          coalesce(CAST(fj.prcp AS DOUBLE), m.m_prcp) AS prcp,
          coalesce(CAST(fj.wspd AS DOUBLE), m.m_wspd) AS wspd,

@@ -634,3 +634,17 @@ SELECT {KS}, greatest(Arr_Delay, 0) AS Arr_Delay FROM bal_o WHERE rk <= (SELECT
 def q_balanced_sample(spark, sf):
     f = X.flights(spark, sf).select(*KEY, "Arr_Delay")
     return S.balanced_sample(f, KEY)
+
+
+# --------------------------------------------------------------------------- 2.8
+
+@query("etl_clean_enrich", W("""
+SELECT * REPLACE (round(tavg, 6) AS tavg, round(prcp, 6) AS prcp, round(wspd, 6) AS wspd,
+                  round(pres, 6) AS pres,
+                  round(dep_airport_delay_avg, 6) AS dep_airport_delay_avg,
+                  round(arr_airport_delay_avg, 6) AS arr_airport_delay_avg)
+FROM clean"""))
+def q_etl_clean_enrich(spark, sf):
+    c = X.clean(spark, sf)
+    rounded = set(K.WEATHER_COLS) | {"dep_airport_delay_avg", "arr_airport_delay_avg"}
+    return c.select(*[r6(x).alias(x) if x in rounded else F.col(x) for x in c.columns])
