@@ -26,7 +26,9 @@ from delaylake.functions import constants as K
 
 CLASSIFIER_NUMERIC = ["tavg", "prcp", "wspd", "pres", "LATITUDE", "LONGITUDE", "month",
                       "day_of_week", "dep_airport_delay_avg", "arr_airport_delay_avg"]
-REGRESSOR_NUMERIC = ["Flight_Duration", "Aicraft_age", "Day_Of_Week", "month", "day",
+# dow_iso: ISO day of week (Monday = 1), named apart from the classifier's
+# day_of_week (Sunday = 1) because column names resolve case-insensitively.
+REGRESSOR_NUMERIC = ["Flight_Duration", "Aicraft_age", "dow_iso", "month", "day",
                      "is_weekend", "tavg", "prcp", "wspd", "pres", "LATITUDE", "LONGITUDE"]
 
 

@@ -4,9 +4,14 @@ A request (airline, departure, arrival, travel date, slot) is enriched with
 the same lookups the form uses -- month weather of the departure airport,
 coordinates, route estimate, departure and arrival delay rates -- then scored
 by the classifier; the probability becomes a risk bracket and a log row.
-All lookups are small dimension tables joined to the request stream; the
-model is applied per row inside the executors (no collect, no per-request
-job), so the same code serves a batch DataFrame and a stream.
+All lookups are small dimension tables joined to the requests; the models are
+applied per row inside the executors (no collect, no per-request job), so the
+same code serves a batch DataFrame and a stream.
+
+Column names resolve case-insensitively in Spark, so the classifier's
+``day_of_week`` (Sunday = 1) and the regressor's ISO day live under
+different names (``dow_iso``), and the route estimate's duration is carried
+only as ``Flight_Duration``.
 """
 
 from __future__ import annotations
@@ -20,52 +25,70 @@ from delaylake.operators import joins as J
 from delaylake.operators.models import positive_probability
 from delaylake.operators.projection import parse_travel_date
 
+REQUEST_COLS = ["request_id", "airline_key", "dep_airport", "arr_airport", "travel_date",
+                "dep_time"]
+
 
 def request_features(req: DataFrame, weather_avg: DataFrame, coords: DataFrame,
                      rates: DataFrame) -> DataFrame:
-    """Requests + everything the classifier and the regressor read.
+    """Request columns + everything the classifier and the regressor read.
 
     ``day_of_week`` uses the training numbering (Sunday = 1); the reference
     fed the serving numbering (Monday = 1) into the same slot, which this
-    does not copy. ``Day_Of_Week`` (ISO) is what the regressor was trained on.
+    does not copy.
     """
-    p = parse_travel_date(req)
+    base = req.select(*REQUEST_COLS)
+    p = parse_travel_date(base)
     w = J.lookup_weather_default(p, weather_avg)
     c = J.lookup_coords_default(w, coords)
     r = J.route_estimate(c, coords)
     d = J.lookup_delay_default(r, rates)
     date = C.to_date_lenient("travel_date", "yyyy-MM-dd")
     return d.select(
-        "*",
+        *REQUEST_COLS,
         F.col("airline_key").alias("Airline"),
         F.col("dep_time").alias("DepTime_label"),
         F.col("route_type").alias("Distance_type"),
         F.col("req_month").alias("month"),
         F.coalesce(F.dayofweek(date), F.lit(1)).alias("day_of_week"),
         F.col("req_day").alias("day"),
-        F.col("req_iso_dow").alias("Day_Of_Week"),
+        F.col("req_iso_dow").alias("dow_iso"),
         F.col("req_is_weekend").cast("int").alias("is_weekend"),
         F.col("flight_duration").alias("Flight_Duration"),
         F.lit(K.DEFAULT_AIRCRAFT_AGE).alias("Aicraft_age"),
+        *K.WEATHER_COLS, "LATITUDE", "LONGITUDE",
+        "dep_airport_delay_avg", "arr_airport_delay_avg",
     )
 
 
-def risk_columns(prob: F.Column) -> list[F.Column]:
-    rb = C.risk_bracket(prob)
-    pct, on_time = C.percent_fields(prob)
-    return [pct.alias("delay_prob"), on_time.alias("on_time_prob"),
-            rb["label"].alias("prediction"), rb["risk"].alias("risk"),
-            rb["verdict"].alias("verdict")]
+def classify(feats: DataFrame, classifier) -> DataFrame:
+    """Features + ``p_delay`` and ``risk``; the model's own columns dropped."""
+    s = classifier.transform(feats)
+    p = positive_probability(s)
+    return s.select(*feats.columns, p.alias("p_delay"), C.risk_level(p).alias("risk"))
 
 
-def score_requests(req: DataFrame, weather_avg: DataFrame, coords: DataFrame, rates: DataFrame,
-                   classifier, model_name: str = K.MODEL_NAMES["gbt"],
-                   source: str = "batch") -> DataFrame:
-    """Scored requests in the prediction-log shape (plus request_id, verdict)."""
-    feats = request_features(req, weather_avg, coords, rates)
-    scored = classifier.transform(feats)
-    prob = positive_probability(scored)
-    return scored.select(
+def conditional_minutes(classified: DataFrame, regressor) -> DataFrame:
+    """Estimated delay minutes for medium / high risk only: max(0, round(pred))
+    with half-even rounding; low risk gets null.
+
+    One pass: the trees are evaluated for every row and the minutes kept only
+    where the risk asks for them. Splitting into two filtered branches and a
+    union would recompute the whole scoring lineage twice, which costs far more
+    than a few tree lookups on the low-risk rows.
+    """
+    est = regressor.transform(classified)
+    mins = F.when(F.col("risk").isin("high", "medium"),
+                  F.greatest(F.lit(0), F.bround("prediction", 0).cast("int")))
+    return est.select(*classified.columns, mins.alias("est_delay_mins"))
+
+
+def log_rows(classified: DataFrame, model_name: str, source: str) -> DataFrame:
+    """Prediction-log shape (+ request_id, verdict, est_delay_mins if present)."""
+    rb = C.risk_bracket("p_delay")
+    pct, on_time = C.percent_fields("p_delay")
+    extra = ["est_delay_mins"] if "est_delay_mins" in classified.columns else []
+    return classified.select(
         "request_id",
         F.current_timestamp().alias("timestamp"),
         F.lit(source).alias("source"),
@@ -73,28 +96,22 @@ def score_requests(req: DataFrame, weather_avg: DataFrame, coords: DataFrame, ra
         "dep_airport", "arr_airport",
         C.route_label("dep_airport", "arr_airport").alias("route"),
         "travel_date", "dep_time",
-        *risk_columns(prob),
+        pct.alias("delay_prob"), on_time.alias("on_time_prob"),
+        rb["label"].alias("prediction"), rb["risk"].alias("risk"), rb["verdict"].alias("verdict"),
         F.lit(model_name).alias("model_used"),
-        "flight_duration", "route_type",
+        F.col("Flight_Duration").alias("flight_duration"),
+        F.col("Distance_type").alias("route_type"),
         F.struct(*[F.bround(F.col(c), 2).alias(c) for c in K.WEATHER_COLS]).alias("weather"),
-        # carried for the optional regressor
-        "Airline", "DepTime_label", "Distance_type", "month", "day", "Day_Of_Week",
-        "is_weekend", "Flight_Duration", "Aicraft_age", *K.WEATHER_COLS, "LATITUDE", "LONGITUDE",
+        *extra,
     )
 
 
-def conditional_minutes(scored: DataFrame, regressor) -> DataFrame:
-    """Estimated delay minutes for medium / high risk only: max(0, round(pred))
-    with half-even rounding; low risk gets null.
-
-    One pass: the trees are evaluated for every row and the minutes kept only
-    where the risk asks for them. Splitting into two filtered branches and a
-    union would recompute the whole scoring lineage twice, which costs far more
-    than a few tree lookups on the low-risk rows.
-    """
-    s = scored.withColumnRenamed("prediction", "__label")
-    est = regressor.transform(s)
-    mins = F.when(F.col("risk").isin("high", "medium"),
-                  F.greatest(F.lit(0), F.bround("prediction", 0).cast("int")))
-    return (est.select(*s.columns, mins.alias("est_delay_mins"))
-               .withColumnRenamed("__label", "prediction"))
+def score_requests(req: DataFrame, weather_avg: DataFrame, coords: DataFrame, rates: DataFrame,
+                   classifier, regressor=None, model_name: str = K.MODEL_NAMES["gbt"],
+                   source: str = "batch") -> DataFrame:
+    """Scored requests as prediction-log rows; with a regressor, medium and
+    high risk rows also get estimated delay minutes."""
+    c = classify(request_features(req, weather_avg, coords, rates), classifier)
+    if regressor is not None:
+        c = conditional_minutes(c, regressor)
+    return log_rows(c, model_name, source)

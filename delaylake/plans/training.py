@@ -29,7 +29,8 @@ def regression_frame(flights: DataFrame, weather: DataFrame, airports: DataFrame
     d = d.select("*", F.month("FlightDate").alias("month"), F.dayofmonth("FlightDate").alias("day"),
                  C.weekend_flag("Day_Of_Week").alias("is_weekend"))
     d = clean.impute_global_median(d, K.WEATHER_COLS + ["Flight_Duration"])
-    return fill_constants(d, K.FILL_REGRESSOR)
+    d = fill_constants(d, K.FILL_REGRESSOR)
+    return d.withColumnRenamed("Day_Of_Week", "dow_iso")
 
 
 def train_all(clean_table: DataFrame, flights: DataFrame, weather: DataFrame,

@@ -63,13 +63,15 @@ def stream_score_log(spark: SparkSession, in_path: str, out_path: str, checkpoin
     return q
 
 
-def stream_log_brackets(spark: SparkSession, events_path: str, out_path: str,
-                        checkpoint: str, available_now: bool = True) -> StreamingQuery:
+def stream_log_brackets(spark: SparkSession, events_dir: str, out_path: str,
+                        checkpoint: str, available_now: bool = True,
+                        name_glob: str = "events*.parquet") -> StreamingQuery:
     """Already-scored events (a probability per event) -> log rows with risk
-    bracket and percents, appended as they arrive."""
+    bracket and percents, appended as they arrive in ``events_dir``."""
     schema = "event_id bigint, ts timestamp_ntz, user_id bigint, event_type string, " \
              "value double, props string"
-    ev = spark.readStream.schema(schema).parquet(events_path)
+    ev = (spark.readStream.schema(schema).option("pathGlobFilter", name_glob)
+               .parquet(events_dir))
     p = F.least(F.col("value") / 500, F.lit(1.0))
     rb = C.risk_bracket(p)
     pct, on_time = C.percent_fields(p)
