@@ -95,8 +95,8 @@ def percent_fields(p: ColumnOrName) -> tuple[Column, Column]:
 
 
 def weekend_flag(iso_dow: ColumnOrName) -> Column:
-    """ISO day 6 or 7 -> 1, else 0."""
-    return _c(iso_dow).isin(6, 7).cast("int")
+    """ISO day 6 or 7 -> 1, else 0 (a missing day counts as a weekday)."""
+    return F.coalesce(_c(iso_dow).isin(6, 7), F.lit(False)).cast("int")
 
 
 def delay_level(avg: ColumnOrName, cut: float = K.DELAY_LEVEL_CUT) -> Column:

@@ -30,7 +30,12 @@ def etl_clean_enrich(flights: DataFrame, cancelled: DataFrame, airports: DataFra
                      weather: DataFrame, sample_frac: float | None = None,
                      sample_keys: Sequence[str] | None = None,
                      null_safe_cancel: bool = False,
-                     rates_source: DataFrame | None = None) -> DataFrame:
+                     rates_source: DataFrame | None = None, stage: bool = False) -> DataFrame:
+    """The clean table. With ``stage`` the joined rows are written once under
+    the shared checkpoint folder before the fills: the global means, the fill
+    and the two rate aggregates then read column-pruned Parquet instead of each
+    re-running the anti join, dedup and joins (four passes over the lineage
+    otherwise)."""
     f = flights
     if sample_frac is not None and sample_frac < 1.0:
         f = sampling.sample_fraction(f, sample_frac, sample_keys or f.columns)
@@ -40,6 +45,8 @@ def etl_clean_enrich(flights: DataFrame, cancelled: DataFrame, airports: DataFra
     w = _as_date(weather, "time")
     f = joins.join_airport_coords(f, airports)
     f = joins.join_daily_weather(f, w)
+    if stage:
+        f = materialize(f, "etl-joined")
     f = clean.impute_global_mean(f, K.WEATHER_COLS)
     f = projection.fill_constants(f, K.FILL_PHASE2)
     # day_of_week (Sunday = 1) replaces the source's ISO Day_Of_Week: the two
@@ -51,6 +58,23 @@ def etl_clean_enrich(flights: DataFrame, cancelled: DataFrame, airports: DataFra
     return joins.join_target_rates(f, rates_source)
 
 
+def labelled_rows(flights: DataFrame, cancelled: DataFrame,
+                  null_safe_cancel: bool = False) -> DataFrame:
+    """The clean table's rows reduced to what the delay label needs.
+
+    Every other ETL step is a left join to a dimension made unique on its key
+    (coordinates, daily weather), a one-row fill of weather columns, or new
+    columns: none adds, drops or repeats a row or touches ``Arr_Delay``. So
+    per-airport delay rates computed here equal those over the full clean
+    table, without the weather join, the mean pass or the coordinate join.
+    """
+    f = joins.cancel_anti_join(flights, cancelled, null_safe=null_safe_cancel)
+    f = clean.dedup_rows(f)
+    f = projection.fill_constants(f.select("Dep_Airport", "Arr_Airport", "Arr_Delay"),
+                                  {"Arr_Delay": 0})
+    return f.withColumn("delay_label", C.delay_label("Arr_Delay"))
+
+
 def materialize(df: DataFrame, name: str = "table") -> DataFrame:
     """Write ``df`` as Parquet under the shared checkpoint folder and read it
     back: cuts the lineage (an executor loss re-reads files instead of

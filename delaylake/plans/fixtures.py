@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from delaylake.functions import columns as C
 from delaylake.functions import constants as K
 from delaylake.operators import joins
-from delaylake.plans.etl import etl_clean_enrich
+from delaylake.plans.etl import etl_clean_enrich, labelled_rows
 from delaylake.sources import views as V
 
 flights = V.flights
@@ -33,6 +33,12 @@ def clean(spark: SparkSession, sf_dir: str) -> DataFrame:
                             airports(spark, sf_dir), weather(spark, sf_dir))
 
 
+def labelled(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Rows of the clean table with airports and label only (see
+    ``etl.labelled_rows``)."""
+    return labelled_rows(flights(spark, sf_dir), cancelled(spark, sf_dir))
+
+
 def f_label(spark: SparkSession, sf_dir: str) -> DataFrame:
     f = flights(spark, sf_dir)
     return f.withColumn("delay_label", C.delay_label("Arr_Delay"))
@@ -91,5 +97,5 @@ SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber,
 FROM flights
 """
 
-__all__ = ["flights", "weather", "cancelled", "airports", "requests", "plog", "clean",
+__all__ = ["flights", "weather", "cancelled", "airports", "requests", "plog", "clean", "labelled",
            "f_label", "f_weather", "slot_label", "log_table", "date_texts", "K"]

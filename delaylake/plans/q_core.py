@@ -355,7 +355,7 @@ SELECT r.request_id, round(coalesce(d.rate, 0.20), 6) AS dep_airport_delay_avg,
 FROM requests r LEFT JOIN rates d ON r.dep_airport = d.Dep_Airport
 LEFT JOIN rates a ON r.arr_airport = a.Dep_Airport""", ctes=(("rates", _RATE_SQL),)))
 def q_lookup_delay_default(spark, sf):
-    rates = A.delay_rate(X.clean(spark, sf))
+    rates = A.delay_rate(X.labelled(spark, sf))
     r = X.requests(spark, sf).select("request_id", "dep_airport", "arr_airport")
     out = J.lookup_delay_default(r, rates)
     return out.select("request_id", r6("dep_airport_delay_avg").alias("dep_airport_delay_avg"),
@@ -478,14 +478,14 @@ def q_window_group_mean(spark, sf):
 @query("airport_delay_rate", W("""
 SELECT Dep_Airport, round(avg(delay_label), 6) AS dep_airport_delay_avg FROM clean GROUP BY 1"""))
 def q_airport_delay_rate(spark, sf):
-    r = A.delay_rate(X.clean(spark, sf), "Dep_Airport", alias="dep_airport_delay_avg")
+    r = A.delay_rate(X.labelled(spark, sf), "Dep_Airport", alias="dep_airport_delay_avg")
     return r.select("Dep_Airport", r6("dep_airport_delay_avg").alias("dep_airport_delay_avg"))
 
 
 @query("arrival_delay_rate", W("""
 SELECT Arr_Airport, round(avg(delay_label), 6) AS arr_airport_delay_avg FROM clean GROUP BY 1"""))
 def q_arrival_delay_rate(spark, sf):
-    r = A.delay_rate(X.clean(spark, sf), "Arr_Airport", alias="arr_airport_delay_avg")
+    r = A.delay_rate(X.labelled(spark, sf), "Arr_Airport", alias="arr_airport_delay_avg")
     return r.select("Arr_Airport", r6("arr_airport_delay_avg").alias("arr_airport_delay_avg"))
 
 

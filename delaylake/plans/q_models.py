@@ -95,7 +95,7 @@ def q_feature_importance(spark, sf):
 
 def _lookups(spark, sf):
     return (A.weather_monthly_avg(X.weather(spark, sf)), X.airports(spark, sf),
-            A.delay_rate(X.clean(spark, sf)))
+            A.delay_rate(X.labelled(spark, sf)))
 
 
 @query("score_requests")

@@ -35,10 +35,25 @@ def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return load_driver_table(spark, sf_dir, name)
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin the rows over the cluster when the scan yields fewer
+    partitions than the cluster runs tasks at once.
+
+    A large table stored as a few big files (one row group each) scans in a
+    few tasks and everything pipelined after the scan runs that narrowly. On
+    a table of many files this is a no-op. Round-robin (not a key) keeps a hot
+    key from concentrating rows in one task.
+    """
+    want = df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() < want:
+        return df.repartition(want)
+    return df
+
+
 def flights(spark: SparkSession, sf_dir: str, keep_key: bool = True) -> DataFrame:
     """Flights with the reference's column names (see FIXTURES.md §2)."""
-    li = _t(spark, sf_dir, "lineitem").select(
-        *FLIGHT_KEY, "l_quantity", "l_extendedprice", "l_returnflag")
+    li = spread(_t(spark, sf_dir, "lineitem").select(
+        *FLIGHT_KEY, "l_quantity", "l_extendedprice", "l_returnflag"))
     o = _t(spark, sf_dir, "orders").select(
         F.col("o_orderkey").alias("l_orderkey"), "o_custkey", "o_orderdate", "o_orderpriority")
     p = _t(spark, sf_dir, "part").select(
@@ -92,7 +107,7 @@ def weather(spark: SparkSession, sf_dir: str) -> DataFrame:
     A grouped aggregate over orders ⋈ customer: partial aggregation runs
     map-side, so only one row per (nation, day, task) is shuffled.
     """
-    o = _t(spark, sf_dir, "orders").select("o_custkey", "o_orderdate", "o_totalprice")
+    o = spread(_t(spark, sf_dir, "orders").select("o_custkey", "o_orderdate", "o_totalprice"))
     c = _t(spark, sf_dir, "customer").select(F.col("c_custkey").alias("o_custkey"), "c_nationkey")
     n = F.broadcast(_t(spark, sf_dir, "nation").select(
         F.col("n_nationkey").alias("c_nationkey"), F.col("n_name").alias("airport_id")))
