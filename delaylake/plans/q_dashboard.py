@@ -211,3 +211,26 @@ UNION ALL
 def q_summary_peaks(spark, sf):
     c = X.clean(spark, sf)
     return D.summary_peaks(D.monthly_avg_delay(c), D.airline_ranking(c), D.monthly_delay_count(c))
+
+
+@query("bubble_size", W(f"""
+SELECT {KS}, least(greatest(Arr_Delay, -15), 45) AS display_delay,
+       round(10 + greatest(least(greatest(Arr_Delay, -15), 45), 0) * CAST(0.8 AS DOUBLE), 6)
+         AS bubble_size
+FROM clean"""))
+def q_bubble_size(spark, sf):
+    from delaylake.functions import columns as C
+    c = X.clean(spark, sf)
+    disp = C.clip("Arr_Delay", *K.MAP_DISPLAY_CLIP)
+    return c.select(*KEY, disp.alias("display_delay"),
+                    r6(C.bubble_size(disp)).alias("bubble_size"))
+
+
+@query("delay_level", W(f"""
+SELECT Airline, avg_delay,
+       CASE WHEN avg_delay < 15 THEN 'Low' WHEN avg_delay IS NOT NULL THEN 'Medium' END AS Delay_Level
+FROM (SELECT Airline, {RE("avg(Arr_Delay)", 2)} AS avg_delay FROM clean GROUP BY 1)"""))
+def q_delay_level(spark, sf):
+    from delaylake.functions import columns as C
+    g = X.clean(spark, sf).groupBy("Airline").agg(F.bround(F.avg("Arr_Delay"), 2).alias("avg_delay"))
+    return g.select("Airline", "avg_delay", C.delay_level("avg_delay").alias("Delay_Level"))

@@ -47,15 +47,15 @@ def start_sink(df: DataFrame, out_path: str, checkpoint: str, available_now: boo
 def stream_score_log(spark: SparkSession, in_path: str, out_path: str, checkpoint: str,
                      weather_avg: DataFrame, coords: DataFrame, rates: DataFrame, classifier,
                      model_name: str = K.MODEL_NAMES["gbt"], fmt: str = "json",
-                     rejected_path: str | None = None,
+                     rejected_path: str | None = None, regressor=None,
                      available_now: bool = True) -> StreamingQuery:
     """Score requests arriving as files under ``in_path`` into the log at
     ``out_path``. Malformed requests (blank airline or airports) are routed to
     ``rejected_path`` when given, never into the log."""
     src = read_request_stream(spark, in_path, fmt)
     valid, rejected = validate_requests(src)
-    scored = score_requests(valid, weather_avg, coords, rates, classifier, model_name,
-                            source="stream")
+    scored = score_requests(valid, weather_avg, coords, rates, classifier,
+                            regressor=regressor, model_name=model_name, source="stream")
     out = scored.select("request_id", *LOG_COLUMNS).withColumn("log_date", F.to_date("timestamp"))
     q = start_sink(out, out_path, checkpoint, available_now, partition_by="log_date")
     if rejected_path:
