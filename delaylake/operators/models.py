@@ -87,19 +87,33 @@ class CalibratedSVM:
         return self.calibrator.transform(m).drop("margin_vec", "cal_raw")
 
 
-def svm_calibrated(train: DataFrame, keys: Sequence[str], reg_param: float = 1e-4,
-                   folds: int = 3, max_iter: int = 50, seed: int = K.SEED,
-                   label: str = "delay_label", weight_col: str | None = None,
+def svm_calibrated(train: DataFrame, keys: Sequence[str], reg_param: float | None = None,
+                   C_: float = 0.1, balanced: bool = True, folds: int = 3, max_iter: int = 50,
+                   seed: int = K.SEED, label: str = "delay_label",
                    numeric: Sequence[str] = tuple(CLASSIFIER_NUMERIC)) -> CalibratedSVM:
     """LinearSVC + sigmoid calibration over ``folds`` folds.
 
+    ``C_`` is the soft-margin constant of the hinge-loss *sum*; MLlib
+    minimises the weighted *mean* hinge loss + regParam/2 |w|^2, so the same
+    model has regParam = 1 / (C * sum of weights) (= 1 / (C n) with balanced
+    weights, which sum to n). With ``balanced`` each row carries
+    n / (2 n_label) (a two-row table broadcast onto the rows).
+
     Folds come from a stable hash of ``keys``. For each fold an SVM is fitted
     on the others and scores the held-out rows; a logistic regression on those
     out-of-fold margins is the calibrator; the final SVM is fitted on all rows.
     Numeric inputs are standardised inside the pipeline (StandardScaler).
     """
     from pyspark.ml.feature import StandardScaler
-    kw = {"weightCol": weight_col} if weight_col else {}
+
+    from delaylake.operators.features import with_class_weights
+    kw = {}
+    if balanced:
+        train = with_class_weights(train, label, "__w")
+        kw = {"weightCol": "__w"}
+    if reg_param is None:
+        n = train.count()
+        reg_param = 1.0 / (C_ * max(n, 1))
 
     def pipe() -> Pipeline:
         st = encode_stages(numeric=numeric, out="raw_features")
