@@ -25,7 +25,7 @@ def dedup_rows(df: DataFrame, subset: Sequence[str] | None = None) -> DataFrame:
     return df.dropDuplicates(list(subset)) if subset else df.dropDuplicates()
 
 
-def _as_double(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+def as_double(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     """Cast the columns to double; NaN becomes null (pandas treats NaN as missing)."""
     cols = set(cols)
     out = []
@@ -38,7 +38,7 @@ def _as_double(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return df.select(*out)
 
 
-def _mean(c: str) -> F.Column:
+def mean_expr(c: str) -> F.Column:
     """sum / count with the sum kept in the column's own type.
 
     For DECIMAL readings the sum is exact, so the mean is the same double on
@@ -63,15 +63,15 @@ def impute_global_mean(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     flight-weighted, as in the reference). A column with no value stays null.
     """
     cols = list(cols)
-    means = df.agg(*[_mean(c).alias(c) for c in cols])
-    return _fill_from_one_row(_as_double(df, cols), means, cols)
+    means = df.agg(*[mean_expr(c).alias(c) for c in cols])
+    return _fill_from_one_row(as_double(df, cols), means, cols)
 
 
 def impute_group_mean(df: DataFrame, cols: Sequence[str], by: str = "Dep_Airport") -> DataFrame:
     """Null -> mean of the same column within the row's ``by`` group."""
     cols = list(cols)
-    g = df.groupBy(F.col(by).alias("__gk")).agg(*[_mean(c).alias(f"__g_{c}") for c in cols])
-    d = _as_double(df, cols)
+    g = df.groupBy(F.col(by).alias("__gk")).agg(*[mean_expr(c).alias(f"__g_{c}") for c in cols])
+    d = as_double(df, cols)
     # Plain equality: rows with a null key get no group value (pandas groupby
     # drops null keys), the global fallback fills them.
     j = d.join(g, d[by] == g["__gk"], "left")
@@ -87,7 +87,7 @@ def impute_global_median(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     high-cardinality columns use ``percentile_approx`` instead.
     """
     cols = list(cols)
-    d = _as_double(df, cols)
+    d = as_double(df, cols)
     meds = d.agg(*[F.median(c).alias(c) for c in cols])
     return _fill_from_one_row(d, meds, cols)
 

@@ -46,7 +46,7 @@ def etl_clean_enrich(flights: DataFrame, cancelled: DataFrame, airports: DataFra
     f = joins.join_airport_coords(f, airports)
     f = joins.join_daily_weather(f, w)
     if stage:
-        f = materialize(f, "etl-joined")
+        return _finish_staged(materialize(f, "etl-joined"), rates_source)
     f = clean.impute_global_mean(f, K.WEATHER_COLS)
     f = projection.fill_constants(f, K.FILL_PHASE2)
     # day_of_week (Sunday = 1) replaces the source's ISO Day_Of_Week: the two
@@ -58,6 +58,41 @@ def etl_clean_enrich(flights: DataFrame, cancelled: DataFrame, airports: DataFra
     return joins.join_target_rates(f, rates_source)
 
 
+def _finish_staged(joined: DataFrame, rates_source: DataFrame | None) -> DataFrame:
+    """Fills, label and target rates over the staged joined table, with every
+    statistic from ONE grouping-sets aggregate: the global weather means (set
+    ()), the departure rates (Dep_Airport) and the arrival rates (Arr_Airport).
+    The big table is scanned once for statistics instead of three times; the
+    statistics (1 + 2 x airports rows) are staged and broadcast back.
+    """
+    if rates_source is not None:          # rates from other rows: the composed path
+        f = clean.impute_global_mean(joined, K.WEATHER_COLS)
+        f = projection.fill_constants(f, K.FILL_PHASE2).drop("Day_Of_Week")
+        f = f.select("*", F.year("FlightDate").alias("year"), F.month("FlightDate").alias("month"),
+                     F.dayofweek("FlightDate").alias("day_of_week"),
+                     C.delay_label("Arr_Delay").alias("delay_label"))
+        return joins.join_target_rates(f, rates_source)
+    label = C.delay_label("Arr_Delay")
+    stats = (joined.groupingSets([[], ["Dep_Airport"], ["Arr_Airport"]], "Dep_Airport", "Arr_Airport")
+                   .agg(*[clean.mean_expr(c).alias(f"__m_{c}") for c in K.WEATHER_COLS],
+                        F.avg(label).alias("__rate"), F.grouping_id().alias("__gid")))
+    stats = materialize(stats, "etl-stats")
+    means = stats.where(F.col("__gid") == 3).select(*[f"__m_{c}" for c in K.WEATHER_COLS])
+    dep = stats.where(F.col("__gid") == 1).select(
+        F.col("Dep_Airport").alias("__dk"), F.col("__rate").alias("dep_airport_delay_avg"))
+    arr = stats.where(F.col("__gid") == 2).select(
+        F.col("Arr_Airport").alias("__ak"), F.col("__rate").alias("arr_airport_delay_avg"))
+    d = clean.as_double(joined, K.WEATHER_COLS).crossJoin(F.broadcast(means))
+    d = d.select(*[F.coalesce(F.col(c), F.col(f"__m_{c}")).alias(c) if c in K.WEATHER_COLS
+                   else F.col(c) for c in joined.columns])
+    d = projection.fill_constants(d, K.FILL_PHASE2).drop("Day_Of_Week")
+    d = d.select("*", F.year("FlightDate").alias("year"), F.month("FlightDate").alias("month"),
+                 F.dayofweek("FlightDate").alias("day_of_week"), label.alias("delay_label"))
+    # one row per airport on each side: AQE broadcasts them after measuring
+    d = d.join(dep, d["Dep_Airport"] == dep["__dk"], "left").drop("__dk")
+    return d.join(arr, d["Arr_Airport"] == arr["__ak"], "left").drop("__ak")
+
+
 def labelled_rows(flights: DataFrame, cancelled: DataFrame,
                   null_safe_cancel: bool = False) -> DataFrame:
     """The clean table's rows reduced to what the delay label needs.

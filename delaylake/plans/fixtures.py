@@ -27,10 +27,10 @@ SLOT_OF_PRIORITY = {
 }
 
 
-def clean(spark: SparkSession, sf_dir: str) -> DataFrame:
+def clean(spark: SparkSession, sf_dir: str, stage: bool = False) -> DataFrame:
     """The whole ETL over whole tables (no sampling)."""
     return etl_clean_enrich(flights(spark, sf_dir), cancelled(spark, sf_dir),
-                            airports(spark, sf_dir), weather(spark, sf_dir))
+                            airports(spark, sf_dir), weather(spark, sf_dir), stage=stage)
 
 
 def labelled(spark: SparkSession, sf_dir: str) -> DataFrame:

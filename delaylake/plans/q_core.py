@@ -645,6 +645,7 @@ SELECT * REPLACE (round(tavg, 6) AS tavg, round(prcp, 6) AS prcp, round(wspd, 6)
                   round(arr_airport_delay_avg, 6) AS arr_airport_delay_avg)
 FROM clean"""))
 def q_etl_clean_enrich(spark, sf):
-    c = X.clean(spark, sf)
+    # the production form: joined rows staged once, statistics in one pass
+    c = X.clean(spark, sf, stage=True)
     rounded = set(K.WEATHER_COLS) | {"dep_airport_delay_avg", "arr_airport_delay_avg"}
     return c.select(*[r6(x).alias(x) if x in rounded else F.col(x) for x in c.columns])
