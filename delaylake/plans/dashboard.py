@@ -16,6 +16,7 @@ first, so they keep their own passes.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -106,3 +107,18 @@ def dashboard_tables(clean: DataFrame, airports: DataFrame,
     out["temperature_trend"] = D.temp_delay_trend(clean)
     out["temperature_sample"] = D.temp_delay_sample(clean, list(keys))
     return out
+
+
+def payload(tables: dict[str, DataFrame]) -> DataFrame:
+    """All sections as one table of (section, record JSON), like the payload
+    document the dashboard serves. Each record keeps its sort key (month,
+    band, day position), so order survives the union."""
+    parts = [df.select(F.lit(name).alias("section"),
+                       F.to_json(F.struct(*[F.col(c) for c in df.columns])).alias("record"))
+             for name, df in tables.items()]
+    return reduce(lambda a, b: a.unionByName(b), parts)
+
+
+def write_dashboard(clean: DataFrame, airports: DataFrame, keys: Sequence[str], path: str) -> None:
+    """Every section in one write: one job instead of one per section."""
+    payload(dashboard_tables(clean, airports, keys)).write.mode("overwrite").parquet(path)

@@ -37,3 +37,17 @@ def test_dashboard_tables_match_operators(spark):
         assert _r(rows(got[name], *cols)) == _r(rows(df, *cols)), name
     assert got["summary"].count() == 3
     assert got["temperature_sample"].count() <= 2000
+
+
+def test_payload_has_every_section(spark):
+    import json
+
+    from delaylake.plans.dashboard import payload
+    clean = materialize(X.clean(spark, SF001), "test-clean-payload")
+    tables = dashboard_tables(clean, X.airports(spark, SF001), list(FLIGHT_KEY))
+    p = payload(tables)
+    counts = {r[0]: r[1] for r in p.groupBy("section").count().collect()}
+    for name, df in tables.items():
+        assert counts.get(name, 0) == df.count(), name
+    rec = json.loads(p.where("section = 'monthly_delay'").first()["record"])
+    assert set(rec) == {"month_num", "Month", "Average_Arrival_Delay_Minutes"}
