@@ -38,25 +38,35 @@ def running_sum_before(df: DataFrame, order_col: str, value_col: str, out: str,
              .drop("__pid", "__off"))
 
 
-def auc(scored: DataFrame, label: str = "delay_label", score: str = "score") -> DataFrame:
-    """Area under the ROC curve (exact, ties one half), one row ``auc``."""
-    g = (scored.where(F.col(score).isNotNull() & F.col(label).isNotNull())
-               .groupBy(F.col(score).alias("__s"))
-               .agg(F.sum(F.col(label).cast("long")).alias("__pos"),
-                    F.sum((1 - F.col(label)).cast("long")).alias("__neg")))
-    c = running_sum_before(g, "__s", "__neg", "__neg_below")
-    return c.agg(
-        F.try_divide(2 * F.sum(F.col("__pos") * F.col("__neg_below"))
-                     + F.sum(F.col("__pos") * F.col("__neg")),
-                     (2 * F.sum("__pos") * F.sum("__neg")).cast("double")).alias("auc"))
+def score_histogram(scored: DataFrame, label: str = "delay_label",
+                    score: str = "score") -> DataFrame:
+    """(score, positives, negatives): one row per distinct score."""
+    return (scored.where(F.col(score).isNotNull() & F.col(label).isNotNull())
+                  .groupBy(F.col(score).alias("__s"))
+                  .agg(F.sum(F.col(label).cast("long")).alias("__pos"),
+                       F.sum((1 - F.col(label)).cast("long")).alias("__neg")))
+
+
+def auc(scored: DataFrame, label: str = "delay_label", score: str = "score",
+        threshold: float | None = None) -> DataFrame:
+    """Area under the ROC curve (exact, ties one half), one row ``auc``; with
+    ``threshold`` also the accuracy of ``score >= threshold``, read off the
+    same histogram (no second pass over the scored rows)."""
+    c = running_sum_before(score_histogram(scored, label, score), "__s", "__neg", "__neg_below")
+    aggs = [F.try_divide(2 * F.sum(F.col("__pos") * F.col("__neg_below"))
+                         + F.sum(F.col("__pos") * F.col("__neg")),
+                         (2 * F.sum("__pos") * F.sum("__neg")).cast("double")).alias("auc")]
+    if threshold is not None:
+        correct = F.when(F.col("__s") >= threshold, F.col("__pos")).otherwise(F.col("__neg"))
+        aggs.append(F.try_divide(F.sum(correct), F.sum(F.col("__pos") + F.col("__neg"))
+                                 .cast("double")).alias("accuracy"))
+    return c.agg(*aggs)
 
 
 def eval_binary(scored: DataFrame, label: str = "delay_label", score: str = "score",
                 threshold: float = 0.5) -> DataFrame:
-    """One row: AUC and accuracy of ``score >= threshold``."""
-    acc = scored.agg(F.avg(((F.col(score) >= threshold).cast("int") == F.col(label))
-                           .cast("double")).alias("accuracy"))
-    return auc(scored, label, score).crossJoin(acc)
+    """One row: AUC and accuracy of ``score >= threshold`` (one pass)."""
+    return auc(scored, label, score, threshold)
 
 
 def eval_report(scored: DataFrame, label: str = "delay_label",
