@@ -8,7 +8,7 @@ from pyspark.sql import functions as F
 from delaylake.functions import columns as C
 from delaylake.functions import constants as K
 from delaylake.operators import joins
-from delaylake.plans.etl import etl_clean_enrich, labelled_rows
+from delaylake.plans.etl import etl_clean_enrich, labelled_rows, materialize
 from delaylake.sources import views as V
 
 flights = V.flights
@@ -27,10 +27,21 @@ SLOT_OF_PRIORITY = {
 }
 
 
-def clean(spark: SparkSession, sf_dir: str, stage: bool = False) -> DataFrame:
-    """The whole ETL over whole tables (no sampling)."""
-    return etl_clean_enrich(flights(spark, sf_dir), cancelled(spark, sf_dir),
-                            airports(spark, sf_dir), weather(spark, sf_dir), stage=stage)
+def clean(spark: SparkSession, sf_dir: str, stage: bool = True) -> DataFrame:
+    """The whole ETL over whole tables (no sampling).
+
+    ``stage=True`` (default) is the production form: the staged one-pass ETL
+    is written once under the shared checkpoint folder and the query reads
+    that table, so downstream plans start from one Parquet scan instead of
+    re-planning the joins once per reference. ``stage=False`` returns the lazy
+    composed plan (used to check both forms agree).
+    """
+    if not stage:
+        return etl_clean_enrich(flights(spark, sf_dir), cancelled(spark, sf_dir),
+                                airports(spark, sf_dir), weather(spark, sf_dir))
+    return materialize(etl_clean_enrich(flights(spark, sf_dir), cancelled(spark, sf_dir),
+                                        airports(spark, sf_dir), weather(spark, sf_dir),
+                                        stage=True), "clean")
 
 
 def labelled(spark: SparkSession, sf_dir: str) -> DataFrame:

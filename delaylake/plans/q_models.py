@@ -32,10 +32,10 @@ def r6(c):
 
 
 def _clean(spark, sf):
-    """The clean table written once under the shared checkpoint folder: the
+    """The clean table, written once under the shared checkpoint folder: the
     fits below pass over it many times, and re-reading Parquet is far
     cheaper than recomputing the join lineage on every pass."""
-    return materialize(X.clean(spark, sf), "clean")
+    return X.clean(spark, sf)
 
 
 def _split(spark, sf):
