@@ -9,8 +9,8 @@ is "the n smallest hashes per group", computed without a global sort:
    at most 2^20 rows per group regardless of data size),
 2. running counts over that histogram give, per group, the buckets taken
    whole and the one boundary bucket with how many rows it still needs,
-3. only the boundary bucket's rows are ranked (row_number within the
-   bucket: about rows / 2^20 of them), everything else is a filter.
+3. only the boundary bucket is ranked, as distinct rows with multiplicities
+   (copies collapse map-side), everything else is a filter.
 
 ``df.sample`` / ``randomSplit`` are offered as the fast non-reproducible form.
 """
@@ -51,17 +51,45 @@ def split_train_test(df: DataFrame, keys: Sequence[str], frac: float = 0.8,
     return df.where(b < cut), df.where(b >= cut)
 
 
+def replicate(df: DataFrame, count_col: str, chunk: int = 1 << 20) -> DataFrame:
+    """Each row repeated ``count_col`` times (rows with a count <= 0 vanish).
+
+    A row standing for a huge group of copies is first cut into pieces of at
+    most ``chunk`` copies, the pieces are spread round-robin, and each piece is
+    expanded by its own task, so no task generates more than ``chunk`` copies.
+    """
+    pos = df.where(F.col(count_col) > 0)
+    pieces = pos.withColumn(
+        "__piece", F.explode(F.sequence(F.lit(0), F.floor((F.col(count_col) - 1) / chunk))))
+    pieces = pieces.withColumn(
+        "__len", F.least(F.lit(chunk), F.col(count_col) - F.col("__piece") * chunk))
+    n = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    out = pieces.repartition(n).withColumn("__copy", F.explode(F.sequence(F.lit(1), F.col("__len"))))
+    return out.drop("__piece", "__len", "__copy")
+
+
 def flag_first_n_by_hash(df: DataFrame, keys: Sequence[str], n_per_group: DataFrame,
                          groups: Sequence[str] = (), seed: int = K.SEED,
                          flag: str = "__take") -> DataFrame:
-    """Add boolean ``flag``: the row's rank by (hash, keys) within its group is
-    <= ``__n``.
+    """Add boolean ``flag``: the row's rank by (hash, keys, other columns)
+    within its group is <= ``__n``.
 
     ``n_per_group`` has the group columns and ``__n`` (a small table: one row
-    per group). Exact, no global sort, no group gathered in one task.
+    per group). Exact, no global sort, no group gathered in one task:
+
+    * buckets entirely below the cut are flagged by a join with the bucket plan
+      (at most 2^20 rows per group);
+    * the one boundary bucket per group is collapsed to distinct rows with
+      their multiplicity (a map-side partial aggregate, so a group of copies
+      holding a third of all rows becomes one row), ranked, and each distinct
+      row is re-emitted as "taken" and "not taken" copies in parallel chunks.
+      Copies are indistinguishable, so which of them are taken cannot matter.
+
+    Columns must be groupable (no map columns).
     """
     g = list(groups)
     keys = list(keys)
+    cols = list(df.columns)
     h = with_hash(df, keys, seed)
     hist = h.groupBy(*g, "__b").agg(F.count(F.lit(1)).alias("__cnt"))
     w = (Window.partitionBy(*g).orderBy("__b")
@@ -80,11 +108,18 @@ def flag_first_n_by_hash(df: DataFrame, keys: Sequence[str], n_per_group: DataFr
                          .otherwise(F.col("__n") - before).alias("__need")))
     j = h.join(plan, g + ["__b"], "left")
     rest = (j.where(F.col("__need").isNull() | (F.col("__need") < 0))
-             .withColumn(flag, F.col("__need").isNotNull()))
+             .select(*cols, F.col("__need").isNotNull().alias(flag)))
     edge = j.where(F.col("__need") >= 0)
-    wr = Window.partitionBy(*g, "__b").orderBy("__h", *keys)
-    edge = (edge.withColumn(flag, F.row_number().over(wr) <= F.col("__need")))
-    return rest.unionByName(edge).drop("__b", "__h", "__need")
+    distinct = edge.groupBy(*cols, "__b", "__h", "__need").agg(F.count(F.lit(1)).alias("__m"))
+    other = [c for c in cols if c not in keys and c not in g]
+    wr = (Window.partitionBy(*g, "__b").orderBy("__h", *keys, *other)
+          .rowsBetween(Window.unboundedPreceding, -1))
+    distinct = distinct.withColumn("__before", F.coalesce(F.sum("__m").over(wr), F.lit(0)))
+    taken = F.greatest(F.lit(0), F.least(F.col("__m"), F.col("__need") - F.col("__before")))
+    distinct = distinct.withColumn("__t", taken).withColumn("__r", F.col("__m") - F.col("__t"))
+    yes = replicate(distinct, "__t").select(*cols, F.lit(True).alias(flag))
+    no = replicate(distinct, "__r").select(*cols, F.lit(False).alias(flag))
+    return rest.unionByName(yes).unionByName(no)
 
 
 def first_n_by_hash(df: DataFrame, keys: Sequence[str], n_per_group: DataFrame,

@@ -120,3 +120,17 @@ def test_eval_report_and_regression(spark):
     assert mae == pytest.approx((2 + 20 + 270) / 3)
     assert rmse == pytest.approx(((4 + 400 + 72900) / 3) ** 0.5)
     assert r2 == pytest.approx(1 - (4 + 400 + 72900) / 200.0)
+
+
+def test_first_n_by_hash_with_a_hot_group_of_copies(spark):
+    # one key copied 3000 times (most of the table) plus 1000 distinct keys
+    keys = [(i, i % 7) for i in range(1000)]
+    data = keys + [(5000, 1)] * 3000
+    df = spark.createDataFrame(data, "a int, b int").repartition(6)
+    for n in (10, 400, 2500, 4000):
+        nt = spark.createDataFrame([(n,)], "__n bigint")
+        got = sorted(tuple(r) for r in S.first_n_by_hash(df, ["a", "b"], nt).collect())
+        assert got == _md5_rank_pick(data, 42, n), n
+    tr, te = S.split_stratified(df.withColumn("y", F.lit(1)), "y", ["a", "b"], 0.5)
+    assert tr.count() == 2000 and te.count() == 2000
+    assert sorted(tuple(r) for r in tr.unionByName(te).select("a", "b").collect()) == sorted(data)
