@@ -68,25 +68,39 @@ def overall_stats(f: DataFrame) -> DataFrame:
     )
 
 
-def quantile_bounds(df: DataFrame, col: str, qs: tuple[float, ...]) -> DataFrame:
-    """One row with the exact (linearly interpolated) quantiles q0, q1, ..."""
-    return df.agg(F.percentile(F.col(col), F.array(*[F.lit(q) for q in qs])).alias("__q")) \
-             .select(*[F.col("__q")[i].alias(f"q{i}") for i in range(len(qs))])
+def quantile_bounds(df: DataFrame, col: str, qs: tuple[float, ...],
+                    exact: bool = True, accuracy: int = 100000) -> DataFrame:
+    """One row with the quantiles q0, q1, ...
+
+    ``exact``: linear interpolation as pandas / DuckDB ``quantile_cont``; the
+    aggregate keeps a value -> count map, so its size follows the column's
+    distinct values (minutes, 2-decimal readings: small). For a continuous
+    column with billions of distinct values pass ``exact=False``:
+    ``percentile_approx`` keeps a fixed-size sketch per task (relative rank
+    error about 1 / ``accuracy``).
+    """
+    arr = F.array(*[F.lit(q) for q in qs])
+    agg = (F.percentile(F.col(col), arr) if exact
+           else F.percentile_approx(F.col(col).cast("double"), arr, accuracy))
+    return df.agg(agg.alias("__q")) \
+             .select(*[F.col("__q")[i].cast("double").alias(f"q{i}") for i in range(len(qs))])
 
 
 def winsorize_quantile(df: DataFrame, col: str, lo: float = K.WINSOR_Q[0],
-                       hi: float = K.WINSOR_Q[1], out: str | None = None) -> DataFrame:
-    """Clip ``col`` to its own [q_lo, q_hi] (exact, linear interpolation).
+                       hi: float = K.WINSOR_Q[1], out: str | None = None,
+                       exact: bool = True) -> DataFrame:
+    """Clip ``col`` to its own [q_lo, q_hi] (linear interpolation when exact).
 
     The one-row quantile table is broadcast; nulls stay null.
     """
     out = out or f"{col}_clip"
-    b = quantile_bounds(df, col, (lo, hi))
+    b = quantile_bounds(df, col, (lo, hi), exact)
     j = df.crossJoin(F.broadcast(b))
     return j.select(*df.columns, C.clip(F.col(col), F.col("q0"), F.col("q1")).alias(out))
 
 
-def quantile_filter(df: DataFrame, col: str, q: float = K.PRCP_Q) -> DataFrame:
+def quantile_filter(df: DataFrame, col: str, q: float = K.PRCP_Q,
+                    exact: bool = True) -> DataFrame:
     """Keep rows with ``col`` <= its q-quantile."""
-    b = quantile_bounds(df, col, (q,))
+    b = quantile_bounds(df, col, (q,), exact)
     return df.crossJoin(F.broadcast(b)).where(F.col(col) <= F.col("q0")).select(*df.columns)

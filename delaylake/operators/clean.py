@@ -79,16 +79,18 @@ def impute_group_mean(df: DataFrame, cols: Sequence[str], by: str = "Dep_Airport
                       for c in d.columns])
 
 
-def impute_global_median(df: DataFrame, cols: Sequence[str]) -> DataFrame:
+def impute_global_median(df: DataFrame, cols: Sequence[str], exact: bool = True) -> DataFrame:
     """Null -> global median (linear interpolation) of the column.
 
     Spark's exact ``median`` keeps a value -> count map per partial aggregate,
     so memory follows the number of distinct values, not rows; for continuous
-    high-cardinality columns use ``percentile_approx`` instead.
+    high-cardinality columns pass ``exact=False`` (``percentile_approx``, a
+    fixed-size sketch per task).
     """
     cols = list(cols)
     d = as_double(df, cols)
-    meds = d.agg(*[F.median(c).alias(c) for c in cols])
+    meds = d.agg(*[(F.median(c) if exact else F.percentile_approx(c, 0.5, 100000)).alias(c)
+                   for c in cols])
     return _fill_from_one_row(d, meds, cols)
 
 

@@ -160,3 +160,14 @@ def test_target_rates_from_training_rows_only(spark):
     assert got[0] == (0.5, 0.5) and got[9] == (None, 0.5)   # BBB unseen in training rows
     leak = {r["id"]: r["dep_airport_delay_avg"] for r in J.join_target_rates(f).collect()}
     assert leak[0] == 0.5 and leak[9] == 0.5
+
+
+def test_quantile_exact_and_approx(spark):
+    df = spark.range(1001).selectExpr("cast(id as double) as x")
+    ex = A.quantile_bounds(df, "x", (0.02, 0.98)).collect()[0]
+    assert tuple(ex) == (20.0, 980.0)
+    ap = A.quantile_bounds(df, "x", (0.02, 0.98), exact=False).collect()[0]
+    assert abs(ap[0] - 20.0) <= 2 and abs(ap[1] - 980.0) <= 2
+    med = CL.impute_global_median(
+        df.selectExpr("case when x < 3 then null else x end as x"), ["x"], exact=False)
+    assert med.where("x is null").count() == 0
