@@ -27,10 +27,6 @@ from delaylake.operators import dashboard as D
 from delaylake.plans.etl import materialize
 from delaylake.plans.fixtures import slot_label
 
-# grouping-set ids, in the order of the sets below
-_SETS = ("month", "airline", "airport", "heat", "prcp")
-
-
 def grouped_means(clean: DataFrame, slot: F.Column | None = None) -> DataFrame:
     """One aggregate for all plain grouped means; ``gset`` names the set."""
     slot = slot_label() if slot is None else slot

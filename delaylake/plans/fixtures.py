@@ -6,7 +6,6 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from delaylake.functions import columns as C
-from delaylake.functions import constants as K
 from delaylake.operators import joins
 from delaylake.plans.etl import etl_clean_enrich, labelled_rows, materialize
 from delaylake.sources import views as V
@@ -107,6 +106,3 @@ SELECT l_orderkey, l_partkey, l_suppkey, l_linenumber,
             ELSE strftime(FlightDate, '%Y-%m-%d') END AS travel_date
 FROM flights
 """
-
-__all__ = ["flights", "weather", "cancelled", "airports", "requests", "plog", "clean", "labelled",
-           "f_label", "f_weather", "slot_label", "log_table", "date_texts", "K"]

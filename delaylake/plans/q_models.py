@@ -9,7 +9,6 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from delaylake.functions import constants as K
 from delaylake.operators import aggregates as A
 from delaylake.operators import models as M
 from delaylake.operators import sampling as S
@@ -129,5 +128,3 @@ def q_stream_score_log(spark, sf):
     drain(q)
     return spark.read.parquet(out)
 
-
-__all__ = ["K"]
