@@ -68,9 +68,10 @@ def replicate(df: DataFrame, count_col: str, chunk: int = 1 << 20) -> DataFrame:
     return out.drop("__piece", "__len", "__copy")
 
 
-def flag_first_n_by_hash(df: DataFrame, keys: Sequence[str], n_per_group: DataFrame,
+def flag_first_n_by_hash(df: DataFrame | None, keys: Sequence[str], n_per_group: DataFrame,
                          groups: Sequence[str] = (), seed: int = K.SEED,
-                         flag: str = "__take") -> DataFrame:
+                         flag: str = "__take", hashed: DataFrame | None = None,
+                         hist: DataFrame | None = None) -> DataFrame:
     """Add boolean ``flag``: the row's rank by (hash, keys, other columns)
     within its group is <= ``__n``.
 
@@ -85,13 +86,16 @@ def flag_first_n_by_hash(df: DataFrame, keys: Sequence[str], n_per_group: DataFr
       row is re-emitted as "taken" and "not taken" copies in parallel chunks.
       Copies are indistinguishable, so which of them are taken cannot matter.
 
-    Columns must be groupable (no map columns).
+    Columns must be groupable (no map columns). A caller that already has the
+    hashed rows (``with_hash``) and their (groups, bucket) histogram passes
+    them as ``hashed`` / ``hist`` so they are not computed twice.
     """
     g = list(groups)
     keys = list(keys)
-    cols = list(df.columns)
-    h = with_hash(df, keys, seed)
-    hist = h.groupBy(*g, "__b").agg(F.count(F.lit(1)).alias("__cnt"))
+    h = hashed if hashed is not None else with_hash(df, keys, seed)
+    cols = [c for c in h.columns if c not in ("__b", "__h")]
+    if hist is None:
+        hist = h.groupBy(*g, "__b").agg(F.count(F.lit(1)).alias("__cnt"))
     w = (Window.partitionBy(*g).orderBy("__b")
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     hist = hist.withColumn("__cum", F.sum("__cnt").over(w))
@@ -133,16 +137,28 @@ def balanced_sample(f: DataFrame, keys: Sequence[str], delay: str = "Arr_Delay",
                     threshold: int = K.DELAY_THRESHOLD_MIN, seed: int = K.SEED) -> DataFrame:
     """Regression training set: rows with a delay, clipped to [-30, 300]; all
     delayed rows plus min(n_delayed div 2, n_on_time) on-time rows (picked by
-    hash), whose delay is clipped below at 0."""
+    hash), whose delay is clipped below at 0.
+
+    One histogram by (delayed?, hash bucket) gives both class counts and the
+    on-time bucket plan; one flagged pass then keeps every delayed row (its
+    class has an unbounded quota) and the first n on-time rows.
+    """
     d = f.where(F.col(delay).isNotNull()).withColumn(delay, C.clip(delay, *K.REG_TARGET_CLIP))
-    delayed = d.where(F.col(delay) > threshold)
-    ontime = d.where(F.col(delay) <= threshold)
-    counts = d.agg(F.sum((F.col(delay) > threshold).cast("long")).alias("__nd"),
-                   F.sum((F.col(delay) <= threshold).cast("long")).alias("__no"))
-    n = counts.select(F.least(F.floor(F.col("__nd") / 2), F.col("__no")).cast("long").alias("__n"))
-    picked = first_n_by_hash(ontime, keys, n, seed=seed)
-    picked = picked.withColumn(delay, C.clip(delay, lo=0))
-    return delayed.unionByName(picked)
+    h = with_hash(d.withColumn("__late", F.col(delay) > threshold), keys, seed)
+    hist = h.groupBy("__late", "__b").agg(F.count(F.lit(1)).alias("__cnt"))
+    counts = hist.agg(F.sum(F.when(F.col("__late"), F.col("__cnt")).otherwise(0)).alias("__nd"),
+                      F.sum(F.when(~F.col("__late"), F.col("__cnt")).otherwise(0)).alias("__no"))
+    n_on = F.least(F.floor(F.col("__nd") / 2), F.col("__no")).cast("long")
+    quota = counts.select(F.explode(F.array(
+        F.struct(F.lit(True).alias("__late"), F.lit(2 ** 62).cast("long").alias("__n")),
+        F.struct(F.lit(False).alias("__late"), n_on.alias("__n")))).alias("__q")) \
+        .select("__q.__late", "__q.__n")
+    flagged = flag_first_n_by_hash(None, keys, quota, groups=["__late"], seed=seed,
+                                   hashed=h, hist=hist)
+    out = flagged.where(F.col("__take"))
+    out = out.withColumn(delay, F.when(F.col("__late"), F.col(delay))
+                                 .otherwise(C.clip(delay, lo=0)))
+    return out.drop("__take", "__late")
 
 
 def split_stratified(df: DataFrame, label: str, keys: Sequence[str], frac: float = 0.8,
