@@ -35,6 +35,10 @@ def cancel_anti_join(flights: DataFrame, cancelled: DataFrame,
     The cancelled side is first reduced to its distinct keys (partial
     aggregation map-side), which bounds it by the key space rather than by the
     number of cancelled rows and keeps duplicate cancelled rows from mattering.
+    When that key set is too large to broadcast, the anti join is a sort-merge
+    join and a hot flight key (e.g. a missing tail number on a third of all
+    flights, which all hash alike) is a skewed left partition: AQE's skew-join
+    rule splits it across tasks (left-anti joins split on the left side).
     """
     keys = list(keys)
     ck = cancelled.select(*keys).dropDuplicates()
@@ -52,12 +56,12 @@ def join_airport_coords(flights: DataFrame, airports: DataFrame, key: str = "Dep
                         code: str = "IATA_CODE", broadcast: bool = True) -> DataFrame:
     """Attach LATITUDE / LONGITUDE of the departure airport (left join).
 
-    Airports form a small dimension with a fixed bound (one row per airport
-    code), so it is broadcast; duplicates in it are removed first so the join
-    can never multiply flights.
+    Airports form a dimension with a fixed bound -- one row per three-letter
+    code, at most 26^3 = 17,576 rows -- so it is broadcast; it is made unique
+    on the code first (deterministically) so the join can never multiply
+    flights.
     """
-    a = (airports.select(F.col(code).alias(key), "LATITUDE", "LONGITUDE")
-                 .dropDuplicates([key]))
+    a = unique_on(airports.select(F.col(code).alias(key), "LATITUDE", "LONGITUDE"), [key])
     return flights.join(F.broadcast(a) if broadcast else a, key, "left")
 
 
@@ -130,10 +134,12 @@ def lookup_weather_default(req: DataFrame, weather_avg: DataFrame,
 def lookup_coords_default(req: DataFrame, coords: DataFrame, airport_col: str = "dep_airport",
                           default: tuple[float, float] = K.DEFAULT_DEP_COORDS,
                           prefix: str = "") -> DataFrame:
-    """airport -> LATITUDE, LONGITUDE; unknown airports get ``default``."""
-    c = (coords.select(F.col("IATA_CODE").alias("__k"),
-                       F.col("LATITUDE").alias("__lat"), F.col("LONGITUDE").alias("__lon"))
-               .dropDuplicates(["__k"]))
+    """airport -> LATITUDE, LONGITUDE; unknown airports get ``default``.
+
+    The coordinates table is unique per airport code (bounded, broadcast)."""
+    c = unique_on(coords.select(F.col("IATA_CODE").alias("__k"),
+                                F.col("LATITUDE").alias("__lat"), F.col("LONGITUDE").alias("__lon")),
+                  ["__k"])
     j = req.join(F.broadcast(c), req[airport_col] == c["__k"], "left")
     return j.select(*req.columns,
                     F.coalesce("__lat", F.lit(float(default[0]))).alias(f"{prefix}LATITUDE"),
@@ -164,9 +170,9 @@ def route_estimate(req: DataFrame, coords: DataFrame, dep_col: str = "dep_airpor
     800 / 1500 with the reference's labels kept verbatim. Unknown departure
     falls back to (39, -98), unknown arrival to (41.9, -87.9).
     """
-    c = (coords.select(F.col("IATA_CODE").alias("__k"),
-                       F.col("LATITUDE").alias("__lat"), F.col("LONGITUDE").alias("__lon"))
-               .dropDuplicates(["__k"]))
+    c = unique_on(coords.select(F.col("IATA_CODE").alias("__k"),
+                                F.col("LATITUDE").alias("__lat"), F.col("LONGITUDE").alias("__lon")),
+                  ["__k"])
     cd = F.broadcast(c.select(F.col("__k").alias("__kd"), F.col("__lat").alias("__dlat"),
                               F.col("__lon").alias("__dlon")))
     ca = F.broadcast(c.select(F.col("__k").alias("__ka"), F.col("__lat").alias("__alat"),
