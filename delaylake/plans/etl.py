@@ -2,9 +2,11 @@
 
 read -> (sample) -> cancel anti join -> dedup -> dates -> coords -> weather
 -> global-mean weather fill -> constant fills -> calendar -> label -> target
-rates. One lazy plan; nothing is collected. Callers that fan out into many
-outputs (dashboard, training) should materialise it once with
-:func:`materialize` instead of recomputing the lineage per output.
+rates. Nothing is collected. ``stage=False`` builds one lazy plan;
+``stage=True`` (the production form) writes the joined rows once under the
+shared checkpoint folder and takes every statistic from one grouping-sets pass
+over them. Callers that fan out into many outputs (dashboard, training)
+materialise the result once with :func:`materialize`.
 """
 
 from __future__ import annotations
@@ -52,9 +54,10 @@ def etl_clean_enrich(flights: DataFrame, cancelled: DataFrame, airports: DataFra
     # day_of_week (Sunday = 1) replaces the source's ISO Day_Of_Week: the two
     # names collide under case-insensitive resolution, and the reference's
     # withColumn replaced it the same way.
-    f = f.drop("Day_Of_Week").select("*", F.year("FlightDate").alias("year"), F.month("FlightDate").alias("month"),
-                 F.dayofweek("FlightDate").alias("day_of_week"),
-                 C.delay_label("Arr_Delay").alias("delay_label"))
+    f = f.drop("Day_Of_Week").select(
+        "*", F.year("FlightDate").alias("year"), F.month("FlightDate").alias("month"),
+        F.dayofweek("FlightDate").alias("day_of_week"),
+        C.delay_label("Arr_Delay").alias("delay_label"))
     return joins.join_target_rates(f, rates_source)
 
 
