@@ -25,6 +25,28 @@ CORE_CONF = {
 }
 
 
+# Settings for a large cluster (e.g. 1000 executors reading ~100 TB), passed
+# with spark-submit --conf or applied with build_session(extra=SCALE_CONF).
+# Shuffles start wide (a partition per ~128 MB of the largest shuffle) and AQE
+# coalesces them to the advisory size at runtime, so small stages do not run
+# thousands of empty tasks; a partition 5x the median and over 512 MB counts as
+# skewed and is split. Scan splits of 256 MB keep task counts manageable
+# without exceeding executor memory. Broadcasts stay size-checked by AQE at
+# runtime (64 MB); only proven-bounded sides are hinted in code.
+SCALE_CONF = {
+    "spark.sql.shuffle.partitions": "20000",
+    "spark.sql.adaptive.coalescePartitions.enabled": "true",
+    "spark.sql.adaptive.advisoryPartitionSizeInBytes": "256m",
+    "spark.sql.adaptive.skewJoin.enabled": "true",
+    "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+    "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "512m",
+    "spark.sql.adaptive.autoBroadcastJoinThreshold": "64m",
+    "spark.sql.files.maxPartitionBytes": "256m",
+    "spark.sql.parquet.filterPushdown": "true",
+    "spark.sql.execution.sortBeforeRepartition": "true",
+}
+
+
 def build_session(master: str = "local[*]", shuffle_partitions: int | None = None,
                   app_name: str = "delaylake", extra: dict | None = None) -> SparkSession:
     """Create (or reuse) a session with the settings the operators assume."""
