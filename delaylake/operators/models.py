@@ -33,12 +33,13 @@ REGRESSOR_NUMERIC = ["Flight_Duration", "Aicraft_age", "dow_iso", "month", "day"
 
 
 def encode_stages(cats: Sequence[str] = tuple(K.CATEGORICAL_COLS), numeric: Sequence[str] = (),
-                  drop_last: bool = True, out: str = "features") -> list:
+                  drop_last: bool = True, out: str = "features", tag: str = "") -> list:
     """index (keep unseen) -> one-hot -> assemble (rows with a null input are
-    skipped)."""
+    skipped). ``tag`` suffixes the intermediate columns so several fitted
+    pipelines can be applied to one DataFrame in sequence."""
     cats = list(cats)
-    idx = [c + "_idx" for c in cats]
-    vec = [c + "_vec" for c in cats]
+    idx = [c + "_idx" + tag for c in cats]
+    vec = [c + "_vec" + tag for c in cats]
     return [
         StringIndexer(inputCols=cats, outputCols=idx, handleInvalid="keep"),
         OneHotEncoder(inputCols=idx, outputCols=vec, dropLast=drop_last),
@@ -68,23 +69,29 @@ def rf_classifier(train: DataFrame, num_trees: int = 50, max_depth: int = 10,
     return Pipeline(stages=encode_stages(numeric=numeric) + [rf]).fit(train)
 
 
-def _margin_vec(df: DataFrame) -> DataFrame:
-    """SVM margin (rawPrediction[1]) as a one-slot vector for the calibrator."""
-    from pyspark.ml.functions import array_to_vector
-    return df.withColumn("margin_vec",
-                         array_to_vector(F.array(vector_to_array("rawPrediction")[1])))
-
-
 @dataclass
 class CalibratedSVM:
-    """Linear SVM whose margin is mapped to a probability by a sigmoid fitted
-    on out-of-fold margins (Platt scaling)."""
-    svm: PipelineModel
-    calibrator: object
+    """Linear SVMs, one per fold, each with a sigmoid fitted on its held-out
+    fold (Platt scaling); the probability is the mean of the calibrated
+    probabilities, as scikit-learn's CalibratedClassifierCV does by default."""
+    members: list          # [(svm PipelineModel, calibrator, tag)]
 
     def transform(self, df: DataFrame) -> DataFrame:
-        m = _margin_vec(self.svm.transform(df)).drop("prediction")
-        return self.calibrator.transform(m).drop("margin_vec", "cal_raw")
+        from pyspark.ml.functions import array_to_vector
+        out = df
+        probs = []
+        for svm, cal, tag in self.members:
+            out = svm.transform(out)
+            out = out.withColumn(f"__margin{tag}", array_to_vector(
+                F.array(vector_to_array(f"raw{tag}")[1])))
+            out = cal.transform(out)
+            probs.append(vector_to_array(f"prob{tag}")[1])
+        p = sum(probs[1:], probs[0]) / len(probs)
+        helper = [c for c in out.columns if c not in df.columns]
+        return (out.withColumn("__p", p).drop(*helper)
+                   .withColumn("probability", array_to_vector(F.array(1 - F.col("__p"), F.col("__p"))))
+                   .withColumn("prediction", (F.col("__p") >= 0.5).cast("double"))
+                   .drop("__p"))
 
 
 def svm_calibrated(train: DataFrame, keys: Sequence[str], reg_param: float | None = None,
@@ -100,11 +107,12 @@ def svm_calibrated(train: DataFrame, keys: Sequence[str], reg_param: float | Non
     n / (2 n_label) (a two-row table broadcast onto the rows).
 
     Folds come from a stable hash of ``keys``. For each fold an SVM is fitted
-    on the others and scores the held-out rows; a logistic regression on those
-    out-of-fold margins is the calibrator; the final SVM is fitted on all rows.
-    Numeric inputs are standardised inside the pipeline (StandardScaler).
+    on the other folds and a logistic regression on its margins over the
+    held-out fold calibrates it; scoring averages the members' calibrated
+    probabilities. Numeric inputs are standardised inside each pipeline.
     """
     from pyspark.ml.feature import StandardScaler
+    from pyspark.ml.functions import array_to_vector
 
     from delaylake.operators.features import with_class_weights
     kw = {}
@@ -114,27 +122,26 @@ def svm_calibrated(train: DataFrame, keys: Sequence[str], reg_param: float | Non
     if reg_param is None:
         n = train.count()
         reg_param = 1.0 / (C_ * max(n, 1))
-
-    def pipe() -> Pipeline:
-        st = encode_stages(numeric=numeric, out="raw_features")
-        scaler = StandardScaler(inputCol="raw_features", outputCol="features",
-                                withMean=True, withStd=True)
-        svc = LinearSVC(labelCol=label, featuresCol="features", regParam=reg_param,
-                        maxIter=max_iter, **kw)
-        return Pipeline(stages=st + [scaler, svc])
-
     fold = (C.md5_bucket(C.hash_key(list(keys), seed)) % folds)
     t = train.withColumn("__fold", fold)
-    oof = None
+    members = []
     for k in range(folds):
-        m = pipe().fit(t.where(F.col("__fold") != k))
-        s = _margin_vec(m.transform(t.where(F.col("__fold") == k))).select(
-            F.col(label).alias("__y"), "margin_vec")
-        oof = s if oof is None else oof.unionByName(s)
-    cal = LogisticRegression(labelCol="__y", featuresCol="margin_vec",
-                             rawPredictionCol="cal_raw", probabilityCol="probability",
-                             predictionCol="prediction").fit(oof)
-    return CalibratedSVM(pipe().fit(train), cal)
+        tag = f"_f{k}"
+        st = encode_stages(numeric=numeric, out=f"rawf{tag}", tag=tag)
+        scaler = StandardScaler(inputCol=f"rawf{tag}", outputCol=f"feat{tag}",
+                                withMean=True, withStd=True)
+        svc = LinearSVC(labelCol=label, featuresCol=f"feat{tag}", regParam=reg_param,
+                        maxIter=max_iter, rawPredictionCol=f"raw{tag}",
+                        predictionCol=f"pred{tag}", **kw)
+        svm = Pipeline(stages=st + [scaler, svc]).fit(t.where(F.col("__fold") != k))
+        held = svm.transform(t.where(F.col("__fold") == k))
+        held = held.select(F.col(label).alias("__y"), array_to_vector(
+            F.array(vector_to_array(f"raw{tag}")[1])).alias(f"__margin{tag}"))
+        cal = LogisticRegression(labelCol="__y", featuresCol=f"__margin{tag}",
+                                 rawPredictionCol=f"calraw{tag}", probabilityCol=f"prob{tag}",
+                                 predictionCol=f"calpred{tag}").fit(held)
+        members.append((svm, cal, tag))
+    return CalibratedSVM(members)
 
 
 def gbt_regressor(train: DataFrame, label: str = "Arr_Delay", max_iter: int = 100,
