@@ -96,7 +96,7 @@ class CalibratedSVM:
 
 def svm_calibrated(train: DataFrame, keys: Sequence[str], reg_param: float | None = None,
                    C_: float = 0.1, balanced: bool = True, folds: int = 3, max_iter: int = 50,
-                   seed: int = K.SEED, label: str = "delay_label",
+                   tol: float = 1e-4, seed: int = K.SEED, label: str = "delay_label",
                    numeric: Sequence[str] = tuple(CLASSIFIER_NUMERIC)) -> CalibratedSVM:
     """LinearSVC + sigmoid calibration over ``folds`` folds.
 
@@ -110,6 +110,8 @@ def svm_calibrated(train: DataFrame, keys: Sequence[str], reg_param: float | Non
     on the other folds and a logistic regression on its margins over the
     held-out fold calibrates it; scoring averages the members' calibrated
     probabilities. Numeric inputs are standardised inside each pipeline.
+    ``tol`` is the reference solver's default stopping tolerance (MLlib's own
+    default, 1e-6, runs many more passes for no visible change).
     """
     from pyspark.ml.feature import StandardScaler
     from pyspark.ml.functions import array_to_vector
@@ -131,7 +133,7 @@ def svm_calibrated(train: DataFrame, keys: Sequence[str], reg_param: float | Non
         scaler = StandardScaler(inputCol=f"rawf{tag}", outputCol=f"feat{tag}",
                                 withMean=True, withStd=True)
         svc = LinearSVC(labelCol=label, featuresCol=f"feat{tag}", regParam=reg_param,
-                        maxIter=max_iter, rawPredictionCol=f"raw{tag}",
+                        maxIter=max_iter, tol=tol, rawPredictionCol=f"raw{tag}",
                         predictionCol=f"pred{tag}", **kw)
         svm = Pipeline(stages=st + [scaler, svc]).fit(t.where(F.col("__fold") != k))
         held = svm.transform(t.where(F.col("__fold") == k))
