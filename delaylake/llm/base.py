@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from delaylake.session import ensure_checkpoint_dir, scratch_path
@@ -32,5 +32,27 @@ def crc_bucket(col: str, n: int) -> F.Column:
     return F.pmod(F.crc32(F.col(col).cast("string")), F.lit(n))
 
 
-__all__ = ["BATCH_ROWS", "bounded_batches", "crc_bucket", "ensure_checkpoint_dir", "scratch_path",
-           "staged", "table"]
+def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, per_class: int,
+                    max_bytes: int, where: F.Column | None = None) -> list:
+    """Bounded training sample: for each value of ``label`` (0, 1) the first ``per_class``
+    labelled documents in the order of a hash of doc_id, as far as their whole texts sum to
+    at most ``max_bytes``. Rows (text, label); the ids, then the texts, are fetched."""
+    lab = labels.select("doc_id", F.col(label).alias("label")).where(
+        F.col("doc_id").isNotNull() & F.col("label").isin(0, 1))
+    lab = (lab if where is None else lab.where(where)).groupBy("doc_id").agg(
+        F.min("label").alias("label"))
+    order = F.xxhash64("doc_id"), F.col("doc_id")
+    ids = [r for v in (0, 1) for r in lab.where(F.col("label") == v).orderBy(*order).limit(per_class).collect()]
+    if not ids:
+        return []
+    wanted = docs.sparkSession.createDataFrame(ids, lab.schema)
+    picked = (docs.select("doc_id", "text").where(F.col("text").isNotNull())
+              .join(F.broadcast(wanted), "doc_id"))
+    so_far = Window.partitionBy("label").orderBy(*order, "text").rowsBetween(
+        Window.unboundedPreceding, Window.currentRow)
+    return (picked.withColumn("so_far", F.sum(F.octet_length("text")).over(so_far))
+            .where(F.col("so_far") <= max_bytes).select("text", "label").collect())
+
+
+__all__ = ["BATCH_ROWS", "bounded_batches", "crc_bucket", "ensure_checkpoint_dir", "labelled_sample",
+           "scratch_path", "staged", "table"]

@@ -7,7 +7,9 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from delaylake.llm import bpe as op4
 from delaylake.llm import decontaminate as op8
+from delaylake.llm import quality as op5
 from delaylake.llm.base import table
 
 DECONTAMINATE_SQL = r"""
@@ -34,12 +36,38 @@ FROM d LEFT JOIN h USING (doc_id) LEFT JOIN i USING (doc_id)
 """
 
 
+def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op4.encode(table(spark, sf_dir, "documents"), tokenizer_path(), tokenizer_pattern(),
+                      with_ids=False)
+
+
+def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    return op5.quality(docs, op5.fit_quality(docs, table(spark, sf_dir, "labels"))).select(
+        "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
+        "base_failed", "kept", "content_share")
+
+
 def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op8.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).select(
         "doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
 
+def tokenizer_path() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.path("byte_bpe_50k.tiktoken")
+
+
+def tokenizer_pattern() -> str:
+    import public_tokenizers
+
+    return public_tokenizers.PATTERN
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op4_bpe": op4_bpe,
+    "op5_quality": op5_quality,
     "op8_decontaminate": op8_decontaminate,
 }
 
