@@ -10,8 +10,23 @@ from pyspark.sql import functions as F
 from delaylake.llm import bpe as op4
 from delaylake.llm import decontaminate as op8
 from delaylake.llm import quality as op5
+from delaylake.llm import substring_dedup as op1
 from delaylake.llm.base import table
 
+SUBSTRING_DEDUP_SQL = r"""
+WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+win AS (SELECT doc_id, p, array_to_string(w[p:p + 19], ' ') AS g
+        FROM (SELECT doc_id, w, unnest(range(1, len(w) - 18)) AS p FROM d WHERE len(w) >= 20)),
+rep AS (SELECT doc_id, p FROM (SELECT doc_id, p,
+          row_number() OVER (PARTITION BY g ORDER BY doc_id, p) AS r FROM win) WHERE r > 1),
+gone AS (SELECT DISTINCT doc_id, unnest(range(p, p + 20)) AS q FROM rep),
+lost AS (SELECT doc_id, list(q) AS qs FROM gone GROUP BY doc_id)
+SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(len(qs), 0) AS BIGINT) AS n_removed,
+       sha256(array_to_string(CASE WHEN qs IS NULL THEN w ELSE
+         list_filter(w, lambda x, i: NOT list_contains(qs, i)) END, ' ')) AS kept_sha256
+FROM d LEFT JOIN lost USING (doc_id)
+"""
+
 DECONTAMINATE_SQL = r"""
 WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
              'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
@@ -36,6 +51,10 @@ FROM d LEFT JOIN h USING (doc_id) LEFT JOIN i USING (doc_id)
 """
 
 
+def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op1.substring_dedup(table(spark, sf_dir, "documents"), with_text=False)
+
+
 def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op4.encode(table(spark, sf_dir, "documents"), tokenizer_path(), tokenizer_pattern(),
                       with_ids=False)
@@ -66,11 +85,13 @@ def tokenizer_pattern() -> str:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_substring_dedup": op1_substring_dedup,
     "op4_bpe": op4_bpe,
     "op5_quality": op5_quality,
     "op8_decontaminate": op8_decontaminate,
 }
 
 SQL: dict[str, str] = {
+    "op1_substring_dedup": SUBSTRING_DEDUP_SQL,
     "op8_decontaminate": DECONTAMINATE_SQL,
 }
