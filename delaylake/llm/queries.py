@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from delaylake.llm import bpe as op4
 from delaylake.llm import decontaminate as op8
+from delaylake.llm import jaccard_join as op3
 from delaylake.llm import quality as op5
 from delaylake.llm import substring_dedup as op1
 from delaylake.llm.base import table
@@ -27,6 +28,21 @@ SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(len(qs), 0) AS
 FROM d LEFT JOIN lost USING (doc_id)
 """
 
+JACCARD_JOIN_SQL = r"""
+WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''),
+    'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT DISTINCT doc_id, least(5, len(w)) AS k, array_to_string(w[p:p + least(5, len(w)) - 1], ' ') AS g
+      FROM (SELECT doc_id, w, unnest(range(1, len(w) - least(5, len(w)) + 2)) AS p FROM d WHERE len(w) > 0)),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+o AS (SELECT a.doc_id AS u, b.doc_id AS v, count(*) AS n_both FROM s a JOIN s b ON a.g = b.g AND a.k = b.k
+      AND a.doc_id <> b.doc_id GROUP BY ALL),
+l AS (SELECT u, v FROM o JOIN n x ON x.doc_id = u JOIN n y ON y.doc_id = v
+      WHERE 100 * n_both >= 75 * (x.n + y.n - n_both)),
+r AS (SELECT doc_id AS a, doc_id AS z FROM d UNION SELECT r.a, l.v FROM r JOIN l ON r.z = l.u)
+SELECT a AS doc_id, CAST(coalesce(any_value(n.n), 0) AS BIGINT) AS n_shingles, min(z) AS component_id
+FROM r LEFT JOIN n ON n.doc_id = r.a GROUP BY a
+"""
+
 DECONTAMINATE_SQL = r"""
 WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
              'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
@@ -55,6 +71,10 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op1.substring_dedup(table(spark, sf_dir, "documents"), with_text=False)
 
 
+def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op3.jaccard_join(table(spark, sf_dir, "documents"))
+
+
 def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op4.encode(table(spark, sf_dir, "documents"), tokenizer_path(), tokenizer_pattern(),
                       with_ids=False)
@@ -86,6 +106,7 @@ def tokenizer_pattern() -> str:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": op1_substring_dedup,
+    "op3_jaccard_join": op3_jaccard_join,
     "op4_bpe": op4_bpe,
     "op5_quality": op5_quality,
     "op8_decontaminate": op8_decontaminate,
@@ -93,5 +114,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 
 SQL: dict[str, str] = {
     "op1_substring_dedup": SUBSTRING_DEDUP_SQL,
+    "op3_jaccard_join": JACCARD_JOIN_SQL,
     "op8_decontaminate": DECONTAMINATE_SQL,
 }
