@@ -12,6 +12,8 @@ from delaylake.llm import decontaminate as op8
 from delaylake.llm import jaccard_join as op3
 from delaylake.llm import quality as op5
 from delaylake.llm import substring_dedup as op1
+from delaylake.llm import url_filter as op9
+from delaylake.llm import warc as op2
 from delaylake.llm.base import table
 
 SUBSTRING_DEDUP_SQL = r"""
@@ -28,6 +30,15 @@ SELECT d.doc_id, CAST(len(w) AS BIGINT) AS n_words, CAST(coalesce(len(qs), 0) AS
 FROM d LEFT JOIN lost USING (doc_id)
 """
 
+WARC_SQL = """
+WITH p AS (SELECT page_id, coalesce(html, '') AS html FROM pages),
+m AS (SELECT html, max(page_id) AS top FROM p GROUP BY html)
+SELECT page_id, CAST(strlen(html) AS BIGINT) AS payload_bytes, sha1(html) AS payload_digest,
+       CASE WHEN strlen(html) >= 1000 AND page_id < top THEN 'revisit' ELSE 'response' END AS record_type,
+       CASE WHEN strlen(html) >= 1000 AND page_id < top THEN top END AS refers_to
+FROM p JOIN m USING (html)
+"""
+
 JACCARD_JOIN_SQL = r"""
 WITH RECURSIVE d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''),
     'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
@@ -71,6 +82,11 @@ def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op1.substring_dedup(table(spark, sf_dir, "documents"), with_text=False)
 
 
+def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op2.round_trip(table(spark, sf_dir, "pages")).select(
+        "page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
 def op3_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op3.jaccard_join(table(spark, sf_dir, "documents"))
 
@@ -92,6 +108,11 @@ def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
         "doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
 
 
+def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op9.url_filter(table(spark, sf_dir, "pages")).select(
+        "page_id", "host", "path", "rule", "verdict")
+
+
 def tokenizer_path() -> str:
     import public_tokenizers
 
@@ -106,14 +127,17 @@ def tokenizer_pattern() -> str:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": op1_substring_dedup,
+    "op2_warc": op2_warc,
     "op3_jaccard_join": op3_jaccard_join,
     "op4_bpe": op4_bpe,
     "op5_quality": op5_quality,
     "op8_decontaminate": op8_decontaminate,
+    "op9_url_filter": op9_url_filter,
 }
 
 SQL: dict[str, str] = {
     "op1_substring_dedup": SUBSTRING_DEDUP_SQL,
+    "op2_warc": WARC_SQL,
     "op3_jaccard_join": JACCARD_JOIN_SQL,
     "op8_decontaminate": DECONTAMINATE_SQL,
 }
