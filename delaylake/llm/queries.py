@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from delaylake.llm import bpe as op4
 from delaylake.llm import decontaminate as op8
 from delaylake.llm import jaccard_join as op3
+from delaylake.llm import kd_sharding as op6
 from delaylake.llm import quality as op5
 from delaylake.llm import substring_dedup as op1
 from delaylake.llm import url_filter as op9
@@ -103,6 +104,10 @@ def op5_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
         "base_failed", "kept", "content_share")
 
 
+def op6_kd_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op6.kd_sharding(table(spark, sf_dir, "documents"))
+
+
 def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op8.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).select(
         "doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
@@ -131,6 +136,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_jaccard_join": op3_jaccard_join,
     "op4_bpe": op4_bpe,
     "op5_quality": op5_quality,
+    "op6_kd_sharding": op6_kd_sharding,
     "op8_decontaminate": op8_decontaminate,
     "op9_url_filter": op9_url_filter,
 }
