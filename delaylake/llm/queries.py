@@ -11,11 +11,13 @@ from delaylake.llm import bpe as op4
 from delaylake.llm import decontaminate as op8
 from delaylake.llm import jaccard_join as op3
 from delaylake.llm import kd_sharding as op6
+from delaylake.llm import langid as op7
 from delaylake.llm import quality as op5
 from delaylake.llm import substring_dedup as op1
+from delaylake.llm import toxicity as op10
 from delaylake.llm import url_filter as op9
 from delaylake.llm import warc as op2
-from delaylake.llm.base import table
+from delaylake.llm.base import crc_bucket, table
 
 SUBSTRING_DEDUP_SQL = r"""
 WITH d AS (SELECT doc_id, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
@@ -108,6 +110,13 @@ def op6_kd_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op6.kd_sharding(table(spark, sf_dir, "documents"))
 
 
+def op7_langid(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    texts = op7.training_texts(docs, crc_bucket("doc_id", 3) != 1)
+    return op7.identify(docs, texts).select(
+        "doc_id", (crc_bucket("doc_id", 3) == 1).alias("held_out"), "lang_pred", "score")
+
+
 def op8_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op8.decontaminate(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark")).select(
         "doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated")
@@ -118,6 +127,14 @@ def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
         "page_id", "host", "path", "rule", "verdict")
 
 
+def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = op10.fit_toxicity(docs, table(spark, sf_dir, "labels"), crc_bucket("doc_id", 4) != 2)
+    return op10.toxicity(docs, model, with_spans=False).select(
+        "doc_id", (crc_bucket("doc_id", 4) == 2).alias("held_out"), "score",
+        (F.col("score") >= 0.3).cast("int").alias("predicted"))
+
+
 def tokenizer_path() -> str:
     import public_tokenizers
 
@@ -137,8 +154,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_bpe": op4_bpe,
     "op5_quality": op5_quality,
     "op6_kd_sharding": op6_kd_sharding,
+    "op7_langid": op7_langid,
     "op8_decontaminate": op8_decontaminate,
     "op9_url_filter": op9_url_filter,
+    "op10_toxicity": op10_toxicity,
 }
 
 SQL: dict[str, str] = {
