@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from delaylake.session import ensure_checkpoint_dir, scratch_path
 
@@ -27,6 +28,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def schema_ddl(df: DataFrame, more: str) -> StructType:
+    """The columns of ``df``, then those of the DDL string ``more``."""
+    return StructType([*df.schema.fields, *StructType.fromDDL(more).fields])
+
+
 def crc_bucket(col: str, n: int) -> F.Column:
     """crc32 of an id's decimal text, modulo n (null id: null)."""
     return F.pmod(F.crc32(F.col(col).cast("string")), F.lit(n))
@@ -55,4 +61,4 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, per_class: i
 
 
 __all__ = ["BATCH_ROWS", "bounded_batches", "crc_bucket", "ensure_checkpoint_dir", "labelled_sample",
-           "scratch_path", "staged", "table"]
+           "schema_ddl", "scratch_path", "staged", "table"]

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from delaylake.llm import words as W
-from delaylake.llm.base import bounded_batches
+from delaylake.llm.base import bounded_batches, schema_ddl
 
 N_WORDS = 13
 SHARE_PERCENT = 5
@@ -120,8 +120,9 @@ def _verdicts(w: W.Words, found, share_percent: int) -> list[pa.Array]:
 
 def decontaminate(docs: DataFrame, benchmark: DataFrame, n: int = N_WORDS,
                   share_percent: int = SHARE_PERCENT,
-                  max_broadcast_windows: int = MAX_BROADCAST_WINDOWS) -> DataFrame:
-    """Returns ``doc_id, text`` with n_words, n_hit (words inside an occurring window),
+                  max_broadcast_windows: int = MAX_BROADCAST_WINDOWS,
+                  carry: tuple[str, ...] = ()) -> DataFrame:
+    """Returns ``doc_id, text`` and the columns ``carry`` with n_words, n_hit (words inside an occurring window),
     n_items, items (sorted ids), items_sha256 and contaminated (at least
     ``share_percent`` of the words are hit)."""
     spark = docs.sparkSession
@@ -129,7 +130,7 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, n: int = N_WORDS,
     grams = benchmark_windows(benchmark, n)
     rows = grams.limit(max_broadcast_windows + 1).collect()
     if len(rows) > max_broadcast_windows:
-        return _by_shuffle(docs, grams, share_percent)
+        return _by_shuffle(docs, grams, share_percent, carry)
     shared = spark.sparkContext.broadcast(rows)
     cache: list[GramSet] = []
 
@@ -142,17 +143,17 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, n: int = N_WORDS,
                 [*batch.columns, *_verdicts(w, cache[0].find(w, W.word_hashes(w)), share_percent)],
                 [*batch.schema.names, *(c.split()[0] for c in _RESULT.split(", "))])
 
-    plain = docs.select("doc_id", "text")
-    return plain.mapInArrow(scan, f"doc_id {plain.schema['doc_id'].dataType.simpleString()}, "
-                                  f"text string, {_RESULT}")
+    plain = docs.select("doc_id", "text", *carry)
+    return plain.mapInArrow(scan, schema_ddl(plain, _RESULT))
 
 
-def _by_shuffle(docs: DataFrame, grams: DataFrame, share_percent: int) -> DataFrame:
+def _by_shuffle(docs: DataFrame, grams: DataFrame, share_percent: int,
+                carry: tuple[str, ...] = ()) -> DataFrame:
     """The same result for a benchmark beyond the broadcast bound: the documents' windows
     are joined to the set on (hash, length), the verified ones gathered per text (whose
     length bounds them) and applied."""
     bounded_batches(docs.sparkSession)
-    plain = docs.select("doc_id", "text").withColumn("text_key", F.sha2("text", 256))
+    plain = docs.select("doc_id", "text", *carry).withColumn("text_key", F.sha2("text", 256))
     lens = [r["len"] for r in grams.select("len").distinct().collect()]  # 1 to n
 
     def windows(batches):
@@ -183,12 +184,11 @@ def _by_shuffle(docs: DataFrame, grams: DataFrame, share_percent: int) -> DataFr
             hits = [(int(w.first[i]) + f["pos"], f["len"], {f["item"]})
                     for i, fs in enumerate(batch.column("found").to_pylist()) for f in fs or ()]
             yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("text"), *_verdicts(w, hits, share_percent)],
-                ["doc_id", "text", *(c.split()[0] for c in _RESULT.split(", "))])
+                [*batch.columns[:-1], *_verdicts(w, hits, share_percent)],
+                [*batch.schema.names[:-1], *(c.split()[0] for c in _RESULT.split(", "))])
 
-    return (plain.join(found, "text_key", "left").select("doc_id", "text", "found")
-            .mapInArrow(apply, f"doc_id {plain.schema['doc_id'].dataType.simpleString()}, "
-                               f"text string, {_RESULT}"))
+    return (plain.join(found, "text_key", "left").select("doc_id", "text", *carry, "found")
+            .mapInArrow(apply, schema_ddl(plain.drop("text_key"), _RESULT)))
 
 
 def remove_spans(docs: DataFrame, benchmark: DataFrame, n: int = N_WORDS) -> DataFrame:

@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 
 from delaylake.llm import crf
 from delaylake.llm import words as W
-from delaylake.llm.base import bounded_batches, labelled_sample
+from delaylake.llm.base import bounded_batches, labelled_sample, schema_ddl
 
 MIN_WORDS = 20
 MAX_REPEAT_PERCENT = 30
@@ -164,8 +164,8 @@ _RESULT = ("n_words long, word_chars long, n_symbols long, n_dup_lines long, n_r
 
 
 def quality(docs: DataFrame, chain: crf.Chain | None,
-            min_content_share: float = MIN_CONTENT_SHARE) -> DataFrame:
-    """``doc_id, text`` with the base counts, base_failed, the share of the words' characters
+            min_content_share: float = MIN_CONTENT_SHARE, carry: tuple[str, ...] = ()) -> DataFrame:
+    """``doc_id, text`` and the columns ``carry`` with the base counts, base_failed, the share of the words' characters
     that stand in content lines, the boilerplate lines (numbered from 0 among the lines with
     a word) and kept."""
     bounded_batches(docs.sparkSession)
@@ -191,6 +191,5 @@ def quality(docs: DataFrame, chain: crf.Chain | None,
                  pa.array(~failed & (share >= min_content_share))],
                 [*batch.schema.names, *(c.split()[0] for c in _RESULT.split(", "))])
 
-    plain = docs.select("doc_id", "text")
-    kind = plain.schema["doc_id"].dataType.simpleString()
-    return plain.mapInArrow(run, f"doc_id {kind}, text string, {_RESULT}")
+    plain = docs.select("doc_id", "text", *carry)
+    return plain.mapInArrow(run, schema_ddl(plain, _RESULT))

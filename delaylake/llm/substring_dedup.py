@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from delaylake.llm import words as W
-from delaylake.llm.base import bounded_batches
+from delaylake.llm.base import bounded_batches, schema_ddl
 
 K = 20
 GRAM = 5
@@ -102,7 +102,7 @@ def repeated_anchors(docs: DataFrame, k: int, gram: int) -> DataFrame:
                 [pa.array(v[one].astype(np.int64)), batch.column("doc_id").take(pa.array(row[one]))],
                 ["anchor", "doc_id"])
 
-    found = (_with_copies(docs).where("copy_key is null").select("doc_id", "text")
+    found = (_with_copies(docs).where("copy_key is null")
              .mapInArrow(run, f"anchor long, doc_id {kind}"))
     shared = (found.groupBy("anchor").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b"))
               .where("a <> b").select("anchor"))
@@ -132,7 +132,7 @@ def edges(docs: DataFrame, k: int, gram: int) -> DataFrame:
                  pa.array(at - w.first[row[at]], pa.int32()), pa.array(around.astype(np.int64))],
                 ["edge", "doc_id", "pos", "around"])
 
-    return (docs.join(repeated_anchors(docs, k, gram), "doc_id").select("doc_id", "text", "anchors")
+    return (docs.join(repeated_anchors(docs, k, gram), "doc_id")
             .mapInArrow(run, f"edge long, doc_id {kind}, pos int, around long"))
 
 
@@ -170,7 +170,7 @@ def paths(docs: DataFrame, found: DataFrame, k: int) -> DataFrame:
                            ("source_id", batch.schema.field("doc_id").type),
                            ("source_pos", pa.int32()), ("digest", pa.binary())]))
 
-    return (docs.join(compact, "doc_id").select("doc_id", "text", "paths")
+    return (docs.join(compact, "doc_id")
             .mapInArrow(run, f"head long, n int, source_id {kind}, source_pos int, digest binary"))
 
 
@@ -185,14 +185,14 @@ def repeated_spans(docs: DataFrame, k: int = K, gram: int = GRAM) -> DataFrame:
 
 
 def substring_dedup(docs: DataFrame, k: int = K, gram: int = GRAM,
-                    with_text: bool = True) -> DataFrame:
-    """Per row: doc_id, n_words, n_removed, kept_sha256 and, if asked for, kept_text (the
-    kept words joined by one space; null for a null text)."""
+                    with_text: bool = True, carry: tuple[str, ...] = ()) -> DataFrame:
+    """Per row: doc_id, the columns ``carry``, n_words, n_removed, kept_sha256 and, if asked
+    for, kept_text (the kept words joined by one space, or the text as it was if none went;
+    null for a null text)."""
     bounded_batches(docs.sparkSession)
-    plain = docs.select("doc_id", "text")
-    kind = plain.schema["doc_id"].dataType.simpleString()
+    plain = docs.select("doc_id", "text", *carry)
     whole = plain.where("doc_id is not null and text is not null")
-    names = ["doc_id", "n_words", "n_removed", "kept_sha256", *["kept_text"] * with_text]
+    names = ["doc_id", *carry, "n_words", "n_removed", "kept_sha256", *["kept_text"] * with_text]
 
     def run(batches):
         for batch in W.slices(batches, "text"):
@@ -226,21 +226,22 @@ def substring_dedup(docs: DataFrame, k: int = K, gram: int = GRAM,
                 if n_gone[i]:
                     ws = compress(ws, kept[w.first[i]:w.first[i + 1]].tolist())
                 texts.append(b" ".join(ws))
-            cols = [batch.column("doc_id"), pa.array(w.counts, pa.int64()), pa.array(n_gone, pa.int64()),
+            cols = [batch.column("doc_id"), *(batch.column(c) for c in carry),
+                    pa.array(w.counts, pa.int64()), pa.array(n_gone, pa.int64()),
                     pa.array([hashlib.sha256(t).hexdigest() for t in texts], pa.string())]
             if with_text:
-                cols.append(pa.array([t if r is not None else None for t, r in zip(texts, raw)],
+                cols.append(pa.array([t if gone_ else r for t, r, gone_ in zip(texts, raw, n_gone)],
                                      pa.binary()).cast(pa.string()))
             yield pa.RecordBatch.from_arrays(cols, names)
 
     span = F.struct("pos", "n", "digest")
     spans = repeated_spans(whole, k, gram).groupBy("doc_id").agg(F.collect_list(span).alias("spans"))
-    schema = (f"doc_id {kind}, n_words long, n_removed long, kept_sha256 string"
-              + ", kept_text string" * with_text)
+    schema = schema_ddl(plain.drop("text"), "n_words long, n_removed long, kept_sha256 string"
+                        + ", kept_text string" * with_text)
     joined = _with_copies(whole).join(spans, "doc_id", "left")
     rest = plain.where("doc_id is null or text is null").select(
         "*", F.lit(None).cast("binary").alias("copy_key"),
         F.lit(None).cast(spans.schema["spans"].dataType).alias("spans"))
-    cols = "doc_id", "text", "copy_key", "spans"
+    cols = "doc_id", "text", *carry, "copy_key", "spans"
     return (joined.select(*cols).mapInArrow(run, schema)
             .union(rest.select(*cols).mapInArrow(run, schema)))
