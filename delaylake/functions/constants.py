@@ -104,6 +104,6 @@ FEATURE_COLS = [
     "Airline_vec", "DepTime_label_vec", "Distance_type_vec",
 ]
 
-MODEL_NAMES = {"gbt": "GBT (Spark MLlib)", "svm": "SVM (scikit-learn)"}
+MODEL_NAMES = {"gbt": "GBT (Spark MLlib)", "svm": "SVM (Spark MLlib)"}
 
 SEED = 42

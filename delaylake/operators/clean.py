@@ -15,6 +15,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from delaylake.session import materialize
+
 
 def dedup_rows(df: DataFrame, subset: Sequence[str] | None = None) -> DataFrame:
     """Drop full-row duplicates (or duplicates on ``subset``).
@@ -71,6 +73,7 @@ def impute_group_mean(df: DataFrame, cols: Sequence[str], by: str = "Dep_Airport
     """Null -> mean of the same column within the row's ``by`` group."""
     cols = list(cols)
     g = df.groupBy(F.col(by).alias("__gk")).agg(*[mean_expr(c).alias(f"__g_{c}") for c in cols])
+    g = materialize(g, "group-means")     # its size is then known: broadcast if small
     d = as_double(df, cols)
     # Plain equality: rows with a null key get no group value (pandas groupby
     # drops null keys), the global fallback fills them.

@@ -143,7 +143,7 @@ def heatmap_pivot(heatmap: DataFrame) -> DataFrame:
                 .agg(F.max("Average_Delay")))
     days = spark.createDataFrame([(i + 1, d) for i, d in enumerate(K.DAY_ORDER)],
                                  "day_pos int, Day string")
-    j = F.broadcast(days).join(p, "Day", "left")
+    j = days.join(p, "Day", "left")
     return (j.select("day_pos", "Day",
                      *[_r2(F.coalesce(F.col(t), F.lit(0.0))).alias(t) for t in K.TIME_ORDER])
              .orderBy("day_pos"))

@@ -1,10 +1,10 @@
 """Model evaluation as aggregates: one-row or per-class DataFrames.
 
-AUC is exact (ties count one half) and fully distributed: scores are first
-collapsed to (score, positives, negatives) by a partial aggregate, then the
-negatives below each score come from a two-level running sum (range
-partitions by score, per-partition totals, offsets) -- no global sort in one
-task and nothing collected.
+AUC is exact (ties count one half) and distributed: scores are first collapsed
+to (score, positives, negatives) by a partial aggregate; the negatives below
+each score come from fixed score buckets (a function of the score alone, so
+every branch of the plan agrees on them): running totals over the buckets,
+then a window inside each bucket. Nothing is sorted in one task or collected.
 """
 
 from __future__ import annotations
@@ -15,27 +15,39 @@ from pyspark.sql import functions as F
 from delaylake.functions import columns as C
 
 
-def running_sum_before(df: DataFrame, order_col: str, value_col: str, out: str,
-                       partitions: int | None = None) -> DataFrame:
+SCORE_BITS = 16          # buckets per level; two levels, so 2^32 in all
+
+
+def running_sum_before(df: DataFrame, order_col: str, value_col: str, out: str) -> DataFrame:
     """Add ``out`` = sum of ``value_col`` over rows with a smaller ``order_col``.
 
-    ``order_col`` must be unique (the caller aggregates first). Range
-    partitioning sorts the rows across tasks; each partition's total gives an
-    offset (a table with one row per partition, broadcast); within a partition
-    a window finishes the sum.
+    ``order_col`` must be unique (the caller aggregates first). Its range is cut
+    into 2^16 buckets of 2^16 sub-buckets each. Totals per sub-bucket (an
+    aggregate) give running totals in two steps, each window at most 2^16
+    rows; a window over one sub-bucket's rows finishes the sum. The bounds of
+    the range are a one-row aggregate, so bucket numbers are the same wherever
+    the plan uses them.
     """
-    spark = df.sparkSession
-    n = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
-    r = df.repartitionByRange(n, order_col).withColumn("__pid", F.spark_partition_id())
-    per = r.groupBy("__pid").agg(F.sum(value_col).alias("__ps"),
-                                 F.min(order_col).alias("__lo"))
-    wp = Window.orderBy("__lo").rowsBetween(Window.unboundedPreceding, -1)
-    off = per.select("__pid", F.coalesce(F.sum("__ps").over(wp), F.lit(0)).alias("__off"))
-    w = (Window.partitionBy("__pid").orderBy(order_col)
-         .rowsBetween(Window.unboundedPreceding, -1))
-    return (r.join(F.broadcast(off), "__pid")
-             .withColumn(out, F.col("__off") + F.coalesce(F.sum(value_col).over(w), F.lit(0)))
-             .drop("__pid", "__off"))
+    ends = df.agg(F.min(order_col).alias("__lo"), F.max(order_col).alias("__hi"))
+    width = F.col("__hi") - F.col("__lo")
+    share = F.when(width > 0, (F.col(order_col) - F.col("__lo")) / width).otherwise(0.0)
+    n = 1 << SCORE_BITS
+    fine = F.least(F.floor(share * (n * n)), F.lit(n * n - 1)).cast("long")
+    r = (df.crossJoin(F.broadcast(ends)).withColumn("__fine", fine).drop("__lo", "__hi")
+           .withColumn("__coarse", F.floor(F.col("__fine") / n).cast("long")))
+    per_fine = r.groupBy("__coarse", "__fine").agg(F.sum(value_col).alias("__s"))
+    per_coarse = per_fine.groupBy("__coarse").agg(F.sum("__s").alias("__c"))
+    earlier = (Window.unboundedPreceding, -1)
+    wc = Window.orderBy("__coarse").rowsBetween(*earlier)
+    wf = Window.partitionBy("__coarse").orderBy("__fine").rowsBetween(*earlier)
+    off_c = per_coarse.select("__coarse", F.coalesce(F.sum("__c").over(wc), F.lit(0)).alias("__oc"))
+    off_f = per_fine.select("__coarse", "__fine",
+                            F.coalesce(F.sum("__s").over(wf), F.lit(0)).alias("__of"))
+    off = off_f.join(off_c, "__coarse").select("__fine", (F.col("__oc") + F.col("__of")).alias("__off"))
+    w = Window.partitionBy("__fine").orderBy(order_col).rowsBetween(*earlier)
+    return (r.withColumn("__in", F.coalesce(F.sum(value_col).over(w), F.lit(0))).join(off, "__fine")
+             .withColumn(out, F.col("__off") + F.col("__in"))
+             .drop("__fine", "__coarse", "__in", "__off"))
 
 
 def score_histogram(scored: DataFrame, label: str = "delay_label",
@@ -71,17 +83,20 @@ def eval_binary(scored: DataFrame, label: str = "delay_label", score: str = "sco
 
 def eval_report(scored: DataFrame, label: str = "delay_label",
                 pred: str = "prediction") -> DataFrame:
-    """Per class: precision, recall, F1 and support (from the confusion counts)."""
-    cm = scored.groupBy(F.col(label).cast("int").alias("__y"),
-                        F.col(pred).cast("int").alias("__p")).agg(F.count(F.lit(1)).alias("__n"))
-    classes = cm.select(F.col("__y").alias("cls")).union(cm.select(F.col("__p").alias("cls"))) \
-                .distinct()
-    tp = cm.where(F.col("__y") == F.col("__p")).select(F.col("__y").alias("cls"),
-                                                       F.col("__n").alias("tp"))
-    sup = cm.groupBy(F.col("__y").alias("cls")).agg(F.sum("__n").alias("support"))
-    pc = cm.groupBy(F.col("__p").alias("cls")).agg(F.sum("__n").alias("predicted"))
-    j = (classes.join(tp, "cls", "left").join(sup, "cls", "left").join(pc, "cls", "left")
-                .fillna(0, subset=["tp", "support", "predicted"]))
+    """Per class: precision, recall, F1 and support, from one pass: each row
+    adds to its true class and to its predicted class."""
+    y, p = F.col(label).cast("int"), F.col(pred).cast("int")
+    hit = F.coalesce((y == p).cast("long"), F.lit(0))
+    cells = scored.groupBy(y.alias("__y"), p.alias("__p")).agg(F.count(F.lit(1)).alias("__n"),
+                                                               F.sum(hit).alias("__hit"))
+    ends = F.explode(F.array(
+        F.struct(F.col("__y").alias("cls"), F.col("__n").alias("sup"), F.lit(0).alias("pre"),
+                 F.col("__hit").alias("tp")),
+        F.struct(F.col("__p").alias("cls"), F.lit(0).alias("sup"), F.col("__n").alias("pre"),
+                 F.lit(0).alias("tp"))))
+    j = (cells.select(ends.alias("e")).where("e.cls is not null").groupBy(F.col("e.cls").alias("cls"))
+              .agg(F.sum("e.sup").alias("support"), F.sum("e.pre").alias("predicted"),
+                   F.sum("e.tp").alias("tp")))
     prec = F.coalesce(F.try_divide(F.col("tp"), F.col("predicted").cast("double")), F.lit(0.0))
     rec = F.coalesce(F.try_divide(F.col("tp"), F.col("support").cast("double")), F.lit(0.0))
     f1 = F.coalesce(F.try_divide(2 * prec * rec, prec + rec), F.lit(0.0))

@@ -12,7 +12,7 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from delaylake.functions import constants as K
@@ -43,10 +43,17 @@ def one_hot(indexed: DataFrame, idx_cols: Sequence[str], suffix: str = "_vec",
     return OneHotEncoder(inputCols=idx_cols, outputCols=outs, dropLast=drop_last).fit(indexed)
 
 
-def categories(df: DataFrame, col: str) -> list[str]:
-    """Sorted distinct non-null values (a bounded category list)."""
-    rows = df.where(F.col(col).isNotNull()).select(col).distinct().orderBy(col).collect()
-    return [r[0] for r in rows]
+MAX_CATEGORIES = 10_000
+
+
+def categories(df: DataFrame, col: str, max_categories: int = MAX_CATEGORIES) -> list[str]:
+    """Sorted distinct non-null values; raises beyond ``max_categories`` of them
+    (each becomes a column or an index, and the list is fetched)."""
+    rows = (df.where(F.col(col).isNotNull()).select(col).distinct()
+              .limit(max_categories + 1).collect())
+    if len(rows) > max_categories:
+        raise ValueError(f"{col} has more than {max_categories} categories")
+    return sorted(r[0] for r in rows)
 
 
 def dummy_columns(df: DataFrame, cols: Sequence[str], cats: dict[str, list[str]] | None = None,
@@ -66,11 +73,6 @@ def dummy_columns(df: DataFrame, cols: Sequence[str], cats: dict[str, list[str]]
     return df.select(*out)
 
 
-def align_columns(df: DataFrame, cols: Sequence[str], fill=0) -> DataFrame:
-    have = set(df.columns)
-    return df.select(*[F.col(c) if c in have else F.lit(fill).alias(c) for c in cols])
-
-
 def assemble_features(df: DataFrame, cols: Sequence[str] = tuple(K.FEATURE_COLS),
                       out: str = "features", handle_invalid: str = "skip") -> DataFrame:
     """Inputs -> one vector; rows with a null or NaN input are dropped."""
@@ -103,16 +105,22 @@ def standard_scale(train: DataFrame, cols: Sequence[str]) -> ScaleModel:
 
 
 def class_weights(df: DataFrame, label: str = "delay_label", n_classes: int = 2) -> DataFrame:
-    """Per label: n_rows / (n_classes * n_label) (the 'balanced' weights)."""
+    """Per label: n_rows / (n_classes * n_label) (the 'balanced' weights). One
+    pass: the total is the sum of the per-label counts (a row per label)."""
     counts = df.groupBy(label).agg(F.count(F.lit(1)).alias("n_label"))
-    total = df.agg(F.count(F.lit(1)).alias("n_total"))
-    return (counts.crossJoin(F.broadcast(total))
-                  .select(label, "n_label",
-                          (F.col("n_total") / (F.lit(n_classes) * F.col("n_label"))).alias("weight")))
+    total = F.sum("n_label").over(Window.partitionBy())
+    return counts.select(label, "n_label", (total / (F.lit(n_classes) * F.col("n_label"))).alias("weight"))
 
 
 def with_class_weights(df: DataFrame, label: str = "delay_label",
                        weight_col: str = "weight") -> DataFrame:
-    """Attach the balanced weight of each row's label (a two-row table, broadcast)."""
-    w = class_weights(df, label).select(label, F.col("weight").alias(weight_col))
-    return df.join(F.broadcast(w), label, "left")
+    """Attach the balanced weight of each row's label. The weights are a row per
+    class; they are fetched (at most MAX_CATEGORIES, else an error) and written
+    into the plan as literals, so attaching them needs no join."""
+    w = class_weights(df, label).limit(MAX_CATEGORIES + 1).collect()
+    if len(w) > MAX_CATEGORIES:
+        raise ValueError(f"{label} has more than {MAX_CATEGORIES} classes")
+    weight = F.lit(None).cast("double")
+    for r in w:
+        weight = F.when(F.col(label).eqNullSafe(F.lit(r[label])), F.lit(r["weight"])).otherwise(weight)
+    return df.withColumn(weight_col, weight)

@@ -1,10 +1,9 @@
 """Joins and lookups.
 
 Sizing rule used throughout: a side is broadcast explicitly only when its size
-has a fixed bound (the nation-derived airport table, one-row aggregates).
-Any side whose size grows with the data (weather, rates, cancelled keys) is
-joined with a plain equi-join; AQE measures it at runtime and turns the join
-into a broadcast hash join when it is under
+is checked (``sized``) or fixed (one-row aggregates). Any side whose size grows
+with the data (weather, rates, cancelled keys) is joined with a plain
+equi-join; AQE measures it at runtime and turns the join into a broadcast hash join when it is under
 ``spark.sql.adaptive.autoBroadcastJoinThreshold``, else keeps the sort-merge
 join and splits skewed partitions (``spark.sql.adaptive.skewJoin``). A hub
 airport holding a third of all flights is therefore split across tasks on the
@@ -20,6 +19,8 @@ from pyspark.sql import functions as F
 
 from delaylake.functions import columns as C
 from delaylake.functions import constants as K
+from delaylake.operators.aggregates import delay_rate
+from delaylake.session import materialize
 
 
 def cancel_anti_join(flights: DataFrame, cancelled: DataFrame,
@@ -53,16 +54,28 @@ def cancel_anti_join(flights: DataFrame, cancelled: DataFrame,
 
 
 def join_airport_coords(flights: DataFrame, airports: DataFrame, key: str = "Dep_Airport",
-                        code: str = "IATA_CODE", broadcast: bool = True) -> DataFrame:
+                        code: str = "IATA_CODE") -> DataFrame:
     """Attach LATITUDE / LONGITUDE of the departure airport (left join).
 
-    Airports form a dimension with a fixed bound -- one row per three-letter
-    code, at most 26^3 = 17,576 rows -- so it is broadcast; it is made unique
-    on the code first (deterministically) so the join can never multiply
-    flights.
+    The airports are made unique on the code first (deterministically), so the
+    join can never multiply flights, and are broadcast only after their size is
+    checked (:func:`sized`).
     """
     a = unique_on(airports.select(F.col(code).alias(key), "LATITUDE", "LONGITUDE"), [key])
-    return flights.join(F.broadcast(a) if broadcast else a, key, "left")
+    return flights.join(sized(a), key, "left")
+
+
+BROADCAST_ROWS = 1_000_000
+
+
+def sized(lookup: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """A caller's lookup table, hinted for broadcast if it has at most
+    ``max_rows`` rows (counted as far as that bound), else left as it is for the
+    planner's own joins."""
+    if lookup.isStreaming:
+        return lookup
+    small = lookup.limit(max_rows + 1).agg(F.count(F.lit(1))).first()[0] <= max_rows
+    return F.broadcast(lookup) if small else lookup
 
 
 def unique_on(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -93,13 +106,6 @@ def join_daily_weather(flights: DataFrame, weather: DataFrame,
     return flights.join(w, list(on), "left")
 
 
-def delay_rate(flights: DataFrame, by: str, label: str = "delay_label",
-               alias: str | None = None) -> DataFrame:
-    """Mean of the 0/1 label per key (the target-encoding table)."""
-    alias = alias or f"{by.split('_')[0].lower()}_airport_delay_avg"
-    return flights.groupBy(by).agg(F.avg(label).alias(alias))
-
-
 def join_target_rates(flights: DataFrame, rates_source: DataFrame | None = None,
                       label: str = "delay_label") -> DataFrame:
     """Attach dep_airport_delay_avg and arr_airport_delay_avg.
@@ -108,10 +114,12 @@ def join_target_rates(flights: DataFrame, rates_source: DataFrame | None = None,
     reference does; pass the training split to avoid target leakage). Each
     rate table is an aggregate (partial aggregation, one row per airport) joined
     back on its key: no window, so a hub airport is never gathered in one task.
+    The tables are written first: their size is then known, and a small one is
+    broadcast instead of shuffling the flights on a few airports.
     """
     src = flights if rates_source is None else rates_source
-    dep = delay_rate(src, "Dep_Airport", label, "dep_airport_delay_avg")
-    arr = delay_rate(src, "Arr_Airport", label, "arr_airport_delay_avg")
+    dep = materialize(delay_rate(src, "Dep_Airport", label, "dep_airport_delay_avg"), "dep-rate")
+    arr = materialize(delay_rate(src, "Arr_Airport", label, "arr_airport_delay_avg"), "arr-rate")
     return flights.join(dep, "Dep_Airport", "left").join(arr, "Arr_Airport", "left")
 
 
@@ -124,6 +132,7 @@ def lookup_weather_default(req: DataFrame, weather_avg: DataFrame,
         F.col("airport_id").alias("__w_airport"), F.col("month").alias("__w_month"),
         *[F.col(c).cast("double").alias(f"__w_{c}") for c in K.WEATHER_COLS]),
         ["__w_airport", "__w_month"])
+    w = materialize(w, "weather-lookup")
     j = req.join(w, (req[airport_col] == w["__w_airport"]) & (req[month_col] == w["__w_month"]),
                  "left")
     return j.select(*req.columns,
@@ -136,11 +145,11 @@ def lookup_coords_default(req: DataFrame, coords: DataFrame, airport_col: str =
                           prefix: str = "") -> DataFrame:
     """airport -> LATITUDE, LONGITUDE; unknown airports get ``default``.
 
-    The coordinates table is unique per airport code (bounded, broadcast)."""
+    The coordinates are unique per airport code, broadcast if small enough."""
     c = unique_on(coords.select(F.col("IATA_CODE").alias("__k"),
                                 F.col("LATITUDE").alias("__lat"), F.col("LONGITUDE").alias("__lon")),
                   ["__k"])
-    j = req.join(F.broadcast(c), req[airport_col] == c["__k"], "left")
+    j = req.join(sized(c), req[airport_col] == c["__k"], "left")
     return j.select(*req.columns,
                     F.coalesce("__lat", F.lit(float(default[0]))).alias(f"{prefix}LATITUDE"),
                     F.coalesce("__lon", F.lit(float(default[1]))).alias(f"{prefix}LONGITUDE"))
@@ -152,6 +161,7 @@ def lookup_delay_default(req: DataFrame, rates: DataFrame, rate_key: str = "Dep_
                          default: float = K.DEFAULT_DELAY_RATE) -> DataFrame:
     """Departure and arrival rates from one airport -> rate table; misses 0.20."""
     r = unique_on(rates.select(F.col(rate_key).alias("__k"), F.col(rate_col).alias("__r")), ["__k"])
+    r = materialize(r, "rate-lookup")
     rd = r.select(F.col("__k").alias("__kd"), F.col("__r").alias("__rd"))
     ra = r.select(F.col("__k").alias("__ka"), F.col("__r").alias("__ra"))
     j = (req.join(rd, req[dep_col] == rd["__kd"], "left")
@@ -173,10 +183,11 @@ def route_estimate(req: DataFrame, coords: DataFrame, dep_col: str = "dep_airpor
     c = unique_on(coords.select(F.col("IATA_CODE").alias("__k"),
                                 F.col("LATITUDE").alias("__lat"), F.col("LONGITUDE").alias("__lon")),
                   ["__k"])
-    cd = F.broadcast(c.select(F.col("__k").alias("__kd"), F.col("__lat").alias("__dlat"),
-                              F.col("__lon").alias("__dlon")))
-    ca = F.broadcast(c.select(F.col("__k").alias("__ka"), F.col("__lat").alias("__alat"),
-                              F.col("__lon").alias("__alon")))
+    c = sized(c)
+    cd = c.select(F.col("__k").alias("__kd"), F.col("__lat").alias("__dlat"),
+                  F.col("__lon").alias("__dlon"))
+    ca = c.select(F.col("__k").alias("__ka"), F.col("__lat").alias("__alat"),
+                  F.col("__lon").alias("__alon"))
     j = (req.join(cd, req[dep_col] == cd["__kd"], "left")
             .join(ca, req[arr_col] == ca["__ka"], "left"))
     dlat = F.coalesce("__dlat", F.lit(K.DEFAULT_DEP_COORDS[0]))
@@ -212,7 +223,3 @@ def autofill(req: DataFrame, weather_avg: DataFrame, coords: DataFrame) -> DataF
         *[F.bround(F.col(c), 2).alias(c) for c in K.WEATHER_COLS],
         F.lit(K.DEFAULT_AIRCRAFT_AGE).alias("aircraft_age"),
     )
-
-
-def airline_display_df(df: DataFrame, col: str = "airline_key", out: str = "airline") -> DataFrame:
-    return df.withColumn(out, C.airline_display(col))

@@ -9,20 +9,24 @@ the same object scores batches and streams and persists with
 
 from __future__ import annotations
 
+import logging
 from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
 from pyspark.ml.classification import (GBTClassifier, LinearSVC, LogisticRegression,
-                                       RandomForestClassifier)
+                                       LogisticRegressionModel, RandomForestClassifier)
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
 from pyspark.ml.functions import vector_to_array
 from pyspark.ml.regression import GBTRegressor
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from delaylake.functions import columns as C
 from delaylake.functions import constants as K
+from delaylake.session import path_exists
+
+log = logging.getLogger(__name__)
 
 CLASSIFIER_NUMERIC = ["tavg", "prcp", "wspd", "pres", "LATITUDE", "LONGITUDE", "month",
                       "day_of_week", "dep_airport_delay_avg", "arr_airport_delay_avg"]
@@ -93,49 +97,75 @@ class CalibratedSVM:
                    .withColumn("prediction", (F.col("__p") >= 0.5).cast("double"))
                    .drop("__p"))
 
+    def save(self, path: str) -> None:
+        """Each member's two models under ``path``, and their tags in order."""
+        path = path.rstrip("/")
+        for svm, cal, tag in self.members:
+            svm.write().overwrite().save(f"{path}/svm{tag}")
+            cal.write().overwrite().save(f"{path}/sigmoid{tag}")
+        spark = SparkSession.active()
+        tags = spark.createDataFrame([(i, m[2]) for i, m in enumerate(self.members)], "i int, tag string")
+        tags.coalesce(1).write.mode("overwrite").json(f"{path}/{_MEMBERS}")
+
+    @classmethod
+    def load(cls, path: str) -> CalibratedSVM:
+        path = path.rstrip("/")
+        rows = SparkSession.active().read.schema("i int, tag string").json(f"{path}/{_MEMBERS}")
+        tags = [r["tag"] for r in rows.orderBy("i").collect()]
+        return cls([(PipelineModel.load(f"{path}/svm{t}"),
+                     LogisticRegressionModel.load(f"{path}/sigmoid{t}"), t) for t in tags])
+
+
+_MEMBERS = "members"
+
 
 def svm_calibrated(train: DataFrame, keys: Sequence[str], reg_param: float | None = None,
                    C_: float = 0.1, balanced: bool = True, folds: int = 3, max_iter: int = 50,
                    tol: float = 1e-4, seed: int = K.SEED, label: str = "delay_label",
-                   numeric: Sequence[str] = tuple(CLASSIFIER_NUMERIC)) -> CalibratedSVM:
+                   numeric: Sequence[str] = tuple(CLASSIFIER_NUMERIC),
+                   cats: Sequence[str] = tuple(K.CATEGORICAL_COLS)) -> CalibratedSVM:
     """LinearSVC + sigmoid calibration over ``folds`` folds.
 
-    ``C_`` is the soft-margin constant of the hinge-loss *sum*; MLlib
-    minimises the weighted *mean* hinge loss + regParam/2 |w|^2, so the same
-    model has regParam = 1 / (C * sum of weights) (= 1 / (C n) with balanced
-    weights, which sum to n). With ``balanced`` each row carries
-    n / (2 n_label) (a two-row table broadcast onto the rows).
-
-    Folds come from a stable hash of ``keys``. For each fold an SVM is fitted
-    on the other folds and a logistic regression on its margins over the
-    held-out fold calibrates it; scoring averages the members' calibrated
-    probabilities. Numeric inputs are standardised inside each pipeline.
-    ``tol`` is the reference solver's default stopping tolerance (MLlib's own
-    default, 1e-6, runs many more passes for no visible change).
+    ``C_`` is the soft-margin constant of a loss *sum*; MLlib minimises the
+    weighted *mean* loss + regParam/2 |w|^2, so regParam = 1 / (C * n) over the n
+    rows a member is fitted on (after the assembler has skipped rows with a
+    missing input), whose balanced weights n / (2 n_label) sum to n. The
+    reference's solver minimises the squared hinge loss, MLlib the hinge loss:
+    the margins differ somewhat, the calibrated probabilities little.
+
+    Folds come from a stable hash of ``keys`` (the reference's are stratified by
+    label; hashing gives each fold about the same label shares on large data and
+    needs no shuffle). For each fold an SVM is fitted on the other folds and a
+    logistic regression on its margins over the held-out fold calibrates it;
+    scoring averages the members' calibrated probabilities. Numeric inputs are
+    standardised inside each pipeline. ``tol`` is the reference solver's default
+    stopping tolerance (MLlib's own default, 1e-6, runs many more passes for no
+    visible change).
     """
     from pyspark.ml.feature import StandardScaler
     from pyspark.ml.functions import array_to_vector
 
     from delaylake.operators.features import with_class_weights
-    kw = {}
-    if balanced:
-        train = with_class_weights(train, label, "__w")
-        kw = {"weightCol": "__w"}
-    if reg_param is None:
-        n = train.count()
-        reg_param = 1.0 / (C_ * max(n, 1))
     fold = (C.md5_bucket(C.hash_key(list(keys), seed)) % folds)
     t = train.withColumn("__fold", fold)
     members = []
     for k in range(folds):
         tag = f"_f{k}"
-        st = encode_stages(numeric=numeric, out=f"rawf{tag}", tag=tag)
+        st = encode_stages(cats=cats, numeric=numeric, out=f"rawf{tag}", tag=tag)
+        encoder = Pipeline(stages=st).fit(t.where(F.col("__fold") != k))
+        rows = encoder.transform(t.where(F.col("__fold") != k))
+        kw = {}
+        if balanced:
+            rows = with_class_weights(rows, label, "__w")
+            kw = {"weightCol": "__w"}
+        reg = reg_param if reg_param is not None else 1.0 / (C_ * max(rows.count(), 1))
         scaler = StandardScaler(inputCol=f"rawf{tag}", outputCol=f"feat{tag}",
                                 withMean=True, withStd=True)
-        svc = LinearSVC(labelCol=label, featuresCol=f"feat{tag}", regParam=reg_param,
+        svc = LinearSVC(labelCol=label, featuresCol=f"feat{tag}", regParam=reg,
                         maxIter=max_iter, tol=tol, rawPredictionCol=f"raw{tag}",
                         predictionCol=f"pred{tag}", **kw)
-        svm = Pipeline(stages=st + [scaler, svc]).fit(t.where(F.col("__fold") != k))
+        fitted = Pipeline(stages=[scaler, svc]).fit(rows)
+        svm = PipelineModel(stages=[*encoder.stages, *fitted.stages])
         held = svm.transform(t.where(F.col("__fold") == k))
         held = held.select(F.col(label).alias("__y"), array_to_vector(
             F.array(vector_to_array(f"raw{tag}")[1])).alias(f"__margin{tag}"))
@@ -146,6 +176,15 @@ def svm_calibrated(train: DataFrame, keys: Sequence[str], reg_param: float | Non
     return CalibratedSVM(members)
 
 
+def skipped_rows(df: DataFrame, numeric: Sequence[str] = tuple(CLASSIFIER_NUMERIC)) -> DataFrame:
+    """One row ``skipped``: how many rows the assembler leaves out because a
+    numeric input is missing. Report it beside the scores."""
+    bad = F.lit(False)
+    for c in numeric:
+        bad = bad | F.col(c).isNull() | F.isnan(F.col(c).cast("double"))
+    return df.agg(F.sum(bad.cast("long")).alias("skipped"))
+
+
 def gbt_regressor(train: DataFrame, label: str = "Arr_Delay", max_iter: int = 100,
                   max_depth: int = 4, step: float = 0.1, subsample: float = 0.8,
                   seed: int = K.SEED,
@@ -158,23 +197,30 @@ def gbt_regressor(train: DataFrame, label: str = "Arr_Delay", max_iter: int = 10
     return Pipeline(stages=st + [gbt]).fit(train)
 
 
-def save_model(model: PipelineModel, path: str) -> None:
-    model.write().overwrite().save(path)
+def save_model(model: PipelineModel | CalibratedSVM, path: str) -> None:
+    if isinstance(model, CalibratedSVM):
+        model.save(path)
+    else:
+        model.write().overwrite().save(path)
 
 
-def load_model(path: str) -> PipelineModel:
+def load_model(path: str) -> PipelineModel | CalibratedSVM:
+    if path_exists(SparkSession.active(), f"{path.rstrip('/')}/{_MEMBERS}"):
+        return CalibratedSVM.load(path)
     return PipelineModel.load(path)
 
 
-def load_first(paths: Sequence[tuple[str, str]]) -> tuple[PipelineModel, str]:
-    """Primary model, else the next one that loads; returns (model, name)."""
-    last = None
+def load_first(paths: Sequence[tuple[str, str]]) -> tuple[PipelineModel | CalibratedSVM, str]:
+    """The first model of ``paths`` (path, name) that exists; returns (model, name).
+
+    Only a missing path falls through to the next, with a warning; any other
+    failure (storage, a damaged model) is raised, so it can never change the
+    model silently."""
     for path, name in paths:
-        try:
-            return PipelineModel.load(path), name
-        except Exception as e:  # noqa: BLE001 - a missing/corrupt model falls through
-            last = e
-    raise RuntimeError(f"no model available: {last}")
+        if path_exists(SparkSession.active(), path):
+            return load_model(path), name
+        log.warning("model %s is not at %s; trying the next one", name, path)
+    raise FileNotFoundError(f"no model at any of {[p for p, _ in paths]}")
 
 
 def feature_names(scored: DataFrame, features: str = "features") -> list[str]:

@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 
 from delaylake.functions import columns as C
 from delaylake.functions import constants as K
+from delaylake.session import materialize
 
 BUCKET_HEX = 5           # 20 bits of md5 for the histogram
 FINE_HEX = 15            # 60 bits for the order inside a bucket
@@ -43,12 +44,16 @@ def sample_fraction(df: DataFrame, frac: float, keys: Sequence[str], seed: int =
     return df.where(C.md5_bucket(C.hash_key(list(keys), seed)) < int(round(frac * 10000)))
 
 
+def in_train(keys: Sequence[str], frac: float = 0.8, seed: int = K.SEED) -> F.Column:
+    """Whether a row is on the training side: a function of its key alone."""
+    return C.md5_bucket(C.hash_key(list(keys), seed)) < int(round(frac * 10000))
+
+
 def split_train_test(df: DataFrame, keys: Sequence[str], frac: float = 0.8,
                      seed: int = K.SEED) -> tuple[DataFrame, DataFrame]:
     """(train, test) by hash bucket: a row's side never depends on partitioning."""
-    b = C.md5_bucket(C.hash_key(list(keys), seed))
-    cut = int(round(frac * 10000))
-    return df.where(b < cut), df.where(b >= cut)
+    side = in_train(keys, frac, seed)
+    return df.where(side), df.where(~side)
 
 
 def replicate(df: DataFrame, count_col: str, chunk: int = 1 << 20) -> DataFrame:
@@ -100,7 +105,7 @@ def flag_first_n_by_hash(df: DataFrame | None, keys: Sequence[str], n_per_group:
          .rowsBetween(Window.unboundedPreceding, Window.currentRow))
     hist = hist.withColumn("__cum", F.sum("__cnt").over(w))
     if g:
-        hist = hist.join(F.broadcast(n_per_group.select(*g, "__n")), g, "inner")
+        hist = hist.join(n_per_group.select(*g, "__n"), g, "inner")
     else:
         hist = hist.crossJoin(F.broadcast(n_per_group.select("__n")))
     before = F.col("__cum") - F.col("__cnt")
@@ -144,8 +149,9 @@ def balanced_sample(f: DataFrame, keys: Sequence[str], delay: str = "Arr_Delay",
     class has an unbounded quota) and the first n on-time rows.
     """
     d = f.where(F.col(delay).isNotNull()).withColumn(delay, C.clip(delay, *K.REG_TARGET_CLIP))
-    h = with_hash(d.withColumn("__late", F.col(delay) > threshold), keys, seed)
-    hist = h.groupBy("__late", "__b").agg(F.count(F.lit(1)).alias("__cnt"))
+    # Written once: the histogram and the flagged rows read it, not the lineage.
+    h = materialize(with_hash(d.withColumn("__late", F.col(delay) > threshold), keys, seed), "hashed")
+    hist = materialize(h.groupBy("__late", "__b").agg(F.count(F.lit(1)).alias("__cnt")), "hash-histogram")
     counts = hist.agg(F.sum(F.when(F.col("__late"), F.col("__cnt")).otherwise(0)).alias("__nd"),
                       F.sum(F.when(~F.col("__late"), F.col("__cnt")).otherwise(0)).alias("__no"))
     n_on = F.least(F.floor(F.col("__nd") / 2), F.col("__no")).cast("long")
@@ -161,12 +167,21 @@ def balanced_sample(f: DataFrame, keys: Sequence[str], delay: str = "Arr_Delay",
     return out.drop("__take", "__late")
 
 
+def flag_stratified(df: DataFrame, label: str, keys: Sequence[str], frac: float = 0.8,
+                    seed: int = K.SEED, flag: str = "is_train") -> DataFrame:
+    """``df`` with a boolean ``flag``: per label, the floor(frac * n_label) rows
+    with the smallest hash. The hashed rows are written once; their histogram
+    also gives the label counts."""
+    h = materialize(with_hash(df, keys, seed), "hashed")
+    hist = materialize(h.groupBy(label, "__b").agg(F.count(F.lit(1)).alias("__cnt")), "hash-histogram")
+    n = hist.groupBy(label).agg(F.floor(F.sum("__cnt") * F.lit(frac)).cast("long").alias("__n"))
+    return flag_first_n_by_hash(None, keys, n, groups=[label], seed=seed, flag=flag, hashed=h, hist=hist)
+
+
 def split_stratified(df: DataFrame, label: str, keys: Sequence[str], frac: float = 0.8,
                      seed: int = K.SEED) -> tuple[DataFrame, DataFrame]:
-    """Per label, the floor(frac * n_label) rows with the smallest hash go to
-    train, the rest to test."""
-    n = df.groupBy(label).agg(F.floor(F.count(F.lit(1)) * F.lit(frac)).cast("long").alias("__n"))
-    flagged = flag_first_n_by_hash(df, keys, n, groups=[label], seed=seed)
+    """(train, test): both are filters over one written, flagged table."""
+    flagged = materialize(flag_stratified(df, label, keys, frac, seed, "__take"), "stratified")
     return (flagged.where(F.col("__take")).drop("__take"),
             flagged.where(~F.col("__take")).drop("__take"))
 

@@ -23,7 +23,7 @@ from delaylake.functions import columns as C
 from delaylake.functions import constants as K
 from delaylake.operators import joins as J
 from delaylake.operators.models import positive_probability
-from delaylake.operators.projection import parse_travel_date
+from delaylake.operators.projection import parse_travel_date, validate_requests
 
 REQUEST_COLS = ["request_id", "airline_key", "dep_airport", "arr_airport", "travel_date",
                 "dep_time"]
@@ -50,7 +50,7 @@ def request_features(req: DataFrame, weather_avg: DataFrame, coords: DataFrame,
         F.col("dep_time").alias("DepTime_label"),
         F.col("route_type").alias("Distance_type"),
         F.col("req_month").alias("month"),
-        F.coalesce(F.dayofweek(date), F.lit(1)).alias("day_of_week"),
+        F.coalesce(F.dayofweek(date), F.lit(2)).alias("day_of_week"),   # bad date: Monday
         F.col("req_day").alias("day"),
         F.col("req_iso_dow").alias("dow_iso"),
         F.col("req_is_weekend").cast("int").alias("is_weekend"),
@@ -108,9 +108,13 @@ def log_rows(classified: DataFrame, model_name: str, source: str) -> DataFrame:
 
 def score_requests(req: DataFrame, weather_avg: DataFrame, coords: DataFrame, rates: DataFrame,
                    classifier, regressor=None, model_name: str = K.MODEL_NAMES["gbt"],
-                   source: str = "batch") -> DataFrame:
+                   source: str = "batch", validate: bool = True) -> DataFrame:
     """Scored requests as prediction-log rows; with a regressor, medium and
-    high risk rows also get estimated delay minutes."""
+    high risk rows also get estimated delay minutes. Fields are normalised and
+    blank requests left out, as the stream does; ``validate=False`` is for
+    requests that :func:`validate_requests` has already split."""
+    if validate:
+        req, _ = validate_requests(req.select(*REQUEST_COLS))
     c = classify(request_features(req, weather_avg, coords, rates), classifier)
     if regressor is not None:
         c = conditional_minutes(c, regressor)

@@ -13,13 +13,13 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from delaylake.functions import columns as C
 from delaylake.functions import constants as K
 from delaylake.operators import clean, joins, projection, sampling
-from delaylake.session import scratch_path
+from delaylake.session import materialize
 
 
 def _as_date(df: DataFrame, col: str) -> DataFrame:
@@ -41,8 +41,10 @@ def etl_clean_enrich(flights: DataFrame, cancelled: DataFrame, airports: DataFra
     f = flights
     if sample_frac is not None and sample_frac < 1.0:
         f = sampling.sample_fraction(f, sample_frac, sample_keys or f.columns)
-    f = joins.cancel_anti_join(f, cancelled, null_safe=null_safe_cancel)
+    # Duplicates go first: the anti join is then the last to shuffle on its keys
+    # and adaptive execution may split a hot key (the result is the same).
     f = clean.dedup_rows(f)
+    f = joins.cancel_anti_join(f, cancelled, null_safe=null_safe_cancel)
     f = _as_date(f, "FlightDate")
     w = _as_date(weather, "time")
     f = joins.join_airport_coords(f, airports)
@@ -106,18 +108,7 @@ def labelled_rows(flights: DataFrame, cancelled: DataFrame,
     per-airport delay rates computed here equal those over the full clean
     table, without the weather join, the mean pass or the coordinate join.
     """
-    f = joins.cancel_anti_join(flights, cancelled, null_safe=null_safe_cancel)
-    f = clean.dedup_rows(f)
+    f = joins.cancel_anti_join(clean.dedup_rows(flights), cancelled, null_safe=null_safe_cancel)
     f = projection.fill_constants(f.select("Dep_Airport", "Arr_Airport", "Arr_Delay"),
                                   {"Arr_Delay": 0})
     return f.withColumn("delay_label", C.delay_label("Arr_Delay"))
-
-
-def materialize(df: DataFrame, name: str = "table") -> DataFrame:
-    """Write ``df`` as Parquet under the shared checkpoint folder and read it
-    back: cuts the lineage (an executor loss re-reads files instead of
-    recomputing joins) and lets later plans prune and push filters into it."""
-    spark: SparkSession = df.sparkSession
-    path = scratch_path(spark, name)
-    df.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)

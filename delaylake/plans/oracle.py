@@ -82,15 +82,17 @@ WHERE l_returnflag = 'R' AND l_linenumber = 7
 view("airports", """
 SELECT n_name AS IATA_CODE, CAST(25 + n_nationkey AS DOUBLE) AS LATITUDE,
        CAST(-120 + 2 * n_nationkey AS DOUBLE) AS LONGITUDE
-FROM nation WHERE n_nationkey < 23
+FROM nation
 """)
 
 view("requests", """
 SELECT concat_ws('-', CAST(l_orderkey AS VARCHAR), CAST(l_partkey AS VARCHAR),
                  CAST(l_suppkey AS VARCHAR), CAST(l_linenumber AS VARCHAR)) AS request_id,
-       Airline AS airline_key, Dep_Airport AS dep_airport, Arr_Airport AS arr_airport,
+       Airline AS airline_key,
+       CASE WHEN l_orderkey % 13 = 0 THEN '?' || Dep_Airport ELSE Dep_Airport END AS dep_airport,
+       CASE WHEN l_orderkey % 13 = 0 THEN '?' || Arr_Airport ELSE Arr_Airport END AS arr_airport,
        strftime(FlightDate, '%Y-%m-%d') AS travel_date, DepTime_label AS dep_time
-FROM flights WHERE l_linenumber = 1
+FROM flights
 """, ("flights",))
 
 view("plog", """

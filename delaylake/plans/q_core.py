@@ -16,6 +16,7 @@ from delaylake.plans import fixtures as X
 from delaylake.plans.oracle import avg_round_even, round_even
 from delaylake.plans.oracle import with_views as W
 from delaylake.plans.registry import query
+from delaylake.session import materialize
 from delaylake.sources import log as LOG
 from delaylake.sources.tables import read_parquet_table
 from delaylake.sources.views import FLIGHT_KEY
@@ -195,13 +196,13 @@ SELECT request_id,
        CASE WHEN l_suppkey % 13 = 0 THEN NULL ELSE DepTime_label END AS dep_time
 FROM (SELECT *, concat_ws('-', CAST(l_orderkey AS VARCHAR), CAST(l_partkey AS VARCHAR),
                           CAST(l_suppkey AS VARCHAR), CAST(l_linenumber AS VARCHAR)) AS request_id
-      FROM flights WHERE l_linenumber = 1)
+      FROM flights)
 """
 
 
 def _messy_requests(spark, sf):
     from delaylake.sources.views import request_id
-    f = X.flights(spark, sf).where(F.col("l_linenumber") == 1)
+    f = X.flights(spark, sf)
     return f.select(
         request_id().alias("request_id"),
         F.when(F.col("l_partkey") % 11 == 0, F.lit("  "))
@@ -226,13 +227,22 @@ def q_normalise_code(spark, sf):
     return valid.withColumn("reject_reason", F.lit(None).cast("string")).unionByName(rejected)
 
 
-_DISPLAY_CASE = "CASE Airline " + " ".join(
-    f"WHEN '{k}' THEN '{v}'" for k, v in K.AIRLINE_DISPLAY.items()) + " ELSE Airline END"
+_DISPLAY_CASE = "CASE airline_key " + " ".join(
+    f"WHEN '{k}' THEN '{v}'" for k, v in K.AIRLINE_DISPLAY.items()) + " ELSE airline_key END"
+_MAPPED = sorted(K.AIRLINE_DISPLAY)
+# Two suppliers in three fly for an airline that the map has, the others for a brand.
+_KEYED_SQL = (f"SELECT *, CASE WHEN l_suppkey % 3 < 2 THEN [" + ", ".join(f"'{k}'" for k in _MAPPED)
+              + f"][1 + l_suppkey % {len(_MAPPED)}] ELSE Airline END AS airline_key FROM flights")
 
 
-@query("airline_display", W(f"SELECT {KS}, {_DISPLAY_CASE} AS airline FROM flights"))
+@query("airline_display", W(f"SELECT {KS}, airline_key, {_DISPLAY_CASE} AS airline FROM keyed",
+                            ctes=(("keyed", _KEYED_SQL),)))
 def q_airline_display(spark, sf):
-    return X.flights(spark, sf).select(*KEY, C.airline_display("Airline").alias("airline"))
+    mapped = F.element_at(F.array(*[F.lit(k) for k in _MAPPED]),
+                          (1 + F.col("l_suppkey") % len(_MAPPED)).cast("int"))
+    f = X.flights(spark, sf).withColumn(
+        "airline_key", F.when(F.col("l_suppkey") % 3 < 2, mapped).otherwise(F.col("Airline")))
+    return f.select(*KEY, "airline_key", C.airline_display("airline_key").alias("airline"))
 
 
 @query("risk_bracket", W("""
@@ -470,7 +480,8 @@ def q_window_group_mean(spark, sf):
     # Same answer as avg().over(partitionBy(airport)), planned as aggregate +
     # join so a hub airport is not gathered into one task.
     f = X.flights(spark, sf).select(*KEY, "Dep_Airport", "Arr_Delay")
-    g = f.groupBy("Dep_Airport").agg(F.avg("Arr_Delay").alias("airport_mean_delay"))
+    g = materialize(f.groupBy("Dep_Airport").agg(F.avg("Arr_Delay").alias("airport_mean_delay")),
+                    "airport-mean")
     return f.join(g, "Dep_Airport", "left").select(
         *KEY, "Dep_Airport", "Arr_Delay", r6("airport_mean_delay").alias("airport_mean_delay"))
 
@@ -595,9 +606,7 @@ def q_sample_fraction(spark, sf):
 SELECT {KS}, CASE WHEN {_bucket_sql(KEY)} < 8000 THEN 'train' ELSE 'test' END AS split FROM flights"""))
 def q_split_train_test(spark, sf):
     f = X.flights(spark, sf).select(*KEY)
-    tr, te = S.split_train_test(f, KEY, 0.8)
-    return (tr.withColumn("split", F.lit("train"))
-              .unionByName(te.withColumn("split", F.lit("test"))))
+    return f.withColumn("split", F.when(S.in_train(KEY, 0.8), "train").otherwise("test"))
 
 
 @query("split_stratified", W(f"""
@@ -608,9 +617,8 @@ SELECT {KS}, delay_label,
 FROM f_label"""))
 def q_split_stratified(spark, sf):
     f = X.f_label(spark, sf).select(*KEY, "delay_label")
-    tr, te = S.split_stratified(f, "delay_label", KEY, 0.8)
-    return (tr.withColumn("split", F.lit("train"))
-              .unionByName(te.withColumn("split", F.lit("test"))))
+    s = S.flag_stratified(f, "delay_label", KEY, 0.8)
+    return s.withColumn("split", F.when(F.col("is_train"), "train").otherwise("test")).drop("is_train")
 
 
 _BAL_D = f"""

@@ -9,6 +9,7 @@ from delaylake.functions import columns as C
 from delaylake.functions import constants as K
 from delaylake.operators import evaluate as E
 from delaylake.operators import features as FE
+from delaylake.operators import projection as P
 from delaylake.operators.models import CLASSIFIER_NUMERIC
 from delaylake.plans import fixtures as X
 from delaylake.plans.oracle import with_views as W
@@ -114,7 +115,7 @@ SELECT {KS}, month, day_of_week, Flight_Duration, Aicraft_age, round(tavg, 6) AS
 FROM clean"""))
 def q_align_columns(spark, sf):
     c = X.clean(spark, sf).withColumn("is_weekend", C.weekend_flag(C.iso_dow("FlightDate")))
-    a = FE.align_columns(c, KEY + _ALIGN)
+    a = P.align_columns(c, KEY + _ALIGN)
     return a.withColumn("tavg", r6("tavg")).withColumn("prcp", r6("prcp"))
 
 

@@ -8,10 +8,11 @@ value is set here only when none is configured, which is the local/test case.
 from __future__ import annotations
 
 import os
+import re
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # Settings every job relies on: AQE for runtime re-planning (coalescing small
 # shuffle partitions, broadcast conversion from runtime sizes, skew-join
@@ -44,6 +45,8 @@ SCALE_CONF = {
     "spark.sql.files.maxPartitionBytes": "256m",
     "spark.sql.parquet.filterPushdown": "true",
     "spark.sql.execution.sortBeforeRepartition": "true",
+    # split a skewed join even where the next operator reuses its partitioning
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
 }
 
 
@@ -81,13 +84,46 @@ def ensure_checkpoint_dir(spark: SparkSession) -> str:
         return configured
     if current is not None:
         return current
+    if not re.fullmatch(r"local(\[.*\])?", sc.master):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
     local = tempfile.mkdtemp(prefix="delaylake-ckpt-")
     spark.conf.set("spark.checkpoint.dir", local)
     sc.setCheckpointDir(local)
     return local
 
 
+_MADE: list[str] = []       # scratch tables of this process, for release_scratch
+
+
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A fresh path under the shared checkpoint folder for a written table."""
     base = ensure_checkpoint_dir(spark).rstrip("/")
-    return f"{base}/{name}-{uuid.uuid4().hex[:12]}"
+    path = f"{base}/{name}-{uuid.uuid4().hex[:12]}"
+    _MADE.append(path)
+    return path
+
+
+def path_exists(spark: SparkSession, path: str) -> bool:
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
+
+
+def release_scratch(spark: SparkSession) -> None:
+    """Delete the scratch tables this process wrote (call it when their readers
+    are done; tables shared between queries go too and are rewritten on the
+    next use)."""
+    for path in _MADE:
+        p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+        p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+    _MADE.clear()
+
+
+def materialize(df: DataFrame, name: str = "table") -> DataFrame:
+    """Write ``df`` as Parquet under the shared checkpoint folder and read it
+    back: cuts the lineage (an executor loss re-reads files instead of
+    recomputing joins), lets later plans prune and push filters into it, and
+    makes its size known, so that the size-based broadcast can choose it."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    df.write.mode("overwrite").parquet(path)
+    return spark.read.schema(df.schema).parquet(path)

@@ -8,11 +8,15 @@ schema so no inference job scans the file.
 
 from __future__ import annotations
 
+import csv
 from collections.abc import Iterable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from delaylake.session import materialize
+
 # Tables the driver ships (one parquet file each under an sf directory).
 DRIVER_TABLES = (
     "region", "nation", "customer", "supplier", "part", "orders", "lineitem",
@@ -138,26 +142,59 @@ REQUEST_SCHEMA = T.StructType([
 
 # --- readers ------------------------------------------------------------------
 
-def read_csv_table(spark: SparkSession, path: str | Sequence[str], schema: T.StructType,
-                   columns: Iterable[str] | None = None) -> DataFrame:
-    """Typed CSV read with a header.
+REJECTED = "_rejected"
+
+
+def csv_header(spark: SparkSession, path: str | Sequence[str]) -> list[str]:
+    """Column names of a CSV input: the first line of its first file, trimmed,
+    without a byte order mark."""
+    first = spark.read.text(path).limit(1).collect()
+    if not first:
+        raise ValueError(f"no header line in {path}")
+    cells = next(csv.reader([first[0][0]]))
+    return [c.strip().removeprefix("\ufeff").strip() for c in cells]
 
-    Header cells are matched to the schema by position, so blanks around header
-    names (a known defect of the weather file) do not matter; a UTF-8 BOM is
-    dropped by the reader. Cell values are trimmed. Bad cells become null
-    (PERMISSIVE), so one malformed row never fails a 100 TB job.
+
+def read_csv_table(spark: SparkSession, path: str | Sequence[str], schema: T.StructType,
+                   columns: Iterable[str] | None = None, rejected: bool = False) -> DataFrame:
+    """Typed CSV read with a header, columns matched by name.
+
+    The header's names (blanks around them and a byte order mark dropped) are
+    mapped to ``schema``: any order and any further columns are fine, a column
+    the header lacks raises ValueError. All files of one call must have the same
+    header; Spark checks each and raises otherwise. Cell values are trimmed. A row
+    with a bad cell or a wrong number of cells keeps the cells that parse;
+    ``rejected`` adds the column ``_rejected`` with such a row's text (null for
+    good rows), and :func:`csv_rejects` returns those rows alone.
     """
+    names = csv_header(spark, path)
+    wanted = list(schema.fieldNames() if columns is None else columns)
+    known = {f.name.lower(): f for f in schema.fields}
+    have = {n.lower() for n in names}
+    missing = [c for c in wanted if c.lower() not in have]
+    if missing:
+        raise ValueError(f"{path} has no column {', '.join(missing)}; its header is {names}")
+    fields = [T.StructField(n, known[n.lower()].dataType if n.lower() in known else T.StringType())
+              for n in names]
     df = (spark.read
-          .schema(schema)
+          .schema(T.StructType([*fields, T.StructField(REJECTED, T.StringType())]))
           .option("header", True)
-          .option("enforceSchema", True)
+          .option("enforceSchema", False)
           .option("ignoreLeadingWhiteSpace", True)
           .option("ignoreTrailingWhiteSpace", True)
           .option("mode", "PERMISSIVE")
+          .option("columnNameOfCorruptRecord", REJECTED)
           .csv(path))
-    if columns is not None:
-        df = df.select(*columns)
-    return df
+    out = [F.col(f"`{c}`").alias(c) for c in wanted]
+    return df.select(*out, *[REJECTED] * rejected)
+
+
+def csv_rejects(spark: SparkSession, path: str | Sequence[str], schema: T.StructType) -> DataFrame:
+    """Rows of a CSV input that do not parse into ``schema``, with their text in
+    ``_rejected``, written under the shared checkpoint folder (Spark does not
+    count a raw CSV's rejects alone)."""
+    df = read_csv_table(spark, path, schema, rejected=True)
+    return materialize(df.where(F.col(REJECTED).isNotNull()), "csv-rejects")
 
 
 def read_parquet_table(spark: SparkSession, path: str | Sequence[str]) -> DataFrame:

@@ -37,27 +37,10 @@ def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return load_driver_table(spark, sf_dir, name)
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Round-robin the rows over the cluster when the scan yields fewer
-    partitions than the cluster runs tasks at once.
-
-    A large table stored as a few big files (one row group each) scans in a
-    few tasks and everything pipelined after the scan runs that narrowly. On
-    a table of many files this is a no-op. Round-robin (not a key) keeps a hot
-    key from concentrating rows in one task.
-    """
-    try:
-        want = df.sparkSession.sparkContext.defaultParallelism
-        have = df.rdd.getNumPartitions()      # planning only, no job
-    except Exception:  # noqa: BLE001 - e.g. Spark Connect has no RDD API: leave as is
-        return df
-    return df.repartition(want) if have < want else df
-
-
 def flights(spark: SparkSession, sf_dir: str, keep_key: bool = True) -> DataFrame:
     """Flights with the reference's column names (see FIXTURES.md §2)."""
-    li = spread(_t(spark, sf_dir, "lineitem").select(
-        *FLIGHT_KEY, "l_quantity", "l_extendedprice", "l_returnflag"))
+    li = _t(spark, sf_dir, "lineitem").select(
+        *FLIGHT_KEY, "l_quantity", "l_extendedprice", "l_returnflag")
     o = _t(spark, sf_dir, "orders").select(
         F.col("o_orderkey").alias("l_orderkey"), "o_custkey", "o_orderdate", "o_orderpriority")
     p = _t(spark, sf_dir, "part").select(
@@ -112,7 +95,7 @@ def weather(spark: SparkSession, sf_dir: str) -> DataFrame:
     A grouped aggregate over orders ⋈ customer: partial aggregation runs
     map-side, so only one row per (nation, day, task) is shuffled.
     """
-    o = spread(_t(spark, sf_dir, "orders").select("o_custkey", "o_orderdate", "o_totalprice"))
+    o = _t(spark, sf_dir, "orders").select("o_custkey", "o_orderdate", "o_totalprice")
     n = F.broadcast(_t(spark, sf_dir, "nation").select(
         F.col("n_nationkey").alias("c_nationkey"), F.col("n_name").alias("airport_id")))
     c = (_t(spark, sf_dir, "customer").select(F.col("c_custkey").alias("o_custkey"), "c_nationkey")
@@ -142,26 +125,29 @@ def cancelled(spark: SparkSession, sf_dir: str) -> DataFrame:
 def airports(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Airport coordinates; at most 25 rows (bounded by the nation table)."""
     n = _t(spark, sf_dir, "nation")
-    return (n.where(F.col("n_nationkey") < 23)
-             .select(F.col("n_name").alias("IATA_CODE"),
-                     (25 + F.col("n_nationkey")).cast("double").alias("LATITUDE"),
-                     (-120 + 2 * F.col("n_nationkey")).cast("double").alias("LONGITUDE")))
+    return n.select(F.col("n_name").alias("IATA_CODE"),
+                    (25 + F.col("n_nationkey")).cast("double").alias("LATITUDE"),
+                    (-120 + 2 * F.col("n_nationkey")).cast("double").alias("LONGITUDE"))
 
 
 def request_id(prefix: str = "") -> Column:
     return F.concat_ws("-", *[F.col(prefix + k).cast("string") for k in FLIGHT_KEY])
 
 
+def request_airport(col: str) -> Column:
+    """Airport of a request: every 13th order asks for one that no table knows."""
+    return F.when(F.col("l_orderkey") % 13 == 0, F.concat(F.lit("?"), F.col(col))).otherwise(F.col(col))
+
+
 def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Scoring requests: one per flight with line number 1."""
-    f = flights(spark, sf_dir)
-    return (f.where(F.col("l_linenumber") == 1)
-             .select(request_id().alias("request_id"),
-                     F.col("Airline").alias("airline_key"),
-                     F.col("Dep_Airport").alias("dep_airport"),
-                     F.col("Arr_Airport").alias("arr_airport"),
-                     F.date_format("FlightDate", "yyyy-MM-dd").alias("travel_date"),
-                     F.col("DepTime_label").alias("dep_time")))
+    """Scoring requests: one per flight."""
+    return flights(spark, sf_dir).select(
+        request_id().alias("request_id"),
+        F.col("Airline").alias("airline_key"),
+        request_airport("Dep_Airport").alias("dep_airport"),
+        request_airport("Arr_Airport").alias("arr_airport"),
+        F.date_format("FlightDate", "yyyy-MM-dd").alias("travel_date"),
+        F.col("DepTime_label").alias("dep_time"))
 
 
 def prediction_log_view(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -21,6 +21,7 @@ from delaylake.functions import columns as C
 from delaylake.functions import constants as K
 from delaylake.operators.projection import validate_requests
 from delaylake.operators.score import score_requests
+from delaylake.session import materialize
 from delaylake.sources.tables import PREDICTION_LOG_SCHEMA, REQUEST_SCHEMA
 
 LOG_COLUMNS = [f.name for f in PREDICTION_LOG_SCHEMA.fields]
@@ -48,19 +49,29 @@ def stream_score_log(spark: SparkSession, in_path: str, out_path: str, checkpoin
                      weather_avg: DataFrame, coords: DataFrame, rates: DataFrame, classifier,
                      model_name: str = K.MODEL_NAMES["gbt"], fmt: str = "json",
                      rejected_path: str | None = None, regressor=None,
-                     available_now: bool = True) -> StreamingQuery:
+                     available_now: bool = True) -> list[StreamingQuery]:
     """Score requests arriving as files under ``in_path`` into the log at
     ``out_path``. Malformed requests (blank airline or airports) are routed to
-    ``rejected_path`` when given, never into the log."""
+    ``rejected_path`` when given, never into the log.
+
+    The lookups are written once before the start, so micro-batches read
+    small tables instead of recomputing the aggregates behind them. Returns
+    the handles of all queries started (the log, then the rejects): wait for
+    each with :func:`drain`.
+    """
+    weather_avg, coords, rates = (materialize(d, n) for d, n in (
+        (weather_avg, "stream-weather"), (coords, "stream-coords"), (rates, "stream-rates")))
     src = read_request_stream(spark, in_path, fmt)
     valid, rejected = validate_requests(src)
     scored = score_requests(valid, weather_avg, coords, rates, classifier,
-                            regressor=regressor, model_name=model_name, source="stream")
+                            regressor=regressor, model_name=model_name, source="stream",
+                            validate=False)
     out = scored.select("request_id", *LOG_COLUMNS).withColumn("log_date", F.to_date("timestamp"))
-    q = start_sink(out, out_path, checkpoint, available_now, partition_by="log_date")
+    started = [start_sink(out, out_path, checkpoint, available_now, partition_by="log_date")]
     if rejected_path:
-        start_sink(rejected, rejected_path, checkpoint.rstrip("/") + "-rejected", available_now)
-    return q
+        started.append(start_sink(rejected, rejected_path, checkpoint.rstrip("/") + "-rejected",
+                                  available_now))
+    return started
 
 
 def stream_log_brackets(spark: SparkSession, events_dir: str, out_path: str,
@@ -82,11 +93,19 @@ def stream_log_brackets(spark: SparkSession, events_dir: str, out_path: str,
     return start_sink(out, out_path, checkpoint, available_now)
 
 
-def drain(q: StreamingQuery, timeout_s: int = 600) -> None:
-    """Wait for an ``availableNow`` query to finish; re-raise its failure."""
-    q.awaitTermination(timeout_s)
-    if q.isActive:
-        q.stop()
-    exc = q.exception()
-    if exc is not None:
-        raise RuntimeError(str(exc))
+def drain(q: StreamingQuery | list[StreamingQuery], timeout_s: float | None = None) -> None:
+    """Wait for ``availableNow`` queries to finish; re-raise a failure.
+
+    There is no limit unless the caller gives one; when it passes before the
+    backlog is done the query is stopped and TimeoutError raised, so a partial
+    sink is never taken for a complete one.
+    """
+    for one in q if isinstance(q, list) else [q]:
+        if timeout_s is None:
+            one.awaitTermination()
+        elif not one.awaitTermination(timeout_s):
+            one.stop()
+            raise TimeoutError(f"the stream was not drained within {timeout_s} s")
+        exc = one.exception()
+        if exc is not None:
+            raise RuntimeError(str(exc))

@@ -103,9 +103,21 @@ def test_auc_matches_pairwise_brute_force(spark):
     assert got == pytest.approx(num / (len(pos) * len(neg)), abs=1e-12)
 
 
+def test_auc_with_many_distinct_scores_is_stable_and_equals_mllib(spark):
+    from pyspark.ml.evaluation import BinaryClassificationEvaluator
+    df = spark.range(150_000, numPartitions=7).select(
+        (F.abs(F.xxhash64("id")) % 1_000_003 / 1_000_003.0).alias("u"), "id")
+    df = df.select(F.when(F.col("id") % 50 == 0, F.round("u", 2)).otherwise(F.pow("u", 3)).alias("score"),
+                   (F.abs(F.xxhash64(F.col("id") + 7)) % 1000 < 300 + 400 * F.col("u")).cast("int").alias("y"))
+    assert df.select("score").distinct().count() > 100_000
+    got = [E.auc(df, "y", "score").first()[0] for _ in range(2)]
+    want = BinaryClassificationEvaluator(rawPredictionCol="score", labelCol="y", numBins=0).evaluate(df)
+    assert got[0] == got[1] and abs(got[0] - want) < 1e-9
+
+
 def test_running_sum_before(spark):
     df = spark.createDataFrame([(i, i % 5) for i in range(100)], "o int, v int")
-    got = {r["o"]: r["s"] for r in E.running_sum_before(df, "o", "v", "s", partitions=4).collect()}
+    got = {r["o"]: r["s"] for r in E.running_sum_before(df, "o", "v", "s").collect()}
     assert all(got[i] == sum(j % 5 for j in range(i)) for i in range(100))
 
 
@@ -114,6 +126,9 @@ def test_eval_report_and_regression(spark):
     rep = {r[0]: tuple(r[1:]) for r in E.eval_report(df).collect()}
     assert rep[1] == (1.0, 0.5, pytest.approx(2 / 3), 2)
     assert rep[0] == (pytest.approx(2 / 3), 1.0, pytest.approx(0.8), 2)
+    odd = spark.createDataFrame([(0, 2), (None, 0), (0, None)], "delay_label int, prediction int")
+    rep = {r[0]: tuple(r[1:]) for r in E.eval_report(odd).collect()}
+    assert rep == {0: (0.0, 0.0, 0.0, 2), 2: (0.0, 0.0, 0.0, 0)}
     reg = spark.createDataFrame([(10.0, 12.0), (20.0, -5.0), (30.0, 400.0)], "y double, p double")
     mae, rmse, r2 = E.eval_regression(reg, "y", "p").collect()[0]
     # predictions clipped to [0, 300] first: 12, 0, 300

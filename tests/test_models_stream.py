@@ -117,6 +117,62 @@ def test_model_fallback_picks_next(spark, tmp_dir):
     assert name == "secondary"
 
 
+def test_model_fallback_is_the_calibrated_svm_and_errors_are_raised(spark, tmp_dir):
+    df = _planted(spark, n=300)
+    svm = M.svm_calibrated(df, ["k"], folds=3, max_iter=10)
+    path = os.path.join(tmp_dir, "svm")
+    M.save_model(svm, path)
+    got, name = M.load_first([(os.path.join(tmp_dir, "no-gbt"), "gbt"), (path, "svm")])
+    assert name == "svm" and isinstance(got, M.CalibratedSVM)
+    p = lambda m: {r[0]: r[1] for r in m.transform(df).select(
+        "k", vector_to_array("probability")[1]).collect()}
+    assert p(got) == pytest.approx(p(svm))
+    with pytest.raises(FileNotFoundError):
+        M.load_first([(os.path.join(tmp_dir, "none"), "gbt")])
+    damaged = os.path.join(tmp_dir, "damaged")
+    os.makedirs(damaged)
+    with pytest.raises(Exception) as e:
+        M.load_first([(damaged, "gbt"), (path, "svm")])
+    assert not isinstance(e.value, FileNotFoundError)
+
+
+def test_balanced_forest_weights_and_threshold(spark):
+    from delaylake.functions import columns as C
+    df = _planted(spark, n=400).where("delay_label = 0 or k % 3 = 0")
+    model = M.rf_classifier(FE.with_class_weights(df), num_trees=20, max_depth=6, min_instances=2,
+                            weight_col="weight")
+    s = model.transform(df).select("delay_label", vector_to_array("probability")[1].alias("p"))
+    s = s.withColumn("label", C.confidence_threshold("p"))
+    plain = M.rf_classifier(df, num_trees=20, max_depth=6, min_instances=2).transform(df)
+    mean = lambda d, c: d.agg(F.avg(c)).first()[0]
+    assert mean(s, "p") > mean(plain.select(vector_to_array("probability")[1].alias("p")), "p")
+    assert s.where((F.col("label") == 1) != (F.col("p") > 0.6)).count() == 0
+
+
+def test_skipped_rows_are_counted(spark):
+    df = _planted(spark, n=20).withColumn("LATITUDE", F.when(F.col("k") >= 3, F.col("LATITUDE")))
+    assert M.skipped_rows(df).first()["skipped"] == 3
+
+
+def test_drain_raises_when_its_limit_passes(spark, tmp_dir):
+    slow = spark.readStream.format("rate").load()
+    q = slow.writeStream.format("noop").option("checkpointLocation", os.path.join(tmp_dir, "ck")).start()
+    with pytest.raises(TimeoutError):
+        drain(q, timeout_s=1)
+    assert not q.isActive
+
+
+def test_batch_scoring_leaves_blank_requests_out_and_bad_dates_are_monday(spark):
+    clf = _classifier_for_requests(spark)
+    req = spark.createDataFrame(
+        [("1", " AA ", " ord", "jfk", "not-a-date", "Night"), ("2", " ", "ORD", "JFK", "2023-01-02", "Night")],
+        "request_id string, airline_key string, dep_airport string, arr_airport string, "
+        "travel_date string, dep_time string")
+    assert [r["request_id"] for r in SC.score_requests(req, *_lookups(spark), clf).collect()] == ["1"]
+    f = SC.request_features(req, *_lookups(spark)).where("request_id = '1'").first()
+    assert f["day_of_week"] == 2 and f["dow_iso"] == 1
+
+
 def test_svm_calibrated_probabilities(spark):
     df = _planted(spark, n=300)
     m = M.svm_calibrated(df, ["k"], folds=3, max_iter=20)
@@ -194,8 +250,6 @@ def test_stream_score_log_incremental_restart_and_rejects(spark, tmp_dir):
     def run():
         drain(stream_score_log(spark, inbox, out, ck, wavg, coords, rates, clf,
                                rejected_path=rej))
-        for q in spark.streams.active:
-            q.awaitTermination(120)
         return spark.read.parquet(out)
 
     first = run()

@@ -15,6 +15,8 @@ REPRESENTATIVE = [
     "weather_monthly_avg", "route_stats", "impute_global_median", "winsorize_quantile",
     "heatmap_pivot", "summary_peaks", "rain_delay_trend", "sample_points", "balanced_sample",
     "split_stratified", "string_index", "eval_binary", "autofill", "union_years",
+    "lookup_weather_default", "airline_display", "delay_heatmap", "dashboard_tables", "etl_clean_enrich",
+    "etl_stacked_features", "etl_phase1_rows", "class_weights", "eval_report",
 ]
 
 
@@ -53,12 +55,18 @@ def test_survey_inventory_is_registered(registry):
         m = re.match(r"\|\s*([a-z_]+)\s*\|.*\|\s*(O|R)[^|]*\|\s*$", line)
         if m:
             names.append(m.group(1))
-    missing = [n for n in names if n not in qs and n != "dashboard_tables"]
+    missing = [n for n in names if n not in qs]
     assert not missing, missing
 
 
-@pytest.mark.parametrize("name", REPRESENTATIVE if not os.environ.get("DELAYLAKE_ORACLE_ALL")
-                         else None or [])
+def _names():
+    if os.environ.get("DELAYLAKE_ORACLE_ALL"):
+        from __spark_entry__ import oracle_sql
+        return sorted(oracle_sql())
+    return REPRESENTATIVE
+
+
+@pytest.mark.parametrize("name", _names())
 def test_query_matches_oracle(spark, registry, con, name):
     from delaylake.plans.verify import compare
     qs, sql = registry

@@ -58,6 +58,6 @@ def test_first_n_by_hash_with_duplicates(spark, data, n):
 @SETTINGS
 @given(vals=st.lists(st.integers(0, 9), min_size=1, max_size=60), parts=st.integers(1, 5))
 def test_running_sum_before_matches_prefix_sums(spark, vals, parts):
-    df = spark.createDataFrame(list(enumerate(vals)), "o int, v int")
-    got = {r["o"]: r["s"] for r in E.running_sum_before(df, "o", "v", "s", parts).collect()}
+    df = spark.createDataFrame(list(enumerate(vals)), "o int, v int").repartition(parts)
+    got = {r["o"]: r["s"] for r in E.running_sum_before(df, "o", "v", "s").collect()}
     assert [got[i] for i in range(len(vals))] == [sum(vals[:i]) for i in range(len(vals))]

@@ -2,6 +2,7 @@ import datetime as dt
 import json
 import os
 
+import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -22,6 +23,40 @@ def test_read_csv_table_bom_and_padded_header(spark, tmp_dir):
     assert rows(df) == [("ABE", 40.65, -75.44), ("XYZ", None, 1.0)]
 
 
+def _csv(folder, name, text, encoding="utf-8"):
+    p = os.path.join(folder, name)
+    with open(p, "w", encoding=encoding) as fh:
+        fh.write(text)
+    return p
+
+
+def test_read_csv_table_matches_columns_by_name(spark, tmp_dir):
+    p = _csv(tmp_dir, "c.csv", "Cancelled, FlightDate ,Airline,Tail_Number\n1,2023-01-01,AA,N1\n")
+    df = TB.read_csv_table(spark, p, TB.CANCELLED_SCHEMA)
+    assert df.columns == ["FlightDate", "Airline", "Tail_Number"]
+    assert rows(df) == [("2023-01-01", "AA", "N1")]
+    assert rows(TB.read_csv_table(spark, p, TB.CANCELLED_SCHEMA, columns=["Airline"])) == [("AA",)]
+
+
+def test_read_csv_table_refuses_a_missing_column_and_mixed_headers(spark, tmp_dir):
+    p = _csv(tmp_dir, "c.csv", "FlightDate,Airline\n2023-01-01,AA\n")
+    with pytest.raises(ValueError, match="Tail_Number"):
+        TB.read_csv_table(spark, p, TB.CANCELLED_SCHEMA)
+    a = _csv(tmp_dir, "a.csv", "FlightDate,Airline,Tail_Number\n2023-01-01,AA,N1\n")
+    b = _csv(tmp_dir, "b.csv", "Airline,FlightDate,Tail_Number\nBB,2023-01-02,N2\n")
+    with pytest.raises(Exception, match="(?i)header"):
+        TB.read_csv_table(spark, [a, b], TB.CANCELLED_SCHEMA).collect()
+
+
+def test_read_csv_table_keeps_and_counts_rejects(spark, tmp_dir):
+    p = _csv(tmp_dir, "x.csv", "LONGITUDE,IATA_CODE,LATITUDE\n-75.4,ABE,40.6\n1,XYZ,bad\n2,QQQ\n", "utf-8-sig")
+    df = TB.read_csv_table(spark, p, TB.COORDS_SCHEMA)
+    assert sorted(r[0] for r in df.collect()) == ["ABE", "QQQ", "XYZ"]
+    bad = TB.csv_rejects(spark, p, TB.COORDS_SCHEMA)
+    assert bad.count() == 2
+    assert sorted(r["_rejected"] for r in bad.collect()) == ["1,XYZ,bad", "2,QQQ"]
+
+
 def test_read_csv_pruned(spark, tmp_dir):
     p = os.path.join(tmp_dir, "w.csv")
     with open(p, "w") as fh:
