@@ -27,7 +27,7 @@ MAX_REPEAT_PERCENT = 30
 REPEAT_WINDOW = 8
 MIN_CONTENT_SHARE = 0.5
 PER_CLASS = 1500
-MAX_BYTES = 8 << 20
+MAX_BYTES = 5 << 20
 
 _SYMBOL = W._lut(b"#*$%&|<>")
 _UPPER = W._lut(range(0x41, 0x5B))

@@ -11,7 +11,8 @@ Fitting takes a bounded sample of labelled documents (``per_class`` documents an
 2. The CRF, on the lines of the sample with a toxic token and as many others, with the
    token, its neighbours, its beginnings, its ending and its length as features.
 3. The document score: a logistic regression on the summed marginals and the largest one,
-   against the documents' labels.
+   against the documents' labels, its constant moved from the sample's share of toxic
+   documents to that of all labelled ones.
 
 Tokens are lower-cased runs of digits, letters a-z and non-ASCII characters; a sequence is a
 line. Whole texts are tagged.
@@ -34,10 +35,10 @@ from delaylake.llm import words as W
 from delaylake.llm.base import bounded_batches, labelled_sample
 
 PER_CLASS = 2000
-MAX_BYTES = 12 << 20
+MAX_BYTES = 5 << 20
 MIN_LIFT = 20.0
 MIN_PLACES = 6
-FIT_LINES = 8000
+FIT_LINES = 5000
 SPAN_AT = 0.5
 _WORD_BITS, _NEAR_BITS, _END_BITS = 16, 12, 12
 _STEMS = (4, 6)
@@ -88,7 +89,7 @@ class Tokens:
             *[_STEM + i * (1 << _END_BITS) + (x >> np.uint64(64 - _END_BITS)).astype(np.int64)
               for i, x in enumerate(self.stems)],
             _LENGTH + np.searchsorted(_LENGTHS, w.ends - w.starts, "left"),
-            np.full(len(h), N_FEATURES - 1)], axis=1)
+            np.full(len(h), N_FEATURES - 1)], axis=1).astype(np.int32)
 
 
 @dataclass
@@ -150,6 +151,9 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, where: Column | None = None
     p = crf.marginals(chain.emissions(t.slots), t.lines, chain.pairs)
     x = _document_features(p, t.words.first)
     weight = crf.fit_logistic(x, toxic.astype(float))
+    known = labels.where("toxic in (0, 1)")
+    of = dict((known if where is None else known.where(where)).groupBy("toxic").count().collect())
+    weight[-1] += np.log(of[1] / of[0]) - np.log(toxic.sum() / (~toxic).sum())
     return Model(chain, weight)
 
 
