@@ -271,9 +271,9 @@ def q_stream_score_log(spark, sf):
     batch = SC.score_requests(spark.read.parquet(inbox), weather_avg, coords, rates, model)
     same = [c for c in batch.columns if c in logged.columns and c not in ("request_id", "timestamp", "source")]
     digest = F.xxhash64(*[F.to_json(F.struct(*same))])
-    b = batch.select("request_id", digest.alias("__batch"))
-    both = logged.withColumn("__log", digest).join(b, "request_id", "left")
-    return _flat_with(both, F.coalesce(F.col("__log") == F.col("__batch"), F.lit(False)))
+    b = batch.select("request_id", digest.alias("__digest")).distinct().withColumn("__same", F.lit(True))
+    both = logged.withColumn("__digest", digest).join(b, ["request_id", "__digest"], "left")
+    return _flat_with(both, F.coalesce("__same", F.lit(False)))
 
 
 def _flat_with(scored, same):
