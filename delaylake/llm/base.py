@@ -2,10 +2,15 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import pyarrow as pa
+import zstandard
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
+from delaylake.llm import words as W
 from delaylake.session import ensure_checkpoint_dir, scratch_path
 
 BATCH_ROWS = 1000
@@ -28,6 +33,54 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def packed(docs: DataFrame) -> DataFrame:
+    """``docs`` with the non-null ``text`` as ``body``, compressed (zstd), so that an exchange
+    of whole texts moves and stores about two thirds of what it would otherwise."""
+    rest = [c for c in docs.columns if c != "text"]
+    plain = docs.select(*rest, "text")
+
+    def run(batches):
+        press = zstandard.ZstdCompressor(level=3)
+        for batch in batches:
+            body = [press.compress(t.encode()) for t in batch.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [*(batch.column(c) for c in rest), pa.array(body, pa.binary())], [*rest, "body"])
+
+    return plain.mapInArrow(run, schema_ddl(plain.drop("text"), "body binary"))
+
+
+def unpacked(batches: Iterator[pa.RecordBatch], max_bytes: int = W.SLICE_BYTES,
+             columns: tuple[str, ...] = ("body",)) -> Iterator[pa.RecordBatch]:
+    """Batches with ``packed`` columns cut to at most ``max_bytes`` of text (one row at
+    least), the texts in place of the columns: ``body`` becomes ``text``, ``body_x`` ``text_x``."""
+    press = zstandard.ZstdDecompressor()
+
+    def cut(batch, a, texts):
+        names = [c for c in batch.schema.names if c not in columns]
+        part = batch.slice(a, len(texts))
+        return pa.RecordBatch.from_arrays(
+            [*(part.column(c) for c in names),
+             *(pa.array(t, pa.binary()).cast(pa.string()) for t in zip(*texts))],
+            [*names, *(c.replace("body", "text", 1) for c in columns)])
+
+    for batch in batches:
+        a, size, texts = 0, 0, []
+        for i, bodies in enumerate(zip(*(batch.column(c) for c in columns))):
+            row = [press.decompress(b.as_py()) for b in bodies]
+            if texts and size + sum(map(len, row)) > max_bytes:
+                yield cut(batch, a, texts)
+                a, size, texts = i, 0, []
+            texts.append(row)
+            size += sum(map(len, row))
+        if texts:
+            yield cut(batch, a, texts)
+
+
+def restored(docs: DataFrame) -> DataFrame:
+    """``packed`` rows with their text again, as the last column."""
+    return docs.mapInArrow(unpacked, schema_ddl(docs.drop("body"), "text string"))
+
+
 def schema_ddl(df: DataFrame, more: str) -> StructType:
     """The columns of ``df``, then those of the DDL string ``more``."""
     return StructType([*df.schema.fields, *StructType.fromDDL(more).fields])
@@ -61,4 +114,4 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, per_class: i
 
 
 __all__ = ["BATCH_ROWS", "bounded_batches", "crc_bucket", "ensure_checkpoint_dir", "labelled_sample",
-           "schema_ddl", "scratch_path", "staged", "table"]
+           "packed", "restored", "schema_ddl", "scratch_path", "staged", "table", "unpacked"]

@@ -39,7 +39,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from delaylake.llm import words as W
-from delaylake.llm.base import bounded_batches, schema_ddl
+from delaylake.llm.base import bounded_batches, packed, schema_ddl, unpacked
 
 K = 20
 GRAM = 5
@@ -78,19 +78,16 @@ def copies(docs: DataFrame) -> DataFrame:
     ids = docs.select("doc_id", F.unhex(F.sha2("text", 256)).alias("copy_key"))
     first = ids.groupBy("copy_key").agg(F.min("doc_id").alias("first_id"))
     return (ids.join(first, "copy_key").where("doc_id <> first_id")
-            .select("doc_id", "copy_key").distinct())
+            .groupBy("doc_id").agg(F.min("copy_key").alias("copy_key")))
 
 
-def _with_copies(docs: DataFrame) -> DataFrame:
-    return docs.join(copies(docs), "doc_id", "left")
-
-
-def repeated_anchors(docs: DataFrame, k: int, gram: int) -> DataFrame:
-    """``doc_id, anchors``: those of its anchors that another document has too."""
+def repeated_anchors(docs: DataFrame, copied: DataFrame, k: int, gram: int) -> DataFrame:
+    """``doc_id, anchors``: those of its anchors that another document has too. ``docs`` is
+    ``packed``, here and below, but for ``copies``."""
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches):
-        for batch in W.slices(batches, "text"):
+        for batch in unpacked(batches):
             w, h = _words(batch)
             least, at = _anchors(w, h, k, gram)
             row, v = W.row_of(w.first, len(h))[at], least[at]
@@ -102,20 +99,19 @@ def repeated_anchors(docs: DataFrame, k: int, gram: int) -> DataFrame:
                 [pa.array(v[one].astype(np.int64)), batch.column("doc_id").take(pa.array(row[one]))],
                 ["anchor", "doc_id"])
 
-    found = (_with_copies(docs).where("copy_key is null")
+    found = (docs.join(copied, "doc_id", "left").where("copy_key is null")
              .mapInArrow(run, f"anchor long, doc_id {kind}"))
-    shared = (found.groupBy("anchor").agg(F.min("doc_id").alias("a"), F.max("doc_id").alias("b"))
-              .where("a <> b").select("anchor"))
+    shared = found.groupBy("anchor").agg(F.count("*").alias("held")).where("held > 1").select("anchor")
     return found.join(shared, "anchor").groupBy("doc_id").agg(F.collect_list("anchor").alias("anchors"))
 
 
-def edges(docs: DataFrame, k: int, gram: int) -> DataFrame:
+def edges(docs: DataFrame, copied: DataFrame, k: int, gram: int) -> DataFrame:
     """``edge, doc_id, pos, around``: the windows with a repeated anchor, the first of equal
     ones in a document; ``around`` hashes the neighbouring edges in the document."""
     kind = docs.schema["doc_id"].dataType.simpleString()
 
     def run(batches):
-        for batch in W.slices(batches, "text"):
+        for batch in unpacked(batches):
             w, h = _words(batch)
             least, at = _anchors(w, h, k, gram)
             marks = np.unique(np.concatenate(
@@ -132,7 +128,7 @@ def edges(docs: DataFrame, k: int, gram: int) -> DataFrame:
                  pa.array(at - w.first[row[at]], pa.int32()), pa.array(around.astype(np.int64))],
                 ["edge", "doc_id", "pos", "around"])
 
-    return (docs.join(repeated_anchors(docs, k, gram), "doc_id")
+    return (docs.join(repeated_anchors(docs, copied, k, gram), "doc_id")
             .mapInArrow(run, f"edge long, doc_id {kind}, pos int, around long"))
 
 
@@ -141,10 +137,9 @@ def paths(docs: DataFrame, found: DataFrame, k: int) -> DataFrame:
     source coordinates and the digest of the source's words."""
     kind = docs.schema["doc_id"].dataType.simpleString()
     repeated = (found.groupBy("edge").agg(
-        F.min("doc_id").alias("doc_id"), F.max("doc_id").alias("last_id"),
-        F.min_by("pos", "doc_id").alias("pos"),
-        (F.min("around") == F.max("around")).alias("unbranched"))
-        .where("doc_id <> last_id"))
+        F.min("doc_id").alias("doc_id"), F.min_by("pos", "doc_id").alias("pos"),
+        F.count("*").alias("held"), (F.min("around") == F.max("around")).alias("unbranched"))
+        .where("held > 1").drop("held"))
     by_place = Window.partitionBy("doc_id").orderBy("pos")
     joined = (F.col("unbranched") & F.lag("unbranched").over(by_place)
               & (F.lag("pos").over(by_place) == F.col("pos") - 1))
@@ -155,7 +150,7 @@ def paths(docs: DataFrame, found: DataFrame, k: int) -> DataFrame:
                .groupBy("doc_id").agg(F.collect_list(F.struct("head", "pos", "n")).alias("paths")))
 
     def run(batches):
-        for batch in W.slices(batches, "text"):
+        for batch in unpacked(batches):
             w = W.split_words(*W.text_bytes(batch.column("text")))
             out = []
             for i, (doc, ps) in enumerate(zip(batch.column("doc_id").to_pylist(),
@@ -174,10 +169,10 @@ def paths(docs: DataFrame, found: DataFrame, k: int) -> DataFrame:
             .mapInArrow(run, f"head long, n int, source_id {kind}, source_pos int, digest binary"))
 
 
-def repeated_spans(docs: DataFrame, k: int = K, gram: int = GRAM) -> DataFrame:
-    """``doc_id, pos, n, source_id, source_pos, digest``: the ``n + k - 1`` words from ``pos``
+def repeated_spans(docs: DataFrame, copied: DataFrame, k: int = K, gram: int = GRAM) -> DataFrame:
+    """Of packed documents and their ``copies``: ``doc_id, pos, n, source_id, source_pos, digest``: the ``n + k - 1`` words from ``pos``
     repeat those at the source coordinates, if their digest agrees."""
-    found = edges(docs, k, gram)
+    found = edges(docs, copied, k, gram)
     return (found.select("edge", "doc_id", "pos")
             .join(paths(docs, found, k).withColumnRenamed("head", "edge"), "edge")
             .where("doc_id <> source_id")
@@ -194,8 +189,8 @@ def substring_dedup(docs: DataFrame, k: int = K, gram: int = GRAM,
     whole = plain.where("doc_id is not null and text is not null")
     names = ["doc_id", *carry, "n_words", "n_removed", "kept_sha256", *["kept_text"] * with_text]
 
-    def run(batches):
-        for batch in W.slices(batches, "text"):
+    def cut(batches):
+        for batch in batches:
             w, h = _words(batch)
             win, row = W.window_hashes(h, k), W.row_of(w.first, len(h))
             at = np.flatnonzero(W.window_mask(w.first, k, len(win)))
@@ -204,7 +199,7 @@ def substring_dedup(docs: DataFrame, k: int = K, gram: int = GRAM,
             delta = np.zeros(len(h) + 1, np.int32)
             np.add.at(delta, at[again], 1)
             np.add.at(delta, at[again] + k, -1)
-            raw = [None if t is None else t.encode() for t in batch.column("text").to_pylist()]
+            raw = [t.encode() for t in batch.column("text").to_pylist()]
             keys = batch.column("copy_key").to_pylist()
             for i, spans in enumerate(batch.column("spans").to_pylist()):
                 a, b = int(w.first[i]), int(w.first[i + 1])
@@ -222,7 +217,7 @@ def substring_dedup(docs: DataFrame, k: int = K, gram: int = GRAM,
             n_gone = gone[w.first[1:]] - gone[w.first[:-1]]
             texts = []
             for i, t in enumerate(raw):
-                ws = (t or b"").split()
+                ws = t.split()
                 if n_gone[i]:
                     ws = compress(ws, kept[w.first[i]:w.first[i + 1]].tolist())
                 texts.append(b" ".join(ws))
@@ -235,13 +230,18 @@ def substring_dedup(docs: DataFrame, k: int = K, gram: int = GRAM,
             yield pa.RecordBatch.from_arrays(cols, names)
 
     span = F.struct("pos", "n", "digest")
-    spans = repeated_spans(whole, k, gram).groupBy("doc_id").agg(F.collect_list(span).alias("spans"))
+    # (said again after packing, so that inner and outer joins plan the same exchange)
+    copied, bodies = copies(whole), packed(whole).where("doc_id is not null")
+    spans = repeated_spans(bodies, copied, k, gram).groupBy("doc_id").agg(F.collect_list(span).alias("spans"))
     schema = schema_ddl(plain.drop("text"), "n_words long, n_removed long, kept_sha256 string"
                         + ", kept_text string" * with_text)
-    joined = _with_copies(whole).join(spans, "doc_id", "left")
-    rest = plain.where("doc_id is null or text is null").select(
+    joined = bodies.join(copied, "doc_id", "left").join(spans, "doc_id", "left")
+    rest = plain.where("doc_id is null and text is not null").select(
         "*", F.lit(None).cast("binary").alias("copy_key"),
         F.lit(None).cast(spans.schema["spans"].dataType).alias("spans"))
-    cols = "doc_id", "text", *carry, "copy_key", "spans"
-    return (joined.select(*cols).mapInArrow(run, schema)
-            .union(rest.select(*cols).mapInArrow(run, schema)))
+    blank = plain.where("text is null").select(
+        "doc_id", *carry, F.lit(0).cast("long").alias("n_words"), F.lit(0).cast("long").alias("n_removed"),
+        F.sha2(F.lit("").cast("binary"), 256).alias("kept_sha256"),
+        *[F.lit(None).cast("string").alias("kept_text")] * with_text)
+    return (joined.mapInArrow(lambda it: cut(unpacked(it)), schema)
+            .union(rest.mapInArrow(lambda it: cut(W.slices(it, "text")), schema)).union(blank))

@@ -14,7 +14,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 
-SLICE_BYTES = 1 << 21
+SLICE_BYTES = 1 << 20
 _BLOCK = 1 << 20
 _LONG_WORD = 1 << 16
 _M_BYTE = 0x9E3779B97F4A7C15
