@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from delaylake.llm.base import staged, table
+from delaylake.llm.base import packed, restored, staged, table
 from delaylake.llm.bpe import encode
 from delaylake.llm.decontaminate import decontaminate
 from delaylake.llm.jaccard_join import jaccard_join
@@ -50,7 +50,10 @@ def drop_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     others = jaccard_join(docs).where("component_id <> doc_id").select("doc_id").distinct()
-    return docs.join(others, "doc_id", "left_anti").select(docs.columns)
+    whole = _packed(docs)
+    kept = restored(packed(whole.where("text is not null")).join(others, "doc_id", "left_anti"))
+    blank = whole.where("text is null")  # linked with nothing
+    return _unpacked(kept.select(whole.columns).union(blank), docs.columns)
 
 
 def cut_repeated_spans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
