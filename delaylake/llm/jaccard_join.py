@@ -6,10 +6,12 @@ under every global order of the tokens; here several orders must agree before a
 verified:
 
 1. Order by hash. Of each set the first ``n - ceil(t n) + l`` tokens are shuffled. A linked
-   pair shares at least ``l`` of them (``l`` a sixteenth of the smaller set, plus 1).
-2. Order by frequency, rare first, among the tokens of the first filter: a token that no
-   other set has is no help, and the ``l - 1`` most frequent ones may go (hot shingles).
-   Pairs come from the tokens left.
+   pair shares at least ``l`` of them (``l`` a sixteenth of the smaller set, plus 1), so a set
+   needs that many that another set has too.
+2. Order by frequency, rare first, among the whole sets that passed: a set's prefix is its
+   first ``n - ceil(t n) + 1`` tokens, of which those no other set has are no help. Most sets
+   have none left, and hot shingles come last. Pairs come from the tokens left, by places
+   that leave enough tokens behind them for the overlap needed.
 3. Two more hash orders: a pair whose prefixes share nothing under either is dropped.
 
 The sets of the pairs left are compared exactly. Equal sets are one class and enter once.
@@ -33,7 +35,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from delaylake.llm import words as W
-from delaylake.llm.base import bounded_batches, staged
+from delaylake.llm.base import bounded_batches, packed, staged, unpacked
 from delaylake.llm.components import components
 
 SHINGLE = 5
@@ -101,53 +103,65 @@ def set_sizes(docs: DataFrame, k: int) -> DataFrame:
     return docs.mapInArrow(run, f"doc_id {kind}, n long, key1 long, key2 long")
 
 
-def _prefix_tokens(classes: DataFrame, k: int, percent: int) -> DataFrame:
-    """``token, doc_id`` of the first filter, for the text that stands for each class."""
+def _tokens(classes: DataFrame, k: int, percent: int, prefix: bool) -> DataFrame:
+    """``token, doc_id`` of the (packed) text that stands for each class: the prefix under
+    the hash order, or the whole set."""
     kind = classes.schema["doc_id"].dataType.simpleString()
 
     def run(batches):
-        for batch in W.slices(batches, "text"):
+        for batch in unpacked(batches):
             row, value, first = shingle_sets(batch.column("text"), k)
             n = np.diff(first)
             own = np.array(_set_keys(value, first)[0]) == np.array(batch.column("key1"))
-            order = np.lexsort((W.mix(value, _ORDER), row))
-            place = np.arange(len(row)) - first[row]
-            take = order[(place < _prefix(n, percent)[row]) & own[row]]
+            take = own[row]
+            if prefix:
+                order = np.lexsort((W.mix(value, _ORDER), row))
+                place = np.arange(len(row)) - first[row]
+                take = order[(place < _prefix(n, percent)[row]) & take]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(value[take].astype(np.int64)), batch.column("doc_id").take(pa.array(row[take]))],
                 ["token", "doc_id"])
 
-    return classes.select("doc_id", "text", "key1").mapInArrow(run, f"token long, doc_id {kind}")
+    return classes.select("doc_id", "body", "key1").mapInArrow(run, f"token long, doc_id {kind}")
+
+
+def _shared(found: DataFrame) -> DataFrame:
+    """``token, held``: the tokens that more than one class holds, and how many do."""
+    return found.groupBy("token").agg(F.count("*").alias("held")).where("held > 1")
 
 
 def _candidates(docs: DataFrame, sizes: DataFrame, k: int, percent: int) -> DataFrame:
-    """``doc_id, n, text, tokens``: classes with tokens left after both filters."""
+    """``doc_id, n, body, alone, tokens``: classes with tokens left after both filters, how
+    many tokens nobody else has (first in the order of frequency), and the tokens left."""
+    need = F.expr(f"cast(ceil({percent} * n / 100) as long)")
+    slack = F.floor(need / 16) + 1  # of the smallest set that may link
     reps = (sizes.where("n > 0 and doc_id is not null").groupBy("key1", "key2", "n")
             .agg(F.min("doc_id").alias("doc_id")))
-    whole = docs.where("doc_id is not null and text is not null")
-    classes = whole.join(reps, "doc_id")
-    found = _prefix_tokens(classes, k, percent)
-    shared = (found.groupBy("token").agg(F.count("*").alias("held"), F.min("doc_id").alias("a"),
-                                         F.max("doc_id").alias("b")).where("a <> b")
-              .select("token", "held"))
-    need = F.expr(f"cast(ceil({percent} * n / 100) as long)")
-    spare = F.floor(need / 16)  # the slack of the smallest set that may link, less 1
-    lists = (found.join(shared, "token").groupBy("doc_id")
+    # both joins on doc_id plan the same exchange of the packed texts
+    whole = packed(docs.where("doc_id is not null and text is not null")).where("doc_id is not null")
+    found = _tokens(whole.join(reps, "doc_id"), k, percent, prefix=True)
+    first = (found.join(_shared(found).select("token"), "token").groupBy("doc_id")
+             .agg(F.count("*").alias("held")).join(reps, "doc_id").where(F.col("held") >= slack)
+             .select("doc_id", "n", "key1"))
+    passed = staged(whole.join(first, "doc_id").select("doc_id", "n", "key1", "body"), "first-filter")
+    found = _tokens(passed, k, percent, prefix=False)
+    lists = (found.join(_shared(found), "token").groupBy("doc_id")
              .agg(F.array_sort(F.collect_set(F.struct("held", "token"))).alias("held"))
-             .join(reps.select("doc_id", "n", "key1"), "doc_id")
-             .withColumn("left", (F.size("held") - spare).cast("int")).where("left > 0")
-             .select("doc_id", "n", "key1", F.expr("transform(slice(held, 1, left), x -> x.token)").alias("tokens")))
-    return whole.join(lists, "doc_id").select("doc_id", "n", "key1", "text", "tokens")
+             .join(passed.select("doc_id", "n"), "doc_id")
+             .withColumn("left", (F.size("held") - need + 1).cast("int")).where("left > 0")
+             .select("doc_id", (F.col("n") - F.size("held")).alias("alone"),
+                     F.expr("transform(slice(held, 1, left), x -> x.token)").alias("tokens")))
+    return passed.join(lists, "doc_id").select("doc_id", "n", "body", "alone", "tokens")
 
 
 def _verified(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataFrame:
     """The pairs ``u, v`` whose sets reach the similarity, after the further orders."""
     kind = texts.schema["doc_id"].dataType.simpleString()
-    a = texts.select(F.col("doc_id").alias("u"), F.col("text").alias("text_u"))
-    b = texts.select(F.col("doc_id").alias("v"), F.col("text").alias("text_v"))
+    a = texts.select(F.col("doc_id").alias("u"), F.col("body").alias("body_u"))
+    b = texts.select(F.col("doc_id").alias("v"), F.col("body").alias("body_v"))
 
     def run(batches):
-        for batch in W.slices(W.slices(batches, "text_u"), "text_v"):
+        for batch in unpacked(batches, columns=("body_u", "body_v")):
             _, x, fx = shingle_sets(batch.column("text_u"), k)
             _, y, fy = shingle_sets(batch.column("text_v"), k)
             ok = [_linked(x[fx[i]:fx[i + 1]], y[fy[i]:fy[i + 1]], percent)
@@ -156,7 +170,7 @@ def _verified(pairs: DataFrame, texts: DataFrame, k: int, percent: int) -> DataF
             yield pa.RecordBatch.from_arrays([batch.column("u").take(at), batch.column("v").take(at)],
                                              ["u", "v"])
 
-    return (pairs.join(a, "u").join(b, "v").select("u", "v", "text_u", "text_v")
+    return (pairs.join(a, "u").join(b, "v").select("u", "v", "body_u", "body_v")
             .mapInArrow(run, f"u {kind}, v {kind}"))
 
 
@@ -179,18 +193,21 @@ def _pairs(a: str, b: str) -> list[F.Column]:
 
 def class_components(cand: DataFrame, k: int, percent: int) -> DataFrame:
     """``node, root`` of the candidate classes that link with another."""
-    texts = cand.select("doc_id", "text")
-    held = cand.select("doc_id", "n", F.explode("tokens").alias("token"))
-    fits = F.expr(f"{percent} * n <= 100 * m and {percent} * m <= 100 * n")
-    hubs = held.groupBy("token").agg(F.min(F.struct("doc_id", "n")).alias("hub")).select(
-        "token", F.col("hub.doc_id").alias("hub"), F.col("hub.n").alias("m"))
+    texts = cand.select("doc_id", "body")
+    held = cand.select("doc_id", "n", "alone", F.posexplode("tokens").alias("at", "token")).select(
+        "doc_id", "n", (F.col("n") - F.col("alone") - F.col("at")).alias("rest"), "token")
+    # sizes, and what is left from this place on, must allow the overlap
+    fits = F.expr(f"{percent} * n <= 100 * m and {percent} * m <= 100 * n and "
+                  f"{100 + percent} * least(rest, near_rest) >= {percent} * (n + m)")
+    hubs = held.groupBy("token").agg(F.min(F.struct("doc_id", "n", "rest")).alias("hub")).select(
+        "token", F.col("hub.doc_id").alias("hub"), F.col("hub.n").alias("m"), F.col("hub.rest").alias("near_rest"))
     stars = staged(held.join(hubs, "token").where((F.col("doc_id") != F.col("hub")) & fits)
                    .select(*_pairs("doc_id", "hub")).distinct(), "star-pairs")
     links = staged(_verified(stars, texts, k, percent), "star-links")
     roots = staged(components(links), "star-roots")
 
     at = held.join(roots.withColumnRenamed("node", "doc_id"), "doc_id", "left").select(
-        "token", "doc_id", "n", F.coalesce("root", "doc_id").alias("root"))
+        "token", "doc_id", "n", "rest", F.coalesce("root", "doc_id").alias("root"))
     per_root = at.groupBy("token", "root").agg(F.count("*").alias("size"))
     main = (per_root.groupBy("token").agg(F.max_by("root", "size").alias("main"),
                                           F.count("*").alias("roots")).where("roots > 1")
@@ -198,7 +215,7 @@ def class_components(cand: DataFrame, k: int, percent: int) -> DataFrame:
     mixed = staged(at.join(main, "token"), "mixed-tokens")
     other = mixed.where("root <> main")
     rest = (other.join(mixed.select("token", F.col("doc_id").alias("near"), F.col("n").alias("m"),
-                                    F.col("root").alias("near_root")), "token")
+                                    F.col("rest").alias("near_rest"), F.col("root").alias("near_root")), "token")
             .where((F.col("root") != F.col("near_root")) & fits)
             .select(*_pairs("doc_id", "near")).distinct()
             .join(stars, ["u", "v"], "left_anti"))
