@@ -23,9 +23,11 @@ def bounded_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
 
 def staged(df: DataFrame, name: str) -> DataFrame:
     """Writes ``df`` once under the shared checkpoint folder and reads it back: cuts the
-    lineage, survives lost executors."""
+    lineage, survives lost executors. Asks the driver to collect its garbage afterwards: the
+    shuffle files of the finished query go then, not when the heap next happens to fill."""
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
+    df.sparkSession.sparkContext._jvm.System.gc()
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
