@@ -1,15 +1,22 @@
 """Toxicity: a linear-chain CRF tags toxic tokens; forward-backward marginals give document
 scores and the offending offsets.
 
-Fitting takes a bounded sample of labelled documents (``per_class`` documents and
-``max_bytes`` of text for each label, distinct texts):
-
-1. Labelled tokens. A token of a toxic document counts as toxic when its word, or its first
-   4 or 6 bytes, stands between different neighbours at least ``MIN_PLACES`` times in toxic
-   texts, and ``MIN_LIFT`` times as often as in the others for their number; all other tokens
-   are clean. (Places with the same neighbours, as in near copies, count once.)
-2. The CRF, on the lines of the sample with a toxic token and as many others, with the
-   token, its neighbours, its beginnings, its ending and its length as features.
+Fitting judges markers on all labelled texts, in Spark, and learns weights from a bounded sample
+(``per_class`` documents and ``max_bytes`` of text for each label, distinct texts):
+
+1. Markers. A word, or the first 4 or 6 bytes of words, marks toxic texts when it stands between
+   different neighbours in toxic texts more often than their share of all tokens lets chance do:
+   with b such places in toxic texts and g in others the likelihood ratio bounds the probability,
+   and of all names of a kind the marks are chosen at a false discovery rate of ``FALSE_MARKS``
+   (Benjamini and Hochberg). They stand in two toxic texts at least and ``MIN_LIFT`` times as
+   often as in others, so that the plain words of a language with somewhat more toxic texts are
+   none. The evidence needed does not grow with the table: rare wording counts by itself.
+   (Places with the same neighbours, as in near copies, count once; equal texts too.) Tokens of
+   toxic texts that are marked count as toxic, all others as clean.
+2. The CRF, on the lines of the sample with a toxic token, those of the rarest marks first, and
+   as many others, with the token, its neighbours, its beginnings, its ending and its length as
+   features. Marks found in fewer than ``EXAMPLES`` places of the sample bring pieces of the
+   texts that have them.
 3. The document score: a logistic regression on the summed marginals and the largest one,
    against the documents' labels, its constant moved from the sample's share of toxic
    documents to that of all labelled ones.
@@ -29,16 +36,19 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
 
 from delaylake.llm import crf
 from delaylake.llm import words as W
-from delaylake.llm.base import bounded_batches, labelled_sample
+from delaylake.llm.base import bounded_batches, labelled_sample, packed, restored, staged
 
 PER_CLASS = 2000
 MAX_BYTES = 5 << 20
-MIN_LIFT = 20.0
-MIN_PLACES = 6
+MIN_LIFT = 5.0
+FALSE_MARKS = 0.05
+EXAMPLES = 8
 FIT_LINES = 5000
+_ID_BITS = 26
 SPAN_AT = 0.5
 _WORD_BITS, _NEAR_BITS, _END_BITS = 16, 12, 12
 _STEMS = (4, 6)
@@ -112,21 +122,213 @@ def _document_features(p: np.ndarray, first: np.ndarray) -> np.ndarray:
     return np.stack([np.log1p(total), most, np.ones(len(most))], axis=1)
 
 
-def _toxic_tokens(t: Tokens, toxic: np.ndarray) -> np.ndarray:
-    """True for the tokens of toxic texts whose word or stem marks toxic texts."""
-    bad_row = toxic[W.row_of(t.words.first, len(t.hashes))]
-    out = np.zeros(len(t.hashes), bool)
-    ratio = bad_row.sum() / max(1, (~bad_row).sum())
-    for name in (t.hashes, *t.stems):
-        order = np.lexsort((t.around, name, bad_row))
-        n, c, r = name[order], t.around[order], bad_row[order]
-        new = np.ones(len(n), bool)
-        new[1:] = (n[1:] != n[:-1]) | (c[1:] != c[:-1]) | (r[1:] != r[:-1])
-        u, at = np.unique(n[new], return_inverse=True)
-        bad, good = np.bincount(at, r[new], len(u)), np.bincount(at, ~r[new], len(u))
-        marks = u[(bad >= MIN_PLACES) & (bad >= MIN_LIFT * ratio * (good + 0.5))]
-        out |= np.isin(name, marks)
-    return out & bad_row
+def _places(t: Tokens, kind: int, toxic: np.ndarray, keep: np.ndarray | None = None) -> np.ndarray:
+    """A token for each name of the kind, its neighbours and label (of ``keep`` only)."""
+    name = (t.hashes, *t.stems)[kind]
+    at = np.arange(len(name)) if keep is None else np.flatnonzero(np.isin(name, keep))
+    n, c, r = name[at], t.around[at], toxic[at]
+    order = np.lexsort((c, n, r))
+    n, c, r = n[order], c[order], r[order]
+    new = np.ones(len(n), bool)
+    new[1:] = (n[1:] != n[:-1]) | (c[1:] != c[:-1]) | (r[1:] != r[:-1])
+    return at[order[new]]
+
+
+def _known_texts(docs: DataFrame, labels: DataFrame, where: Column | None) -> DataFrame:
+    """Labelled texts (h, label, text), equal texts once, with the label of their least doc_id.
+    A bitmap of hashed ids (of fixed size, false hits go in the join) keeps the texts of others
+    out of the exchange, where texts are compressed; the result is written once, compressed."""
+    known = labels.select("doc_id", F.col("toxic").alias("label")).where(
+        F.col("doc_id").isNotNull() & F.col("label").isin(0, 1))
+    known = (known if where is None else known.where(where)).groupBy("doc_id").agg(F.min("label").alias("label"))
+    texts = docs.select("doc_id", "text", F.xxhash64("text").alias("h")).where("text is not null")
+    first = (texts.select("doc_id", "h").join(known, "doc_id")
+             .groupBy("h").agg(F.min(F.struct("doc_id", "label")).alias("m"))
+             .select("h", "m.doc_id", "m.label"))
+    bit = F.pmod(F.xxhash64("doc_id"), F.lit(1 << _ID_BITS))
+    maps = (known.select(bit.alias("bit")).groupBy(F.bitmap_bucket_number("bit").alias("k"))
+            .agg(F.bitmap_construct_agg(F.bitmap_bit_position("bit")).alias("bits")).collect())
+    ids = np.zeros((1 << _ID_BITS) // 8 + 8192, np.uint8)
+    for r in maps:
+        part = np.frombuffer(r["bits"], np.uint8)
+        at = r["k"] * 4096
+        ids[at:at + len(part)] |= part
+    shared = docs.sparkSession.sparkContext.broadcast(ids)
+
+    def near(batches):
+        for batch in batches:
+            k, pos = batch.column("k").to_numpy(zero_copy_only=False), batch.column("pos").to_numpy(zero_copy_only=False)
+            hit = shared.value[k * 4096 + pos // 8] >> (pos % 8).astype(np.uint8) & 1
+            yield batch.filter(pa.array(hit == 1)).select(["doc_id", "h", "text"])
+
+    bounded_batches(docs.sparkSession)
+    marked = texts.withColumn("bit", bit).select(
+        "doc_id", "h", "text", F.bitmap_bucket_number("bit").alias("k"),
+        F.bitmap_bit_position("bit").alias("pos"))
+    likely = marked.mapInArrow(near, texts.select("doc_id", "h", "text").schema)
+    return restored(staged(packed(likely).join(first, ["doc_id", "h"]).select("h", "label", "body"),
+                           "toxicity-texts"))
+
+
+def _slices_of(batches):
+    """Tokens of slices, with their rows and whether they are of a toxic text."""
+    for batch in W.slices(batches, "text"):
+        t = Tokens(batch.column("text"))
+        row = W.row_of(t.words.first, len(t.hashes))
+        yield batch, t, row, batch.column("label").to_numpy(zero_copy_only=False)[row] == 1
+
+
+def _evidence(b: Column, g: Column, share: float) -> Column:
+    """Minus the log of a bound on the probability of b or more toxic places among b + g."""
+    n = b + g
+    e = (F.when(b > 0, b * F.log(b / (n * share))).otherwise(0.0)
+         + F.when(g > 0, g * F.log(g / (n * (1 - share)))).otherwise(0.0))
+    return F.when(b > n * share, e).otherwise(0.0)
+
+
+def _least_evidence(evidence: np.ndarray, counts: np.ndarray, tested: int) -> float:
+    """Benjamini-Hochberg bound; ``evidence`` falls, ``counts`` are of names with that much."""
+    k = np.cumsum(counts)
+    ok = np.flatnonzero(evidence >= np.log(tested / (FALSE_MARKS * np.maximum(k, 1))))
+    return float(evidence[ok[-1]]) if len(ok) else np.inf
+
+
+def find_marks(known: DataFrame) -> list[np.ndarray]:
+    """Hashes of the marks: words, then the stems of each size. Names are counted by their
+    occurrences first; only those that come near the bound are counted by places."""
+    spark = known.sparkSession
+    kinds = range(1 + len(_STEMS))
+    columns = ["kind", "name", "bad", "good"]
+
+    def count(batches):
+        for _, t, _, toxic in _slices_of(batches):
+            parts = [(np.full(1, -1), np.zeros(1, np.uint64), np.array([toxic.sum()]), np.array([(~toxic).sum()]))]
+            for kind in kinds:
+                at = _places(t, kind, toxic)
+                u, of = np.unique((t.hashes, *t.stems)[kind][at], return_inverse=True)
+                parts.append((np.full(len(u), kind), u, np.bincount(of, toxic[at], len(u)),
+                              np.bincount(of, ~toxic[at], len(u))))
+            kind, name, bad, good = (np.concatenate(c) for c in zip(*parts))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(kind.astype(np.int32)), pa.array(name.view(np.int64)),
+                 pa.array(bad.astype(np.int64)), pa.array(good.astype(np.int64))], columns)
+
+    names = staged(known.mapInArrow(count, "kind int, name long, bad long, good long")
+                   .groupBy("kind", "name").agg(F.sum("bad").alias("bad"), F.sum("good").alias("good"))
+                   .where("bad + good > 1"), "toxicity-names")
+    total = names.where("kind = -1").first()
+    if total is None or not total["bad"] or not total["good"]:
+        return [np.zeros(0, np.uint64) for _ in kinds]
+    share = total["bad"] / (total["bad"] + total["good"])
+    b, g = F.col("bad"), F.col("good")
+    odds = share / (1 - share)
+    lift = (b + 0.5) / (g + 0.5) / odds
+    names = names.where("kind >= 0").withColumn("evidence", _evidence(b, g, share))
+    tested = dict(names.where((b + g) * -np.log(share) >= -np.log(FALSE_MARKS))
+                  .groupBy("kind").count().collect())
+    near = names.where(lift >= MIN_LIFT / 2)
+    hist = near.groupBy("kind", F.floor(F.col("evidence") * 4).alias("e")).count().collect()
+    wanted = F.lit(False)
+    for kind in tested:
+        h = sorted(((r["e"] / 4, r["count"]) for r in hist if r["kind"] == kind), reverse=True)
+        if h:
+            least = _least_evidence(*np.array(h).T, tested[kind])
+            least = min(least, np.log(tested[kind] / FALSE_MARKS))
+            wanted |= (F.col("kind") == kind) & (F.col("evidence") >= float(least - 3))
+    found = near.where(wanted).select("kind", "name").collect()
+    marks = [np.sort(np.array([r["name"] for r in found if r["kind"] == kind], np.int64).view(np.uint64))
+             for kind in kinds]
+    shared = spark.sparkContext.broadcast(marks)
+
+    def places(batches):
+        for batch, t, row, toxic in _slices_of(batches):
+            h = batch.column("h").to_numpy(zero_copy_only=False)[row]
+            for kind in kinds:
+                at = _places(t, kind, toxic, shared.value[kind])
+                yield pa.RecordBatch.from_arrays(
+                    [pa.array(np.full(len(at), kind, np.int32)),
+                     pa.array((t.hashes, *t.stems)[kind][at].view(np.int64)),
+                     pa.array(t.around[at].view(np.int64)), pa.array(toxic[at]), pa.array(h[at])],
+                    ["kind", "name", "around", "toxic", "h"])
+
+    exact = (known.mapInArrow(places, "kind int, name long, around long, toxic boolean, h long")
+             .groupBy("kind", "name", "around", "toxic").agg(F.min("h").alias("h"))
+             .groupBy("kind", "name").agg(
+                 F.count_if("toxic").alias("bad"), F.count_if(~F.col("toxic")).alias("good"),
+                 F.min(F.when(F.col("toxic"), F.col("h"))).alias("one"),
+                 F.max(F.when(F.col("toxic"), F.col("h"))).alias("other"))
+             .where((F.col("one") != F.col("other")) & (lift >= MIN_LIFT))
+             .select("kind", "name", _evidence(b, g, share).alias("e")).collect())
+    out = []
+    for kind in kinds:
+        e = sorted(((r["e"], r["name"]) for r in exact if r["kind"] == kind), reverse=True)
+        v = np.array([x for x, _ in e])
+        least = _least_evidence(v, np.ones(len(v)), max(1, tested.get(kind, 0)))
+        out.append(np.sort(np.array([n for x, n in e if x >= least], np.int64).view(np.uint64)))
+    return out
+
+
+def _mark_numbers(t: Tokens, marks: list[np.ndarray], toxic: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Tokens of toxic texts with a mark and the number of the mark, for each kind in turn."""
+    at, number, base = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], 0
+    for name, m in zip((t.hashes, *t.stems), marks):
+        hit = np.flatnonzero(toxic & np.isin(name, m))
+        at.append(hit)
+        number.append(base + np.searchsorted(m, name[hit]))
+        base += len(m)
+    return np.concatenate(at), np.concatenate(number)
+
+
+def _pieces(known: DataFrame, marks: list[np.ndarray], rare: np.ndarray) -> list[str]:
+    """For every mark numbered in ``rare`` up to ``EXAMPLES`` pieces of lines of toxic texts, of
+    40 tokens about the mark at most; ``FIT_LINES`` in all, a first one of every mark first."""
+    shared = known.sparkSession.sparkContext.broadcast((marks, rare))
+
+    def run(batches):
+        marks, rare = shared.value
+        for batch, t, row, toxic in _slices_of(batches):
+            at, number = _mark_numbers(t, marks, toxic)
+            keep = np.isin(number, rare)
+            at, number = at[keep], number[keep]
+            key = W.mix(t.around[at], 50)
+            part = (key % np.uint64(EXAMPLES)).astype(np.int64)
+            order = np.lexsort((key, part, number))
+            at, number, key, part = at[order], number[order], key[order], part[order]
+            new = np.ones(len(at), bool)
+            new[1:] = (number[1:] != number[:-1]) | (part[1:] != part[:-1])
+            at, number, key, part = at[new], number[new], key[new], part[new]
+            line = np.searchsorted(t.lines, at, "right") - 1
+            a, b = np.maximum(at - 20, t.lines[line]), np.minimum(at + 20, t.lines[line + 1])
+            texts = [t.words.text(i, j).decode("utf8", "replace")[:4096] for i, j in zip(a.tolist(), b.tolist())]
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(number), pa.array(part), pa.array(key.view(np.int64)), pa.array(texts, pa.string())],
+                ["number", "part", "key", "piece"])
+
+    found = (known.where("label = 1").mapInArrow(run, "number long, part long, key long, piece string")
+             .groupBy("number", "part").agg(F.min(F.struct("key", "piece")).alias("m")))
+    return list(dict.fromkeys(r["piece"] for r in found.orderBy("part", "number").select("m.piece")
+                              .limit(FIT_LINES).collect()))
+
+
+def _fit_lines(t: Tokens, at: np.ndarray, number: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Features and labels of the lines to fit, and the lines' lengths: those with a toxic token,
+    rare marks first, and as many others."""
+    y = np.zeros(len(t.hashes), bool)
+    y[at] = True
+    line = np.searchsorted(t.lines, at, "right") - 1
+    order = np.lexsort((line, number))
+    turn = np.zeros(len(at), np.int64)  # how many tokens of the mark came before
+    turn[order] = np.arange(len(at)) - np.searchsorted(number[order], number[order], "left")
+    with_, first = np.unique(line[np.argsort(turn, kind="stable")], return_index=True)
+    with_ = with_[np.argsort(first, kind="stable")][:FIT_LINES]
+    c = np.concatenate([[0], np.cumsum(y)])
+    without = np.flatnonzero(c[t.lines[1:]] == c[t.lines[:-1]])
+    without = without[:: max(1, len(without) // max(1000, len(with_)))][:FIT_LINES]
+    lines = np.sort(np.concatenate([with_, without]))
+    size = (t.lines[1:] - t.lines[:-1])[lines]
+    first = np.cumsum(size) - size
+    at = np.repeat(t.lines[:-1][lines] - first, size) + np.arange(size.sum())
+    return t.slots[at], y[at], size
 
 
 def fit_toxicity(docs: DataFrame, labels: DataFrame, where: Column | None = None,
@@ -136,18 +338,18 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, where: Column | None = None
                  labelled_sample(docs, labels, "toxic", per_class, max_bytes, where)}.values())
     if len({r["label"] for r in rows}) < 2:
         return None
+    known = _known_texts(docs, labels, where)
+    marks = find_marks(known)
     t = Tokens(pa.array([r["text"] for r in rows], pa.large_string()))
     toxic = np.array([r["label"] == 1 for r in rows])
-    y = _toxic_tokens(t, toxic)
-    c = np.concatenate([[0], np.cumsum(y)])
-    has = c[t.lines[1:]] > c[t.lines[:-1]]
-    with_, without = np.flatnonzero(has)[:FIT_LINES], np.flatnonzero(~has)
-    without = without[:: max(1, len(without) // max(1000, len(with_)))][:FIT_LINES]
-    lines = np.sort(np.concatenate([with_, without]))
-    size = (t.lines[1:] - t.lines[:-1])[lines]
-    first = np.concatenate([[0], np.cumsum(size)])
-    at = np.repeat(t.lines[:-1][lines] - first[:-1], size) + np.arange(first[-1])
-    chain = crf.fit(t.slots[at], y[at], first, N_FEATURES, steps=80, l2=1e-6)
+    at, number = _mark_numbers(t, marks, toxic[W.row_of(t.words.first, len(t.hashes))])
+    parts = [_fit_lines(t, at, number)]
+    rare = np.flatnonzero(np.bincount(number, minlength=sum(map(len, marks))) < EXAMPLES)
+    if len(rare):
+        m = Tokens(pa.array(_pieces(known, marks, rare), pa.large_string()))
+        parts.append(_fit_lines(m, *_mark_numbers(m, marks, np.ones(len(m.hashes), bool))))
+    slots, y, size = (np.concatenate(c) for c in zip(*parts))
+    chain = crf.fit(slots, y, np.concatenate([[0], np.cumsum(size)]), N_FEATURES, steps=80, l2=1e-6)
     p = crf.marginals(chain.emissions(t.slots), t.lines, chain.pairs)
     x = _document_features(p, t.words.first)
     weight = crf.fit_logistic(x, toxic.astype(float))

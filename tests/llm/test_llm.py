@@ -572,6 +572,48 @@ def test_toxicity_scores_and_offsets_on_held_out_texts(spark, empty):
     assert toxicity.toxicity(empty, model).count() == 0
 
 
+def test_toxicity_learns_the_wording_of_a_small_language(spark):
+    """Few places, some of them in clean texts, beside a large language with plain markers."""
+    rng = random.Random(12)
+    word = lambda letters: "".join(rng.choices(letters, k=rng.randint(3, 9)))
+    large, small = [word("abcdefgh") for _ in range(300)], [word("mnopqrst") for _ in range(300)]
+
+    def text(vocab, marks):
+        ws = rng.choices(vocab, k=60)
+        for at, m in zip(rng.sample(range(60), len(marks)), marks):
+            ws[at] = m
+        return "\n".join(" ".join(ws[i:i + 12]) for i in range(0, 60, 12))
+
+    stem = lambda n: ["vorsch" + word("mnopqrst") for _ in range(n)]
+    rows = [(i, text(large, ["slurone", "vilexy"] * (i % 5 == 0)), int(i % 5 == 0)) for i in range(300)]
+    rows += [(400 + i, text(small, stem(4)), 1) for i in range(4)]
+    rows += [(500 + i, text(small, stem(int(i < 4))), 0) for i in range(20)]
+    rows += [(600 + i, text(small, stem(4)), 1) for i in range(10)]
+    rows += [(700 + i, text(small, []), 0) for i in range(10)]
+    df = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, y) for i, _, y in rows], "doc_id long, toxic int")
+    model = toxicity.fit_toxicity(df, labels, F.col("doc_id") < 600)
+    got = by_id(toxicity.toxicity(df, model))
+    assert sum(got[600 + i]["score"] >= 0.3 for i in range(10)) >= 9
+    assert sum(got[700 + i]["score"] >= 0.3 for i in range(10)) <= 1
+    assert {s["begin"] for s in got[600]["spans"]}
+
+
+def test_toxicity_marks_count_equal_texts_once(spark):
+    """Copies of one toxic text are no evidence of their own."""
+    texts = [(i, f"copied insult{i % 3} words stand here", 1) for i in range(60)]
+    rows = [(i, "copied mystery words stand here again", 1) for i in range(100)]
+    rows += [(200 + i, f"plain text number w{i} of many others here", 0) for i in range(60)]
+    rows = rows + [(400 + i, t, y) for i, t, y in texts]
+    df = spark.createDataFrame([r[:2] for r in rows], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, y) for i, _, y in rows], "doc_id long, toxic int")
+    known = toxicity._known_texts(df, labels, None)
+    assert known.count() == 64
+    t = toxicity.Tokens(pa.array(["mystery"], pa.large_string()))
+    marks = toxicity.find_marks(known)
+    assert not np.isin(t.hashes, marks[0]).any()
+
+
 def test_digest_base32_is_the_archives_convention():
     raw = warc.record(1, "http://a", b"abc")
     want = base64.b32encode(hashlib.sha1(b"abc").digest())
