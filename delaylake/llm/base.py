@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import warnings
 from collections.abc import Iterator
 
 import pyarrow as pa
 import zstandard
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
@@ -96,23 +97,39 @@ def crc_bucket(col: str, n: int) -> F.Column:
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, per_class: int,
                     max_bytes: int, where: F.Column | None = None) -> list:
     """Bounded training sample: for each value of ``label`` (0, 1) the first ``per_class``
-    labelled documents in the order of a hash of doc_id, as far as their whole texts sum to
-    at most ``max_bytes``. Rows (text, label); the ids, then the texts, are fetched."""
+    labelled documents with a text in the order of a hash of doc_id, as far as they fit in
+    ``max_bytes``: one that does not fit is passed over, and of a text of over a sixteenth of
+    the bytes only the beginning is taken, so that no text takes the place of all others and a
+    label with texts has a sample. Rows (text, label); ids and sizes, then the texts, are
+    fetched. Warns where a label that occurs has no text."""
     lab = labels.select("doc_id", F.col(label).alias("label")).where(
         F.col("doc_id").isNotNull() & F.col("label").isin(0, 1))
     lab = (lab if where is None else lab.where(where)).groupBy("doc_id").agg(
         F.min("label").alias("label"))
-    order = F.xxhash64("doc_id"), F.col("doc_id")
-    ids = [r for v in (0, 1) for r in lab.where(F.col("label") == v).orderBy(*order).limit(per_class).collect()]
+    texts = docs.select("doc_id", "text", F.xxhash64("text").alias("h")).where(F.col("text").isNotNull())
+    sized = (texts.select("doc_id", "h", F.octet_length("text").alias("size")).join(lab, "doc_id")
+             .groupBy("doc_id", "h", "label").agg(F.min("size").alias("size")))
+    order = F.xxhash64("doc_id"), F.col("doc_id"), F.col("h")
+    longest = max(4, max_bytes // 16)
+    ids = []
+    for v in (0, 1):
+        room = max_bytes
+        rows = sized.where(F.col("label") == v).orderBy(*order).limit(per_class).collect()
+        for r in rows:
+            if min(r["size"], longest) <= room:
+                room -= min(r["size"], longest)
+                ids.append((r["doc_id"], r["h"], v))
+        if not rows and not lab.where(F.col("label") == v).isEmpty():
+            warnings.warn(f"no document labelled {label} = {v} has a text to learn from", stacklevel=2)
     if not ids:
         return []
-    wanted = docs.sparkSession.createDataFrame(ids, lab.schema)
-    picked = (docs.select("doc_id", "text").where(F.col("text").isNotNull())
-              .join(F.broadcast(wanted), "doc_id"))
-    so_far = Window.partitionBy("label").orderBy(*order, "text").rowsBetween(
-        Window.unboundedPreceding, Window.currentRow)
-    return (picked.withColumn("so_far", F.sum(F.octet_length("text")).over(so_far))
-            .where(F.col("so_far") <= max_bytes).select("text", "label").collect())
+    wanted = docs.sparkSession.createDataFrame(ids, sized.select("doc_id", "h", "label").schema)
+    piece = F.when(F.octet_length("text") <= longest, F.col("text")).otherwise(
+        F.substring("text", 1, longest // 4))
+    found = (texts.select("doc_id", "h", piece.alias("text")).join(F.broadcast(wanted), ["doc_id", "h"])
+             .groupBy("doc_id", "h", "label").agg(F.first("text").alias("text")).collect())
+    place = {x[:2]: i for i, x in enumerate(ids)}
+    return sorted(found, key=lambda r: place[r["doc_id"], r["h"]])
 
 
 __all__ = ["BATCH_ROWS", "bounded_batches", "crc_bucket", "ensure_checkpoint_dir", "labelled_sample",

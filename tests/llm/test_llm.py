@@ -17,7 +17,7 @@ from pyspark.sql import functions as F
 from delaylake.llm import bpe, crf, decontaminate, jaccard_join, kd_sharding, langid, quality
 from delaylake.llm import substring_dedup, toxicity, url_filter, warc
 from delaylake.llm import words as W
-from delaylake.llm.base import packed
+from delaylake.llm.base import labelled_sample, packed
 from delaylake.llm.components import components
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -351,6 +351,21 @@ def test_quality_model_tells_content_from_boilerplate(spark):
     assert quality.fit_quality(df, labels.where("quality = 1")) is None
 
 
+def test_labelled_sample_passes_over_long_texts(spark):
+    rows = [(i, "x" * 5000 if i % 2 else "y" * 100 + str(i)) for i in range(40)] + [(50, None), (51, "z" * 900)]
+    df = spark.createDataFrame(rows + rows[:3], "doc_id long, text string")
+    labels = spark.createDataFrame([(i, int(i < 20)) for i in range(40)] + [(50, 1), (99, 1)], "doc_id long, q int")
+    got = labelled_sample(df, labels, "q", 100, 4000)
+    for v in (0, 1):
+        texts = [r["text"] for r in got if r["label"] == v]
+        assert len([t for t in texts if t[0] == "y"]) == 10  # all the short ones, whole
+        assert all(len(t) <= 250 for t in texts) and sum(map(len, texts)) <= 4000
+    only = spark.createDataFrame([(0, 1), (1, 0)], "doc_id long, q int")
+    assert sorted(r["label"] for r in labelled_sample(df, only, "q", 100, 400)) == [0, 1]
+    with pytest.warns(UserWarning, match="q = 1"):
+        assert labelled_sample(df, spark.createDataFrame([(50, 1), (0, 0)], "doc_id long, q int"), "q", 9, 4000)
+
+
 def test_crf_messages_and_viterbi_equal_enumeration():
     rng = np.random.default_rng(1)
     first = np.array([0, 0, 1, 4, 9, 9, 14])
