@@ -10,9 +10,9 @@ Symbols are the bytes of the lower-cased text: a-z and bytes of non-ASCII charac
 sample holds each by themselves, runs of all else (blanks, digits, marks) as one gap. Texts
 are parsed whole, in segments of ``SEGMENT`` symbols.
 
-The sample: per language the first ``per_lang`` labelled documents in the order of a hash of
-doc_id, whole, as long as their bytes sum to at most ``max_bytes`` (one document at least);
-at most ``max_langs`` languages, the most frequent ones.
+The sample: every language has one, of the first ``per_lang`` labelled documents in the order
+of a hash of doc_id, at most ``max_bytes`` each, as long as their bytes sum to at most
+``max_bytes``; where these leave room, the beginnings of longer documents fill it.
 
 Defined results: null texts and texts without a letter are ``und`` with score 0; so are all
 texts when there is no labelled document; with one language all others get it with score 1;
@@ -26,7 +26,7 @@ import uuid
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from delaylake.llm import words as W
@@ -34,39 +34,43 @@ from delaylake.llm.base import bounded_batches
 
 PER_LANG = 200
 MAX_BYTES = 32 << 10
-MAX_LANGS = 64
 SEGMENT = 512
 UNKNOWN = "und"
 _LETTER = W._lut([*range(0x41, 0x5B), *range(0x61, 0x7B)])
 
 
 def training_texts(docs: DataFrame, where: Column, per_lang: int = PER_LANG,
-                   max_bytes: int = MAX_BYTES, max_langs: int = MAX_LANGS) -> dict[str, list[str]]:
+                   max_bytes: int = MAX_BYTES) -> dict[str, list[str]]:
     """The bounded sample: language -> texts."""
-    known = docs.select("doc_id", "lang").where(
+    texts = docs.select("doc_id", "lang", "text", F.xxhash64("text").alias("h")).where(
         F.col("doc_id").isNotNull() & F.col("lang").isNotNull() & F.col("text").isNotNull() & where)
-    langs = [r["lang"] for r in known.groupBy("lang").count().orderBy(F.desc("count"), "lang")
-             .limit(max_langs).collect()]
-    if not langs:
-        return {}
-    order = F.xxhash64("doc_id"), F.col("doc_id")
-    ids = None
-    for lang in langs:
-        part = known.where(F.col("lang") == lang).distinct().orderBy(*order).limit(per_lang)
-        ids = part if ids is None else ids.union(part)
-    picked = docs.sparkSession.createDataFrame(ids.collect(), known.schema)
-    rows = (docs.select("doc_id", "lang", "text").where("text is not null")
-            .join(F.broadcast(picked), ["doc_id", "lang"])
-            .where(F.octet_length("text") <= max_bytes)
-            .orderBy(*order, "text").collect())
-    out: dict[str, dict[str, None]] = {lang: {} for lang in langs}
-    sizes = dict.fromkeys(langs, 0)
+    known = (texts.select("doc_id", "lang", "h", F.octet_length("text").alias("size")).where("size > 0")
+             .groupBy("doc_id", "lang", "h").agg(F.min("size").alias("size")))
+    first = Window.partitionBy("lang").orderBy(
+        F.col("size") > max_bytes, F.xxhash64("doc_id"), F.col("doc_id"), F.col("h"))
+    rows = (known.withColumn("n", F.row_number().over(first)).where(F.col("n") <= per_lang)
+            .orderBy("lang", "n").collect())
+    ids, room, seen = [], {}, set()
     for r in rows:
-        n = len(r["text"].encode())
-        if r["text"] not in out[r["lang"]] and (sizes[r["lang"]] + n <= max_bytes or not sizes[r["lang"]]):
-            out[r["lang"]][r["text"]] = None
-            sizes[r["lang"]] += n
-    return {lang: list(texts) for lang, texts in sorted(out.items()) if texts}
+        left = room.setdefault(r["lang"], max_bytes)
+        n = r["size"] if r["size"] <= max_bytes else left // 4 * 4
+        if 0 < n <= left and (r["lang"], r["h"]) not in seen:
+            seen.add((r["lang"], r["h"]))
+            room[r["lang"]] -= n
+            # a character has at most four bytes
+            ids.append((r["doc_id"], r["lang"], r["h"], r["size"] if r["size"] <= max_bytes else n // 4))
+    if not ids:
+        return {}
+    picked = docs.sparkSession.createDataFrame(
+        ids, known.select("doc_id", "lang", "h", F.col("size").alias("n_chars_taken").cast("int")).schema)
+    found = (texts.join(F.broadcast(picked), ["doc_id", "lang", "h"])
+             .select("doc_id", "lang", "h", F.expr("substring(text, 1, n_chars_taken)").alias("text"))
+             .groupBy("doc_id", "lang", "h").agg(F.first("text").alias("text")).collect())
+    of = {(r["doc_id"], r["lang"], r["h"]): r["text"] for r in found}
+    out: dict[str, list[str]] = {}
+    for i in ids:
+        out.setdefault(i[1], []).append(of[i[:3]])
+    return dict(sorted(out.items()))
 
 
 class Symbols:

@@ -467,6 +467,15 @@ def test_language_of_held_out_texts(spark, empty):
     assert langid.training_texts(empty, F.lit(True)) == {} and langid.identify(empty, texts).count() == 0
 
 
+def test_language_of_long_texts_only_is_learnt(spark):
+    rows = [(i, "kalo mizu " * 20, "aa") for i in range(5)] + [(10 + i, "streng ichö " * 900, "bb") for i in range(5)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    texts = langid.training_texts(df, F.lit(True), max_bytes=4000)
+    assert sorted(texts) == ["aa", "bb"] and all(sum(len(t.encode()) for t in v) <= 4000 for v in texts.values())
+    assert {(r["doc_id"] < 10, r["lang_pred"]) for r in langid.identify(df, texts).collect()} == {
+        (True, "aa"), (False, "bb")}
+
+
 # --- 8 decontamination -------------------------------------------------------------------
 
 def contaminated_by_brute_force(docs, items, n=13):
