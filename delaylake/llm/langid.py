@@ -12,7 +12,8 @@ are parsed whole, in segments of ``SEGMENT`` symbols.
 
 The sample: every language has one, of the first ``per_lang`` labelled documents in the order
 of a hash of doc_id, at most ``max_bytes`` each, as long as their bytes sum to at most
-``max_bytes``; where these leave room, the beginnings of longer documents fill it.
+``max_bytes``; where these leave room, the beginnings of longer documents fill it. Texts are
+parsed against the automata of ``GROUP`` languages at a time.
 
 Defined results: null texts and texts without a letter are ``und`` with score 0; so are all
 texts when there is no labelled document; with one language all others get it with score 1;
@@ -34,6 +35,8 @@ from delaylake.llm.base import bounded_batches
 
 PER_LANG = 200
 MAX_BYTES = 32 << 10
+GROUP = 16
+BLOCK_BYTES = 16 << 20
 SEGMENT = 512
 UNKNOWN = "und"
 _LETTER = W._lut([*range(0x41, 0x5B), *range(0x61, 0x7B)])
@@ -179,42 +182,80 @@ class Parser:
         return out
 
 
-_PARSERS: dict[str, Parser] = {}  # the last one, per Python worker
+_PARSERS: dict[tuple[str, int], Parser] = {}  # the last one, per Python worker
 
 
-def identify(docs: DataFrame, texts: dict[str, list[str]]) -> DataFrame:
+def _blocks(batches):
+    """Lists of slices of ``BLOCK_BYTES`` of text or more, the last one of less."""
+    block, size = [], 0
+    for batch in W.slices(batches, "text"):
+        block.append(batch)
+        size += batch.column("text").nbytes
+        if size >= BLOCK_BYTES:
+            yield block
+            block, size = [], 0
+    if block:
+        yield block
+
+
+def identify(docs: DataFrame, texts: dict[str, list[str]], group: int = GROUP) -> DataFrame:
     """Per row: doc_id, lang_pred, score (1 - fewest / next fewest phrases) and n_phrases
-    (fewest)."""
+    (fewest). With more than ``group`` languages a worker holds the automata of one group at a
+    time and keeps of each row the two fewest counts."""
     spark = docs.sparkSession
     bounded_batches(spark)
-    shared = spark.sparkContext.broadcast(texts)
+    langs = sorted(texts)
+    groups = [{k: texts[k] for k in langs[i:i + group]} for i in range(0, len(langs), group)]
+    shared = spark.sparkContext.broadcast(groups)
     key = uuid.uuid4().hex
 
-    def run(batches):
-        if key not in _PARSERS and shared.value:
+    def parser_of(g):
+        if (key, g) not in _PARSERS:
             _PARSERS.clear()
-            _PARSERS[key] = Parser(shared.value)
-        parser = _PARSERS.get(key)
+            _PARSERS[key, g] = Parser(shared.value[g])
+        return _PARSERS[key, g]
+
+    def single(batches):
         for batch in W.slices(batches, "text"):
-            column = batch.column("text")
-            data, off = W.text_bytes(pc.utf8_lower(column))
-            c = np.concatenate([[0], np.cumsum(_LETTER[data], dtype=np.int64)])
-            letter = c[off[1:]] > c[off[:-1]]
-            for i in np.flatnonzero(~letter & (off[1:] > off[:-1])).tolist():
-                letter[i] = any(ch.isalpha() for ch in column[i].as_py() or "")
-            best = np.zeros(len(letter), np.int64)
-            score, fewest = np.zeros(len(letter)), np.zeros(len(letter), np.int64)
-            if parser:
-                n = parser.phrases(*parser.symbols(data, off))
-                best, fewest = n.argmin(axis=0), n.min(axis=0)
-                rest = np.sort(n, axis=0)[1] if len(n) > 1 else np.zeros(len(letter))
-                score = np.where(rest > 0, 1 - fewest / np.maximum(rest, 1), float(len(n) == 1))
-            ok = letter & (parser is not None)
-            names = parser.langs if parser else [UNKNOWN]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), pa.array([names[b] if o else UNKNOWN for b, o in zip(best, ok)]),
-                 pa.array(np.where(ok, score, 0.0)), pa.array(np.where(ok, fewest, 0))],
-                ["doc_id", "lang_pred", "score", "n_phrases"])
+            yield [batch]
+
+    def run(batches):
+        for block in (single if len(groups) < 2 else _blocks)(batches):
+            states = [None] * len(block)
+            for g in range(len(groups)):
+                parser = parser_of(g)
+                for i, batch in enumerate(block):
+                    data, off = W.text_bytes(pc.utf8_lower(batch.column("text")))
+                    n = parser.phrases(*parser.symbols(data, off))
+                    best, two = n.argmin(axis=0) + g * group, np.sort(n, axis=0)[:2]
+                    if states[i] is not None:
+                        was, before = states[i]
+                        best = np.where(two[0] < before[0], best, was)  # a tie: the first name
+                        two = np.sort(np.concatenate([before, two]), axis=0)[:2]
+                    states[i] = best, two
+            for batch, state in zip(block, states):
+                yield named(batch, state)
+
+    def named(batch, state):
+        column = batch.column("text")
+        data, off = W.text_bytes(pc.utf8_lower(column))
+        c = np.concatenate([[0], np.cumsum(_LETTER[data], dtype=np.int64)])
+        letter = c[off[1:]] > c[off[:-1]]
+        for i in np.flatnonzero(~letter & (off[1:] > off[:-1])).tolist():
+            letter[i] = any(ch.isalpha() for ch in column[i].as_py() or "")
+        best = np.zeros(len(letter), np.int64)
+        score, fewest = np.zeros(len(letter)), np.zeros(len(letter), np.int64)
+        if state is not None:
+            best, two = state
+            fewest = two[0]
+            rest = two[1] if len(two) > 1 else np.zeros(len(letter))
+            score = np.where(rest > 0, 1 - fewest / np.maximum(rest, 1), float(len(langs) == 1))
+        ok = letter & (state is not None)
+        names = langs or [UNKNOWN]
+        return pa.RecordBatch.from_arrays(
+            [batch.column("doc_id"), pa.array([names[b] if o else UNKNOWN for b, o in zip(best, ok)]),
+             pa.array(np.where(ok, score, 0.0)), pa.array(np.where(ok, fewest, 0))],
+            ["doc_id", "lang_pred", "score", "n_phrases"])
 
     plain = docs.select("doc_id", "text")
     kind = plain.schema["doc_id"].dataType.simpleString()

@@ -476,6 +476,19 @@ def test_language_of_long_texts_only_is_learnt(spark):
         (True, "aa"), (False, "bb")}
 
 
+def test_all_languages_are_learnt_in_groups(spark):
+    rng = random.Random(5)
+    syllables = ["".join(rng.choices("abcdefghijklmnopqrstuvwxyz", k=3)) for _ in range(210)]
+    rows = [(10 * k + i, "".join(rng.choices(syllables[3 * k:3 * k + 3], k=40)), f"l{k:02d}")
+            for k in range(70) for i in range(4)]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    texts = langid.training_texts(df, F.col("doc_id") % 10 < 3)
+    assert len(texts) == 70
+    got = {g: [tuple(r) for r in langid.identify(df, texts, g).orderBy("doc_id").collect()] for g in (16, 100)}
+    assert got[16] == got[100]
+    assert [r[1] for r in got[16]] == [lang for _, _, lang in rows]
+
+
 # --- 8 decontamination -------------------------------------------------------------------
 
 def contaminated_by_brute_force(docs, items, n=13):
