@@ -108,14 +108,20 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).exists(p)
 
 
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete one folder that this process wrote."""
+    p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
+    p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
+    if path in _MADE:
+        _MADE.remove(path)
+
+
 def release_scratch(spark: SparkSession) -> None:
     """Delete the scratch tables this process wrote (call it when their readers
     are done; tables shared between queries go too and are rewritten on the
     next use)."""
-    for path in _MADE:
-        p = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(path)
-        p.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(p, True)
-    _MADE.clear()
+    for path in list(_MADE):
+        delete_path(spark, path)
 
 
 def materialize(df: DataFrame, name: str = "table") -> DataFrame:
