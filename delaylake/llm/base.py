@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from delaylake.llm import words as W
-from delaylake.session import ensure_checkpoint_dir, scratch_path
+from delaylake.session import delete_path, ensure_checkpoint_dir, scratch_path
 
 BATCH_ROWS = 1000
 
@@ -32,6 +32,26 @@ def staged(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+class Scratch:
+    """Tables that an operator writes under the shared checkpoint folder, each deleted when its
+    last reader is done. A written table cuts the lineage and survives lost executors."""
+
+    def __init__(self, spark: SparkSession):
+        self.spark = spark
+        self.paths: dict[str, list[str]] = {}
+
+    def write(self, name: str, df: DataFrame) -> DataFrame:
+        path = scratch_path(self.spark, name)
+        df.write.parquet(path)
+        self.paths.setdefault(name, []).append(path)
+        return self.spark.read.schema(df.schema).parquet(path)
+
+    def drop(self, *names: str) -> None:
+        for name in names:
+            for path in self.paths.pop(name, []):
+                delete_path(self.spark, path)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
@@ -132,5 +152,5 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, per_class: i
     return sorted(found, key=lambda r: place[r["doc_id"], r["h"]])
 
 
-__all__ = ["BATCH_ROWS", "bounded_batches", "crc_bucket", "ensure_checkpoint_dir", "labelled_sample",
+__all__ = ["BATCH_ROWS", "Scratch", "bounded_batches", "crc_bucket", "ensure_checkpoint_dir", "labelled_sample",
            "packed", "restored", "schema_ddl", "scratch_path", "staged", "table", "unpacked"]

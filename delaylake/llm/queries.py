@@ -12,6 +12,7 @@ from delaylake.llm import decontaminate as op8
 from delaylake.llm import jaccard_join as op3
 from delaylake.llm import kd_sharding as op6
 from delaylake.llm import langid as op7
+from delaylake.llm import odd_sketch as op12
 from delaylake.llm import quality as op5
 from delaylake.llm import substring_dedup as op1
 from delaylake.llm import toxicity as op10
@@ -57,6 +58,10 @@ SELECT a AS doc_id, CAST(coalesce(any_value(n.n), 0) AS BIGINT) AS n_shingles, m
 FROM r LEFT JOIN n ON n.doc_id = r.a GROUP BY a
 """
 
+ODD_SKETCH_SQL = f"""SELECT *, doc_id = component_id AS kept
+FROM ({JACCARD_JOIN_SQL.replace("100 * n_both >= 75", "100 * n_both >= 85")})
+"""
+
 DECONTAMINATE_SQL = r"""
 WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
              'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
@@ -135,6 +140,10 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 
+def op12_odd_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op12.near_dedup(table(spark, sf_dir, "documents"))
+
+
 def tokenizer_path() -> str:
     import public_tokenizers
 
@@ -158,6 +167,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_decontaminate": op8_decontaminate,
     "op9_url_filter": op9_url_filter,
     "op10_toxicity": op10_toxicity,
+    "op12_odd_sketch": op12_odd_sketch,
 }
 
 SQL: dict[str, str] = {
@@ -165,4 +175,5 @@ SQL: dict[str, str] = {
     "op2_warc": WARC_SQL,
     "op3_jaccard_join": JACCARD_JOIN_SQL,
     "op8_decontaminate": DECONTAMINATE_SQL,
+    "op12_odd_sketch": ODD_SKETCH_SQL,
 }
