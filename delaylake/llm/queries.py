@@ -12,6 +12,7 @@ from delaylake.llm import decontaminate as op8
 from delaylake.llm import jaccard_join as op3
 from delaylake.llm import kd_sharding as op6
 from delaylake.llm import langid as op7
+from delaylake.llm import lexical_search as op13
 from delaylake.llm import odd_sketch as op12
 from delaylake.llm import quality as op5
 from delaylake.llm import substring_dedup as op1
@@ -62,6 +63,25 @@ ODD_SKETCH_SQL = f"""SELECT *, doc_id = component_id AS kept
 FROM ({JACCARD_JOIN_SQL.replace("100 * n_both >= 75", "100 * n_both >= 85")})
 """
 
+LEXICAL_SEARCH_SQL = r"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, regexp_extract_all(translate(coalesce(text, ''),
+             'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+             '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS w FROM documents),
+s AS (SELECT count(*) AS n_docs, CAST(sum(len(w)) AS BIGINT) AS n_terms FROM d WHERE len(w) > 0),
+q AS (SELECT DISTINCT item_id, unnest(regexp_extract_all(translate(coalesce(text, ''),
+        'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+        '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS t FROM benchmark WHERE item_id IS NOT NULL),
+f AS (SELECT r, t, count(*) AS tf FROM (SELECT r, unnest(w) AS t FROM d) GROUP BY ALL),
+k AS (SELECT t, CAST(floor(1000 * ln((2 * any_value(n_docs) + 2) / (2 * count(*) + 1))) AS BIGINT) AS w
+      FROM f, s GROUP BY t),
+p AS (SELECT item_id, f.r, doc_id, CAST(sum(k.w * ((1000000000 * tf) // (1000 * tf
+        + 20 * (100 - 50 + (50 * len(d.w) * n_docs) // n_terms)))) AS BIGINT) AS score
+      FROM q JOIN f USING (t) JOIN k USING (t) JOIN d ON d.r = f.r, s GROUP BY item_id, f.r, doc_id),
+o AS (SELECT item_id, row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS rank, doc_id, score
+      FROM p WHERE score > 0)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM o WHERE rank <= 50
+"""
+
 DECONTAMINATE_SQL = r"""
 WITH d AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
              'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS w FROM documents),
@@ -144,6 +164,10 @@ def op12_odd_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op12.near_dedup(table(spark, sf_dir, "documents"))
 
 
+def op13_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op13.search(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def tokenizer_path() -> str:
     import public_tokenizers
 
@@ -168,6 +192,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_url_filter": op9_url_filter,
     "op10_toxicity": op10_toxicity,
     "op12_odd_sketch": op12_odd_sketch,
+    "op13_lexical_search": op13_lexical_search,
 }
 
 SQL: dict[str, str] = {
@@ -176,4 +201,5 @@ SQL: dict[str, str] = {
     "op3_jaccard_join": JACCARD_JOIN_SQL,
     "op8_decontaminate": DECONTAMINATE_SQL,
     "op12_odd_sketch": ODD_SKETCH_SQL,
+    "op13_lexical_search": LEXICAL_SEARCH_SQL,
 }
