@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from delaylake.llm import bpe as op4
+from delaylake.llm import conversation_trie as op11
 from delaylake.llm import decontaminate as op8
 from delaylake.llm import jaccard_join as op3
 from delaylake.llm import kd_sharding as op6
@@ -59,6 +60,31 @@ SELECT a AS doc_id, CAST(coalesce(any_value(n.n), 0) AS BIGINT) AS n_shingles, m
 FROM r LEFT JOIN n ON n.doc_id = r.a GROUP BY a
 """
 
+CONVERSATION_TRIE_SQL = """
+WITH RECURSIVE o AS (SELECT conv_id, {'r': coalesce(role, ''), 't': coalesce(text, '')} AS turn_, row_number()
+    OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, coalesce(role, ''), coalesce(text, '')) AS p
+  FROM conversations WHERE conv_id IS NOT NULL),
+l AS (SELECT conv_id, list(turn_ ORDER BY p) AS ts FROM o GROUP BY conv_id),
+-- crc32, bit by bit: each byte is added at its first of eight shifts
+x AS (SELECT conv_id, CAST(conv_id AS VARCHAR) AS s, 0 AS i, CAST(4294967295 AS BIGINT) AS z FROM l
+  UNION ALL SELECT conv_id, s, i + 1, CASE WHEN y & 1 = 1 THEN xor(y >> 1, 3988292384) ELSE y >> 1 END
+  FROM (SELECT *, CASE WHEN i % 8 = 0 THEN xor(z, ascii(s[i // 8 + 1])) ELSE z END AS y FROM x WHERE i < 8 * len(s))),
+h AS (SELECT conv_id, CAST(xor(z, 4294967295) % 6 AS INTEGER) AS h FROM x WHERE i = 8 * len(s)),
+c AS (SELECT l.conv_id, list_concat(coalesce(b.ts, [])[1:h], l.ts[h + 1:]) AS ts
+  FROM l JOIN h USING (conv_id) LEFT JOIN l b ON b.conv_id = l.conv_id - l.conv_id % 100),
+m AS (SELECT conv_id, len(ts) AS n, d, ts[1:d] AS k FROM (SELECT *, unnest(range(0, len(ts) + 1)) AS d FROM c)),
+n AS (SELECT min(conv_id) AS c, d, k, count(*) AS n_convs, count(*) FILTER (n = d) AS n_ends,
+    string_agg(CAST(conv_id AS VARCHAR), ',' ORDER BY conv_id) FILTER (n = d) AS ends FROM m GROUP BY d, k),
+e AS (SELECT n.*, p.c AS pc, (n.n_convs - 1) * CASE WHEN n.d = 0 THEN 0 ELSE length(n.k[n.d].t) END AS saved
+  FROM n LEFT JOIN n p ON p.d = n.d - 1 AND p.k = n.k[1:n.d - 1]),
+f AS (SELECT c, d, (SELECT count(*) FROM e z WHERE z.d = e.d + 1 AND z.pc = e.c) AS kids FROM e),
+w AS (SELECT a.c, a.d, count(*) FILTER (f.kids = 0) AS n_leaves, sum(b.saved) AS saved
+  FROM e a JOIN e b ON b.d >= a.d AND b.k[1:a.d] = a.k JOIN f ON f.c = b.c AND f.d = b.d GROUP BY a.c, a.d)
+SELECT e.c AS conv_id, CAST(e.d AS BIGINT) AS depth, e.pc AS parent_conv_id, e.n_convs, f.kids AS n_children,
+  w.n_leaves, CAST(w.saved AS BIGINT) AS saved_tokens, sha256(coalesce(e.ends, '')) AS ends_sha256
+FROM e JOIN f ON f.c = e.c AND f.d = e.d JOIN w ON w.c = e.c AND w.d = e.d
+"""
+
 ODD_SKETCH_SQL = f"""SELECT *, doc_id = component_id AS kept
 FROM ({JACCARD_JOIN_SQL.replace("100 * n_both >= 75", "100 * n_both >= 85")})
 """
@@ -160,6 +186,10 @@ def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("score") >= 0.3).cast("int").alias("predicted"))
 
 
+def op11_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return op11.conversation_trie(table(spark, sf_dir, "conversations"))
+
+
 def op12_odd_sketch(spark: SparkSession, sf_dir: str) -> DataFrame:
     return op12.near_dedup(table(spark, sf_dir, "documents"))
 
@@ -191,6 +221,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_decontaminate": op8_decontaminate,
     "op9_url_filter": op9_url_filter,
     "op10_toxicity": op10_toxicity,
+    "op11_conversation_trie": op11_conversation_trie,
     "op12_odd_sketch": op12_odd_sketch,
     "op13_lexical_search": op13_lexical_search,
 }
@@ -200,6 +231,7 @@ SQL: dict[str, str] = {
     "op2_warc": WARC_SQL,
     "op3_jaccard_join": JACCARD_JOIN_SQL,
     "op8_decontaminate": DECONTAMINATE_SQL,
+    "op11_conversation_trie": CONVERSATION_TRIE_SQL,
     "op12_odd_sketch": ODD_SKETCH_SQL,
     "op13_lexical_search": LEXICAL_SEARCH_SQL,
 }
