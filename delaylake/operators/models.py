@@ -14,17 +14,18 @@ from collections.abc import Sequence
 from dataclasses import dataclass
 
 from pyspark.ml import Pipeline, PipelineModel
-from pyspark.ml.classification import (GBTClassifier, LinearSVC, LogisticRegression,
-                                       LogisticRegressionModel, RandomForestClassifier)
+from pyspark.ml.classification import GBTClassifier, RandomForestClassifier
 from pyspark.ml.feature import OneHotEncoder, StringIndexer, VectorAssembler
-from pyspark.ml.functions import vector_to_array
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.ml.regression import GBTRegressor
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from delaylake.functions import columns as C
 from delaylake.functions import constants as K
-from delaylake.session import path_exists
+from delaylake.operators.sampling import folded_counts
+from delaylake.operators.svm import (LinearMember, complete, encoded, fit_inputs, member_margin, sigmoid,
+                                     squared_hinge)
+from delaylake.session import materialize, path_exists
 
 log = logging.getLogger(__name__)
 
@@ -77,103 +78,62 @@ def rf_classifier(train: DataFrame, num_trees: int = 50, max_depth: int = 10,
 class CalibratedSVM:
     """Linear SVMs, one per fold, each with a sigmoid fitted on its held-out
     fold (Platt scaling); the probability is the mean of the calibrated
-    probabilities, as scikit-learn's CalibratedClassifierCV does by default."""
-    members: list          # [(svm PipelineModel, calibrator, tag)]
+    probabilities, as scikit-learn's CalibratedClassifierCV does by default.
+    Scoring is a column expression; rows with a missing numeric input are left out."""
+    members: list[LinearMember]
 
     def transform(self, df: DataFrame) -> DataFrame:
-        from pyspark.ml.functions import array_to_vector
-        out = df
-        probs = []
-        for svm, cal, tag in self.members:
-            out = svm.transform(out)
-            out = out.withColumn(f"__margin{tag}", array_to_vector(
-                F.array(vector_to_array(f"raw{tag}")[1])))
-            out = cal.transform(out)
-            probs.append(vector_to_array(f"prob{tag}")[1])
+        out = complete(df, list(self.members[0].numeric))
+        probs = [m.probability() for m in self.members]
         p = sum(probs[1:], probs[0]) / len(probs)
-        helper = [c for c in out.columns if c not in df.columns]
-        return (out.withColumn("__p", p).drop(*helper)
+        return (out.withColumn("__p", p)
                    .withColumn("probability", array_to_vector(F.array(1 - F.col("__p"), F.col("__p"))))
                    .withColumn("prediction", (F.col("__p") >= 0.5).cast("double"))
                    .drop("__p"))
 
     def save(self, path: str) -> None:
-        """Each member's two models under ``path``, and their tags in order."""
-        path = path.rstrip("/")
-        for svm, cal, tag in self.members:
-            svm.write().overwrite().save(f"{path}/svm{tag}")
-            cal.write().overwrite().save(f"{path}/sigmoid{tag}")
-        spark = SparkSession.active()
-        tags = spark.createDataFrame([(i, m[2]) for i, m in enumerate(self.members)], "i int, tag string")
-        tags.coalesce(1).write.mode("overwrite").json(f"{path}/{_MEMBERS}")
+        """The members' weights under ``path``: a row for each input of each member."""
+        rows = [r for i, m in enumerate(self.members) for r in m.rows(i)]
+        (SparkSession.active().createDataFrame(rows, LinearMember.ROWS).coalesce(1)
+         .write.mode("overwrite").json(f"{path.rstrip('/')}/{_MEMBERS}"))
 
     @classmethod
     def load(cls, path: str) -> CalibratedSVM:
-        path = path.rstrip("/")
-        rows = SparkSession.active().read.schema("i int, tag string").json(f"{path}/{_MEMBERS}")
-        tags = [r["tag"] for r in rows.orderBy("i").collect()]
-        return cls([(PipelineModel.load(f"{path}/svm{t}"),
-                     LogisticRegressionModel.load(f"{path}/sigmoid{t}"), t) for t in tags])
+        rows = SparkSession.active().read.schema(LinearMember.ROWS).json(f"{path.rstrip('/')}/{_MEMBERS}").collect()
+        return cls([LinearMember.from_rows([r for r in rows if r["member"] == i])
+                    for i in sorted({r["member"] for r in rows})])
 
 
 _MEMBERS = "members"
 
 
-def svm_calibrated(train: DataFrame, keys: Sequence[str], reg_param: float | None = None,
-                   C_: float = 0.1, balanced: bool = True, folds: int = 3, max_iter: int = 50,
-                   tol: float = 1e-4, seed: int = K.SEED, label: str = "delay_label",
-                   numeric: Sequence[str] = tuple(CLASSIFIER_NUMERIC),
+def svm_calibrated(train: DataFrame, keys: Sequence[str], C_: float = 0.1, balanced: bool = True,
+                   folds: int = 3, max_iter: int = 50, tol: float = 1e-6, seed: int = K.SEED,
+                   label: str = "delay_label", numeric: Sequence[str] = tuple(CLASSIFIER_NUMERIC),
                    cats: Sequence[str] = tuple(K.CATEGORICAL_COLS)) -> CalibratedSVM:
-    """LinearSVC + sigmoid calibration over ``folds`` folds.
-
-    ``C_`` is the soft-margin constant of a loss *sum*; MLlib minimises the
-    weighted *mean* loss + regParam/2 |w|^2, so regParam = 1 / (C * n) over the n
-    rows a member is fitted on (after the assembler has skipped rows with a
-    missing input), whose balanced weights n / (2 n_label) sum to n. The
-    reference's solver minimises the squared hinge loss, MLlib the hinge loss:
-    the margins differ somewhat, the calibrated probabilities little.
-
-    Folds come from a stable hash of ``keys`` (the reference's are stratified by
-    label; hashing gives each fold about the same label shares on large data and
-    needs no shuffle). For each fold an SVM is fitted on the other folds and a
-    logistic regression on its margins over the held-out fold calibrates it;
-    scoring averages the members' calibrated probabilities. Numeric inputs are
-    standardised inside each pipeline. ``tol`` is the reference solver's default
-    stopping tolerance (MLlib's own default, 1e-6, runs many more passes for no
-    visible change).
+    """Linear SVM (squared hinge, L2, cost ``C_`` on the loss sum, balanced class weights) with
+    sigmoid calibration over ``folds`` folds, on inputs standardised over all training rows.
+
+    The folds are stratified by label (``sampling.stratified_folds``). A member is fitted on
+    the rows of the other folds, its sigmoid on the margins of its own; all members are fitted
+    together, one aggregate a step (``operators.svm``). The encoded rows are written once.
     """
-    from pyspark.ml.feature import StandardScaler
-    from pyspark.ml.functions import array_to_vector
-
-    from delaylake.operators.features import with_class_weights
-    fold = (C.md5_bucket(C.hash_key(list(keys), seed)) % folds)
-    t = train.withColumn("__fold", fold)
-    members = []
-    for k in range(folds):
-        tag = f"_f{k}"
-        st = encode_stages(cats=cats, numeric=numeric, out=f"rawf{tag}", tag=tag)
-        encoder = Pipeline(stages=st).fit(t.where(F.col("__fold") != k))
-        rows = encoder.transform(t.where(F.col("__fold") != k))
-        kw = {}
-        if balanced:
-            rows = with_class_weights(rows, label, "__w")
-            kw = {"weightCol": "__w"}
-        reg = reg_param if reg_param is not None else 1.0 / (C_ * max(rows.count(), 1))
-        scaler = StandardScaler(inputCol=f"rawf{tag}", outputCol=f"feat{tag}",
-                                withMean=True, withStd=True)
-        svc = LinearSVC(labelCol=label, featuresCol=f"feat{tag}", regParam=reg,
-                        maxIter=max_iter, tol=tol, rawPredictionCol=f"raw{tag}",
-                        predictionCol=f"pred{tag}", **kw)
-        fitted = Pipeline(stages=[scaler, svc]).fit(rows)
-        svm = PipelineModel(stages=[*encoder.stages, *fitted.stages])
-        held = svm.transform(t.where(F.col("__fold") == k))
-        held = held.select(F.col(label).alias("__y"), array_to_vector(
-            F.array(vector_to_array(f"raw{tag}")[1])).alias(f"__margin{tag}"))
-        cal = LogisticRegression(labelCol="__y", featuresCol=f"__margin{tag}",
-                                 rawPredictionCol=f"calraw{tag}", probabilityCol=f"prob{tag}",
-                                 predictionCol=f"calpred{tag}").fit(held)
-        members.append((svm, cal, tag))
-    return CalibratedSVM(members)
+    inputs = fit_inputs(complete(train, numeric), numeric, cats)
+    usable = complete(train, numeric).where(F.col(label).isNotNull())
+    # equal rows are one, with a count: a group of copies costs one row a fold
+    rows = folded_counts(usable.select(*dict.fromkeys([*keys, label, *numeric, *cats])), label, keys, folds, seed)
+    rows = materialize(encoded(rows, inputs, label, ["fold", "n"]), "svm-rows")
+    n = {(r["fold"], r["y"]): r["n"] for r in rows.groupBy("fold", "y").agg(F.sum("n").alias("n")).collect()}
+    per = [[sum(c for (f, y), c in n.items() if f != k and y == s) for s in (-1, 1)] for k in range(folds)]
+    share = [[float((low + high) / (2 * x)) if balanced and x else 1.0 for x in (low, high)] for low, high in per]
+    others = F.filter(F.sequence(F.lit(0), F.lit(folds - 1)), lambda k: k != F.col("fold"))
+    weight = F.lit([w for pair in share for w in pair])[2 * F.col("member") + F.when(F.col("y") > 0, 1).otherwise(0)]
+    fit = rows.withColumn("member", F.explode(others)).withColumn("c", F.col("n") * weight)
+    theta = squared_hinge(fit, inputs, folds, C_, max_iter, tol)
+    beta = theta @ inputs.scaling()
+    held = rows.select(F.col("fold").alias("member"), "y", "n", member_margin(inputs, beta, F.col("fold")).alias("f"))
+    curve = sigmoid(held, folds, max_iter)
+    return CalibratedSVM([LinearMember.of(inputs, theta[k], *curve[k]) for k in range(folds)])
 
 
 def skipped_rows(df: DataFrame, numeric: Sequence[str] = tuple(CLASSIFIER_NUMERIC)) -> DataFrame:

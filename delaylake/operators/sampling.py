@@ -186,6 +186,40 @@ def split_stratified(df: DataFrame, label: str, keys: Sequence[str], frac: float
             flagged.where(~F.col("__take")).drop("__take"))
 
 
+def folded_counts(df: DataFrame, label: str, keys: Sequence[str], folds: int = 3,
+                  seed: int = K.SEED) -> DataFrame:
+    """Distinct rows with ``fold`` (0 to folds - 1) and ``n``, how many copies are in it.
+
+    A row's fold is its rank by (hash, keys, other columns) within its label, modulo the
+    number of folds, so the label counts of two folds differ by at most one. Ranks come from a
+    histogram of hash buckets for each label; inside a bucket, distinct rows are ranked with
+    their multiplicity, and a group of copies is dealt over the folds by arithmetic.
+    """
+    cols = df.columns
+    one = with_hash(df.groupBy(*cols).agg(F.count(F.lit(1)).alias("__m")), keys, seed)
+    one = materialize(one, "hashed")
+    hist = one.groupBy(label, "__b").agg(F.sum("__m").alias("__cnt"))
+    before = (Window.partitionBy(label).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1))
+    start = hist.select(F.col(label).alias("__l"), F.col("__b").alias("__lb"),
+                        F.coalesce(F.sum("__cnt").over(before), F.lit(0)).alias("__start"))
+    other = [c for c in cols if c not in keys and c != label]
+    inside = (Window.partitionBy(label, "__b").orderBy("__h", *keys, *other)
+              .rowsBetween(Window.unboundedPreceding, -1))
+    ranked = (one.withColumn("__in", F.coalesce(F.sum("__m").over(inside), F.lit(0)))
+              .join(start, F.col(label).eqNullSafe(F.col("__l")) & (F.col("__b") == F.col("__lb")))
+              .withColumn("__r", F.col("__start") + F.col("__in")))
+    ranked = ranked.withColumn("fold", F.explode(F.sequence(F.lit(0), F.lit(folds - 1))))
+    upto = lambda end: F.floor((end - 1 - F.col("fold")) / folds)
+    n = (upto(F.col("__r") + F.col("__m")) - upto(F.col("__r"))).cast("long")
+    return ranked.select(*cols, "fold", n.alias("n")).where("n > 0")
+
+
+def stratified_folds(df: DataFrame, label: str, keys: Sequence[str], folds: int = 3,
+                     seed: int = K.SEED) -> DataFrame:
+    """``df`` with ``fold``, stratified by label (see :func:`folded_counts`)."""
+    return replicate(folded_counts(df, label, keys, folds, seed), "n").drop("n")
+
+
 def union_parts(*dfs: DataFrame, allow_missing: bool = True) -> DataFrame:
     """Stack tables by column name; a column absent from one side is null."""
     out = dfs[0]

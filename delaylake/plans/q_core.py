@@ -634,6 +634,15 @@ FROM bal_d WHERE Arr_Delay <= 15
 """
 
 
+@query("stratified_folds", W(f"""
+SELECT {KS}, delay_label, CAST((row_number() OVER (PARTITION BY delay_label
+         ORDER BY {_fine_sql(KEY)}, {KS}) - 1) % 3 AS INTEGER) AS fold
+FROM f_label"""))
+def q_stratified_folds(spark, sf):
+    f = X.f_label(spark, sf).select(*KEY, "delay_label")
+    return S.stratified_folds(f, "delay_label", KEY, 3)
+
+
 @query("balanced_sample", W(f"""
 SELECT {KS}, Arr_Delay FROM bal_d WHERE Arr_Delay > 15
 UNION ALL
