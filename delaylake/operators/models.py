@@ -26,6 +26,7 @@ from delaylake.operators.sampling import folded_counts
 from delaylake.operators.svm import (LinearMember, complete, encoded, fit_inputs, member_margin, sigmoid,
                                      squared_hinge)
 from delaylake.session import materialize, path_exists
+from delaylake.sources.publish import current, publish
 
 log = logging.getLogger(__name__)
 
@@ -170,6 +171,30 @@ def load_model(path: str) -> PipelineModel | CalibratedSVM:
     return PipelineModel.load(path)
 
 
+def publish_model(model: PipelineModel | CalibratedSVM, base: str) -> str:
+    """The model as a new version of ``base``: complete before any reader is pointed to it."""
+    return publish(SparkSession.active(), base, lambda path: save_model(model, path))
+
+
+def load_published(base: str) -> PipelineModel | CalibratedSVM:
+    path = current(SparkSession.active(), base)
+    if path is None:
+        raise FileNotFoundError(f"no model is published at {base}")
+    return load_model(path)
+
+
+def load_first_published(bases: Sequence[tuple[str, str]]) -> tuple[PipelineModel | CalibratedSVM, str]:
+    """The first published model of ``bases`` (base, name); returns (model, name).
+
+    A base without a published version falls through to the next, with a warning, also where a
+    write was cut off half way; a published model that cannot be read is an error."""
+    for base, name in bases:
+        if current(SparkSession.active(), base) is not None:
+            return load_published(base), name
+        log.warning("model %s is not published at %s; trying the next one", name, base)
+    raise FileNotFoundError(f"no model at any of {[b for b, _ in bases]}")
+
+
 def load_first(paths: Sequence[tuple[str, str]]) -> tuple[PipelineModel | CalibratedSVM, str]:
     """The first model of ``paths`` (path, name) that exists; returns (model, name).
 

@@ -144,10 +144,14 @@ def q_rf_classifier_balanced(spark, sf):
                     (F.col("p").between(0, 1) & ((label == 1) == (F.col("p") > 0.6))).alias("threshold_kept"))
 
 
+def svm_model(spark, sf):
+    train, _ = _split(spark, sf)
+    return _once(spark, sf, "svm", lambda: M.svm_calibrated(train, KEY, folds=3))
+
+
 @query("svm_calibrated", _CHECKED_SQL)
 def q_svm_calibrated(spark, sf):
-    train, test = _split(spark, sf)
-    return _checked(M.svm_calibrated(train, KEY, folds=3), train, test)
+    return _checked(svm_model(spark, sf), *_split(spark, sf))
 
 
 @query("model_auc", W("SELECT true AS better_than_chance"))

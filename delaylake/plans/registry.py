@@ -31,7 +31,7 @@ def _load() -> None:
     global _LOADED
     if not _LOADED:
         _LOADED = True
-        from delaylake.plans import q_chains, q_core, q_dashboard, q_features, q_models  # noqa: F401
+        from delaylake.plans import q_chains, q_core, q_dashboard, q_features, q_io, q_models  # noqa: F401
 
 
 def queries() -> dict[str, QueryFn]:

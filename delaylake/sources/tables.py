@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from delaylake.session import materialize
+from delaylake.sources.publish import current, publish, publish_table
 
 # Tables the driver ships (one parquet file each under an sf directory).
 DRIVER_TABLES = (
@@ -234,7 +235,33 @@ def write_features(df: DataFrame, path: str, features: str = "features",
     write_table(df.select(features, label), path)
 
 
+def publish_features(df: DataFrame, base: str, features: str = "features",
+                     label: str = "delay_label") -> str:
+    """The feature table as a new version of ``base``: readers keep the old one until the write
+    has ended (see ``sources.publish``)."""
+    return publish_table(df.select(features, label), base)
+
+
 def write_lookups(lookups: dict[str, DataFrame], base: str, fmt: str = "parquet") -> None:
     """Write each lookup table under ``base/<name>``."""
     for name, df in lookups.items():
         write_table(df, f"{base.rstrip('/')}/{name}", fmt=fmt)
+
+
+def publish_lookups(lookups: dict[str, DataFrame], base: str) -> str:
+    """All lookup tables as one new version of ``base``: a reader never mixes the tables of two
+    runs, and sees none of a run that failed between them."""
+    spark = next(iter(lookups.values())).sparkSession
+
+    def write(path: str) -> None:
+        for name, df in lookups.items():
+            df.write.parquet(f"{path}/{name}")
+
+    return publish(spark, base, write)
+
+
+def read_lookup(spark: SparkSession, base: str, name: str) -> DataFrame:
+    path = current(spark, base)
+    if path is None:
+        raise FileNotFoundError(f"no lookups are published at {base}")
+    return spark.read.parquet(f"{path}/{name}")
