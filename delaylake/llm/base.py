@@ -114,6 +114,19 @@ def crc_bucket(col: str, n: int) -> F.Column:
     return F.pmod(F.crc32(F.col(col).cast("string")), F.lit(n))
 
 
+def text_slices(texts: list[str], max_bytes: int = W.SLICE_BYTES) -> Iterator[slice]:
+    """Ranges of a list of texts of about ``max_bytes`` each (one text at least), so that a
+    fitting sample is taken apart piece by piece."""
+    a = size = 0
+    for i, t in enumerate(texts):
+        if i > a and size + len(t) > max_bytes:
+            yield slice(a, i)
+            a, size = i, 0
+        size += len(t)
+    if len(texts) > a:
+        yield slice(a, len(texts))
+
+
 def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, per_class: int,
                     max_bytes: int, where: F.Column | None = None) -> list:
     """Bounded training sample: for each value of ``label`` (0, 1) the first ``per_class``
@@ -153,4 +166,4 @@ def labelled_sample(docs: DataFrame, labels: DataFrame, label: str, per_class: i
 
 
 __all__ = ["BATCH_ROWS", "Scratch", "bounded_batches", "crc_bucket", "ensure_checkpoint_dir", "labelled_sample",
-           "packed", "restored", "schema_ddl", "scratch_path", "staged", "table", "unpacked"]
+           "packed", "restored", "schema_ddl", "scratch_path", "staged", "table", "text_slices", "unpacked"]

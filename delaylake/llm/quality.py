@@ -20,7 +20,7 @@ from pyspark.sql import DataFrame
 
 from delaylake.llm import crf
 from delaylake.llm import words as W
-from delaylake.llm.base import bounded_batches, labelled_sample, schema_ddl
+from delaylake.llm.base import bounded_batches, labelled_sample, schema_ddl, text_slices
 
 MIN_WORDS = 20
 MAX_REPEAT_PERCENT = 30
@@ -153,10 +153,15 @@ def fit_quality(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS,
                  labelled_sample(docs, labels, "quality", per_class, max_bytes)}.values())
     if len({r["label"] for r in rows}) < 2:
         return None
-    lines = Lines(pa.array([r["text"] for r in rows], pa.large_string()))
-    bad = np.array([r["label"] == 0 for r in rows])
-    labels_ = bad[W.row_of(lines.first, len(lines.begin))]
-    return crf.fit(lines.slots, labels_, lines.first, N_FEATURES)
+    texts, bad = [r["text"] for r in rows], np.array([r["label"] == 0 for r in rows])
+    del rows
+    slots, lines = [], []
+    for part in text_slices(texts):
+        x = Lines(pa.array(texts[part], pa.large_string()))
+        slots.append(x.slots.astype(np.int16))
+        lines.append(np.diff(x.first))
+    lines = np.concatenate(lines)
+    return crf.fit(np.concatenate(slots), np.repeat(bad, lines), np.concatenate([[0], np.cumsum(lines)]), N_FEATURES)
 
 
 _RESULT = ("n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, "

@@ -40,7 +40,7 @@ from pyspark.sql import functions as F
 
 from delaylake.llm import crf
 from delaylake.llm import words as W
-from delaylake.llm.base import bounded_batches, labelled_sample, packed, restored, staged
+from delaylake.llm.base import bounded_batches, labelled_sample, packed, restored, staged, text_slices
 
 PER_CLASS = 2000
 MAX_BYTES = 5 << 20
@@ -313,7 +313,7 @@ def _pieces(known: DataFrame, marks: list[np.ndarray], rare: np.ndarray) -> list
 def _fit_lines(t: Tokens, at: np.ndarray, number: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Features and labels of the lines to fit, and the lines' lengths: those with a toxic token,
     rare marks first, and as many others."""
-    y = np.zeros(len(t.hashes), bool)
+    y = np.zeros(len(t.slots), bool)
     y[at] = True
     line = np.searchsorted(t.lines, at, "right") - 1
     order = np.lexsort((line, number))
@@ -331,6 +331,48 @@ def _fit_lines(t: Tokens, at: np.ndarray, number: np.ndarray) -> tuple[np.ndarra
     return t.slots[at], y[at], size
 
 
+@dataclass
+class _Sample:
+    """Tokens of a list of texts, worked out slice by slice: features, lines, rows, and which
+    tokens of toxic texts are marks."""
+
+    slots: np.ndarray
+    lines: np.ndarray
+    first: np.ndarray
+    at: np.ndarray
+    number: np.ndarray
+
+    @classmethod
+    def of(cls, texts: list[str], toxic: np.ndarray, marks: list[np.ndarray]) -> _Sample:
+        slots, lines, counts, ats, numbers, n = [], [np.zeros(1, np.int64)], [], [], [], 0
+        for part in text_slices(texts):
+            t = Tokens(pa.array(texts[part], pa.large_string()))
+            at, number = _mark_numbers(t, marks, toxic[part][W.row_of(t.words.first, len(t.hashes))])
+            slots.append(t.slots)
+            lines.append(t.lines[1:] + n)
+            counts.append(t.words.counts)
+            ats.append(at + n)
+            numbers.append(number)
+            n += len(t.hashes)
+        at, number = np.concatenate(ats), np.concatenate(numbers)
+        kind = np.searchsorted(np.cumsum([len(m) for m in marks]), number, "right")
+        order = np.lexsort((at, kind))
+        return cls(np.concatenate(slots), np.concatenate(lines),
+                   np.concatenate([[0], np.cumsum(np.concatenate(counts))]), at[order], number[order])
+
+    def document_features(self, chain: crf.Chain) -> np.ndarray:
+        """Of each text, from the marginals of a bounded number of tokens at a time."""
+        out, a, rows = [], 0, len(self.first) - 1
+        while a < rows:
+            b = max(a + 1, int(np.searchsorted(self.first, self.first[a] + (1 << 18), "right")) - 1)
+            i, j = self.first[a], self.first[b]
+            lines = self.lines[np.searchsorted(self.lines, i):np.searchsorted(self.lines, j) + 1] - i
+            p = crf.marginals(chain.emissions(self.slots[i:j]), lines, chain.pairs)
+            out.append(_document_features(p, self.first[a:b + 1] - i))
+            a = b
+        return np.concatenate(out)
+
+
 def fit_toxicity(docs: DataFrame, labels: DataFrame, where: Column | None = None,
                  per_class: int = PER_CLASS, max_bytes: int = MAX_BYTES) -> Model | None:
     """Tagger and score from labelled documents, None without both labels."""
@@ -340,18 +382,20 @@ def fit_toxicity(docs: DataFrame, labels: DataFrame, where: Column | None = None
         return None
     known = _known_texts(docs, labels, where)
     marks = find_marks(known)
-    t = Tokens(pa.array([r["text"] for r in rows], pa.large_string()))
-    toxic = np.array([r["label"] == 1 for r in rows])
-    at, number = _mark_numbers(t, marks, toxic[W.row_of(t.words.first, len(t.hashes))])
-    parts = [_fit_lines(t, at, number)]
-    rare = np.flatnonzero(np.bincount(number, minlength=sum(map(len, marks))) < EXAMPLES)
+    texts, toxic = [r["text"] for r in rows], np.array([r["label"] == 1 for r in rows])
+    del rows
+    t = _Sample.of(texts, toxic, marks)
+    del texts
+    parts = [_fit_lines(t, t.at, t.number)]
+    rare = np.flatnonzero(np.bincount(t.number, minlength=sum(map(len, marks))) < EXAMPLES)
     if len(rare):
-        m = Tokens(pa.array(_pieces(known, marks, rare), pa.large_string()))
-        parts.append(_fit_lines(m, *_mark_numbers(m, marks, np.ones(len(m.hashes), bool))))
+        pieces = _pieces(known, marks, rare)
+        if pieces:
+            m = _Sample.of(pieces, np.ones(len(pieces), bool), marks)
+            parts.append(_fit_lines(m, m.at, m.number))
     slots, y, size = (np.concatenate(c) for c in zip(*parts))
     chain = crf.fit(slots, y, np.concatenate([[0], np.cumsum(size)]), N_FEATURES, steps=80, l2=1e-6)
-    p = crf.marginals(chain.emissions(t.slots), t.lines, chain.pairs)
-    x = _document_features(p, t.words.first)
+    x = t.document_features(chain)
     weight = crf.fit_logistic(x, toxic.astype(float))
     known = labels.where("toxic in (0, 1)")
     of = dict((known if where is None else known.where(where)).groupBy("toxic").count().collect())
