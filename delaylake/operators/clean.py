@@ -15,6 +15,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from delaylake.operators.quantiles import exact_quantiles
 from delaylake.session import materialize
 
 
@@ -82,16 +83,21 @@ def impute_group_mean(df: DataFrame, cols: Sequence[str], by: str = "Dep_Airport
                       for c in d.columns])
 
 
-def impute_global_median(df: DataFrame, cols: Sequence[str], exact: bool = True) -> DataFrame:
+def impute_global_median(df: DataFrame, cols: Sequence[str], exact: bool | str = True) -> DataFrame:
     """Null -> global median (linear interpolation) of the column.
 
     Spark's exact ``median`` keeps a value -> count map per partial aggregate,
     so memory follows the number of distinct values, not rows; for continuous
-    high-cardinality columns pass ``exact=False`` (``percentile_approx``, a
-    fixed-size sketch per task).
+    high-cardinality columns pass ``exact="ranges"`` (the same medians by
+    narrowing ranges, ``operators.quantiles``) or ``exact=False``
+    (``percentile_approx``, a fixed-size sketch per task).
     """
     cols = list(cols)
     d = as_double(df, cols)
+    if exact == "ranges":
+        q = exact_quantiles(d, cols, [0.5])
+        return _fill_from_one_row(d, df.sparkSession.range(1).join(q, F.lit(True), "left").select(
+            *[F.col(f"`{c}`")[0].alias(c) for c in cols]), cols)
     meds = d.agg(*[(F.median(c) if exact else F.percentile_approx(c, 0.5, 100000)).alias(c)
                    for c in cols])
     return _fill_from_one_row(d, meds, cols)

@@ -12,10 +12,12 @@ from delaylake.operators import clean as CL
 from delaylake.operators import joins as J
 from delaylake.operators import projection as P
 from delaylake.operators import sampling as S
+from delaylake.operators.quantiles import exact_quantiles
 from delaylake.plans import fixtures as X
 from delaylake.plans.oracle import avg_round_even, round_even
 from delaylake.plans.oracle import with_views as W
 from delaylake.plans.registry import query
+from delaylake.sources.tables import load_driver_table
 from delaylake.session import materialize
 from delaylake.sources import log as LOG
 from delaylake.sources.tables import read_parquet_table
@@ -549,6 +551,24 @@ def q_winsorize_quantile(spark, sf):
     return w.withColumn("Arr_Delay_clip", r6(F.col("Arr_Delay_clip").cast("double")))
 
 
+@query("exact_quantiles", """
+SELECT p_brand AS brand, quantile_cont(l_extendedprice, 0.02) AS q02, quantile_cont(l_extendedprice, 0.5) AS q50,
+       quantile_cont(l_extendedprice, 0.98) AS q98
+FROM lineitem JOIN part ON l_partkey = p_partkey GROUP BY p_brand
+UNION ALL SELECT NULL, quantile_cont(l_extendedprice, 0.02), quantile_cont(l_extendedprice, 0.5),
+       quantile_cont(l_extendedprice, 0.98) FROM lineitem""")
+def q_exact_quantiles(spark, sf):
+    """Quantiles of a continuous column, by brand and over all, by narrowing ranges (the window
+    is small so that ranges are narrowed here too)."""
+    li, pt = (load_driver_table(spark, sf, n) for n in ("lineitem", "part"))
+    by = li.join(pt, li["l_partkey"] == pt["p_partkey"]).select(F.col("p_brand").alias("brand"), "l_extendedprice")
+    qs = [0.02, 0.5, 0.98]
+    names = [F.col("l_extendedprice")[i].alias(n) for i, n in enumerate(("q02", "q50", "q98"))]
+    each = exact_quantiles(by, ["l_extendedprice"], qs, ["brand"], window=5000).select("brand", *names)
+    whole = exact_quantiles(li, ["l_extendedprice"], qs, window=5000)
+    return each.union(whole.select(F.lit(None).cast("string"), *names))
+
+
 @query("quantile_filter", W(f"""
 SELECT {KS}, round(prcp, 6) AS prcp FROM clean
 WHERE prcp <= (SELECT quantile_cont(prcp, 0.99) FROM clean)"""))
