@@ -17,10 +17,9 @@ from delaylake.plans import fixtures as X
 from delaylake.plans.oracle import avg_round_even, round_even
 from delaylake.plans.oracle import with_views as W
 from delaylake.plans.registry import query
-from delaylake.sources.tables import load_driver_table
 from delaylake.session import materialize
 from delaylake.sources import log as LOG
-from delaylake.sources.tables import read_parquet_table
+from delaylake.sources.tables import load_driver_table, read_parquet_table
 from delaylake.sources.views import FLIGHT_KEY
 
 KEY = list(FLIGHT_KEY)

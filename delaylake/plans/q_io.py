@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 
 from delaylake.functions import constants as K
 from delaylake.operators import aggregates as A
+from delaylake.operators import joins as J
 from delaylake.operators import models as M
 from delaylake.operators import projection as P
 from delaylake.plans import fixtures as X
@@ -18,6 +19,7 @@ from delaylake.session import scratch_path
 from delaylake.sources import log as LOG
 from delaylake.sources import tables as TB
 from delaylake.sources.publish import read_published
+from delaylake.sources.stored import open_stored, write_clean_table
 from delaylake.streaming.score_stream import drain, event_brackets, read_event_stream, start_log_sink
 
 _STREAM_COLS = 'event_id, "timestamp", source, delay_prob, on_time_prob, prediction, risk'
@@ -106,6 +108,26 @@ def q_write_features(spark, sf):
         F.count("*").alias("n"), F.round(F.sum("tavg"), 4).alias("tavg"))
 
 
+_WEATHER_KEYS = ["Dep_Airport", "FlightDate"]
+
+
+@query("write_clean_table", W(f"""
+SELECT {QM.KS}, f.Dep_Airport, f.FlightDate, f.Airline, f.Arr_Delay, CAST(w.tavg AS DOUBLE) AS tavg,
+       CAST(w.prcp AS DOUBLE) AS prcp
+FROM f_anti f LEFT JOIN weather w ON w.airport_id = f.Dep_Airport AND w."time" = f.FlightDate"""))
+def q_write_clean_table(spark, sf):
+    """Flights stored by the keys of the anti join, joined from there, stored by the keys of the
+    weather join, and joined from there: the flights are read in the order of the join each time."""
+    base = scratch_path(spark, "stored")
+    f = X.flights(spark, sf).select(*QM.KEY, *K.CANCEL_KEYS, "Dep_Airport", "Arr_Delay")
+    by_tail = write_clean_table(f, base, {"by_tail": K.CANCEL_KEYS})["by_tail"]
+    left = J.cancel_anti_join(by_tail, X.cancelled(spark, sf))
+    write_clean_table(left, base, {"by_day": _WEATHER_KEYS})
+    j = J.join_daily_weather(open_stored(spark, f"{base}/by_day"), X.weather(spark, sf))
+    return j.select(*QM.KEY, "Dep_Airport", "FlightDate", "Airline", "Arr_Delay",
+                    *[F.col(c).cast("double").alias(c) for c in ("tavg", "prcp")])
+
+
 @query("model_fallback", W(f"""
 SELECT {QM.KS}, '{K.MODEL_NAMES["svm"]}' AS model_used, true AS same_probability
 FROM clean WHERE {QM._bucket_sql(QM.KEY)} >= 8000"""))
