@@ -3,6 +3,8 @@ driver's tables in the form the operator makes, reads it back, and is compared w
 
 from __future__ import annotations
 
+from pyspark.ml import Pipeline
+from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
 
@@ -11,11 +13,13 @@ from delaylake.operators import aggregates as A
 from delaylake.operators import joins as J
 from delaylake.operators import models as M
 from delaylake.operators import projection as P
+from delaylake.operators import sampling as S
+from delaylake.operators.stages import TrainingFill
 from delaylake.plans import fixtures as X
 from delaylake.plans import q_models as QM
 from delaylake.plans.oracle import with_views as W
 from delaylake.plans.registry import query
-from delaylake.session import scratch_path
+from delaylake.session import materialize, scratch_path
 from delaylake.sources import log as LOG
 from delaylake.sources import tables as TB
 from delaylake.sources.publish import read_published
@@ -128,6 +132,36 @@ def q_write_clean_table(spark, sf):
                     *[F.col(c).cast("double").alias(c) for c in ("tavg", "prcp")])
 
 
+_IO_NUMERIC = [*K.WEATHER_COLS, "month"]
+
+
+@query("model_pipeline_io", W(f"""
+SELECT {QM.KS}, CASE WHEN Arr_Delay > 15 THEN 1 ELSE 0 END AS delay_label, month,
+       round(coalesce(CAST(prcp AS DOUBLE), (SELECT sum(prcp) / count(prcp) FROM rows_ WHERE {QM._bucket_sql(QM.KEY)} < 8000)), 6)
+         AS prcp, true AS same_prediction
+FROM rows_ WHERE {QM._bucket_sql(QM.KEY)} >= 8000""",
+                              ctes=(("rows_", """
+SELECT f.*, CAST(month(f.FlightDate) AS INTEGER) AS month, w.prcp FROM flights f
+LEFT JOIN weather w ON w.airport_id = f.Dep_Airport AND w."time" = f.FlightDate WHERE Arr_Delay IS NOT NULL"""),)))
+def q_model_pipeline_io(spark, sf):
+    """Fill, encoding and trees as one pipeline, fitted on the training side, published, loaded
+    and applied to the other side as requests are: with the training means, whatever readings
+    the requests have."""
+    rows = X.f_weather(spark, sf).where("Arr_Delay is not null").select(
+        *QM.KEY, *QM.CATS, *K.WEATHER_COLS, F.month("FlightDate").alias("month"), "Arr_Delay")
+    train, test = S.split_train_test(materialize(rows, "pipeline-rows"), QM.KEY)
+    fill = TrainingFill(means=K.WEATHER_COLS, label=["Arr_Delay", "delay_label", K.DELAY_THRESHOLD_MIN])
+    trees = GBTClassifier(labelCol="delay_label", featuresCol="features", maxIter=3, maxDepth=3, seed=K.SEED)
+    model = Pipeline(stages=[fill, *M.encode_stages(numeric=_IO_NUMERIC), trees]).fit(train)
+    base = scratch_path(spark, "pipeline")
+    M.publish_model(model, base)
+    p = vector_to_array("probability")[1]
+    a = model.transform(test).select(*QM.KEY, "delay_label", "month", F.round("prcp", 6).alias("prcp"), p.alias("p"))
+    b = M.load_published(base).transform(test).select(*QM.KEY, p.alias("q"))
+    return a.join(b, QM.KEY).select(*QM.KEY, "delay_label", "month", "prcp",
+                                    (F.col("p") == F.col("q")).alias("same_prediction"))
+
+
 @query("model_fallback", W(f"""
 SELECT {QM.KS}, '{K.MODEL_NAMES["svm"]}' AS model_used, true AS same_probability
 FROM clean WHERE {QM._bucket_sql(QM.KEY)} >= 8000"""))
