@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import warnings
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 import zstandard
@@ -22,14 +23,34 @@ def bounded_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
 
 
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+@contextmanager
+def shuffles_released(spark: SparkSession) -> Iterator[None]:
+    """Spark drops the shuffle files of a query when it ends, not when the driver's heap happens
+    to be collected. For queries that are run once, as the writes below are."""
+    before = spark.conf.get(_CLEANUP, None)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(_CLEANUP)
+        else:
+            spark.conf.set(_CLEANUP, before)
+
+
+def _written(df: DataFrame, path: str) -> DataFrame:
+    with shuffles_released(df.sparkSession):
+        df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def staged(df: DataFrame, name: str) -> DataFrame:
     """Writes ``df`` once under the shared checkpoint folder and reads it back: cuts the
-    lineage, survives lost executors. Asks the driver to collect its garbage afterwards: the
-    shuffle files of the finished query go then, not when the heap next happens to fill."""
-    path = scratch_path(df.sparkSession, name)
-    df.write.parquet(path)
-    df.sparkSession.sparkContext._jvm.System.gc()
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    lineage, survives lost executors."""
+    return _written(df, scratch_path(df.sparkSession, name))
 
 
 class Scratch:
@@ -42,9 +63,8 @@ class Scratch:
 
     def write(self, name: str, df: DataFrame) -> DataFrame:
         path = scratch_path(self.spark, name)
-        df.write.parquet(path)
         self.paths.setdefault(name, []).append(path)
-        return self.spark.read.schema(df.schema).parquet(path)
+        return _written(df, path)
 
     def drop(self, *names: str) -> None:
         for name in names:

@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from delaylake.llm.base import staged
+from delaylake.llm.base import Scratch
 
 
 def _star(links: DataFrame, large: bool) -> DataFrame:
@@ -30,14 +30,16 @@ def _star(links: DataFrame, large: bool) -> DataFrame:
 def components(links: DataFrame) -> DataFrame:
     """``node, root``: the least node reachable from each linked node. ``links`` has the
     columns ``u`` and ``v``; loops, repeats and both directions are allowed."""
-    links = staged(links.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
-                   .where("u <> v").distinct(), "links")
-    before = None
+    scratch = Scratch(links.sparkSession)
+    links = scratch.write("links0", links.select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v"))
+                          .where("u <> v").distinct())
+    before, turn = None, 0
     while True:
         now = links.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if now == before:
             break
-        before = now
-        links = staged(_star(_star(links, True), False), "links")
+        before, turn = now, turn + 1
+        links = scratch.write(f"links{turn}", _star(_star(links, True), False))
+        scratch.drop(f"links{turn - 1}")
     nodes = links.select(F.col("u").alias("node"), F.col("v").alias("root"))
     return nodes.union(links.select(F.col("v").alias("node"), F.col("v").alias("root")).distinct())

@@ -5,6 +5,7 @@ import os
 import random
 
 import pytest
+from pyspark.sql import functions as F
 from tests.llm.test_llm import (WORD, base_counts, components_by_brute_force,
                                 contaminated_by_brute_force, removed_by_brute_force)
 
@@ -91,16 +92,30 @@ def test_pipeline_of_empty_tables(spark, tmp_dir):
     assert p.run(spark, tmp_dir).count() == 0
 
 
+def test_stages_carry_columns_of_any_name(spark, folder):
+    import corpus_pipeline as p
+
+    docs = spark.read.parquet(f"{folder}/documents.parquet").limit(30)
+    odd = docs.select("*", F.lit(1).alias("_"), F.lit("x").alias("pipeline_row"), F.lit(2.5).alias("body"),
+                      F.array(F.lit(3)).alias("a.b"), F.lit(None).cast("string").alias("__"))
+    for _, stage in p.STAGES[:-1]:
+        got = stage(spark, odd, folder)
+        assert got.columns == odd.columns
+        assert {tuple(r)[-5:] for r in got.select(
+            *[F.col(f"`{c}`") for c in got.columns[:-2]], F.col("`a.b`")[0], F.col("__")).collect()} == {(1, "x", 2.5, 3, None)}
+
+
 def test_queries_are_registered_with_their_columns(spark):
     import __spark_entry__ as e
 
     names = [n for n in e.queries() if n.startswith("op") and n[2].isdigit()]
-    assert sorted({int(n[2:].split("_")[0]) for n in names}) == list(range(1, 11)) and len(names) == 10
+    assert sorted({int(n[2:].split("_")[0]) for n in names}) == list(range(1, 14)) and len(names) == 13
     assert "pipeline" in e.queries()
     assert WORD.findall(" a b ") == ["a", "b"]
 
 
-@pytest.mark.parametrize("name", ["op1_substring_dedup", "op2_warc", "op3_jaccard_join", "op8_decontaminate"])
+@pytest.mark.parametrize("name", ["op1_substring_dedup", "op2_warc", "op3_jaccard_join", "op8_decontaminate",
+                                  "op11_conversation_trie", "op12_odd_sketch", "op13_lexical_search"])
 @pytest.mark.skipif(not os.path.isdir(SF), reason="driver tables absent")
 def test_query_equals_its_sql(spark, name):
     duckdb = pytest.importorskip("duckdb")
