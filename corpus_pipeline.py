@@ -33,7 +33,9 @@ _OTHERS = "pipeline_row"
 def _packed(docs: DataFrame) -> DataFrame:
     """doc_id, text, and the other columns as one struct that operators carry along."""
     others = [c for c in docs.columns if c not in ("doc_id", "text")]
-    return docs.select("doc_id", "text", F.struct(F.lit(0).alias("_"), *[F.col(f"`{c}`") for c in others])
+    # a struct needs a field, also without other columns; its name is none of theirs
+    some = max((c for c in others if not c.strip("_")), key=len, default="") + "_"
+    return docs.select("doc_id", "text", F.struct(F.lit(0).alias(some), *[F.col(f"`{c}`") for c in others])
                        .alias(_OTHERS))
 
 
