@@ -2,9 +2,9 @@
 
 AUC is exact (ties count one half) and distributed: scores are first collapsed
 to (score, positives, negatives) by a partial aggregate; the negatives below
-each score come from fixed score buckets (a function of the score alone, so
-every branch of the plan agrees on them): running totals over the buckets,
-then a window inside each bucket. Nothing is sorted in one task or collected.
+each score come from ranges of the scores that Spark samples: running totals
+over the ranges, then a window inside each range. Nothing is sorted in one task
+or collected.
 """
 
 from __future__ import annotations
@@ -13,41 +13,26 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from delaylake.functions import columns as C
-
-
-SCORE_BITS = 16          # buckets per level; two levels, so 2^32 in all
+from delaylake.session import materialize
 
 
 def running_sum_before(df: DataFrame, order_col: str, value_col: str, out: str) -> DataFrame:
     """Add ``out`` = sum of ``value_col`` over rows with a smaller ``order_col``.
 
-    ``order_col`` must be unique (the caller aggregates first). Its range is cut
-    into 2^16 buckets of 2^16 sub-buckets each. Totals per sub-bucket (an
-    aggregate) give running totals in two steps, each window at most 2^16
-    rows; a window over one sub-bucket's rows finishes the sum. The bounds of
-    the range are a one-row aggregate, so bucket numbers are the same wherever
-    the plan uses them.
+    ``order_col`` must be unique (the caller aggregates first). The rows are dealt by ranges of
+    the column that Spark samples from it, so they are spread evenly whatever its values are
+    (an outlier, a narrow cluster), and written once, so that every branch of the plan agrees
+    on the ranges. The sums before a range are a window over one row a range; a window inside
+    each range finishes them.
     """
-    ends = df.agg(F.min(order_col).alias("__lo"), F.max(order_col).alias("__hi"))
-    width = F.col("__hi") - F.col("__lo")
-    share = F.when(width > 0, (F.col(order_col) - F.col("__lo")) / width).otherwise(0.0)
-    n = 1 << SCORE_BITS
-    fine = F.least(F.floor(share * (n * n)), F.lit(n * n - 1)).cast("long")
-    r = (df.crossJoin(F.broadcast(ends)).withColumn("__fine", fine).drop("__lo", "__hi")
-           .withColumn("__coarse", F.floor(F.col("__fine") / n).cast("long")))
-    per_fine = r.groupBy("__coarse", "__fine").agg(F.sum(value_col).alias("__s"))
-    per_coarse = per_fine.groupBy("__coarse").agg(F.sum("__s").alias("__c"))
+    r = materialize(df.repartitionByRange(order_col).withColumn("__range", F.spark_partition_id()), "score-ranges")
     earlier = (Window.unboundedPreceding, -1)
-    wc = Window.orderBy("__coarse").rowsBetween(*earlier)
-    wf = Window.partitionBy("__coarse").orderBy("__fine").rowsBetween(*earlier)
-    off_c = per_coarse.select("__coarse", F.coalesce(F.sum("__c").over(wc), F.lit(0)).alias("__oc"))
-    off_f = per_fine.select("__coarse", "__fine",
-                            F.coalesce(F.sum("__s").over(wf), F.lit(0)).alias("__of"))
-    off = off_f.join(off_c, "__coarse").select("__fine", (F.col("__oc") + F.col("__of")).alias("__off"))
-    w = Window.partitionBy("__fine").orderBy(order_col).rowsBetween(*earlier)
-    return (r.withColumn("__in", F.coalesce(F.sum(value_col).over(w), F.lit(0))).join(off, "__fine")
-             .withColumn(out, F.col("__off") + F.col("__in"))
-             .drop("__fine", "__coarse", "__in", "__off"))
+    totals = r.groupBy("__range").agg(F.sum(value_col).alias("__s"))
+    w = Window.orderBy("__range").rowsBetween(*earlier)
+    off = totals.select("__range", F.coalesce(F.sum("__s").over(w), F.lit(0)).alias("__off"))
+    inside = Window.partitionBy("__range").orderBy(order_col).rowsBetween(*earlier)
+    return (r.withColumn("__in", F.coalesce(F.sum(value_col).over(inside), F.lit(0))).join(off, "__range")
+             .withColumn(out, F.col("__off") + F.col("__in")).drop("__range", "__in", "__off"))
 
 
 def score_histogram(scored: DataFrame, label: str = "delay_label",
@@ -64,10 +49,18 @@ def auc(scored: DataFrame, label: str = "delay_label", score: str = "score",
     """Area under the ROC curve (exact, ties one half), one row ``auc``; with
     ``threshold`` also the accuracy of ``score >= threshold``, read off the
     same histogram (no second pass over the scored rows)."""
-    c = running_sum_before(score_histogram(scored, label, score), "__s", "__neg", "__neg_below")
-    aggs = [F.try_divide(2 * F.sum(F.col("__pos") * F.col("__neg_below"))
-                         + F.sum(F.col("__pos") * F.col("__neg")),
-                         (2 * F.sum("__pos") * F.sum("__neg")).cast("double")).alias("auc")]
+    return histogram_auc(score_histogram(scored, label, score), threshold)
+
+
+def histogram_auc(hist: DataFrame, threshold: float | None = None) -> DataFrame:
+    """:func:`auc` of a table of distinct scores. Pairs are counted in 38 digits: with ten
+    billion rows there are more than a long can hold."""
+    c = running_sum_before(hist, "__s", "__neg", "__neg_below")
+    wide = lambda x: F.col(x).cast("decimal(19,0)")
+    pairs = lambda x: F.sum((wide("__pos") * wide(x)).cast("decimal(38,0)"))
+    total = (F.sum(wide("__pos")).cast("decimal(19,0)") * F.sum(wide("__neg")).cast("decimal(19,0)"))
+    below, tied = pairs("__neg_below").cast("double"), pairs("__neg").cast("double")
+    aggs = [F.try_divide(below + tied / 2, total.cast("double")).alias("auc")]
     if threshold is not None:
         correct = F.when(F.col("__s") >= threshold, F.col("__pos")).otherwise(F.col("__neg"))
         aggs.append(F.try_divide(F.sum(correct), F.sum(F.col("__pos") + F.col("__neg"))

@@ -14,6 +14,7 @@ from delaylake.operators.models import CLASSIFIER_NUMERIC
 from delaylake.plans import fixtures as X
 from delaylake.plans.oracle import with_views as W
 from delaylake.plans.registry import query
+from delaylake.sources.tables import load_driver_table
 from delaylake.sources.views import FLIGHT_KEY
 
 KEY = list(FLIGHT_KEY)
@@ -175,6 +176,20 @@ def q_eval_binary(spark, sf):
     return e.select(r6("auc").alias("auc"), r6("accuracy").alias("accuracy"))
 
 
+@query("eval_binary_scores", """
+WITH h AS (SELECT l_extendedprice / l_quantity AS s, count(*) FILTER (l_quantity > 25) AS p,
+                  count(*) FILTER (NOT l_quantity > 25) AS n FROM lineitem GROUP BY 1),
+b AS (SELECT *, coalesce(sum(n) OVER (ORDER BY s ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING), 0) AS below FROM h)
+SELECT round((sum(CAST(p AS DOUBLE) * below) + sum(CAST(p AS DOUBLE) * n) / 2) / (CAST(sum(p) AS DOUBLE) * sum(n)), 9) AS auc,
+       round(CAST(sum(CASE WHEN s >= 1500 THEN p ELSE n END) AS DOUBLE) / sum(p + n), 9) AS accuracy FROM b""")
+def q_eval_binary_scores(spark, sf):
+    """AUC of a score with about as many distinct values as rows."""
+    li = load_driver_table(spark, sf, "lineitem")
+    s = li.select((F.col("l_quantity") > 25).cast("int").alias("y"),
+                  (F.col("l_extendedprice") / F.col("l_quantity")).alias("score"))
+    return E.eval_binary(s, "y", "score", 1500).select(F.round("auc", 9).alias("auc"), F.round("accuracy", 9).alias("accuracy"))
+
+
 _PRED = "CAST((dep_airport_delay_avg + arr_airport_delay_avg) / 2 > 0.2 AS INTEGER)"
 
 
