@@ -7,6 +7,7 @@ from pyspark.ml import Pipeline
 from pyspark.ml.classification import GBTClassifier
 from pyspark.ml.functions import vector_to_array
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from delaylake.functions import constants as K
 from delaylake.operators import aggregates as A
@@ -62,6 +63,76 @@ def q_latest_rows(spark, sf):
         *_STREAM_NAMES)
 
 
+_CSV_SCHEMA = T.StructType([
+    T.StructField("l_orderkey", T.LongType()), T.StructField("l_linenumber", T.IntegerType()),
+    T.StructField("l_quantity", T.DoubleType()), T.StructField("l_shipdate", T.DateType()),
+    T.StructField("l_returnflag", T.StringType())])
+_DAMAGED = "l_orderkey % 7 = 3 AND l_linenumber = 2"
+
+
+def _csv(spark, sf):
+    """lineitem as CSV files with a byte order mark and blanks in the header, the columns in
+    another order, one that nobody asked for, padded cells, and numbers that are none."""
+    text = lambda c: F.concat(F.lit(" "), F.col(c).cast("string"), F.lit(" "))
+    quantity = F.when(F.expr(_DAMAGED), F.lit("about 5")).otherwise(F.col("l_quantity").cast("string"))
+    rows = TB.load_driver_table(spark, sf, "lineitem").select(
+        text("l_returnflag").alias("\ufeff l_returnflag "), quantity.alias("L_QUANTITY"),
+        F.lit("z").alias(" unused"), F.col("l_shipdate").cast("date").cast("string").alias("l_shipdate "),
+        text("l_linenumber").alias("l_linenumber"), F.col("l_orderkey").alias(" l_orderkey"))
+    path = scratch_path(spark, "csv")
+    (rows.write.option("header", True).option("ignoreLeadingWhiteSpace", False)
+     .option("ignoreTrailingWhiteSpace", False).csv(path))
+    return path
+
+
+@query("read_csv_table", f"""
+SELECT l_orderkey, CAST(l_linenumber AS INTEGER) AS l_linenumber, l_returnflag, CAST(l_shipdate AS DATE) AS l_shipdate,
+       CASE WHEN {_DAMAGED} THEN NULL ELSE CAST(l_quantity AS DOUBLE) END AS l_quantity, {_DAMAGED} AS rejected,
+       (SELECT count(*) FROM lineitem) AS n_read, (SELECT count(*) FROM lineitem WHERE {_DAMAGED}) AS n_rejected
+FROM lineitem""")
+def q_read_csv_table(spark, sf):
+    """One pass writes the rows, the rejects and their counts."""
+    read = TB.read_csv_table(spark, _csv(spark, sf), _CSV_SCHEMA, rejected=True)
+    got = TB.load_checked(read, scratch_path(spark, "csv-loaded"))
+    names = ["l_orderkey", "l_linenumber", "l_returnflag", "l_shipdate", "l_quantity"]
+    part = lambda df, flag: df.select(*names, F.lit(flag).alias("rejected"))
+    return part(got.rows, False).union(part(got.rejects, True)).withColumns(
+        {"n_read": F.lit(got.n_read).cast("long"), "n_rejected": F.lit(got.n_rejected).cast("long")})
+
+
+@query("read_csv_pruned", """
+SELECT CAST(l_shipdate AS DATE) AS l_shipdate, l_returnflag, count(*) AS n FROM lineitem GROUP BY ALL""")
+def q_read_csv_pruned(spark, sf):
+    """Two of the columns, by name: damage in the others is never looked at."""
+    df = TB.read_csv_table(spark, _csv(spark, sf), _CSV_SCHEMA, columns=["l_shipdate", "l_returnflag"])
+    return df.groupBy("l_shipdate", "l_returnflag").agg(F.count("*").alias("n"))
+
+
+@query("read_json_records", """
+SELECT event_id, CASE WHEN event_id % 11 = 5 THEN NULL ELSE event_type END AS event_type,
+       CASE WHEN event_id % 11 = 5 THEN NULL ELSE CAST(value AS DOUBLE) END AS value,
+       event_id % 11 = 5 AS rejected, 'lines' AS form FROM events
+UNION ALL SELECT event_id, event_type, CAST(value AS DOUBLE), false, 'array' FROM events""")
+def q_read_json_records(spark, sf):
+    """The events as JSON lines, some cut off, and as files of one array of up to 1000 each."""
+    ev = TB.load_driver_table(spark, sf, "events").select("event_id", "event_type", F.col("value").cast("double").alias("value"))
+    record = F.to_json(F.struct("event_id", "event_type", "value"), {"ignoreNullFields": "false"})
+    cut = F.concat(F.lit('{"event_id":'), F.col("event_id").cast("string"), F.lit(',"event_type":"br'))
+    lines, arrays = scratch_path(spark, "json-lines"), scratch_path(spark, "json-arrays")
+    ev.select(F.when(F.col("event_id") % 11 == 5, cut).otherwise(record).alias("value")).write.text(lines)
+    (ev.groupBy(F.floor(F.col("event_id") / 1000).alias("part")).agg(F.collect_list(record).alias("records"))
+     .select("part", F.concat(F.lit("["), F.array_join("records", ","), F.lit("]")).alias("value"))
+     .write.partitionBy("part").text(arrays))
+    schema = "event_id bigint, event_type string, value double"
+    bad = F.col(TB.REJECTED).isNotNull()
+    a = TB.read_json_records(spark, lines, schema, rejected=True)
+    whole_id = F.when(bad, F.regexp_extract(TB.REJECTED, r'"event_id":(\d+)', 1).cast("bigint")).otherwise(F.col("event_id"))
+    a = a.select(whole_id.alias("event_id"), F.when(~bad, F.col("event_type")).alias("event_type"), "value",
+                 bad.alias("rejected"), F.lit("lines").alias("form"))
+    b = TB.read_json_array(spark, arrays, schema, rejected=True)
+    return a.union(b.select("event_id", "event_type", "value", bad, F.lit("array")))
+
+
 @query("rename_key", W("SELECT IATA_CODE AS Dep_Airport, LATITUDE, LONGITUDE FROM airports"))
 def q_rename_key(spark, sf):
     return P.rename_key(X.airports(spark, sf), "IATA_CODE", "Dep_Airport")

@@ -10,8 +10,9 @@ from __future__ import annotations
 
 import csv
 from collections.abc import Iterable, Sequence
+from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -203,14 +204,56 @@ def read_parquet_table(spark: SparkSession, path: str | Sequence[str]) -> DataFr
     return spark.read.parquet(*paths)
 
 
-def read_json_records(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """Records stored as JSON lines or as one top-level array per file."""
-    return spark.read.schema(schema).option("multiLine", False).json(path)
-
-
-def read_json_array(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
-    """A file holding one JSON array of records (the dashboard files)."""
-    return spark.read.schema(schema).option("multiLine", True).json(path)
+def _json(spark: SparkSession, path: str | Sequence[str], schema: T.StructType | str, multi_line: bool,
+          rejected: bool) -> DataFrame:
+    fields = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    whole = T.StructType([*fields.fields, T.StructField(REJECTED, T.StringType())])
+    df = (spark.read.schema(whole).option("multiLine", multi_line).option("mode", "PERMISSIVE")
+          .option("columnNameOfCorruptRecord", REJECTED).json(path))
+    return df if rejected else df.drop(REJECTED)
+
+
+def read_json_records(spark: SparkSession, path: str | Sequence[str], schema: T.StructType | str,
+                      rejected: bool = False) -> DataFrame:
+    """Records stored as JSON lines. A line that is no record of the schema keeps the fields that
+    parse; ``rejected`` adds the column ``_rejected`` with its text (null for good ones)."""
+    return _json(spark, path, schema, False, rejected)
+
+
+def read_json_array(spark: SparkSession, path: str | Sequence[str], schema: T.StructType | str,
+                    rejected: bool = False) -> DataFrame:
+    """Files that hold one JSON array of records each (the dashboard files). A file is read by
+    one task; of a damaged file ``rejected`` keeps the text from where it stops to parse."""
+    return _json(spark, path, schema, True, rejected)
+
+
+# --- one pass: good rows, rejects and their counts ------------------------------------------
+
+@dataclass
+class Loaded:
+    """What one pass over an input has written: good rows, rejects, and how many of each."""
+
+    rows: DataFrame
+    rejects: DataFrame
+    n_read: int
+    n_rejected: int
+
+
+def load_checked(df: DataFrame, path: str) -> Loaded:
+    """Writes ``df`` (read with ``rejected=True``) once, good rows and rejects apart, and counts
+    both in the pass that writes them (``observe``): the input is read and parsed one time."""
+    seen = Observation("load")
+    bad = F.col(REJECTED).isNotNull()
+    # the metrics stand below the write, so a retried task is counted once
+    counted = df.observe(seen, F.count(F.lit(1)).alias("n_read"),
+                         F.sum(bad.cast("long")).alias("n_rejected"))
+    counted.withColumn("rejected_row", bad).write.partitionBy("rejected_row").parquet(path)
+    back = df.sparkSession.read.schema(T.StructType([*df.schema.fields, T.StructField("rejected_row", T.BooleanType())]))
+    whole = back.option("basePath", path).parquet(path)
+    part = lambda flag: whole.where(F.col("rejected_row") == flag)
+    got = seen.get
+    return Loaded(part(False).drop(REJECTED, "rejected_row"), part(True).drop("rejected_row"),
+                  got["n_read"], got["n_rejected"] or 0)
 
 
 def load_driver_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:

@@ -126,3 +126,31 @@ def test_rename_select_prefix(spark):
     assert P.prefix_columns(d, ["Airline_", "DepTime_label_"]) == ["Airline_AA", "DepTime_label_Night"]
     assert P.align_columns(d, ["k", "Airline_BB"]).collect()[0] == (1, 0)
     assert P.drop_leakage(spark.createDataFrame([(1, 2)], "Arr_Delay int, k int")).columns == ["k"]
+
+
+def test_load_checked_counts_in_the_pass_that_writes(spark, tmp_dir):
+    p = _csv(tmp_dir, "x.csv", "LONGITUDE,IATA_CODE,LATITUDE\n-75.4,ABE,40.6\n1,XYZ,bad\n2,QQQ\n3,OK,1.0\n", "utf-8-sig")
+    got = TB.load_checked(TB.read_csv_table(spark, p, TB.COORDS_SCHEMA, rejected=True), os.path.join(tmp_dir, "out"))
+    assert (got.n_read, got.n_rejected) == (4, 2)
+    assert rows(got.rows) == [("ABE", 40.6, -75.4), ("OK", 1.0, 3.0)]
+    assert sorted(r["_rejected"] for r in got.rejects.collect()) == ["1,XYZ,bad", "2,QQQ"]
+    none = _csv(tmp_dir, "none.csv", "IATA_CODE,LATITUDE,LONGITUDE\n")
+    got = TB.load_checked(TB.read_csv_table(spark, none, TB.COORDS_SCHEMA, rejected=True), os.path.join(tmp_dir, "none"))
+    assert (got.n_read, got.n_rejected, got.rows.count(), got.rejects.count()) == (0, 0, 0, 0)
+
+
+def test_json_rejects_of_lines_and_arrays(spark, tmp_dir):
+    lines = _csv(tmp_dir, "a.json", '{"k": 1, "v": "x"}\n{"k": "no number", "v": "y"}\n{"k": 3, "v"\nnot json\n\n{"k": 4}\n')
+    df = TB.read_json_records(spark, lines, "k int, v string", rejected=True)
+    good = [tuple(r) for r in df.where("_rejected is null").select("k", "v").orderBy("k").collect()]
+    assert good == [(1, "x"), (4, None)]
+    assert sorted(r["_rejected"] for r in df.collect() if r["_rejected"] is not None) == [
+        "not json", '{"k": "no number", "v": "y"}', '{"k": 3, "v"']
+    assert TB.read_json_records(spark, lines, "k int, v string").columns == ["k", "v"]
+    os.makedirs(os.path.join(tmp_dir, "arrays"))
+    _csv(os.path.join(tmp_dir, "arrays"), "a.json", '[{"k": 1, "v": "x"},\n {"k": 2}]')
+    _csv(os.path.join(tmp_dir, "arrays"), "b.json", '[{"k": 7}, {"k": ')
+    df = TB.read_json_array(spark, os.path.join(tmp_dir, "arrays"), "k int, v string", rejected=True)
+    got = df.collect()
+    assert sorted(r["k"] for r in got if r["_rejected"] is None) == [1, 2]
+    assert sum(r["_rejected"] is not None for r in got) == 1
