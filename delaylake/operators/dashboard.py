@@ -34,19 +34,22 @@ def _number(df: DataFrame, col: str) -> F.Column:
     return C.to_number_lenient(F.col(col))
 
 
-def temp_delay_points(f: DataFrame, temp: str = "tavg", delay: str = "Arr_Delay",
-                      keys: Sequence[str] = ()) -> DataFrame:
-    """(temperature_c, arrival_delay, arrival_delay_clip) for valid readings.
-
-    Both values coerced to numbers, rows with a missing one dropped, the
-    temperature kept in [-35, 45], the delay clipped at its own 2 % / 98 %
-    quantiles.
-    """
+def temp_points(f: DataFrame, temp: str = "tavg", delay: str = "Arr_Delay",
+                keys: Sequence[str] = ()) -> DataFrame:
+    """(temperature_c, arrival_delay) for valid readings: both values coerced to
+    numbers, rows with a missing one dropped, the temperature kept in [-35, 45]."""
     t = f.select(*keys, _number(f, temp).alias("temperature_c"),
                  _number(f, delay).alias("arrival_delay"))
     t = t.where(F.col("temperature_c").isNotNull() & ~F.isnan("temperature_c")
                 & F.col("arrival_delay").isNotNull() & ~F.isnan("arrival_delay"))
-    t = t.where(F.col("temperature_c").between(*K.TEMP_RANGE))
+    return t.where(F.col("temperature_c").between(*K.TEMP_RANGE))
+
+
+def temp_delay_points(f: DataFrame, temp: str = "tavg", delay: str = "Arr_Delay",
+                      keys: Sequence[str] = ()) -> DataFrame:
+    """(temperature_c, arrival_delay, arrival_delay_clip): the valid readings, the
+    delay clipped at its own 2 % / 98 % quantiles."""
+    t = temp_points(f, temp, delay, keys)
     b = quantile_bounds(t, "arrival_delay", K.WINSOR_Q)
     return (t.crossJoin(F.broadcast(b))
              .select(*keys, "temperature_c", "arrival_delay",

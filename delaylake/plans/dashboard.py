@@ -27,34 +27,35 @@ from delaylake.operators import dashboard as D
 from delaylake.plans.etl import materialize
 from delaylake.plans.fixtures import slot_label
 
-def grouped_means(clean: DataFrame, slot: F.Column | None = None) -> DataFrame:
-    """One aggregate for all plain grouped means; ``gset`` names the set."""
+GROUP_KEYS = ["month_num", "Airline", "Dep_Airport", "day_of_week", "slot", "prcp_v"]
+# The named grouping sets; "all" is the whole table.
+GROUP_SETS = {"month": ["month_num"], "airline": ["Airline"], "airport": ["Dep_Airport"],
+              "heat": ["day_of_week", "slot"], "prcp": ["prcp_v"], "all": []}
+
+
+def grouped(clean: DataFrame, sets: Sequence[str], aggs: Sequence[F.Column],
+            slot: F.Column | None = None) -> DataFrame:
+    """One aggregate for several grouping sets of GROUP_SETS; ``gset`` names the set."""
     slot = slot_label() if slot is None else slot
     f = clean.select(F.month("FlightDate").alias("month_num"), "Airline", "Dep_Airport",
                      F.dayofweek("FlightDate").alias("day_of_week"), slot.alias("slot"),
                      F.col("prcp").alias("prcp_v"), "Arr_Delay", "delay_label", "FlightDate")
-    sets = [["month_num"], ["Airline"], ["Dep_Airport"], ["day_of_week", "slot"], ["prcp_v"]]
-    g = (f.groupingSets(sets, "month_num", "Airline", "Dep_Airport", "day_of_week", "slot",
-                        "prcp_v")
-          .agg(F.avg("Arr_Delay").alias("avg_delay"),
-               F.sum(F.col("delay_label").cast("long")).alias("n_delayed"),
-               F.min("FlightDate").alias("first_date"),
-               F.grouping_id().alias("gid")))
-    # grouping_id bit i is set when column i (of the six) is aggregated away
-    full = (1 << 6) - 1
-    ids = {
-        "month": full ^ (1 << 5),
-        "airline": full ^ (1 << 4),
-        "airport": full ^ (1 << 3),
-        "heat": full ^ (1 << 2) ^ (1 << 1),
-        "prcp": full ^ (1 << 0),
-    }
+    g = f.groupingSets([GROUP_SETS[s] for s in sets], *GROUP_KEYS).agg(*aggs, F.grouping_id().alias("gid"))
     gset = F.lit(None).cast("string")
-    for name, gid in ids.items():
+    for name in sets:
+        # grouping_id has a bit for each column that is aggregated away, the first one highest
+        gid = sum(1 << (len(GROUP_KEYS) - 1 - i) for i, k in enumerate(GROUP_KEYS) if k not in GROUP_SETS[name])
         gset = F.when(F.col("gid") == gid, F.lit(name)).otherwise(gset)
     return g.withColumn("gset", gset).drop("gid")
 
 
+def grouped_means(clean: DataFrame, slot: F.Column | None = None) -> DataFrame:
+    """One aggregate for all plain grouped means."""
+    return grouped(clean, ["month", "airline", "airport", "heat", "prcp"],
+                   [F.avg("Arr_Delay").alias("avg_delay"), F.sum(F.col("delay_label").cast("long")).alias("n_delayed"),
+                    F.min("FlightDate").alias("first_date")], slot)
+
+
 def _r2(c):
     return F.bround(c, 2)
 

@@ -9,6 +9,7 @@ from delaylake.functions import constants as K
 from delaylake.plans import chains
 from delaylake.plans import dashboard as DB
 from delaylake.plans import fixtures as X
+from delaylake.plans import state as ST
 from delaylake.plans.oracle import round_even as RE
 from delaylake.plans.oracle import with_views as W
 from delaylake.plans.q_core import _bucket_sql
@@ -16,6 +17,7 @@ from delaylake.plans.q_dashboard import (_HEAT, _MONTHLY, _MONTHS, _RAIN_F, _RAI
                                          _T_CLIP, _T_POINTS)
 from delaylake.plans.q_features import _DUMMY_CATS
 from delaylake.plans.registry import query
+from delaylake.session import scratch_path
 from delaylake.sources.views import FLIGHT_KEY
 
 KEY = list(FLIGHT_KEY)
@@ -110,13 +112,12 @@ _VALUES = {"monthly_delay": ("Month", "Average_Arrival_Delay_Minutes"),
            "temperature_trend": ("cast(temp_band as string)", "avg_delay")}
 
 
-@query("dashboard_tables", W("SELECT section, key, round(value, 6) AS value FROM cells", ctes=(
+_CELLS_SQL = W("SELECT section, key, round(value, 6) AS value FROM cells", ctes=(
     ("monthly", _MONTHLY), ("ranking", _RANKING), ("heat", _HEAT), ("scatter", _SCATTER), ("rainf", _RAIN_F),
-    ("rtrend", _RAIN_TREND), ("tpts", _T_POINTS.format(keys="")), ("tclip", _T_CLIP), _CELLS)))
-def q_dashboard_tables(spark, sf):
-    """Every section of the payload as (section, key, value), from the one-pass
-    plan that the dashboard writes."""
-    tables = DB.dashboard_tables(X.clean(spark, sf), X.airports(spark, sf), KEY)
+    ("rtrend", _RAIN_TREND), ("tpts", _T_POINTS.format(keys="")), ("tclip", _T_CLIP), _CELLS))
+
+
+def _cells(tables):
     parts = [tables[name].select(F.lit(name).alias("section"), F.expr(key).alias("key"),
                                  r6(F.col(value).cast("double")).alias("value"))
              for name, (key, value) in _VALUES.items()]
@@ -124,3 +125,20 @@ def q_dashboard_tables(spark, sf):
     for p in parts[1:]:
         out = out.unionByName(p)
     return out
+
+
+@query("dashboard_tables", _CELLS_SQL)
+def q_dashboard_tables(spark, sf):
+    """Every section of the payload as (section, key, value), from the one-pass
+    plan that the dashboard writes."""
+    return _cells(DB.dashboard_tables(X.clean(spark, sf), X.airports(spark, sf), KEY))
+
+
+@query("dashboard_state", _CELLS_SQL)
+def q_dashboard_state(spark, sf):
+    """The same sections from a state to which the flights were added in three batches of days,
+    one of them twice."""
+    clean, path = X.clean(spark, sf), scratch_path(spark, "dashboard-state")
+    for batch in (0, 1, 2, 1):
+        ST.add_batch(spark, path, f"days-{batch}", clean.where(F.dayofyear("FlightDate") % 3 == batch), KEY)
+    return _cells(ST.dashboard_from_state(spark, path, X.airports(spark, sf), KEY))
