@@ -147,13 +147,13 @@ def decontaminate(docs: DataFrame, benchmark: DataFrame, n: int = N_WORDS,
     return plain.mapInArrow(scan, schema_ddl(plain, _RESULT))
 
 
-def _by_shuffle(docs: DataFrame, grams: DataFrame, share_percent: int,
-                carry: tuple[str, ...] = ()) -> DataFrame:
-    """The same result for a benchmark beyond the broadcast bound: the documents' windows
-    are joined to the set on (hash, length), the verified ones gathered per text (whose
-    length bounds them) and applied."""
+def _found_by_shuffle(docs: DataFrame, grams: DataFrame) -> DataFrame:
+    """``docs`` (with a text) and ``found``, the verified occurrences (first word, length, item)
+    in each text, for a benchmark beyond the broadcast bound: the hashes of the documents'
+    windows are joined to those of the set; the words of the hits alone are compared. What is
+    gathered per text is bounded by its length."""
     bounded_batches(docs.sparkSession)
-    plain = docs.select("doc_id", "text", *carry).withColumn("text_key", F.sha2("text", 256))
+    plain = docs.withColumn("text_key", F.sha2("text", 256))
     lens = [r["len"] for r in grams.select("len").distinct().collect()]  # 1 to n
 
     def windows(batches):
@@ -169,14 +169,34 @@ def _by_shuffle(docs: DataFrame, grams: DataFrame, share_percent: int,
                         [batch.column("text_key").take(pa.array(row[part])),
                          pa.array(part - w.first[row[part]], pa.int64()),
                          pa.array(np.full(len(part), k), pa.int32()),
-                         pa.array(win[part].astype(np.int64)),
-                         pa.array([w.text(p, p + k) for p in part.tolist()], pa.binary())],
-                        ["text_key", "pos", "len", "hash", "gram"])
+                         pa.array(win[part].astype(np.int64))],
+                        ["text_key", "pos", "len", "hash"])
 
     distinct = plain.where("text is not null").groupBy("text_key").agg(F.first("text").alias("text"))
-    found = (distinct.mapInArrow(windows, "text_key string, pos long, len int, hash long, gram binary")
-             .join(grams, ["hash", "len", "gram"])
-             .groupBy("text_key").agg(F.collect_list(F.struct("pos", "len", "item")).alias("found")))
+    hits = (distinct.mapInArrow(windows, "text_key string, pos long, len int, hash long")
+            .join(grams, ["hash", "len"])
+            .groupBy("text_key").agg(F.collect_list(F.struct("pos", "len", "item", "gram")).alias("hits")))
+    occurrence = "array<struct<pos:long,len:int,item:string>>"
+
+    def verify(batches):
+        for batch in W.slices(batches, "text"):
+            w = _normalised(batch.column("text"))
+            out = []
+            for i, hs in enumerate(batch.column("hits").to_pylist()):
+                a = int(w.first[i])
+                out.append([{"pos": x["pos"], "len": x["len"], "item": x["item"]} for x in hs
+                            if w.text(a + x["pos"], a + x["pos"] + x["len"]) == bytes(x["gram"])])
+            kind = pa.list_(pa.struct([("pos", pa.int64()), ("len", pa.int32()), ("item", pa.string())]))
+            yield pa.RecordBatch.from_arrays([batch.column("text_key"), pa.array(out, kind)], ["text_key", "found"])
+
+    found = distinct.join(hits, "text_key").mapInArrow(verify, f"text_key string, found {occurrence}")
+    return plain.join(found, "text_key", "left").drop("text_key")
+
+
+def _by_shuffle(docs: DataFrame, grams: DataFrame, share_percent: int,
+                carry: tuple[str, ...] = ()) -> DataFrame:
+    """``decontaminate`` by ``_found_by_shuffle``."""
+    plain = docs.select("doc_id", "text", *carry)
 
     def apply(batches):
         for batch in W.slices(batches, "text"):
@@ -187,39 +207,55 @@ def _by_shuffle(docs: DataFrame, grams: DataFrame, share_percent: int,
                 [*batch.columns[:-1], *_verdicts(w, hits, share_percent)],
                 [*batch.schema.names[:-1], *(c.split()[0] for c in _RESULT.split(", "))])
 
-    return (plain.join(found, "text_key", "left").select("doc_id", "text", *carry, "found")
-            .mapInArrow(apply, schema_ddl(plain.drop("text_key"), _RESULT)))
+    return (_found_by_shuffle(plain, grams).select("doc_id", "text", *carry, "found")
+            .mapInArrow(apply, schema_ddl(plain, _RESULT)))
+
+
+def _without(data: np.ndarray, begin: int, end: int, w: W.Words, spans: list[tuple[int, int]]) -> str:
+    """Bytes [begin, end) of a text without those of the words [a, b) of each span."""
+    kept, pos = [], begin
+    for a, b in sorted(spans):
+        s, e = int(w.starts[a]), int(w.ends[b - 1])
+        kept.append(data[pos:max(s, pos)].tobytes())
+        pos = max(pos, e)
+    return b"".join([*kept, data[pos:end].tobytes()]).decode()
 
 
-def remove_spans(docs: DataFrame, benchmark: DataFrame, n: int = N_WORDS) -> DataFrame:
+def remove_spans(docs: DataFrame, benchmark: DataFrame, n: int = N_WORDS,
+                 max_broadcast_windows: int = MAX_BROADCAST_WINDOWS) -> DataFrame:
     """Documents with the bytes of hit words cut out (``doc_id, text``)."""
     spark = docs.sparkSession
     bounded_batches(spark)
-    rows = benchmark_windows(benchmark, n).limit(MAX_BROADCAST_WINDOWS + 1).collect()
-    if len(rows) > MAX_BROADCAST_WINDOWS:
-        raise ValueError(f"more than {MAX_BROADCAST_WINDOWS} test windows: use decontaminate()")
-    shared = spark.sparkContext.broadcast(rows)
+    plain = docs.select("doc_id", "text")
+    grams = benchmark_windows(benchmark, n)
+    rows = grams.limit(max_broadcast_windows + 1).collect()
+    whole = len(rows) <= max_broadcast_windows
+    shared = spark.sparkContext.broadcast(rows if whole else [])
     cache: list[GramSet] = []
 
+    def spans_of(batch, w):
+        at = defaultdict(list)
+        if whole:
+            if not cache:
+                cache.append(GramSet(shared.value))
+            for p, k, _ in cache[0].find(w, W.word_hashes(w)):
+                at[int(np.searchsorted(w.first, p, "right")) - 1].append((p, p + k))
+        else:
+            for i, fs in enumerate(batch.column("found").to_pylist()):
+                a = int(w.first[i])
+                if fs:
+                    at[i] = [(a + f["pos"], a + f["pos"] + f["len"]) for f in fs]
+        return at
+
     def cut(batches):
-        if not cache:
-            cache.append(GramSet(shared.value))
         for batch in W.slices(batches, "text"):
             data, off = W.text_bytes(batch.column("text"))
             w = _normalised(batch.column("text"))
             texts = batch.column("text").to_pylist()
-            at = defaultdict(list)
-            for p, k, _ in cache[0].find(w, W.word_hashes(w)):
-                at[int(np.searchsorted(w.first, p, "right")) - 1].append((p, p + k))
-            for i, spans in at.items():
-                kept, pos = b"", int(off[i])
-                for a, b in sorted(spans):
-                    s, e = int(w.starts[a]), int(w.ends[b - 1])
-                    kept += data[pos:max(s, pos)].tobytes()
-                    pos = max(pos, e)
-                texts[i] = (kept + data[pos:int(off[i + 1])].tobytes()).decode()
+            for i, spans in spans_of(batch, w).items():
+                texts[i] = _without(data, int(off[i]), int(off[i + 1]), w, spans)
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(texts, pa.string())],
                                              ["doc_id", "text"])
 
-    plain = docs.select("doc_id", "text")
-    return plain.mapInArrow(cut, plain.schema)
+    source = plain if whole else _found_by_shuffle(plain, grams).select("doc_id", "text", "found")
+    return source.mapInArrow(cut, plain.schema)

@@ -15,6 +15,8 @@ The metadata with the node of each document is written to the shared folder once
 Slots count through blocks of a shard (a hash of doc_id), each block's rows ranked by
 themselves and offset by the sizes of the blocks before, so no task sees a whole shard.
 
+Text metadata are numbered by rank among their distinct values, numbers are taken as they are.
+
 Defined results: a null text has no bytes, size 16 and CRC 0; null metadata sort first;
 repeated rows (equal id and text) fall into one shard, with slots of their own; an empty
 table gives no rows; other columns are never read.
@@ -28,6 +30,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from delaylake.llm.base import staged
+from delaylake.operators.evaluate import running_sum_before
 
 N_SHARDS = 40
 OVERHEAD = 16
@@ -63,22 +66,31 @@ class Node:
         return F.when(goes_left, self.left.shard).otherwise(self.right.shard)
 
 
-def _number(c: Column, kind: str) -> Column:
-    """Order-preserving number of a metadata column; null is least."""
-    if kind == "string":
-        prefix = F.rpad(F.hex(F.substring(F.encode(c, "UTF-8"), 1, 6)), 12, "0")
-        return F.coalesce(F.conv(prefix, 16, 10).cast("double"), F.lit(-1.0))
+def _number(c: Column) -> Column:
+    """Order-preserving number of a metadata column that is a number or a date; null is least."""
     return F.coalesce(c.cast("double"), F.lit(float(-(1 << 62))))
 
 
+def _ranks(docs: DataFrame, column: str) -> DataFrame:
+    """``value, rank``: the distinct texts of a column, numbered in the order of their bytes, so
+    that values that differ anywhere, however long they are, have coordinates of their own."""
+    values = docs.select(F.col(column).alias("value")).where("value is not null").distinct()
+    return running_sum_before(values.withColumn("one", F.lit(1).cast("long")), "value", "one", "rank").select(
+        "value", F.col("rank").cast("double").alias("rank"))
+
+
 def _points(docs: DataFrame, dimensions) -> DataFrame:
     size = F.coalesce(F.octet_length("text").cast("long"), F.lit(0)) + F.lit(OVERHEAD)
     base = docs.select("doc_id", *[d for d in dimensions if d not in ("size", "doc_id")],
                        size.alias("size"),
                        F.coalesce(F.crc32(F.encode("text", "UTF-8")), F.lit(0)).alias("text_crc32"),
                        F.xxhash64("text").alias("text_hash"))
+    texts = [d for d in dimensions if d != "size" and base.schema[d].dataType.simpleString() == "string"]
+    for d in texts:      # a hot value's rows meet one row: a join that adaptive execution splits
+        ranks = _ranks(docs, d).toDF(f"value_{d}", f"rank_{d}")
+        base = base.join(ranks, F.col(d) == F.col(f"value_{d}"), "left").drop(f"value_{d}")
     values = [(F.log2(F.col("size").cast("double")) if d == "size" else
-               _number(F.col(d), base.schema[d].dataType.simpleString())).alias(f"v_{d}")
+               F.coalesce(f"rank_{d}", F.lit(-1.0)) if d in texts else _number(F.col(d))).alias(f"v_{d}")
               for d in dimensions]
     own = base.select("doc_id", "size", "text_crc32", "text_hash", *values)
     group = "text_hash", "text_crc32", "size"

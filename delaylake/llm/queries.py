@@ -133,7 +133,8 @@ FROM d LEFT JOIN h USING (doc_id) LEFT JOIN i USING (doc_id)
 
 
 def op1_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return op1.substring_dedup(table(spark, sf_dir, "documents"), with_text=False)
+    return op1.substring_dedup(table(spark, sf_dir, "documents")).select(
+        "doc_id", "n_words", "n_removed", "kept_sha256")
 
 
 def op2_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -181,9 +182,11 @@ def op9_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op10_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents")
     model = op10.fit_toxicity(docs, table(spark, sf_dir, "labels"), crc_bucket("doc_id", 4) != 2)
-    return op10.toxicity(docs, model, with_spans=False).select(
+    offsets = F.transform("spans", lambda x: F.concat_ws("-", x.begin.cast("string"), x.end.cast("string")))
+    return op10.toxicity(docs, model).select(
         "doc_id", (crc_bucket("doc_id", 4) == 2).alias("held_out"), "score",
-        (F.col("score") >= 0.3).cast("int").alias("predicted"))
+        (F.col("score") >= 0.3).cast("int").alias("predicted"), F.size("spans").cast("long").alias("n_spans"),
+        F.sha2(F.array_join(offsets, ","), 256).alias("offsets_sha256"))
 
 
 def op11_conversation_trie(spark: SparkSession, sf_dir: str) -> DataFrame:

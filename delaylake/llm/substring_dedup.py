@@ -18,13 +18,15 @@ also start earlier: in a document of smaller doc_id, or before in the same docum
 5. Verification. The span's words at its source coordinates and at each occurrence must have
    the same 128-bit digest, else nothing is removed there.
 
-Repeats inside a document are found by the document's own windows. All joins on doc_id read
+Repeats inside a document are found by the document's own windows and compared word by word
+with the window they repeat. All joins on doc_id read
 the same exchange of the texts; a hot edge or anchor is pre-aggregated and its join side is
 an ordinary exchange that adaptive execution splits.
 
 Defined results: null and empty texts have no words and lose none; rows without doc_id are
 judged by themselves and are no source for others; repeated rows (same doc_id and text) are
-one document and each is returned; texts shorter than ``k`` words lose nothing; other columns
+one document and each is returned; different texts of one doc_id are documents of their own,
+in the order of a hash of the text (their ids are then compared with that hash); texts shorter than ``k`` words lose nothing; other columns
 are never read.
 """
 
@@ -60,6 +62,33 @@ def _anchors(w: W.Words, h: np.ndarray, k: int, gram: int) -> tuple[np.ndarray,
     return least, np.flatnonzero(W.window_mask(w.first, k, len(least)))
 
 
+def _firsts(row: np.ndarray, value: np.ndarray) -> np.ndarray:
+    """Of each (row, value) the index of the first equal one."""
+    order = np.lexsort((value, row))
+    r, v = row[order], value[order]
+    new = np.ones(len(order), bool)
+    new[1:] = (r[1:] != r[:-1]) | (v[1:] != v[:-1])
+    out = np.empty(len(order), np.int64)
+    out[order] = order[np.maximum.accumulate(np.where(new, np.arange(len(order)), 0))]
+    return out
+
+
+def _repeats_inside(w: W.Words, at: np.ndarray, row: np.ndarray, win: np.ndarray, k: int) -> np.ndarray:
+    """Windows (of those at ``at``) whose words stand earlier in the row, compared word by word:
+    a run of neighbours that repeats a run of neighbours is compared in one piece."""
+    first = at[_firsts(row[at], win[at])]
+    again, source = at[first != at], first[first != at]
+    if not len(again):
+        return again
+    breaks = np.flatnonzero((np.diff(again) != 1) | (np.diff(source) != 1)) + 1
+    good = np.ones(len(again), bool)
+    for a, b in zip([0, *breaks.tolist()], [*breaks.tolist(), len(again)]):
+        p, q, n = int(again[a]), int(source[a]), b - a
+        if w.text(p, p + n + k - 1) != w.text(q, q + n + k - 1):
+            good[a:b] = [w.text(p + i, p + i + k) == w.text(q + i, q + i + k) for i in range(n)]
+    return again[good]
+
+
 def _distinct(row: np.ndarray, value: np.ndarray) -> np.ndarray:
     """Indices of the first of each (row, value)."""
     order = np.lexsort((value, row))  # stable: equal ones stay in place order
@@ -187,6 +216,12 @@ def substring_dedup(docs: DataFrame, k: int = K, gram: int = GRAM,
     bounded_batches(docs.sparkSession)
     plain = docs.select("doc_id", "text", *carry)
     whole = plain.where("doc_id is not null and text is not null")
+    hashes = whole.groupBy("doc_id").agg(F.min(F.xxhash64("text")).alias("low"), F.max(F.xxhash64("text")).alias("high"))
+    several = not hashes.where("low <> high").isEmpty()
+    if several:      # ids get a hash of the text beside them
+        pair = F.struct("doc_id", F.xxhash64("text").alias("h"))
+        plain = plain.withColumn("doc_id", F.when(F.col("doc_id").isNotNull(), pair))
+        whole = plain.where("doc_id is not null and text is not null")
     names = ["doc_id", *carry, "n_words", "n_removed", "kept_sha256", *["kept_text"] * with_text]
 
     def cut(batches):
@@ -194,11 +229,10 @@ def substring_dedup(docs: DataFrame, k: int = K, gram: int = GRAM,
             w, h = _words(batch)
             win, row = W.window_hashes(h, k), W.row_of(w.first, len(h))
             at = np.flatnonzero(W.window_mask(w.first, k, len(win)))
-            again = np.ones(len(at), bool)
-            again[_distinct(row[at], win[at])] = False
+            again = _repeats_inside(w, at, row, win, k)
             delta = np.zeros(len(h) + 1, np.int32)
-            np.add.at(delta, at[again], 1)
-            np.add.at(delta, at[again] + k, -1)
+            np.add.at(delta, again, 1)
+            np.add.at(delta, again + k, -1)
             raw = [t.encode() for t in batch.column("text").to_pylist()]
             keys = batch.column("copy_key").to_pylist()
             for i, spans in enumerate(batch.column("spans").to_pylist()):
@@ -243,5 +277,6 @@ def substring_dedup(docs: DataFrame, k: int = K, gram: int = GRAM,
         "doc_id", *carry, F.lit(0).cast("long").alias("n_words"), F.lit(0).cast("long").alias("n_removed"),
         F.sha2(F.lit("").cast("binary"), 256).alias("kept_sha256"),
         *[F.lit(None).cast("string").alias("kept_text")] * with_text)
-    return (joined.mapInArrow(lambda it: cut(unpacked(it)), schema)
-            .union(rest.mapInArrow(lambda it: cut(W.slices(it, "text")), schema)).union(blank))
+    out = (joined.mapInArrow(lambda it: cut(unpacked(it)), schema)
+           .union(rest.mapInArrow(lambda it: cut(W.slices(it, "text")), schema)).union(blank))
+    return out.withColumn("doc_id", F.col("doc_id.doc_id")) if several else out
