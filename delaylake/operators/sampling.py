@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 
 from delaylake.functions import columns as C
 from delaylake.functions import constants as K
+from delaylake.operators.joins import sized
 from delaylake.session import materialize
 
 BUCKET_HEX = 5           # 20 bits of md5 for the histogram
@@ -83,8 +84,8 @@ def flag_first_n_by_hash(df: DataFrame | None, keys: Sequence[str], n_per_group:
     ``n_per_group`` has the group columns and ``__n`` (a small table: one row
     per group). Exact, no global sort, no group gathered in one task:
 
-    * buckets entirely below the cut are flagged by a join with the bucket plan
-      (at most 2^20 rows per group);
+    * buckets below the cut are flagged by comparing a row's bucket with its group's cut (a row
+      per group, broadcast): the rows are not exchanged;
     * the one boundary bucket per group is collapsed to distinct rows with
       their multiplicity (a map-side partial aggregate, so a group of copies
       holding a third of all rows becomes one row), ranked, and each distinct
@@ -108,17 +109,18 @@ def flag_first_n_by_hash(df: DataFrame | None, keys: Sequence[str], n_per_group:
         hist = hist.join(n_per_group.select(*g, "__n"), g, "inner")
     else:
         hist = hist.crossJoin(F.broadcast(n_per_group.select("__n")))
-    before = F.col("__cum") - F.col("__cnt")
-    # Buckets taken whole get __need = -1, the boundary bucket the rows it still
-    # needs; later buckets are absent from the plan.
-    plan = (hist.where(before < F.col("__n"))
-                .select(*g, "__b",
-                        F.when(F.col("__cum") <= F.col("__n"), F.lit(-1).cast("long"))
-                         .otherwise(F.col("__n") - before).alias("__need")))
-    j = h.join(plan, g + ["__b"], "left")
-    rest = (j.where(F.col("__need").isNull() | (F.col("__need") < 0))
-             .select(*cols, F.col("__need").isNotNull().alias(flag)))
-    edge = j.where(F.col("__need") >= 0)
+    # Buckets are ordered, so a group's plan is one row: the last bucket taken whole, the
+    # boundary bucket and how many of its rows are still needed.
+    before, n = F.col("__cum") - F.col("__cnt"), F.col("__n")
+    at_edge = (before < n) & (F.col("__cum") > n)
+    cut = hist.groupBy(*g).agg(F.max(F.when(F.col("__cum") <= n, F.col("__b"))).alias("__whole"),
+                               F.max(F.when(at_edge, F.col("__b"))).alias("__edge"),
+                               F.max(F.when(at_edge, n - before)).alias("__need"))
+    cut = materialize(cut, "hash-cuts")     # a row a group: broadcast, the rows stay where they are
+    j = h.join(sized(cut), g, "left") if g else h.crossJoin(F.broadcast(cut))
+    is_edge = F.coalesce(F.col("__b") == F.col("__edge"), F.lit(False))
+    rest = j.where(~is_edge).select(*cols, F.coalesce(F.col("__b") <= F.col("__whole"), F.lit(False)).alias(flag))
+    edge = j.where(is_edge)
     distinct = edge.groupBy(*cols, "__b", "__h", "__need").agg(F.count(F.lit(1)).alias("__m"))
     other = [c for c in cols if c not in keys and c not in g]
     wr = (Window.partitionBy(*g, "__b").orderBy("__h", *keys, *other)

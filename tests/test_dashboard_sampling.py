@@ -149,3 +149,15 @@ def test_first_n_by_hash_with_a_hot_group_of_copies(spark):
     tr, te = S.split_stratified(df.withColumn("y", F.lit(1)), "y", ["a", "b"], 0.5)
     assert tr.count() == 2000 and te.count() == 2000
     assert sorted(tuple(r) for r in tr.unionByName(te).select("a", "b").collect()) == sorted(data)
+
+
+def test_samples_do_not_exchange_their_rows(spark):
+    """The only exchanges on the rows' side are those of the boundary bucket."""
+    df = spark.range(5000).select(F.col("id").alias("k"), (F.col("id") % 3).cast("int").alias("y"),
+                                  F.concat(F.lit("payload"), F.col("id").cast("string")).alias("v"))
+    flagged = S.flag_stratified(df, "y", ["k"], 0.8)
+    plan = flagged._jdf.queryExecution().executedPlan().toString()
+    first = plan[:plan.index("Union") + 1] + plan[plan.index("Union"):].split("Scan parquet")[0]
+    assert "Exchange hashpartitioning" not in first and "BroadcastExchange" in plan
+    assert flagged.where("is_train").groupBy("y").count().orderBy("y").collect() == [
+        (y, int(n * 0.8)) for y, n in ((0, 1667), (1, 1667), (2, 1666))]
