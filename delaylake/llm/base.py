@@ -78,7 +78,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def packed(docs: DataFrame) -> DataFrame:
     """``docs`` with the non-null ``text`` as ``body``, compressed (zstd), so that an exchange
-    of whole texts moves and stores about two thirds of what it would otherwise."""
+    of whole texts moves and stores about two thirds of what it would otherwise. Joins exchange
+    it in any case (a broadcast of the other side would chain two Python workers in a task)."""
     rest = [c for c in docs.columns if c != "text"]
     plain = docs.select(*rest, "text")
 
@@ -89,7 +90,7 @@ def packed(docs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [*(batch.column(c) for c in rest), pa.array(body, pa.binary())], [*rest, "body"])
 
-    return plain.mapInArrow(run, schema_ddl(plain.drop("text"), "body binary"))
+    return plain.mapInArrow(run, schema_ddl(plain.drop("text"), "body binary")).hint("merge")
 
 
 def unpacked(batches: Iterator[pa.RecordBatch], max_bytes: int = W.SLICE_BYTES,
@@ -117,6 +118,7 @@ def unpacked(batches: Iterator[pa.RecordBatch], max_bytes: int = W.SLICE_BYTES,
             size += sum(map(len, row))
         if texts:
             yield cut(batch, a, texts)
+    W.release()
 
 
 def restored(docs: DataFrame) -> DataFrame:

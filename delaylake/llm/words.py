@@ -7,6 +7,7 @@ the batch. Hashes depend on the word's bytes alone, so they agree between tasks.
 
 from __future__ import annotations
 
+import ctypes
 import hashlib
 from collections.abc import Iterator
 from dataclasses import dataclass
@@ -56,6 +57,17 @@ class Words:
         return b" ".join(d[s:e].tobytes() for s, e in zip(self.starts[a:b], self.ends[a:b]))
 
 
+_TRIM = getattr(ctypes.CDLL(None), "malloc_trim", None)     # where the C library has it
+
+
+def release() -> None:
+    """Gives the memory that a finished partition has freed back to the system: the worker that
+    waits for its next task, beside others on the executor, is small."""
+    pa.default_memory_pool().release_unused()
+    if _TRIM is not None:
+        _TRIM(0)
+
+
 def text_bytes(texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
     """UTF-8 bytes of a string array and row offsets into them; null is empty."""
     if isinstance(texts, pa.ChunkedArray):
@@ -84,6 +96,7 @@ def slices(batches: Iterator[pa.RecordBatch], column: str,
             b = max(a + 1, int(np.searchsorted(off, off[a] + max_bytes, "right")) - 1)
             yield batch.slice(a, b - a)
             a = b
+    release()
 
 
 def split_words(data: np.ndarray, off: np.ndarray, members: np.ndarray = VISIBLE) -> Words:
