@@ -24,6 +24,7 @@ from delaylake.functions import constants as K
 from delaylake.operators import joins as J
 from delaylake.operators.models import positive_probability
 from delaylake.operators.projection import parse_travel_date, validate_requests
+from delaylake.session import materialize
 
 REQUEST_COLS = ["request_id", "airline_key", "dep_airport", "arr_airport", "travel_date",
                 "dep_time"]
@@ -72,15 +73,19 @@ def conditional_minutes(classified: DataFrame, regressor) -> DataFrame:
     """Estimated delay minutes for medium / high risk only: max(0, round(pred))
     with half-even rounding; low risk gets null.
 
-    One pass: the trees are evaluated for every row and the minutes kept only
-    where the risk asks for them. Splitting into two filtered branches and a
-    union would recompute the whole scoring lineage twice, which costs far more
-    than a few tree lookups on the low-risk rows.
+    The classified rows are written once, so that the regressor's trees run on the rows that
+    ask for minutes alone and the classifier runs once for both branches. A stream cannot be
+    written here (its sink does that): there the trees see every row in one pass.
     """
-    est = regressor.transform(classified)
-    mins = F.when(F.col("risk").isin("high", "medium"),
-                  F.greatest(F.lit(0), F.bround("prediction", 0).cast("int")))
-    return est.select(*classified.columns, mins.alias("est_delay_mins"))
+    wanted = F.col("risk").isin("high", "medium")
+    mins = F.greatest(F.lit(0), F.bround("prediction", 0).cast("int"))
+    if classified.isStreaming:
+        est = regressor.transform(classified)
+        return est.select(*classified.columns, F.when(wanted, mins).alias("est_delay_mins"))
+    rows = materialize(classified, "classified")
+    est = regressor.transform(rows.where(wanted)).select(*rows.columns, mins.alias("est_delay_mins"))
+    rest = rows.where(~F.coalesce(wanted, F.lit(False)))
+    return est.unionByName(rest.withColumn("est_delay_mins", F.lit(None).cast("int")))
 
 
 def log_rows(classified: DataFrame, model_name: str, source: str) -> DataFrame:
@@ -108,13 +113,22 @@ def log_rows(classified: DataFrame, model_name: str, source: str) -> DataFrame:
 
 def score_requests(req: DataFrame, weather_avg: DataFrame, coords: DataFrame, rates: DataFrame,
                    classifier, regressor=None, model_name: str = K.MODEL_NAMES["gbt"],
-                   source: str = "batch", validate: bool = True) -> DataFrame:
+                   source: str = "batch", validate: bool = True, stage_lookups: bool = False) -> DataFrame:
     """Scored requests as prediction-log rows; with a regressor, medium and
     high risk rows also get estimated delay minutes. Fields are normalised and
     blank requests left out, as the stream does; ``validate=False`` is for
-    requests that :func:`validate_requests` has already split."""
+    requests that :func:`validate_requests` has already split. ``stage_lookups``
+    writes the lookups first: for lookups that are not tables yet."""
     if validate:
         req, _ = validate_requests(req.select(*REQUEST_COLS))
+    if not req.isStreaming:
+        # a row's trees cost far more than moving its six fields: deal the rows evenly, also
+        # where they come from few files or one large row group
+        req = req.hint("rebalance")
+    if not req.isStreaming and stage_lookups:
+        # aggregates are computed once, not for each use and each count of their rows
+        weather_avg, coords, rates = (materialize(d, f"{n}-lookup") for n, d in (
+            ("weather", weather_avg), ("coords", coords), ("rates", rates)))
     c = classify(request_features(req, weather_avg, coords, rates), classifier)
     if regressor is not None:
         c = conditional_minutes(c, regressor)

@@ -249,14 +249,14 @@ def _flat(scored):
 
 @query("score_requests", W(_SCORED_SQL, ctes=_SCORED_CTES))
 def q_score_requests(spark, sf):
-    s = SC.score_requests(X.requests(spark, sf), *_lookups(spark, sf), gbt_model(spark, sf))
+    s = SC.score_requests(X.requests(spark, sf), *_lookups(spark, sf), gbt_model(spark, sf), stage_lookups=True)
     return _flat(s)
 
 
 @query("conditional_minutes", W("SELECT request_id, true AS minutes_follow_risk FROM requests"))
 def q_conditional_minutes(spark, sf):
     s = SC.score_requests(X.requests(spark, sf), *_lookups(spark, sf), gbt_model(spark, sf),
-                          regressor=regressor(spark, sf))
+                          regressor=regressor(spark, sf), stage_lookups=True)
     follow = F.when(F.col("risk") == "low", F.col("est_delay_mins").isNull()).otherwise(
         F.coalesce(F.col("est_delay_mins") >= 0, F.lit(False)))
     return s.select("request_id", follow.alias("minutes_follow_risk"))
