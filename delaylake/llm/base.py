@@ -19,8 +19,11 @@ BATCH_ROWS = 1000
 
 
 def bounded_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
-    """Arrow batches of at most ``rows`` rows, so that a batch of long texts fits."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+    """Arrow batches of at most ``rows`` rows, so that a batch of long texts fits; a session that
+    has set fewer keeps them."""
+    key = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    now = int(spark.conf.get(key))
+    spark.conf.set(key, str(rows if now <= 0 else min(rows, now)))
 
 
 _CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
