@@ -19,7 +19,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from delaylake.llm.base import packed, restored, staged, table
+from delaylake.llm.base import bounded_batches, staged, table
 from delaylake.llm.bpe import encode
 from delaylake.llm.decontaminate import decontaminate
 from delaylake.llm.jaccard_join import jaccard_join
@@ -28,6 +28,9 @@ from delaylake.llm.queries import tokenizer_path, tokenizer_pattern
 from delaylake.llm.substring_dedup import substring_dedup
 
 _OTHERS = "pipeline_row"
+#: Rows in an Arrow batch: rows carry their other columns along, and executors that run one
+#: stage after the other keep the buffers of the largest batch.
+BATCH_ROWS = 250
 
 
 def _packed(docs: DataFrame) -> DataFrame:
@@ -46,16 +49,14 @@ def _unpacked(docs: DataFrame, columns: list[str], **changed: F.Column) -> DataF
 
 
 def drop_low_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    bounded_batches(spark, BATCH_ROWS)
     model = fit_quality(docs, table(spark, sf_dir, "labels"))
     return _unpacked(quality(_packed(docs), model, carry=(_OTHERS,)).where("kept"), docs.columns)
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     others = jaccard_join(docs).where("component_id <> doc_id").select("doc_id").distinct()
-    whole = _packed(docs)
-    kept = restored(packed(whole.where("text is not null")).join(others, "doc_id", "left_anti"))
-    blank = whole.where("text is null")  # linked with nothing
-    return _unpacked(kept.select(whole.columns).union(blank), docs.columns)
+    return docs.join(others, "doc_id", "left_anti").select(*[F.col(f"`{c}`") for c in docs.columns])
 
 
 def cut_repeated_spans(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
