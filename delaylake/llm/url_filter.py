@@ -50,19 +50,25 @@ def with_rules(pages: DataFrame, rules=RULES) -> DataFrame:
             .withColumn("rule", rule).withColumn("rule_verdict", verdict))
 
 
-def _grams(text: F.Column, mark: str, n: int) -> F.Column:
-    at = F.sequence(F.lit(1), F.greatest(F.length(text) - (n - 1), F.lit(1)))
-    return F.transform(at, lambda i: F.concat(F.lit(mark), F.substring(text, i, F.lit(n))))
+def _grams(chars: str, mark: str) -> list[F.Column]:
+    """Marked n-grams of each length, from a column of characters."""
+    def of(n):
+        at = F.sequence(F.lit(1), F.greatest(F.size(chars) - (n - 1), F.lit(1)))
+        return F.transform(at, lambda i: F.concat(F.lit(mark), F.array_join(F.slice(F.col(chars), i, n), "")))
+
+    return [of(n) for n in GRAMS]
 
 
 def features(urls: DataFrame) -> DataFrame:
-    """Adds ``grams`` (distinct marked n-grams) and ``features`` (hashed, 0 or 1)."""
-    host = F.concat(F.lit("^"), F.col("host"), F.lit("$"))
-    path = F.concat(F.lit("^"), F.col("path"), F.lit("$"))
-    grams = F.array_distinct(F.concat(*[_grams(t, m, n) for t, m in ((host, "h"), (path, "p"))
-                                        for n in GRAMS]))
+    """Adds ``grams`` (distinct marked n-grams) and ``features`` (hashed, 0 or 1). A text is cut
+    into characters once, in a column of its own, so the work follows its length, also that of
+    a data url of a megabyte."""
+    cut = lambda c: F.regexp_extract_all(F.concat(F.lit("^"), F.col(c), F.lit("$")), F.lit("(?s)."), F.lit(0))
+    urls = urls.withColumns({"host_chars": cut("host"), "path_chars": cut("path")})
+    grams = F.array_distinct(F.concat(*_grams("host_chars", "h"), *_grams("path_chars", "p")))
+    urls = urls.withColumn("grams", grams).drop("host_chars", "path_chars")
     tf = HashingTF(numFeatures=N_FEATURES, binary=True, inputCol="grams", outputCol="features")
-    return tf.transform(urls.withColumn("grams", grams))
+    return tf.transform(urls)
 
 
 def fit_urls(judged: DataFrame, max_rows: int = MAX_ROWS) -> LogisticRegressionModel | str | None:

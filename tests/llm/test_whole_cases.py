@@ -90,3 +90,52 @@ def test_text_doc_ids_and_null_metadata(spark):
     got = kd_sharding.kd_sharding(docs, 4).collect()
     sizes = [sum(r["size"] for r in got if r["shard"] == s) for s in range(4)]
     assert len(got) == 90 and max(sizes) - min(sizes) < 0.1 * sum(sizes)
+
+
+def grams_by_hand(host, path):
+    out = set()
+    for mark, text in (("h", f"^{host}$"), ("p", f"^{path}$")):
+        for n in (3, 4, 5):
+            out |= {mark + text[i:i + n] for i in range(max(1, len(text) - n + 1))}
+    return out
+
+
+def test_url_features_and_scores_by_hand(spark):
+    import math
+
+    from pyspark.ml.feature import HashingTF
+    from pyspark.ml.functions import vector_to_array
+
+    from delaylake.llm import url_filter
+    rng = random.Random(1)
+    urls = [f"http://{rng.choice(['a', 'shop', 'ä'])}{i}.{rng.choice(['net', 'example.net', 'org', 'io'])}/"
+            f"{rng.choice(['en/', 'fr/', '', 'de/x?q'])}{'z' * (i % 4)}" for i in range(120)] + ["", None, "http://", "no scheme"]
+    pages = spark.createDataFrame(list(enumerate(urls)), "page_id long, url string")
+    judged = url_filter.with_rules(pages)
+    model = url_filter.fit_urls(judged)
+    rows = model.transform(url_filter.features(judged)).select(
+        "host", "path", "grams", vector_to_array("probability")[1].alias("p")).collect()
+    tf = HashingTF(numFeatures=url_filter.N_FEATURES, binary=True, inputCol="grams", outputCol="features")
+    weights, offset = model.coefficients.toArray(), model.intercept
+    where = {}
+    for r in rows:
+        want = grams_by_hand(r["host"], r["path"])
+        assert set(r["grams"]) == want and len(r["grams"]) == len(want)
+        at = {where.setdefault(g, tf.indexOf(g)) for g in want}
+        assert r["p"] == pytest.approx(1 / (1 + math.exp(-(offset + sum(weights[i] for i in at)))), abs=1e-12)
+    got = {r["page_id"]: r for r in url_filter.url_filter(pages).collect()}
+    assert all(got[i]["verdict"] == ("block" if r["p"] >= 0.5 else "allow")
+               for i, r in enumerate(rows) if got[i]["rule"] is None)
+
+
+def test_a_long_url_takes_time_in_proportion(spark):
+    import time
+
+    from delaylake.llm import url_filter
+    took = []
+    for n in (20_000, 200_000):
+        df = spark.createDataFrame([("h", "/" + "".join(random.Random(n).choices("abcdef", k=n)))], "host string, path string")
+        t = time.perf_counter()
+        assert url_filter.features(df).select(F.size("grams").alias("n")).first()["n"] > 8000
+        took.append(time.perf_counter() - t)
+    assert took[1] < 10 * max(took[0], 2)
