@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from delaylake.functions import columns as C
 from delaylake.functions import constants as K
 from delaylake.operators.aggregates import delay_rate
-from delaylake.session import materialize
+from delaylake.session import materialize, sized
 
 
 def cancel_anti_join(flights: DataFrame, cancelled: DataFrame,
@@ -36,13 +36,14 @@ def cancel_anti_join(flights: DataFrame, cancelled: DataFrame,
     The cancelled side is first reduced to its distinct keys (partial
     aggregation map-side), which bounds it by the key space rather than by the
     number of cancelled rows and keeps duplicate cancelled rows from mattering.
-    When that key set is too large to broadcast, the anti join is a sort-merge
+    It is written once and broadcast while it is small (:func:`lookup_side`), so
+    that the flights are not exchanged. When that key set is too large to broadcast, the anti join is a sort-merge
     join and a hot flight key (e.g. a missing tail number on a third of all
     flights, which all hash alike) is a skewed left partition: AQE's skew-join
     rule splits it across tasks (left-anti joins split on the left side).
     """
     keys = list(keys)
-    ck = cancelled.select(*keys).dropDuplicates()
+    ck = lookup_side(cancelled.select(*keys).dropDuplicates(), "cancelled-keys")
     if not null_safe:
         return flights.join(ck, keys, "left_anti")
     ren = ck.select(*[F.col(k).alias(f"__c_{k}") for k in keys])
@@ -65,17 +66,11 @@ def join_airport_coords(flights: DataFrame, airports: DataFrame, key: str = "Dep
     return flights.join(sized(a), key, "left")
 
 
-BROADCAST_ROWS = 1_000_000
-
-
-def sized(lookup: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """A caller's lookup table, hinted for broadcast if it has at most
-    ``max_rows`` rows (counted as far as that bound), else left as it is for the
-    planner's own joins."""
-    if lookup.isStreaming:
-        return lookup
-    small = lookup.limit(max_rows + 1).agg(F.count(F.lit(1))).first()[0] <= max_rows
-    return F.broadcast(lookup) if small else lookup
+def lookup_side(lookup: DataFrame, name: str) -> DataFrame:
+    """The small side of a join, written once so that it is computed once, and
+    broadcast if it is small (:func:`sized`): the flights then stay where they
+    are, whatever the planner would have guessed of its size."""
+    return lookup if lookup.isStreaming else sized(materialize(lookup, name))
 
 
 def unique_on(df: DataFrame, keys: Sequence[str]) -> DataFrame:
@@ -99,9 +94,11 @@ def join_daily_weather(flights: DataFrame, weather: DataFrame,
     """Left join of each flight to the weather of its departure airport and day.
 
     Weather has one row per (airport, day); ``dedupe`` enforces that so the
-    join cannot multiply flights. The right-hand key columns are dropped.
+    join cannot multiply flights. It is written once and broadcast while it is
+    small (:func:`lookup_side`). The right-hand key columns are dropped.
     """
     w = unique_on(weather, list(weather_keys)) if dedupe else weather
+    w = lookup_side(w, "daily-weather")
     w = w.withColumnRenamed(weather_keys[0], on[0]).withColumnRenamed(weather_keys[1], on[1])
     return flights.join(w, list(on), "left")
 

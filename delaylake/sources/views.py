@@ -13,13 +13,13 @@ airports   nation-derived coordinates (at most 25 rows: the nation table is fixe
 requests   scoring requests taken from flights
 log        prediction-log rows taken from ``events``
 
-Plan notes (100 TB): lineitem ⋈ orders is the one large-large join; it is a
-sort-merge join on ``orderkey`` unless AQE sees a small side at runtime. The
-supplier and customer dimensions are first flattened with their nation (small
-joins), so the fact stream probes four tables instead of six; part, supplier
-and customer are joined on their keys and AQE turns any of them into a
-broadcast only after measuring it. ``nation`` has a fixed 25-row bound and is
-broadcast explicitly. Only the columns below are read from each scan (column
+Plan notes (100 TB): the fact stream is exchanged twice, by part and by order.
+Suppliers are broadcast while they are few (``session.sized``), customers are
+joined to the orders, and airports move as nation keys. The order comes last,
+so that the flights leave dealt by order, at most about ``ROWS_PER_TASK`` to a
+task: full-row duplicates are then dropped without an exchange and without
+spilling. AQE turns the other joins into broadcasts only after measuring a side,
+and splits a hot part. Only the columns below are read from each scan (column
 pruning reaches ``ReadSchema``).
 """
 
@@ -28,8 +28,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from delaylake.session import sized
 from delaylake.sources.tables import load_driver_table
 
+ROWS_PER_TASK = 200_000     # flights in a task that groups whole rows: about 64 MB of them
 FLIGHT_KEY = ["l_orderkey", "l_partkey", "l_suppkey", "l_linenumber"]
 
 
@@ -39,37 +41,44 @@ def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 def flights(spark: SparkSession, sf_dir: str, keep_key: bool = True) -> DataFrame:
     """Flights with the reference's column names (see FIXTURES.md §2)."""
-    li = _t(spark, sf_dir, "lineitem").select(
-        *FLIGHT_KEY, "l_quantity", "l_extendedprice", "l_returnflag")
+    li = _t(spark, sf_dir, "lineitem")
+    arr_delay = (2 * F.col("l_linenumber") * F.col("l_quantity") - 330).cast("int")
+    arr_delay = F.when((F.col("l_linenumber") == 1) & (F.col("l_quantity") < 5),
+                       F.lit(None).cast("int")).otherwise(arr_delay)
+    # What can be computed from a line alone is computed before it moves: small
+    # whole numbers are exchanged instead of prices and quantities.
+    li = li.select(*FLIGHT_KEY, "l_returnflag", arr_delay.alias("Arr_Delay"),
+                   F.floor(F.col("l_extendedprice") / 1000).cast("int").alias("Flight_Duration"))
     o = _t(spark, sf_dir, "orders").select(
-        F.col("o_orderkey").alias("l_orderkey"), "o_custkey", "o_orderdate", "o_orderpriority")
+        F.col("o_orderkey").alias("l_orderkey"), "o_custkey",
+        F.col("o_orderdate").cast("date").alias("FlightDate"), "o_orderpriority")
     p = _t(spark, sf_dir, "part").select(
         F.col("p_partkey").alias("l_partkey"), "p_brand", "p_type", "p_size")
+    # Airports move as nation keys; the names (a fixed 25-row bound, broadcast)
+    # are attached to the joined rows.
     nation = _t(spark, sf_dir, "nation").select("n_nationkey", "n_name")
-    # Dimensions are flattened among themselves first (supplier / customer
-    # with their nation: small joins), so the fact stream probes four tables,
-    # not six. nation has a fixed 25-row bound and is broadcast.
-    s = (_t(spark, sf_dir, "supplier").select("s_suppkey", "s_nationkey")
-         .join(F.broadcast(nation.select(F.col("n_nationkey").alias("s_nationkey"),
-                                         F.col("n_name").alias("Dep_Airport"))), "s_nationkey")
-         .select(F.col("s_suppkey").alias("l_suppkey"), "Dep_Airport"))
-    c = (_t(spark, sf_dir, "customer").select("c_custkey", "c_nationkey")
-         .join(F.broadcast(nation.select(F.col("n_nationkey").alias("c_nationkey"),
-                                         F.col("n_name").alias("Arr_Airport"))), "c_nationkey")
-         .select(F.col("c_custkey").alias("o_custkey"), "Arr_Airport"))
-
-    j = (li.join(o, "l_orderkey")
+    dep = F.broadcast(nation.select(F.col("n_nationkey").alias("s_nationkey"),
+                                    F.col("n_name").alias("Dep_Airport")))
+    arr = F.broadcast(nation.select(F.col("n_nationkey").alias("c_nationkey"),
+                                    F.col("n_name").alias("Arr_Airport")))
+    s = sized(_t(spark, sf_dir, "supplier").select(F.col("s_suppkey").alias("l_suppkey"), "s_nationkey"))
+    c = _t(spark, sf_dir, "customer").select(F.col("c_custkey").alias("o_custkey"), "c_nationkey")
+
+    # The join on the order comes last: the flights are then dealt by order, and
+    # what groups them by a key that holds the order needs no further exchange.
+    # The number of tasks follows the rows, so that whole rows can be grouped in
+    # a task's memory (packed shuffle blocks would hold five times as many).
+    tasks = max(spark.sparkContext.defaultParallelism, -(-li.count() // ROWS_PER_TASK))
+    j = (li.join(s, "l_suppkey")
            .join(p, "l_partkey")
-           .join(s, "l_suppkey")
-           .join(c, "o_custkey"))
+           .repartition(tasks, "l_orderkey")
+           .join(o.join(c, "o_custkey").drop("o_custkey"), "l_orderkey")
+           .join(dep, "s_nationkey").join(arr, "c_nationkey"))
 
-    arr_delay = (2 * F.col("l_linenumber") * F.col("l_quantity") - 330).cast("int")
-    arr_delay = F.when((F.col("l_linenumber") == 1) & (F.col("l_quantity") < 5),
-                       F.lit(None).cast("int")).otherwise(arr_delay)
-    flight_date = F.col("o_orderdate").cast("date")
+    flight_date = F.col("FlightDate")
     tail = F.col("l_suppkey") % 10
     cols: list[Column] = [
-        flight_date.alias("FlightDate"),
+        flight_date,
         (F.weekday(flight_date) + 1).alias("Day_Of_Week"),
         F.col("p_brand").alias("Airline"),
         F.when(tail == 0, F.lit(None).cast("string")).otherwise(tail.cast("string"))
@@ -78,9 +87,9 @@ def flights(spark: SparkSession, sf_dir: str, keep_key: bool = True) -> DataFram
         "Arr_Airport",
         F.col("o_orderpriority").alias("DepTime_label"),
         F.col("p_type").alias("Distance_type"),
-        F.floor(F.col("l_extendedprice") / 1000).cast("int").alias("Flight_Duration"),
-        (arr_delay - F.col("l_linenumber")).alias("Dep_Delay"),
-        arr_delay.alias("Arr_Delay"),
+        "Flight_Duration",
+        (F.col("Arr_Delay") - F.col("l_linenumber")).alias("Dep_Delay"),
+        "Arr_Delay",
         F.when(F.col("p_size") > 45, F.lit(None).cast("int")).otherwise(F.col("p_size"))
          .alias("Aicraft_age"),
     ]
@@ -95,13 +104,13 @@ def weather(spark: SparkSession, sf_dir: str) -> DataFrame:
     A grouped aggregate over orders ⋈ customer: partial aggregation runs
     map-side, so only one row per (nation, day, task) is shuffled.
     """
-    o = _t(spark, sf_dir, "orders").select("o_custkey", "o_orderdate", "o_totalprice")
+    o = _t(spark, sf_dir, "orders").select(
+        "o_custkey", F.col("o_orderdate").cast("date").alias("time"), "o_totalprice")
     n = F.broadcast(_t(spark, sf_dir, "nation").select(
         F.col("n_nationkey").alias("c_nationkey"), F.col("n_name").alias("airport_id")))
-    c = (_t(spark, sf_dir, "customer").select(F.col("c_custkey").alias("o_custkey"), "c_nationkey")
-         .join(n, "c_nationkey").select("o_custkey", "airport_id"))
-    g = (o.join(c, "o_custkey")
-          .groupBy("airport_id", F.col("o_orderdate").cast("date").alias("time"))
+    c = _t(spark, sf_dir, "customer").select(F.col("c_custkey").alias("o_custkey"), "c_nationkey")
+    g = (o.join(c, "o_custkey").join(n, "c_nationkey")
+          .groupBy("airport_id", "time")
           .agg(F.max("o_totalprice").alias("_maxp"), F.min("o_totalprice").alias("_minp"),
                F.count(F.lit(1)).alias("_n"), F.min("o_custkey").alias("_minc"),
                F.max("o_custkey").alias("_maxc")))

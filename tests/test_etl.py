@@ -2,6 +2,7 @@
 plan gives the same rates."""
 
 from delaylake.operators import aggregates as A
+from delaylake.operators import clean, joins
 from delaylake.plans import fixtures as X
 from tests.conftest import SF001, rows
 
@@ -24,3 +25,26 @@ def test_labelled_rows_give_clean_rates(spark):
     l_ = A.delay_rate(X.labelled(spark, SF001))
     assert _r(rows(c)) == _r(rows(l_))
     assert X.labelled(spark, SF001).count() == X.clean(spark, SF001).count()
+
+
+def test_clean_rows_are_exchanged_by_part_and_order_only(spark):
+    """Where no side is small enough for the planner's own broadcast, the flights move for the
+    joins on part and order; duplicates, cancelled keys, airports and weather move them no more."""
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in conf}
+    try:
+        for k, v in conf.items():
+            spark.conf.set(k, v)
+        f = clean.dedup_rows(X.flights(spark, SF001))
+        f = joins.cancel_anti_join(f, X.cancelled(spark, SF001))
+        f = joins.join_airport_coords(f, X.airports(spark, SF001))
+        f = joins.join_daily_weather(f, X.weather(spark, SF001))
+        plan = f._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    # lineitem and part by part; orders and customer by customer; both results by order
+    flights = [line for line in plan.splitlines() if "Exchange hashpartitioning(" in line and "IATA" not in line
+               and "Dep_Airport" not in line]
+    assert len(flights) == 6, plan
+    assert plan.count("BroadcastHashJoin") >= 5, plan
