@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from delaylake.functions import columns as C
 from delaylake.functions import constants as K
 from delaylake.operators import clean, features, joins, projection, sampling
+from delaylake.session import materialize
 
 STACKED_BASE = ["Dep_Airport_Encoded", "Arr_Airport_Encoded", "Day_Of_Week", "Flight_Duration",
                 "Aicraft_age", "tavg", "prcp", "wspd", "pres", "month", "day", "is_weekend",
@@ -36,6 +37,8 @@ def stacked_features(years: Sequence[DataFrame], cancelled: DataFrame, airports:
     f = joins.cancel_anti_join(f, cancelled, null_safe=True)
     f = joins.join_airport_coords(f, airports)
     f = joins.join_daily_weather(f, weather)
+    # Written once: means, medians and codes each read it, not the joins.
+    f = materialize(f, "stacked-joined")
     f = clean.impute_group_then_median(f, K.WEATHER_COLS)
     f = clean.impute_global_median(f, ["Aicraft_age"])
     f = f.withColumn("is_delayed", C.delay_label("Arr_Delay"))

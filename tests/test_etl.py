@@ -3,6 +3,7 @@ plan gives the same rates."""
 
 from delaylake.operators import aggregates as A
 from delaylake.operators import clean, joins
+from delaylake.plans import chains
 from delaylake.plans import fixtures as X
 from tests.conftest import SF001, rows
 
@@ -48,3 +49,11 @@ def test_clean_rows_are_exchanged_by_part_and_order_only(spark):
                and "Dep_Airport" not in line]
     assert len(flights) == 6, plan
     assert plan.count("BroadcastHashJoin") >= 5, plan
+
+
+def test_stacked_features_read_the_written_joins(spark):
+    """Means, medians, codes and rows are taken from the joined flights written once."""
+    f = X.flights(spark, SF001)
+    out = chains.stacked_features([f], X.cancelled(spark, SF001), X.airports(spark, SF001), X.weather(spark, SF001),
+                                  {"DepTime_label": ["1-URGENT", "2-HIGH"]})
+    assert not any("lineitem" in p for p in out.inputFiles())
