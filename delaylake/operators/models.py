@@ -53,12 +53,22 @@ def encode_stages(cats: Sequence[str] = tuple(K.CATEGORICAL_COLS), numeric: Sequ
     ]
 
 
+FIT_ROWS = 200_000      # training rows in a task: the learners keep them in memory and read them at every step
+
+
+def dealt(train: DataFrame) -> DataFrame:
+    """The training rows dealt evenly over tasks of at most about ``FIT_ROWS``: a split of a
+    compressed file holds millions of rows, which the learner would keep as one block."""
+    tasks = -(-train.count() // FIT_ROWS)
+    return train if tasks <= 1 else train.repartition(max(tasks, train.sparkSession.sparkContext.defaultParallelism))
+
+
 def gbt_classifier(train: DataFrame, max_iter: int = 20, max_depth: int = 5,
                    step: float = 0.1, seed: int = K.SEED, label: str = "delay_label",
                    numeric: Sequence[str] = tuple(CLASSIFIER_NUMERIC)) -> PipelineModel:
     gbt = GBTClassifier(labelCol=label, featuresCol="features", maxIter=max_iter,
                         maxDepth=max_depth, stepSize=step, seed=seed)
-    return Pipeline(stages=encode_stages(numeric=numeric) + [gbt]).fit(train)
+    return Pipeline(stages=encode_stages(numeric=numeric) + [gbt]).fit(dealt(train))
 
 
 def rf_classifier(train: DataFrame, num_trees: int = 50, max_depth: int = 10,
@@ -72,7 +82,7 @@ def rf_classifier(train: DataFrame, num_trees: int = 50, max_depth: int = 10,
     rf = RandomForestClassifier(labelCol=label, featuresCol="features", numTrees=num_trees,
                                 maxDepth=max_depth, minInstancesPerNode=min_instances,
                                 seed=seed, **kw)
-    return Pipeline(stages=encode_stages(numeric=numeric) + [rf]).fit(train)
+    return Pipeline(stages=encode_stages(numeric=numeric) + [rf]).fit(dealt(train))
 
 
 @dataclass
@@ -155,7 +165,7 @@ def gbt_regressor(train: DataFrame, label: str = "Arr_Delay", max_iter: int = 10
     gbt = GBTRegressor(labelCol=label, featuresCol="features", maxIter=max_iter,
                        maxDepth=max_depth, stepSize=step, subsamplingRate=subsample, seed=seed)
     st = encode_stages(numeric=numeric, drop_last=False)
-    return Pipeline(stages=st + [gbt]).fit(train)
+    return Pipeline(stages=st + [gbt]).fit(dealt(train))
 
 
 def save_model(model: PipelineModel | CalibratedSVM, path: str) -> None:

@@ -223,7 +223,7 @@ def q_model_pipeline_io(spark, sf):
     train, test = S.split_train_test(materialize(rows, "pipeline-rows"), QM.KEY)
     fill = TrainingFill(means=K.WEATHER_COLS, label=["Arr_Delay", "delay_label", K.DELAY_THRESHOLD_MIN])
     trees = GBTClassifier(labelCol="delay_label", featuresCol="features", maxIter=3, maxDepth=3, seed=K.SEED)
-    model = Pipeline(stages=[fill, *M.encode_stages(numeric=_IO_NUMERIC), trees]).fit(train)
+    model = Pipeline(stages=[fill, *M.encode_stages(numeric=_IO_NUMERIC), trees]).fit(M.dealt(train))
     base = scratch_path(spark, "pipeline")
     M.publish_model(model, base)
     p = vector_to_array("probability")[1]

@@ -264,3 +264,13 @@ def test_stream_score_log_incremental_restart_and_rejects(spark, tmp_dir):
     third = run()
     assert third.count() == 7
     assert set(third.columns) >= {"timestamp", "risk", "weather", "model_used", "log_date"}
+
+
+def test_training_rows_are_dealt_over_tasks(spark, monkeypatch):
+    """A single split of many rows is cut before it is fitted; no row is lost."""
+    from delaylake.operators import models
+    monkeypatch.setattr(models, "FIT_ROWS", 100)
+    d = models.dealt(spark.range(5000, numPartitions=1))
+    sizes = [len(p) for p in d.rdd.glom().collect()]
+    assert sum(sizes) == 5000 and max(sizes) <= 110
+    assert models.dealt(spark.range(90, numPartitions=1)).rdd.getNumPartitions() == 1
