@@ -69,8 +69,13 @@ def join_airport_coords(flights: DataFrame, airports: DataFrame, key: str = "Dep
 def lookup_side(lookup: DataFrame, name: str) -> DataFrame:
     """The small side of a join, written once so that it is computed once, and
     broadcast if it is small (:func:`sized`): the flights then stay where they
-    are, whatever the planner would have guessed of its size."""
-    return lookup if lookup.isStreaming else sized(materialize(lookup, name))
+    are, whatever the planner would have guessed of its size. A session that has
+    turned size-based broadcasts off (a negative threshold) gets none here."""
+    if lookup.isStreaming:
+        return lookup
+    stored = materialize(lookup, name)
+    off = lookup.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold").startswith("-")
+    return stored if off else sized(stored)
 
 
 def unique_on(df: DataFrame, keys: Sequence[str]) -> DataFrame:

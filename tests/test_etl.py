@@ -31,7 +31,7 @@ def test_labelled_rows_give_clean_rates(spark):
 def test_clean_rows_are_exchanged_by_part_and_order_only(spark):
     """Where no side is small enough for the planner's own broadcast, the flights move for the
     joins on part and order; duplicates, cancelled keys, airports and weather move them no more."""
-    conf = {"spark.sql.autoBroadcastJoinThreshold": "-1", "spark.sql.adaptive.enabled": "false"}
+    conf = {"spark.sql.autoBroadcastJoinThreshold": "1", "spark.sql.adaptive.enabled": "false"}
     before = {k: spark.conf.get(k) for k in conf}
     try:
         for k, v in conf.items():
