@@ -25,7 +25,7 @@ from delaylake.functions import constants as K
 from delaylake.operators.sampling import folded_counts
 from delaylake.operators.svm import (LinearMember, complete, encoded, fit_inputs, member_margin, sigmoid,
                                      squared_hinge)
-from delaylake.session import materialize, path_exists
+from delaylake.session import materialize, most_rows, path_exists, scan_splits, split_size
 from delaylake.sources.publish import current, publish
 
 log = logging.getLogger(__name__)
@@ -63,12 +63,22 @@ def dealt(train: DataFrame) -> DataFrame:
     return train if tasks <= 1 else train.repartition(max(tasks, train.sparkSession.sparkContext.defaultParallelism))
 
 
+def fitted(train: DataFrame, encode: Sequence, learner) -> PipelineModel:
+    """Encoders and learner as one model. The encoders are fitted where the rows lie. The
+    learner reads its rows in splits of about ``FIT_ROWS``, if their files allow that; else
+    they are dealt (:func:`dealt`), once."""
+    encoder = Pipeline(stages=list(encode)).fit(train)
+    with scan_splits(train.sparkSession, split_size(train, FIT_ROWS)):
+        rows = train if most_rows(train) <= 2 * FIT_ROWS else dealt(train)
+        return PipelineModel([*encoder.stages, learner.fit(encoder.transform(rows))])
+
+
 def gbt_classifier(train: DataFrame, max_iter: int = 20, max_depth: int = 5,
                    step: float = 0.1, seed: int = K.SEED, label: str = "delay_label",
                    numeric: Sequence[str] = tuple(CLASSIFIER_NUMERIC)) -> PipelineModel:
     gbt = GBTClassifier(labelCol=label, featuresCol="features", maxIter=max_iter,
                         maxDepth=max_depth, stepSize=step, seed=seed)
-    return Pipeline(stages=encode_stages(numeric=numeric) + [gbt]).fit(dealt(train))
+    return fitted(train, encode_stages(numeric=numeric), gbt)
 
 
 def rf_classifier(train: DataFrame, num_trees: int = 50, max_depth: int = 10,
@@ -82,7 +92,7 @@ def rf_classifier(train: DataFrame, num_trees: int = 50, max_depth: int = 10,
     rf = RandomForestClassifier(labelCol=label, featuresCol="features", numTrees=num_trees,
                                 maxDepth=max_depth, minInstancesPerNode=min_instances,
                                 seed=seed, **kw)
-    return Pipeline(stages=encode_stages(numeric=numeric) + [rf]).fit(dealt(train))
+    return fitted(train, encode_stages(numeric=numeric), rf)
 
 
 @dataclass
@@ -164,8 +174,7 @@ def gbt_regressor(train: DataFrame, label: str = "Arr_Delay", max_iter: int = 10
     scaling, so none is fitted."""
     gbt = GBTRegressor(labelCol=label, featuresCol="features", maxIter=max_iter,
                        maxDepth=max_depth, stepSize=step, subsamplingRate=subsample, seed=seed)
-    st = encode_stages(numeric=numeric, drop_last=False)
-    return Pipeline(stages=st + [gbt]).fit(dealt(train))
+    return fitted(train, encode_stages(numeric=numeric, drop_last=False), gbt)
 
 
 def save_model(model: PipelineModel | CalibratedSVM, path: str) -> None:

@@ -113,15 +113,17 @@ def log_rows(classified: DataFrame, model_name: str, source: str) -> DataFrame:
 
 def score_requests(req: DataFrame, weather_avg: DataFrame, coords: DataFrame, rates: DataFrame,
                    classifier, regressor=None, model_name: str = K.MODEL_NAMES["gbt"],
-                   source: str = "batch", validate: bool = True, stage_lookups: bool = False) -> DataFrame:
+                   source: str = "batch", validate: bool = True, stage_lookups: bool = False,
+                   deal: bool = True) -> DataFrame:
     """Scored requests as prediction-log rows; with a regressor, medium and
     high risk rows also get estimated delay minutes. Fields are normalised and
     blank requests left out, as the stream does; ``validate=False`` is for
     requests that :func:`validate_requests` has already split. ``stage_lookups``
-    writes the lookups first: for lookups that are not tables yet."""
+    writes the lookups first: for lookups that are not tables yet. ``deal=False`` leaves the
+    requests where they are: for requests that lie in many files of even size."""
     if validate:
         req, _ = validate_requests(req.select(*REQUEST_COLS))
-    if not req.isStreaming:
+    if deal and not req.isStreaming:
         # a row's trees cost far more than moving its six fields: deal the rows evenly, also
         # where they come from few files or one large row group
         req = req.hint("rebalance")

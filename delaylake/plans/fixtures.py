@@ -29,6 +29,22 @@ SLOT_OF_PRIORITY = {
 
 
 _CLEAN: dict[tuple[str, str], DataFrame] = {}
+_FLIGHTS: dict[tuple[str, str], DataFrame] = {}
+
+
+def _stored(spark: SparkSession, sf_dir: str) -> DataFrame | None:
+    """The flights that this application has written for this input folder, if any."""
+    f = _FLIGHTS.get((spark.sparkContext.applicationId, sf_dir))
+    return f if f is not None and all(path_exists(spark, x) for x in f.inputFiles()[:1]) else None
+
+
+def shared_flights(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The flights, written once per application and input folder: for queries that use them
+    beside the clean table, which then reads them too."""
+    f = _stored(spark, sf_dir)
+    if f is None:
+        f = _FLIGHTS[spark.sparkContext.applicationId, sf_dir] = V.stored_flights(spark, sf_dir)
+    return f
 
 
 def clean(spark: SparkSession, sf_dir: str, stage: bool = True) -> DataFrame:
@@ -42,7 +58,8 @@ def clean(spark: SparkSession, sf_dir: str, stage: bool = True) -> DataFrame:
     agree).
     """
     def build(staged: bool) -> DataFrame:
-        return etl_clean_enrich(flights(spark, sf_dir), cancelled(spark, sf_dir),
+        f = _stored(spark, sf_dir) if staged else None
+        return etl_clean_enrich(flights(spark, sf_dir) if f is None else f, V.cancelled(spark, sf_dir, f),
                                 airports(spark, sf_dir), weather(spark, sf_dir), stage=staged)
 
     if not stage:

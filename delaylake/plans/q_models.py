@@ -32,7 +32,8 @@ from delaylake.plans.q_core import (_BAL_D, _BAL_N, _BAL_O, _REQ_PARSED_SQL, _RO
                                     _WAVG_SQL, _bucket_sql)
 from delaylake.plans.registry import query
 from delaylake.plans.training import regression_frame
-from delaylake.session import materialize, path_exists, scratch_path
+from delaylake.session import materialize, path_exists, scan_splits, scratch_path, split_size
+from delaylake.sources import views as V
 from delaylake.sources.views import FLIGHT_KEY
 from delaylake.streaming.score_stream import drain, stream_log_brackets, stream_score_log
 
@@ -46,7 +47,8 @@ _KEPT: dict[tuple, object] = {}     # tables and models shared by queries of one
 def _once(spark, sf, name, make):
     key = (spark.sparkContext.applicationId, sf, name)
     kept = _KEPT.get(key)
-    if isinstance(kept, DataFrame) and not all(path_exists(spark, f) for f in kept.inputFiles()[:1]):
+    tables = [d for d in (kept if isinstance(kept, tuple) else (kept,)) if isinstance(d, DataFrame)]
+    if not all(path_exists(spark, f) for d in tables for f in d.inputFiles()[:1]):
         kept = None     # released since
     if kept is None:
         kept = _KEPT[key] = make()
@@ -75,8 +77,14 @@ def model_rows(spark, sf):
                                      C.delay_label(late).alias("delay_label"))
 
 
+def _in_fit_files(rows, name):
+    """``rows`` written in files that a learner's task can hold, so that they need no dealing."""
+    with scan_splits(rows.sparkSession, split_size(rows, M.FIT_ROWS)):
+        return materialize(rows, name)
+
+
 def _split(spark, sf):
-    rows = _once(spark, sf, "model-rows", lambda: materialize(model_rows(spark, sf), "model-rows"))
+    rows = _once(spark, sf, "model-rows", lambda: _in_fit_files(model_rows(spark, sf), "model-rows"))
     return S.split_train_test(rows, KEY)
 
 
@@ -164,8 +172,8 @@ def q_model_auc(spark, sf):
 
 
 def _regression_rows(spark, sf):
-    return _once(spark, sf, "regression-rows", lambda: materialize(
-        regression_frame(X.flights(spark, sf), X.weather(spark, sf), X.airports(spark, sf), KEY),
+    return _once(spark, sf, "regression-rows", lambda: _in_fit_files(
+        regression_frame(X.shared_flights(spark, sf), X.weather(spark, sf), X.airports(spark, sf), KEY),
         "regression-rows"))
 
 
@@ -210,8 +218,16 @@ def q_feature_importance(spark, sf):
 
 
 def _lookups(spark, sf):
-    return (A.weather_monthly_avg(X.weather(spark, sf)), X.airports(spark, sf),
-            A.delay_rate(X.labelled(spark, sf)))
+    """The lookups of the requests, written once; the rates come from the clean table that the
+    model's rows come from."""
+    return _once(spark, sf, "lookups", lambda: tuple(materialize(d, f"{n}-lookup") for n, d in (
+        ("weather", A.weather_monthly_avg(X.weather(spark, sf))), ("coords", X.airports(spark, sf)),
+        ("rates", A.delay_rate(X.clean(spark, sf))))))
+
+
+def _requests(spark, sf):
+    """The requests, from flights written once: before the clean table, which reads them too."""
+    return V.requests(spark, sf, X.shared_flights(spark, sf))
 
 
 def _score_checks():
@@ -249,14 +265,16 @@ def _flat(scored):
 
 @query("score_requests", W(_SCORED_SQL, ctes=_SCORED_CTES))
 def q_score_requests(spark, sf):
-    s = SC.score_requests(X.requests(spark, sf), *_lookups(spark, sf), gbt_model(spark, sf), stage_lookups=True)
+    requests = _requests(spark, sf)
+    s = SC.score_requests(requests, *_lookups(spark, sf), gbt_model(spark, sf), deal=False)
     return _flat(s)
 
 
 @query("conditional_minutes", W("SELECT request_id, true AS minutes_follow_risk FROM requests"))
 def q_conditional_minutes(spark, sf):
-    s = SC.score_requests(X.requests(spark, sf), *_lookups(spark, sf), gbt_model(spark, sf),
-                          regressor=regressor(spark, sf), stage_lookups=True)
+    requests = _requests(spark, sf)
+    s = SC.score_requests(requests, *_lookups(spark, sf), gbt_model(spark, sf),
+                          regressor=regressor(spark, sf), deal=False)
     follow = F.when(F.col("risk") == "low", F.col("est_delay_mins").isNull()).otherwise(
         F.coalesce(F.col("est_delay_mins") >= 0, F.lit(False)))
     return s.select("request_id", follow.alias("minutes_follow_risk"))
@@ -267,12 +285,12 @@ def q_stream_score_log(spark, sf):
     """Request files scored by the model as a stream into the log; the drained
     log is compared with the batch result row by row, all but the time stamp."""
     inbox, out = scratch_path(spark, "stream-requests"), scratch_path(spark, "stream-log")
-    X.requests(spark, sf).write.parquet(inbox)
+    _requests(spark, sf).write.parquet(inbox)
     weather_avg, coords, rates = _lookups(spark, sf)
     model = gbt_model(spark, sf)
     drain(stream_score_log(spark, inbox, out, out + "-ckpt", weather_avg, coords, rates, model, fmt="parquet"))
     logged = spark.read.parquet(out)
-    batch = SC.score_requests(spark.read.parquet(inbox), weather_avg, coords, rates, model)
+    batch = SC.score_requests(spark.read.parquet(inbox), weather_avg, coords, rates, model, deal=False)
     same = [c for c in batch.columns if c in logged.columns and c not in ("request_id", "timestamp", "source")]
     digest = F.xxhash64(*[F.to_json(F.struct(*same))])
     b = batch.select("request_id", digest.alias("__digest")).distinct().withColumn("__same", F.lit(True))

@@ -11,6 +11,8 @@ import os
 import re
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -147,3 +149,38 @@ def sized(lookup: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
         return lookup
     small = lookup.limit(max_rows + 1).agg(F.count(F.lit(1))).first()[0] <= max_rows
     return F.broadcast(lookup) if small else lookup
+
+
+_SPLIT, _OPEN = "spark.sql.files.maxPartitionBytes", "spark.sql.files.openCostInBytes"
+
+
+@contextmanager
+def scan_splits(spark: SparkSession, size: int | None) -> Iterator[None]:
+    """What runs inside reads files in splits of at most ``size`` bytes, packed without a charge
+    for each file; None leaves the session's settings alone."""
+    before = {k: spark.conf.get(k) for k in (_SPLIT, _OPEN)}
+    try:
+        if size is not None:
+            spark.conf.set(_SPLIT, str(max(1, size)))
+            spark.conf.set(_OPEN, "0")
+        yield
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+
+
+def split_size(df: DataFrame, rows: int) -> int | None:
+    """Bytes of the files that ``df`` reads for about ``rows`` of its rows; None where it reads
+    no files, or where the session's own splits are smaller."""
+    spark, n = df.sparkSession, df.count()
+    folders = {f.rsplit("/", 1)[0] for f in df.inputFiles()}
+    if n <= rows or not folders:
+        return None
+    conf, jvm = spark.sparkContext._jsc.hadoopConfiguration(), spark.sparkContext._jvm
+    paths = [jvm.org.apache.hadoop.fs.Path(jvm.java.net.URI(f)) for f in folders]
+    return sum(p.getFileSystem(conf).getContentSummary(p).getLength() for p in paths) * rows // n
+
+
+def most_rows(df: DataFrame) -> int:
+    """Rows of the largest task that reads ``df``."""
+    return df.groupBy(F.spark_partition_id().alias("task")).count().agg(F.max("count")).first()[0] or 0

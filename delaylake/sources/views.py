@@ -28,7 +28,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from delaylake.session import sized
+from delaylake.session import scratch_path, sized
 from delaylake.sources.tables import load_driver_table
 
 ROWS_PER_TASK = 200_000     # flights in a task that groups whole rows: about 64 MB of them
@@ -39,6 +39,11 @@ def _t(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return load_driver_table(spark, sf_dir, name)
 
 
+def flight_tasks(spark: SparkSession, sf_dir: str) -> int:
+    """Tasks that the flights are dealt over, by order."""
+    return max(spark.sparkContext.defaultParallelism, -(-_t(spark, sf_dir, "lineitem").count() // ROWS_PER_TASK))
+
+
 def flights(spark: SparkSession, sf_dir: str, keep_key: bool = True) -> DataFrame:
     """Flights with the reference's column names (see FIXTURES.md §2)."""
     li = _t(spark, sf_dir, "lineitem")
@@ -68,7 +73,7 @@ def flights(spark: SparkSession, sf_dir: str, keep_key: bool = True) -> DataFram
     # what groups them by a key that holds the order needs no further exchange.
     # The number of tasks follows the rows, so that whole rows can be grouped in
     # a task's memory (packed shuffle blocks would hold five times as many).
-    tasks = max(spark.sparkContext.defaultParallelism, -(-li.count() // ROWS_PER_TASK))
+    tasks = flight_tasks(spark, sf_dir)
     j = (li.join(s, "l_suppkey")
            .join(p, "l_partkey")
            .repartition(tasks, "l_orderkey")
@@ -125,8 +130,19 @@ def weather(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def cancelled(spark: SparkSession, sf_dir: str) -> DataFrame:
-    f = flights(spark, sf_dir)
+def stored_flights(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The flights written once for several readers, in buckets by order: duplicates are then
+    found without an exchange, as on :func:`flights` itself."""
+    buckets = max(flight_tasks(spark, sf_dir), int(spark.conf.get("spark.sql.shuffle.partitions")))
+    path = scratch_path(spark, "flights")
+    name = "flights_" + path.rsplit("-", 1)[1]
+    (flights(spark, sf_dir).write.format("parquet").option("path", path)
+     .bucketBy(buckets, "l_orderkey").saveAsTable(name))
+    return spark.table(name)
+
+
+def cancelled(spark: SparkSession, sf_dir: str, f: DataFrame | None = None) -> DataFrame:
+    f = flights(spark, sf_dir) if f is None else f
     return (f.where((F.col("l_returnflag") == "R") & (F.col("l_linenumber") == 7))
              .select("FlightDate", "Airline", "Tail_Number"))
 
@@ -148,9 +164,10 @@ def request_airport(col: str) -> Column:
     return F.when(F.col("l_orderkey") % 13 == 0, F.concat(F.lit("?"), F.col(col))).otherwise(F.col(col))
 
 
-def requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+def requests(spark: SparkSession, sf_dir: str, f: DataFrame | None = None) -> DataFrame:
     """Scoring requests: one per flight."""
-    return flights(spark, sf_dir).select(
+    f = flights(spark, sf_dir) if f is None else f
+    return f.select(
         request_id().alias("request_id"),
         F.col("Airline").alias("airline_key"),
         request_airport("Dep_Airport").alias("dep_airport"),
