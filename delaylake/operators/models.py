@@ -63,11 +63,14 @@ def dealt(train: DataFrame) -> DataFrame:
     return train if tasks <= 1 else train.repartition(max(tasks, train.sparkSession.sparkContext.defaultParallelism))
 
 
-def fitted(train: DataFrame, encode: Sequence, learner) -> PipelineModel:
+def fitted(train: DataFrame, encode: Sequence, learner, tasks: int | None = None) -> PipelineModel:
     """Encoders and learner as one model. The encoders are fitted where the rows lie. The
     learner reads its rows in splits of about ``FIT_ROWS``, if their files allow that; else
-    they are dealt (:func:`dealt`), once."""
+    they are dealt (:func:`dealt`), once. With ``tasks`` they are always dealt, evenly over that
+    many tasks."""
     encoder = Pipeline(stages=list(encode)).fit(train)
+    if tasks:
+        return PipelineModel([*encoder.stages, learner.fit(encoder.transform(train.repartition(tasks)))])
     with scan_splits(train.sparkSession, split_size(train, FIT_ROWS)):
         rows = train if most_rows(train) <= 2 * FIT_ROWS else dealt(train)
         return PipelineModel([*encoder.stages, learner.fit(encoder.transform(rows))])
@@ -81,18 +84,29 @@ def gbt_classifier(train: DataFrame, max_iter: int = 20, max_depth: int = 5,
     return fitted(train, encode_stages(numeric=numeric), gbt)
 
 
+KEPT_IDS = 100_000_000  # node ids (a row's, one a tree) that a forest keeps for each core: 400 MB
+
+
 def rf_classifier(train: DataFrame, num_trees: int = 50, max_depth: int = 10,
                   min_instances: int = 1, weight_col: str | None = None,
                   seed: int = K.SEED, label: str = "delay_label",
                   numeric: Sequence[str] = tuple(CLASSIFIER_NUMERIC)) -> PipelineModel:
     """Random forest; ``weight_col`` carries balanced class weights (see
     ``features.with_class_weights``). MLlib has no min-samples-split knob;
-    ``min_instances`` is the per-leaf minimum."""
+    ``min_instances`` is the per-leaf minimum.
+
+    While ``KEPT_IDS`` allows it, each row keeps the node it has reached in every tree, so that a
+    level costs a step of each tree and not a walk from its root; the trees are the same. Rows
+    that fill one round of the cores are dealt evenly over them: a level takes as long as its
+    longest task, and far longer than that one exchange."""
     kw = {"weightCol": weight_col} if weight_col else {}
+    n, cores = train.count(), train.sparkSession.sparkContext.defaultParallelism
+    kw |= {"cacheNodeIds": n * num_trees <= KEPT_IDS * cores, "checkpointInterval": -1}
     rf = RandomForestClassifier(labelCol=label, featuresCol="features", numTrees=num_trees,
                                 maxDepth=max_depth, minInstancesPerNode=min_instances,
                                 seed=seed, **kw)
-    return fitted(train, encode_stages(numeric=numeric), rf)
+    one_round = n <= 2 * FIT_ROWS * cores
+    return fitted(train, encode_stages(numeric=numeric), rf, cores if one_round else None)
 
 
 @dataclass

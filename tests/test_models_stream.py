@@ -149,6 +149,16 @@ def test_balanced_forest_weights_and_threshold(spark):
     assert s.where((F.col("label") == 1) != (F.col("p") > 0.6)).count() == 0
 
 
+def test_forest_keeps_node_ids_and_grows_the_same_trees(spark, monkeypatch):
+    df = _planted(spark, n=400).repartition(1)
+    kept = M.rf_classifier(df, num_trees=5, max_depth=6, min_instances=2).stages[-1]
+    assert kept.getCacheNodeIds()
+    monkeypatch.setattr(M, "KEPT_IDS", 0)       # too many to keep: the rows walk from the roots
+    walked = M.rf_classifier(df, num_trees=5, max_depth=6, min_instances=2).stages[-1]
+    assert not walked.getCacheNodeIds()
+    assert kept.toDebugString.split("\n")[1:] == walked.toDebugString.split("\n")[1:]
+
+
 def test_skipped_rows_are_counted(spark):
     df = _planted(spark, n=20).withColumn("LATITUDE", F.when(F.col("k") >= 3, F.col("LATITUDE")))
     assert M.skipped_rows(df).first()["skipped"] == 3
