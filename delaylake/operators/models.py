@@ -21,6 +21,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from delaylake.functions import constants as K
+from delaylake.operators.forest import FOLDER as _FOREST
+from delaylake.operators.forest import BlockForest, block_forest
 from delaylake.operators.sampling import folded_counts
 from delaylake.operators.svm import (LinearMember, complete, encoded, fit_inputs, member_margin, sigmoid,
                                      squared_hinge)
@@ -85,23 +87,29 @@ def gbt_classifier(train: DataFrame, max_iter: int = 20, max_depth: int = 5,
     return fitted(train, encode_stages(numeric=numeric), gbt)
 
 
+GROWN_ROWS = 4_000_000  # rows of all trees from which a forest is grown over binned blocks
 KEPT_IDS = 100_000_000  # node ids (a row's, one a tree) that a forest keeps for each core: 400 MB
 
 
 def rf_classifier(train: DataFrame, num_trees: int = 50, max_depth: int = 10,
                   min_instances: int = 1, weight_col: str | None = None,
                   seed: int = K.SEED, label: str = "delay_label",
-                  numeric: Sequence[str] = tuple(CLASSIFIER_NUMERIC)) -> PipelineModel:
+                  numeric: Sequence[str] = tuple(CLASSIFIER_NUMERIC)) -> PipelineModel | BlockForest:
     """Random forest; ``weight_col`` carries balanced class weights (see
     ``features.with_class_weights``). MLlib has no min-samples-split knob;
     ``min_instances`` is the per-leaf minimum.
 
-    While ``KEPT_IDS`` allows it, each row keeps the node it has reached in every tree, so that a
+    A forest of two classes that draws ``GROWN_ROWS`` rows or more in all is grown over binned blocks
+    (``operators.forest``); MLlib grows the others. While ``KEPT_IDS`` allows it, each row keeps the node it has reached in every tree, so that a
     level costs a step of each tree and not a walk from its root; the trees are the same. Rows
     that fill one round of the cores are dealt evenly over them: a level takes as long as its
     longest task, and far longer than that one exchange."""
     kw = {"weightCol": weight_col} if weight_col else {}
-    n, cores = train.count(), train.sparkSession.sparkContext.defaultParallelism
+    n, odd = train.agg(F.count(F.lit(1)), F.count_if(~F.col(label).isin(0, 1))).first()
+    cores = train.sparkSession.sparkContext.defaultParallelism
+    if n * num_trees >= GROWN_ROWS and not odd:
+        return block_forest(train, label, weight_col, numeric, K.CATEGORICAL_COLS, num_trees, max_depth,
+                            min_instances, seed)
     kw |= {"cacheNodeIds": n * num_trees <= KEPT_IDS * cores, "checkpointInterval": -1}
     rf = RandomForestClassifier(labelCol=label, featuresCol="features", numTrees=num_trees,
                                 maxDepth=max_depth, minInstancesPerNode=min_instances,
@@ -192,16 +200,17 @@ def gbt_regressor(train: DataFrame, label: str = "Arr_Delay", max_iter: int = 10
     return boosted_trees(train, label, numeric, K.CATEGORICAL_COLS, max_iter, max_depth, step, subsample, seed)
 
 
-def save_model(model: PipelineModel | CalibratedSVM | BoostedTrees, path: str) -> None:
-    if isinstance(model, CalibratedSVM | BoostedTrees):
+def save_model(model: PipelineModel | CalibratedSVM | BoostedTrees | BlockForest, path: str) -> None:
+    if isinstance(model, CalibratedSVM | BoostedTrees | BlockForest):
         model.save(path)
     else:
         model.write().overwrite().save(path)
 
 
-def load_model(path: str) -> PipelineModel | CalibratedSVM | BoostedTrees:
-    if path_exists(SparkSession.active(), f"{path.rstrip('/')}/{_BOOSTED}"):
-        return BoostedTrees.load(path)
+def load_model(path: str) -> PipelineModel | CalibratedSVM | BoostedTrees | BlockForest:
+    for folder, kind in ((_BOOSTED, BoostedTrees), (_FOREST, BlockForest)):
+        if path_exists(SparkSession.active(), f"{path.rstrip('/')}/{folder}"):
+            return kind.load(path)
     if path_exists(SparkSession.active(), f"{path.rstrip('/')}/{_MEMBERS}"):
         return CalibratedSVM.load(path)
     return PipelineModel.load(path)
