@@ -6,6 +6,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from delaylake.operators import models as M
+from delaylake.operators import score as SC
 from delaylake.operators import trees as T
 
 
@@ -90,3 +91,14 @@ def test_cuts_are_half_way_and_few_values_keep_them_all():
     cuts = T._cuts(np.arange(1000.0), 32)
     assert len(cuts) == 31 and all(20 < b - a < 45 for a, b in itertools.pairwise(cuts))
     assert T._cuts(np.array([0.0] * 999 + list(range(1, 40))), 32)[0] == 0.5
+
+
+def test_minutes_are_those_of_the_binned_trees(spark):
+    df = _rows(spark, 120).withColumn("risk", F.element_at(F.array(*map(F.lit, ("low", "medium", "high"))),
+                                                           (F.col("k") % 3 + 1).cast("int")))
+    model = _fit(df, max_iter=4)
+    scored = model.transform(df)
+    assert scored.columns == [*df.columns, "prediction"]       # one column, no vector of one-hot slots
+    want = {r["k"]: max(0, round(r["prediction"])) if r["k"] % 3 else None for r in scored.collect()}
+    got = {r["k"]: r["est_delay_mins"] for r in SC.conditional_minutes(df, model).collect()}
+    assert got == want and any(want.values())
